@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.functions.people import at_least
@@ -50,8 +52,8 @@ BRAND_LEVELS = {
 }
 
 # Lowest total of each re-assigned band.
-TOTAL_STEPS = [(".75", "18-24"), (".69", "25-29"), (".585", "30-34"), (".47", "35-39"),
-               (".365", "40-49"), (".26", "50+")]
+TOTAL_STEPS = [(Decimal(".75"), "18-24"), (Decimal(".69"), "25-29"), (Decimal(".585"), "30-34"),
+               (Decimal(".47"), "35-39"), (Decimal(".365"), "40-49"), (Decimal(".26"), "50+")]
 
 
 def _level(name: Column, levels: dict[str, list[str]]) -> Column:
@@ -105,7 +107,5 @@ def with_age_scores(df: DataFrame, band: str, category: str, brand: str, price:
 def with_total_score(df: DataFrame, parts: list[str]) -> DataFrame:
     total = sum((F.coalesce(F.col(p), F.lit(0).cast(SCORE)) for p in parts), F.lit(0).cast(SCORE))
     total = F.round(total, 3).cast("decimal(6,3)")
-    steps = [(threshold, label) for threshold, label in TOTAL_STEPS]
-    band = at_least(F.col("total_score").cast("double"), [(float(t), b) for t, b in steps],
-                    F.lit(None).cast("string"))
+    band = at_least(F.col("total_score"), TOTAL_STEPS, F.lit(None).cast("string"))
     return df.withColumn("total_score", total).withColumn("new_age_group", band)
