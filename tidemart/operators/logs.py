@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemart.functions.dates import local_day
+from tidemart.operators.joins import hot_keys, salted_left_join
 
 
 def split_logs(logs: DataFrame) -> dict[str, DataFrame]:
@@ -25,7 +26,7 @@ def split_logs(logs: DataFrame) -> dict[str, DataFrame]:
 
 def first_visits(logs: DataFrame, tie: str, mid: str = "common.mid", is_new: str = "common.is_new",
                  ts: str = "ts", tz: str | None = None) -> DataFrame:
-    """First known visit date per device, decided by its earliest row.
+    """First known visit date per device, decided by its earliest row, and its row count.
 
     A row that says "new" dates the first visit to its own day, one that says "old" to the
     day before.  One partial aggregate, so a hot device never meets in one task.
@@ -33,22 +34,21 @@ def first_visits(logs: DataFrame, tie: str, mid: str = "common.mid", is_new: str
     day = local_day(F.col(ts), tz)
     known = F.when(F.col(is_new) == "1", day).otherwise(F.date_sub(day, 1))
     return logs.groupBy(F.col(mid).alias("_mid")).agg(
-        F.min_by(known, F.struct(F.col(ts), F.col(tie))).alias("_first_visit"))
+        F.min_by(known, F.struct(F.col(ts), F.col(tie))).alias("_first_visit"), F.count("*").alias("_rows"))
 
 
-def repair_new_visitors(logs: DataFrame, tie: str, tz: str | None = None) -> DataFrame:
+def repair_new_visitors(logs: DataFrame, tie: str, tz: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
     """Set ``common.is_new`` to 0 where a row says 1 but the device was seen on another day.
 
     Only rows that say 1 can change, so only they are joined; all others pass untouched.
-    A device with very many rows is a skewed partition on the left of a left join, which
-    adaptive execution splits.
+    Rows of devices with ``hot_rows`` rows or more are spread over many partitions.
     """
     firsts = first_visits(logs, tie, tz=tz)
+    hot = hot_keys(firsts, ["_mid"], "_rows", hot_rows)
     says_new = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
+    claimed = logs.filter(says_new).withColumn("_mid", F.col("common.mid"))
+    joined = salted_left_join(claimed, firsts.drop("_rows"), hot, ["_mid"], ["ts", tie])
     stale = F.col("_first_visit") != local_day(F.col("ts"), tz)
     fixed = F.when(stale, F.lit("0")).otherwise(F.col("common.is_new"))
-    claimed = logs.filter(says_new)
-    repaired = (claimed.join(firsts, F.col("common.mid") == F.col("_mid"), "left")
-                .withColumn("common", F.col("common").withField("is_new", fixed))
-                .drop("_mid", "_first_visit"))
+    repaired = joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*logs.columns)
     return repaired.unionByName(logs.filter(~says_new))
