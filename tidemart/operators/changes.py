@@ -103,3 +103,14 @@ def running_profile(df: DataFrame, key: str, arrival: str, sets: list[str], bloc
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def net_of_resends(df: DataFrame, keys: list[str], order: list[str], measures: list[str]) -> DataFrame:
+    """Rows whose measures add up like ``retract_by_negation``, without matching rows.
+
+    All rows with measures 0 (they still count towards distinct values and open their
+    windows) plus the newest row per key with its measures.
+    """
+    zeroed = df.select(*[F.lit(0).cast(df.schema[c].dataType).alias(c) if c in measures else F.col(c)
+                         for c in df.columns])
+    return zeroed.unionByName(latest_per_key(df, keys, order))
