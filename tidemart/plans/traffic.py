@@ -20,8 +20,7 @@ def traffic_window(logs: DataFrame, size: str = "10 seconds", tz: str | None = N
     the map side and only (device, day) pairs and window sums are shuffled.
     """
     views = etl.page_views(logs)
-    visits = first_of_day(views, ["mid"], "ts", tz, carry=VIEW_KEYS, tie="_tie") if "_tie" in views.columns \
-        else _earliest_views(views, tz)
+    visits = _earliest_views(views, tz)
     zero = F.lit(0).cast("bigint")
     rows = views.select("ts", *VIEW_KEYS, zero.alias("uv"), "sv", "pv", "during_time").unionByName(
         visits.select("ts", *VIEW_KEYS, F.lit(1).cast("bigint").alias("uv"), zero.alias("sv"), zero.alias("pv"),
