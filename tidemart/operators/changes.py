@@ -12,8 +12,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Keep one row per key; on a stream, keys are remembered until the watermark passes."""
-    return df.dropDuplicatesWithinWatermark(keys) if df.isStreaming else df.dropDuplicates(keys)
+    """Keep one row per key.
+
+    Rows that share a key are copies; should they differ, a batch keeps the smallest, so a
+    rerun gives the same row.  A stream keeps the first and forgets keys the watermark passed.
+    """
+    if df.isStreaming:
+        return df.dropDuplicatesWithinWatermark(keys)
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(
+        *[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def drop_equal_rows(df: DataFrame) -> DataFrame:

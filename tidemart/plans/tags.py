@@ -15,19 +15,18 @@ MINUTE_MS = 60_000
 HOUR_MS = 60 * MINUTE_MS
 
 
-def _unique(events: DataFrame, table: str) -> DataFrame:
-    """Live rows of a table, each (id, time) once."""
-    rows = etl.drop_deletes(etl.of_table(events, table)).withColumn("_id", F.col("after")["id"])
-    return drop_repeats(rows, ["_id", "ts_ms"])
+def _unique(events: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+    """Typed columns of a table's live rows, each (id, time) once."""
+    rows = etl.drop_deletes(etl.of_table(events, table)).select(*etl.after({"id": "bigint", **columns}), "ts_ms")
+    return drop_repeats(rows, ["id", "ts_ms"])
 
 
 def user_attributes(events: DataFrame, as_of: Column, within_ms: int = HOUR_MS) -> DataFrame:
     """Users with age, age band, era, star sign, and body measures that came within the hour."""
     birthday = F.col("birthday")
-    users = _unique(events, "user_info").select(
-        *etl.after({"id": "bigint", "name": "string"}), "ts_ms",
-        from_epoch_days(F.col("after")["birthday"]).alias("birthday"),
-        people.gender_or_home(F.col("after")["gender"]).alias("gender"))
+    users = _unique(events, "user_info", {"name": "string", "birthday": "int", "gender": "string"}).select(
+        "id", "name", "ts_ms", from_epoch_days(birthday).alias("birthday"),
+        people.gender_or_home(F.col("gender")).alias("gender"))
     users = users.withColumn("age", people.age_years(birthday, as_of)).select(
         "id", "ts_ms", "name", birthday.cast("string").alias("birthday"), "gender", "age",
         people.age_band(F.col("age")).alias("age_group"), people.era(birthday).alias("era"),
@@ -41,12 +40,9 @@ def user_attributes(events: DataFrame, as_of: Column, within_ms: int = HOUR_MS)
 
 def order_age_rows(events: DataFrame, products: DataFrame, within_ms: int = MINUTE_MS) -> DataFrame:
     """Order lines with user and order amount, brand and category; ``te`` is the joined time."""
-    lines = _unique(events, "order_detail").select(
-        *etl.after({"id": "bigint", "sku_id": "bigint", "order_id": "bigint", "create_time": "bigint"}), "ts_ms")
-    orders = _unique(events, "order_info").select(
-        F.col("after")["id"].cast("bigint").alias("_order"),
-        *etl.after({"user_id": "bigint", "original_total_amount": "decimal(16,2)"}),
-        F.col("ts_ms").alias("_order_ts"))
+    lines = _unique(events, "order_detail", {"sku_id": "bigint", "order_id": "bigint", "create_time": "bigint"})
+    orders = _unique(events, "order_info", {"user_id": "bigint", "original_total_amount": "decimal(16,2)"}) \
+        .withColumnsRenamed({"id": "_order", "ts_ms": "_order_ts"})
     rows = interval_join(lines, orders, {"order_id": "_order"}, "ts_ms", "_order_ts", -within_ms, within_ms)
     rows = rows.withColumn("te", F.greatest("ts_ms", "_order_ts")).drop("_order", "_order_ts", "ts_ms")
     # One row per line and creation time: an order's later changes repeat the line.
