@@ -200,6 +200,18 @@ def log_pages(t: Testbed):
                    "page.item", "page.during_time", "ts")
 
 
+@query
+def log_records(t: Testbed):
+    """All split outputs written as one table: records per kind, with a value read back from the JSON."""
+    logs, _ = feeds.app_log(t.messages())
+    records = log_ops.split_records(log_ops.repair_new_visitors(logs, "page"))
+    return records.select("kind", F.get_json_object("value", "$.common.mid").alias("mid"),
+                          F.get_json_object("value", "$.common.is_new").alias("is_new"),
+                          F.coalesce(F.get_json_object("value", "$.display.item"),
+                                     F.get_json_object("value", "$.action.item"),
+                                     F.get_json_object("value", "$.page.item")).alias("item"))
+
+
 @query
 def log_dirty(t: Testbed):
     return applogs.split_messages(t.messages())["dirty"]
@@ -396,10 +408,7 @@ def ded_last_per_window(t: Testbed):
 
 @query
 def running_profile(t: Testbed):
-    rows = t.logs().select(
-        F.col("common.uid").alias("uid"), F.split("common.os", " ")[0].alias("os"),
-        F.when(F.col("page.item_type") == "keyword", F.col("page.item")).alias("keyword"), "event_id")
-    return changes.running_profile(rows, "uid", "event_id", ["os", "keyword"], block=500)
+    return changes.running_profile(etl.log_profile(t.logs(), ["event_id"]), "uid", "event_id", ["os", "keyword"], block=500)
 
 
 # -- first time today ---------------------------------------------------------------------
@@ -637,10 +646,7 @@ def tag_order_rows(t: Testbed):
 
 @query
 def tag_age(t: Testbed):
-    log_rows = t.logs().select(F.col("common.uid").alias("uid"), "ts", F.split("common.os", " ")[0].alias("os"),
-                               F.when(F.col("page.item_type") == "keyword", F.col("page.item")).alias("keyword"),
-                               "event_id")
-    rows = tags.age_tags(t.feed("order_detail", "order_info"), _users(t), log_rows,
+    rows = tags.age_tags(t.feed("order_detail", "order_info"), _users(t), etl.log_profile(t.logs(), ["event_id"]),
                          joins.flat_products(**t.product_dims()), t.keyword_types(), "event_id",
                          user_ms=120 * HOUR_MS, log_ms=48 * HOUR_MS)
     return rows.select("user_id", "name", "age_group", "id", "te", "ts", "category_name", "tm_name", "price_sensitive",

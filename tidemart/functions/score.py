@@ -71,17 +71,22 @@ def brand_level(name: Column) -> Column:
     return _level(name, BRAND_LEVELS)
 
 
-def factor_score(factor: str, level: Column, band: Column) -> Column:
-    """Weight times share at three places; null when the level or the band is unknown."""
+def band_index(band: Column) -> Column:
+    """Position in ``BANDS`` from 0; null for any other band."""
     out = None
+    for i, label in enumerate(BANDS):
+        out = F.when(band == label, i) if out is None else out.when(band == label, i)
+    return out
+
+
+def factor_score(factor: str, level: Column, index: Column) -> Column:
+    """Weight times share at three places; null when the level or the band is unknown."""
+    share, out = Decimal(FACTOR_SHARE[factor]), None
     for name, weights in FACTOR_WEIGHTS[factor].items():
-        by_band = F.lit(None).cast(SCORE)
-        for label, weight in zip(BANDS, weights):
-            product = F.lit(str(weight)).cast("decimal(2,1)") * F.lit(FACTOR_SHARE[factor]).cast("decimal(3,2)")
-            by_band = F.when(band == label, product.cast(SCORE)).otherwise(by_band)
+        scores = F.array(*[F.lit(Decimal(str(w)) * share).cast(SCORE) for w in weights])
         hit = level == name
-        out = F.when(hit, by_band) if out is None else out.when(hit, by_band)
-    return out
+        out = F.when(hit, scores) if out is None else out.when(hit, scores)
+    return F.get(out, index)
 
 
 def with_age_scores(df: DataFrame, band: str, category: str, brand: str, price: str, day_part: str,
@@ -90,16 +95,17 @@ def with_age_scores(df: DataFrame, band: str, category: str, brand: str, price:
 
     A user outside the six bands gets -1 as the only score, hence no new band.
     """
-    known = F.col(band).isin(BANDS)
-    category_score = F.when(known, factor_score("category", category_level(F.col(category)), F.col(band)))
-    scored = df.withColumns({
-        "category_score": category_score.otherwise(F.lit("-1").cast(SCORE)),
-        "tm_score": factor_score("brand", brand_level(F.col(brand)), F.col(band)),
-        "price_sensitive_score": factor_score("price", F.col(price), F.col(band)),
-        "time_period_score": factor_score("day_part", F.col(day_part), F.col(band)),
-        "keyword_type_score": factor_score("keyword", F.trim(F.col(keyword_type)), F.col(band)),
-        "os_score": factor_score("os", F.col(os), F.col(band)),
-    })
+    index = F.col("_band")
+    category_score = F.when(index.isNull(), F.lit("-1").cast(SCORE)).otherwise(
+        factor_score("category", category_level(F.col(category)), index))
+    scored = df.withColumn("_band", band_index(F.col(band))).withColumns({
+        "category_score": category_score,
+        "tm_score": factor_score("brand", brand_level(F.col(brand)), index),
+        "price_sensitive_score": factor_score("price", F.col(price), index),
+        "time_period_score": factor_score("day_part", F.col(day_part), index),
+        "keyword_type_score": factor_score("keyword", F.trim(F.col(keyword_type)), index),
+        "os_score": factor_score("os", F.col(os), index),
+    }).drop("_band")
     return with_total_score(scored, ["category_score", "tm_score", "price_sensitive_score",
                                      "time_period_score", "keyword_type_score", "os_score"])
 

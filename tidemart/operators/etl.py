@@ -51,11 +51,11 @@ def cart_additions(events: DataFrame) -> DataFrame:
 
 # -- logs -----------------------------------------------------------------------------
 
-def log_profile(logs: DataFrame) -> DataFrame:
+def log_profile(logs: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """User, time, operating system without its version, and the keyword searched for."""
     keyword = F.when(F.col("page.item_type") == "keyword", F.col("page.item"))
-    return logs.select(F.col("common.uid").alias("uid"), "ts",
-                       F.split("common.os", " ")[0].alias("os"), keyword.alias("keyword"))
+    return logs.select(F.col("common.uid").alias("uid"), "ts", F.split("common.os", " ")[0].alias("os"),
+                       keyword.alias("keyword"), *keep or [])
 
 
 def only_keywords(df: DataFrame) -> DataFrame:

@@ -24,6 +24,30 @@ def split_logs(logs: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def split_records(logs: DataFrame) -> DataFrame:
+    """All outputs of ``split_logs`` as (kind, value JSON) rows in a single pass.
+
+    For writing: one scan feeds one sink partitioned by ``kind``, or a topic per kind.
+    """
+    def record(kind, *columns):
+        return F.struct(F.lit(kind).alias("kind"), F.to_json(F.struct(*columns)).alias("value"))
+
+    def when(condition, kind, *columns):
+        return F.when(condition, F.array(record(kind, *columns))).otherwise(F.array().cast(kinds))
+
+    def each(column, kind, name, *columns):
+        records = F.transform(F.col(column), lambda e: record(kind, *columns, e.alias(name)))
+        return F.when(browsing & F.col(column).isNotNull(), records).otherwise(F.array().cast(kinds))
+
+    kinds, browsing = "array<struct<kind:string,value:string>>", F.col("start").isNull()
+    rest = [c for c in logs.columns if c not in ("displays", "actions", "err", "start")]
+    records = F.concat(
+        when(F.col("err").isNotNull(), "err", *logs.columns), when(~browsing, "start", *logs.columns),
+        each("displays", "display", "display", "common", "page", "ts"),
+        each("actions", "action", "action", "common", "page"), when(browsing, "page", *rest))
+    return logs.select(F.explode(records).alias("_r")).select("_r.kind", "_r.value")
+
+
 def first_visits(logs: DataFrame, tie: str, mid: str = "common.mid", is_new: str = "common.is_new",
                  ts: str = "ts", tz: str | None = None) -> DataFrame:
     """First known visit date per device, decided by its earliest row, and its row count.
@@ -40,15 +64,13 @@ def first_visits(logs: DataFrame, tie: str, mid: str = "common.mid", is_new: str
 def repair_new_visitors(logs: DataFrame, tie: str, tz: str | None = None, hot_rows: int = 1_000_000) -> DataFrame:
     """Set ``common.is_new`` to 0 where a row says 1 but the device was seen on another day.
 
-    Only rows that say 1 can change, so only they are joined; all others pass untouched.
-    Rows of devices with ``hot_rows`` rows or more are spread over many partitions.
+    The logs are read twice: once for the first visits, once for the rows.  Rows of devices with
+    ``hot_rows`` rows or more are spread over many partitions.
     """
     firsts = first_visits(logs, tie, tz=tz)
     hot = hot_keys(firsts, ["_mid"], "_rows", hot_rows)
-    says_new = F.coalesce(F.col("common.is_new") == "1", F.lit(False))
-    claimed = logs.filter(says_new).withColumn("_mid", F.col("common.mid"))
-    joined = salted_left_join(claimed, firsts.drop("_rows"), hot, ["_mid"], ["ts", tie])
-    stale = F.col("_first_visit") != local_day(F.col("ts"), tz)
+    joined = salted_left_join(logs.withColumn("_mid", F.col("common.mid")), firsts.drop("_rows"), hot, ["_mid"],
+                              ["ts", tie])
+    stale = (F.col("common.is_new") == "1") & (F.col("_first_visit") != local_day(F.col("ts"), tz))
     fixed = F.when(stale, F.lit("0")).otherwise(F.col("common.is_new"))
-    repaired = joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*logs.columns)
-    return repaired.unionByName(logs.filter(~says_new))
+    return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*logs.columns)

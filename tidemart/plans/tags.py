@@ -46,7 +46,7 @@ def order_age_rows(events: DataFrame, products: DataFrame, within_ms: int = MINU
     rows = interval_join(lines, orders, {"order_id": "_order"}, "ts_ms", "_order_ts", -within_ms, within_ms)
     rows = rows.withColumn("te", F.greatest("ts_ms", "_order_ts")).drop("_order", "_order_ts", "ts_ms")
     # One row per line and creation time: an order's later changes repeat the line.
-    rows = first_per_key(rows, ["id", "create_time"], ["te"])
+    rows = first_per_key(rows, ["id", "create_time"], ["te", "sku_id"])
     chain = {c: c for c in ("category3_id", "category2_id", "category1_id", "tm_id", "tm_name")}
     return lookup(rows, products, {"sku_id": "sku_id"}, {**chain, "category1_name": "category_name"})
 
