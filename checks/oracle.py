@@ -74,7 +74,7 @@ CTE = {
         from amounts a join orders on a.order_id = o_orderkey left join activity act on a.id = act.id
         left join coupon_ids cou on a.id = cou.id""",
     "order_rows": f"""select o_orderkey as id, o_custkey as user_id, o_orderstatus as st, o_orderpriority as prio,
-        cast(cast(o_totalprice as decimal(16,2)) / 50 as decimal(16,2)) as total, {_ms('o_orderkey')} as t0,
+        cast(cast(o_totalprice as decimal(16,2)) * 0.02 as decimal(16,2)) as total, {_ms('o_orderkey')} as t0,
         {_ms('o_orderkey')} + o_orderkey % 40 * 60000 as t1 from orders""",
     "order_events": """select id, user_id, prio, total, 'c' as op, '1001' as status, t0 as ts_ms from order_rows
         union all select id, user_id, prio, total, 'u',
@@ -250,7 +250,8 @@ oracle("fact_routed_rows", "part_events", f"""select 'dwd_part_r' as sink_table,
 # -- facts ----------------------------------------------------------------------------------
 
 oracle("fact_cart_add", "carts", "select id, user_id, sku_id, sku_num, ts_ms from carts")
-oracle("fact_order_detail", "details", "select * from details")
+for _name in ("fact_order_detail", "fact_order_detail_of_mixed_feed"):
+    oracle(_name, "details", "select * from details")
 _CANCEL = f"""select d.id, d.order_id, d.user_id, d.sku_id, d.sku_name, d.province_id, d.activity_id,
     d.activity_rule_id, d.coupon_id, {_text('t1', '%Y-%m-%d')} as date_id, t1 as cancel_time, d.sku_num,
     d.split_original_amount, d.split_activity_amount, d.split_coupon_amount, d.split_total_amount, t1 as ts_ms

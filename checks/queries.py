@@ -63,7 +63,7 @@ def _row_id(df: DataFrame) -> DataFrame:
 @query
 def src_change_feed(t: Testbed):
     """JSON messages, tombstones among them, parsed strictly into change events."""
-    messages = _event_text(t.part_events()).withColumn(
+    messages = _event_text(t.mixed_feed("part")).withColumn(
         "value", F.when(~F.get_json_object("value", "$.ts_ms").endswith("77"), F.col("value")))
     events = feeds.change_events(feeds.decode_messages(messages))
     return events.select(F.col("source")["table"].alias("source_table"), "op", "ts_ms",
@@ -73,7 +73,7 @@ def src_change_feed(t: Testbed):
 
 @query
 def src_snapshot_events(t: Testbed):
-    events = feeds.snapshot_events(t.table("customer"), DB, "customer", F.lit(1_704_067_200_000))
+    events = feeds.snapshot_events(t.table("customer"), DB, "customer", "1704067200000")
     return events.select("op", "ts_ms", *etl.after({"c_custkey": "bigint", "c_name": "string",
                                                      "c_acctbal": "double", "c_mktsegment": "string"}))
 
@@ -95,19 +95,19 @@ def src_word_list(t: Testbed):
 
 @query
 def etl_valid_events(t: Testbed):
-    return _row_id(etl.valid_events(t.feed("part", "supplier"), DB))
+    return _row_id(etl.valid_events(t.mixed_feed("part", "supplier"), DB))
 
 
 @query
 def etl_drop_bootstrap(t: Testbed):
-    events = t.part_events().withColumn(
+    events = t.mixed_feed("part").withColumn(
         "op", F.when(F.col("ts_ms") % 2 == 1, F.concat(F.lit("bootstrap-"), "op")).otherwise(F.col("op")))
     return _row_id(etl.drop_bootstrap(events))
 
 
 @query
 def etl_drop_deletes(t: Testbed):
-    return _row_id(etl.drop_deletes(etl.of_table(t.feed("part", "supplier"), "part")))
+    return _row_id(etl.drop_deletes(etl.of_table(t.mixed_feed("part", "supplier"), "part")))
 
 
 @query
@@ -122,8 +122,8 @@ def etl_transitions(t: Testbed):
               "paid_back": ("refund_payment", "refund_status", "1602", None)}
     return changes.union_all([
         etl.transition(events, *args).select(
-            F.lit(kind).alias("kind"), F.coalesce(F.col("after")["order_id"], F.col("after")["id"]).cast("bigint")
-            .alias("order_id"), "ts_ms")
+            F.lit(kind).alias("kind"), F.col("after")["id" if args[0] == "order_info" else "order_id"].alias("order_id"),
+            "ts_ms")
         for kind, args in wanted.items()])
 
 
@@ -154,7 +154,7 @@ def etl_keyword_profile(t: Testbed):
 
 @query
 def etl_flat_comments(t: Testbed):
-    return etl.flat_comments(t.comment_info_events()).withColumn("comment_txt", F.md5("comment_txt"))
+    return etl.flat_comments(t.feed("comment_info")).withColumn("comment_txt", F.md5("comment_txt"))
 
 
 ORDER_COLUMNS = {"id": "bigint", "user_id": "bigint", "province_id": "int", "order_status": "string",
@@ -163,7 +163,7 @@ ORDER_COLUMNS = {"id": "bigint", "user_id": "bigint", "province_id": "int", "ord
 
 @query
 def etl_flat_orders(t: Testbed):
-    return etl.with_day_key(etl.flat_orders(t.order_info_events(), ORDER_COLUMNS), "tm_ms")
+    return etl.with_day_key(etl.flat_orders(t.feed("order_info"), ORDER_COLUMNS), "tm_ms")
 
 
 # -- logs -------------------------------------------------------------------------------
@@ -237,19 +237,19 @@ def _sorted_entries(data: str) -> F.Column:
 
 @query
 def dim_changes(t: Testbed):
-    rows = dims.dimension_rows(t.feed("part", "supplier", "user_info"), t.dim_config_events(), DB)
+    rows = dims.dimension_rows(t.mixed_feed("part", "supplier", "user_info"), t.dim_config_events(), DB)
     return rows.select("sink_table", "sink_family", "row_key", "op", "ts_ms", _sorted_entries("data"))
 
 
 @query
 def dim_current_rows(t: Testbed):
-    rows = dims.current_dimensions(t.feed("part", "supplier", "user_info"), t.dim_config_events(), DB)
+    rows = dims.current_dimensions(t.mixed_feed("part", "supplier", "user_info"), t.dim_config_events(), DB)
     return rows.select("sink_table", "row_key", _sorted_entries("data"), "ts_ms")
 
 
 @query
 def fact_routed_rows(t: Testbed):
-    rows = dims.fact_rows(t.feed("part", "cart_info"), t.fact_config_events())
+    rows = dims.fact_rows(t.mixed_feed("part", "cart_info"), t.fact_config_events())
     return rows.select("sink_table", _sorted_entries("data"), "ts_ms")
 
 
@@ -272,6 +272,12 @@ def fact_order_detail(t: Testbed):
     return _order_details(t)
 
 
+@query
+def fact_order_detail_of_mixed_feed(t: Testbed):
+    """The same from one feed of all tables with rows as text maps."""
+    return trade.order_detail_fact(t.mixed_feed(*ORDER_FEED))
+
+
 @query
 def fact_order_cancel(t: Testbed):
     return trade.order_cancel_fact(_order_details(t), t.feed("order_info"))
@@ -344,7 +350,7 @@ def join_product_chain(t: Testbed):
 def join_interval_changes(t: Testbed):
     """Order lines with the order's status change up to 10 minutes later or 1 minute before."""
     lines = t.lines().select("id", "order_id", "seq", "ts_ms")
-    updates = etl.of_table(t.order_info_events(), "order_info", "u").select(
+    updates = etl.of_table(t.feed("order_info"), "order_info", "u").select(
         F.col("after")["id"].cast("bigint").alias("oid"), F.col("after")["order_status"].alias("order_status"),
         F.col("ts_ms").alias("changed_ms"))
     return joins.interval_join(lines, updates, {"order_id": "oid"}, "ts_ms", "changed_ms", -60_000, 600_000).drop("oid")
@@ -395,7 +401,7 @@ def ded_latest_records(t: Testbed):
 
 @query
 def ded_first_per_customer(t: Testbed):
-    rows = t.table("orders").select("o_custkey", "o_orderkey", order_ms(F.col("o_orderkey")).alias("ts_ms"),
+    rows = t.table("orders").select("o_custkey", "o_orderkey", order_ms("o_orderkey").alias("ts_ms"),
                                     "o_orderstatus")
     return changes.first_per_key(rows, ["o_custkey"], ["ts_ms", "o_orderkey"])
 
@@ -536,7 +542,7 @@ def ads_top_channels(t: Testbed):
 
 @query
 def fn_dates(t: Testbed):
-    ms, zone = order_ms(F.col("o_orderkey")), "Asia/Shanghai"
+    ms, zone = order_ms("o_orderkey"), "Asia/Shanghai"
     return t.table("orders").select(
         "o_orderkey", dates.to_date_text(ms).alias("day"), dates.to_datetime_text(ms).alias("at"),
         dates.to_date_text(ms, zone).alias("local_day"), dates.format_millis(ms, dates.DAY_KEY, zone).alias("day_key"),
@@ -558,20 +564,22 @@ def fn_people(t: Testbed):
 
 @query
 def fn_day_part_and_price_band(t: Testbed):
-    return t.table("orders").select("o_orderkey", people.day_part(order_ms(F.col("o_orderkey"))).alias("day_part"),
+    return t.table("orders").select("o_orderkey", people.day_part(order_ms("o_orderkey")).alias("day_part"),
                                     people.price_band(F.col("o_totalprice") / 50).alias("price_band"))
 
 
 @query
 def fn_age_scores(t: Testbed):
     """All six factors on every order; levels picked from the order key."""
-    key = F.col("o_orderkey")
     bands = ["18-24", "25-29", "30-34", "35-39", "40-49", "50+", "0-17"]
     rows = t.table("orders").select(
-        "o_orderkey", pick(bands, key % 7).alias("band"), pick(CATEGORIES, key % 18).alias("category"),
-        pick(BRANDS, key % 12).alias("brand"), people.price_band(F.col("o_totalprice") / 50).alias("price"),
-        people.day_part(order_ms(key)).alias("part"), pick(KEYWORD_TYPES, key % 5).alias("keyword_type"),
-        pick(["Android", "iOS", "other"], key % 3).alias("os"))
+        "o_orderkey", F.expr(pick(bands, "o_orderkey % 7")).alias("band"),
+        F.expr(pick(CATEGORIES, "o_orderkey % 18")).alias("category"),
+        F.expr(pick(BRANDS, "o_orderkey % 12")).alias("brand"),
+        people.price_band(F.col("o_totalprice") / 50).alias("price"),
+        people.day_part(order_ms("o_orderkey")).alias("part"),
+        F.expr(pick(KEYWORD_TYPES, "o_orderkey % 5")).alias("keyword_type"),
+        F.expr(pick(["Android", "iOS", "other"], "o_orderkey % 3")).alias("os"))
     return with_age_scores(rows, "band", "category", "brand", "price", "part", "keyword_type", "os")
 
 

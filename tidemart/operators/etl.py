@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions.dates import DAY_KEY, format_millis
 
@@ -22,12 +25,20 @@ def drop_deletes(events: DataFrame) -> DataFrame:
     return events.filter(F.col("op") != "d")
 
 
-def of_table(events: DataFrame, table: str, op: str | None = None) -> DataFrame:
-    keep = F.col("source")["table"] == table
-    return events.filter(keep & (F.col("op") == op) if op else keep)
+# A change feed: either one DataFrame of all tables, rows held as text maps, or one DataFrame
+# per table, rows held as typed structs.  Both are read by column name.
+Feed = DataFrame | Mapping[str, DataFrame]
+
+
+def of_table(events: Feed, table: str, op: str | None = None) -> DataFrame:
+    if isinstance(events, Mapping):
+        rows = events[table]
+    else:
+        rows = events.filter(F.col("source")["table"] == table)
+    return rows.filter(F.col("op") == op) if op else rows
 
 
-def transition(events: DataFrame, table: str, column: str, to: str, from_: str | None = None) -> DataFrame:
+def transition(events: Feed, table: str, column: str, to: str, from_: str | None = None) -> DataFrame:
     """Updates that bring ``column`` to ``to``, from a given value or from any known one."""
     old = F.col("before")[column]
     was = old == from_ if from_ is not None else old.isNotNull()
@@ -35,11 +46,11 @@ def transition(events: DataFrame, table: str, column: str, to: str, from_: str |
 
 
 def after(columns: dict[str, str]) -> list[Column]:
-    """Named, typed columns out of the ``after`` map: {name: type}."""
+    """Named, typed columns of the new row: {name: type}."""
     return [F.col("after")[name].cast(kind).alias(name) for name, kind in columns.items()]
 
 
-def cart_additions(events: DataFrame) -> DataFrame:
+def cart_additions(events: Feed) -> DataFrame:
     """Quantity put into the cart: the row's for a new row, the increase for an update."""
     new = F.col("after")["sku_num"].cast("int")
     old = F.col("before")["sku_num"].cast("int")
@@ -98,7 +109,7 @@ def page_views(logs: DataFrame) -> DataFrame:
 
 # -- comments and orders --------------------------------------------------------------
 
-def flat_comments(events: DataFrame) -> DataFrame:
+def flat_comments(events: Feed) -> DataFrame:
     """One flat row per comment event that has an appraisal."""
     source = F.col("source")
     return (of_table(events, "comment_info")
@@ -111,11 +122,15 @@ def flat_comments(events: DataFrame) -> DataFrame:
                     F.col("after")["comment_txt"].alias("comment_txt")))
 
 
-def flat_orders(events: DataFrame, columns: dict[str, str]) -> DataFrame:
+def flat_orders(events: Feed, columns: dict[str, str]) -> DataFrame:
     """Order columns from the new row, or from the old one when there is no new row."""
+    rows = of_table(events, "order_info")
     new, old = F.col("after"), F.col("before")
-    row = F.when(new.isNotNull() & (F.size(new) > 0), new).otherwise(old)
-    return of_table(events, "order_info").select(
+    present = new.isNotNull()
+    if isinstance(rows.schema["after"].dataType, T.MapType):
+        present = present & (F.size(new) > 0)
+    row = F.when(present, new).otherwise(old)
+    return rows.select(
         "op", F.col("ts_ms").alias("tm_ms"), *[row[c].cast(t).alias(c) for c, t in columns.items()])
 
 

@@ -12,7 +12,7 @@ from tidemart.operators.text import grade_by_last_piece, grade_by_words_inside
 MINUTE_MS = 60_000
 
 
-def comment_fact(events: DataFrame, dictionary: DataFrame) -> DataFrame:
+def comment_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
     """Comments with the name of their appraisal; an unknown appraisal drops the row."""
     comments = etl.of_table(events, "comment_info").select(
         *etl.after({"id": "bigint", "user_id": "bigint", "sku_id": "bigint", "appraise": "string",
@@ -21,7 +21,7 @@ def comment_fact(events: DataFrame, dictionary: DataFrame) -> DataFrame:
         "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts_ms")
 
 
-def comment_order_fact(events: DataFrame, dictionary: DataFrame, order_columns: dict[str, str],
+def comment_order_fact(events: etl.Feed, dictionary: DataFrame, order_columns: dict[str, str],
                        within_ms: int = MINUTE_MS, tz: str | None = None) -> DataFrame:
     """Comments with their order's columns as ``info_*``, if both came within a minute."""
     comments = dictionary_name_or(etl.flat_comments(events), dictionary, "appraise", "dic_name")

@@ -15,13 +15,13 @@ MINUTE_MS = 60_000
 HOUR_MS = 60 * MINUTE_MS
 
 
-def _unique(events: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
+def _unique(events: etl.Feed, table: str, columns: dict[str, str]) -> DataFrame:
     """Typed columns of a table's live rows, each (id, time) once."""
     rows = etl.drop_deletes(etl.of_table(events, table)).select(*etl.after({"id": "bigint", **columns}), "ts_ms")
     return drop_repeats(rows, ["id", "ts_ms"])
 
 
-def user_attributes(events: DataFrame, as_of: Column, within_ms: int = HOUR_MS) -> DataFrame:
+def user_attributes(events: etl.Feed, as_of: Column, within_ms: int = HOUR_MS) -> DataFrame:
     """Users with age, age band, era, star sign, and body measures that came within the hour."""
     birthday = F.col("birthday")
     users = _unique(events, "user_info", {"name": "string", "birthday": "int", "gender": "string"}).select(
@@ -38,7 +38,7 @@ def user_attributes(events: DataFrame, as_of: Column, within_ms: int = HOUR_MS)
         "_uid", "_body_ts")
 
 
-def order_age_rows(events: DataFrame, products: DataFrame, within_ms: int = MINUTE_MS) -> DataFrame:
+def order_age_rows(events: etl.Feed, products: DataFrame, within_ms: int = MINUTE_MS) -> DataFrame:
     """Order lines with user and order amount, brand and category; ``te`` is the joined time."""
     lines = _unique(events, "order_detail", {"sku_id": "bigint", "order_id": "bigint", "create_time": "bigint"})
     orders = _unique(events, "order_info", {"user_id": "bigint", "original_total_amount": "decimal(16,2)"}) \
@@ -51,7 +51,7 @@ def order_age_rows(events: DataFrame, products: DataFrame, within_ms: int = MINU
     return lookup(rows, products, {"sku_id": "sku_id"}, {**chain, "category1_name": "category_name"})
 
 
-def age_tags(events: DataFrame, users: DataFrame, logs: DataFrame, products: DataFrame, keyword_types: DataFrame,
+def age_tags(events: etl.Feed, users: DataFrame, logs: DataFrame, products: DataFrame, keyword_types: DataFrame,
              arrival: str, line_ms: int = MINUTE_MS, user_ms: int = MINUTE_MS, log_ms: int = HOUR_MS) -> DataFrame:
     """One age tag per user (id, name): their first order that meets a recent search.
 

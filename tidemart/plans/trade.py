@@ -16,11 +16,11 @@ AMOUNTS = ["split_original_amount", "split_activity_amount", "split_coupon_amoun
 PAYMENT_LOWER_MS, PAYMENT_UPPER_MS = -30 * 60_000, 5_000
 
 
-def cart_add_fact(events: DataFrame) -> DataFrame:
+def cart_add_fact(events: etl.Feed) -> DataFrame:
     return etl.cart_additions(events)
 
 
-def order_lines(events: DataFrame) -> DataFrame:
+def order_lines(events: etl.Feed) -> DataFrame:
     lines = etl.of_table(events, "order_detail", "c").select(
         *etl.after({"id": "bigint", "order_id": "bigint", "sku_id": "bigint", "sku_name": "string",
                     "create_time": "bigint", "sku_num": "bigint", "order_price": MONEY,
@@ -30,7 +30,7 @@ def order_lines(events: DataFrame) -> DataFrame:
     return lines.withColumn("split_original_amount", original).drop("order_price")
 
 
-def order_detail_fact(events: DataFrame) -> DataFrame:
+def order_detail_fact(events: etl.Feed) -> DataFrame:
     """Order lines with their order's user and province, and activity and coupon if any."""
     orders = etl.of_table(events, "order_info", "c").select(
         *etl.after({"id": "bigint", "user_id": "bigint", "province_id": "int"}))
@@ -47,7 +47,7 @@ def order_detail_fact(events: DataFrame) -> DataFrame:
         *schemas.ORDER_DETAIL_FACT.names)
 
 
-def order_cancel_fact(order_details: DataFrame, events: DataFrame, within_ms: int | None = None) -> DataFrame:
+def order_cancel_fact(order_details: DataFrame, events: etl.Feed, within_ms: int | None = None) -> DataFrame:
     """Lines of orders that go from unpaid to cancelled.
 
     ``within_ms`` keeps the lines that are at most so much older or newer than the cancel.
@@ -65,7 +65,7 @@ def order_cancel_fact(order_details: DataFrame, events: DataFrame, within_ms: in
                          F.col("cancel_ts").alias("ts_ms"))
 
 
-def payment_fact(order_details: DataFrame, events: DataFrame, dictionary: DataFrame) -> DataFrame:
+def payment_fact(order_details: DataFrame, events: etl.Feed, dictionary: DataFrame) -> DataFrame:
     """Paid lines: the payment comes at most 30 minutes after the line, or 5 seconds before it."""
     payments = etl.transition(events, "payment_info", "payment_status", "1602").select(
         F.col("after")["order_id"].cast("bigint").alias("paid_order"),
@@ -80,7 +80,7 @@ def payment_fact(order_details: DataFrame, events: DataFrame, dictionary: DataFr
                          F.col("split_total_amount").alias("split_payment_amount"), F.col("paid_ts").alias("ts_ms"))
 
 
-def refund_fact(events: DataFrame, dictionary: DataFrame) -> DataFrame:
+def refund_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
     """Refund requests of orders set to refunding; type and reason named from one dictionary."""
     refunds = etl.of_table(events, "order_refund_info", "c").select(
         *etl.after({"id": "bigint", "user_id": "bigint", "order_id": "bigint", "sku_id": "bigint"}),
@@ -99,7 +99,7 @@ def refund_fact(events: DataFrame, dictionary: DataFrame) -> DataFrame:
                        "refund_reason_txt", "refund_num", "refund_amount", "ts_ms")
 
 
-def refund_payment_fact(events: DataFrame, dictionary: DataFrame) -> DataFrame:
+def refund_payment_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
     """Refunds paid out: payment, request and order all reached their final state."""
     paid = etl.transition(events, "refund_payment", "refund_status", "1602").select(
         *etl.after({"id": "bigint", "order_id": "bigint", "sku_id": "bigint"}),

@@ -61,20 +61,29 @@ def drop_tombstones(df: DataFrame, value: str = "value") -> DataFrame:
     return df.filter(F.col(value).isNotNull())
 
 
+def _parsed(value: str, schema: T.StructType, mode: str) -> Column:
+    """A message's fields as columns.
+
+    ``inline`` keeps the parser in one place: were the fields read off a struct column, filters
+    on them would be pushed below it and parse every message once more.
+    """
+    options = {"mode": mode}
+    if mode == "PERMISSIVE":
+        options["columnNameOfCorruptRecord"] = schema.fields[-1].name
+    return F.inline(F.array(F.from_json(value, schema, options)))
+
+
 def parse_json(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Strict parse: a malformed message fails the job."""
-    return df.select(F.from_json(value, schema, {"mode": "FAILFAST"}).alias("_m")).select("_m.*")
+    return df.select(_parsed(value, schema, "FAILFAST"))
 
 
 def split_dirty(df: DataFrame, schema: T.StructType, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """Lenient parse: (parsed rows, raw text of the rows that are not valid JSON)."""
-    corrupt = "_corrupt"
-    with_corrupt = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
-    parsed = df.select(value, F.from_json(value, with_corrupt, options).alias("_m"))
-    bad = F.col(f"_m.{corrupt}").isNotNull()
-    clean = parsed.filter(~bad).select(*[F.col(f"_m.{f.name}") for f in schema.fields])
-    return clean, parsed.filter(bad).select(F.col(value).alias("dirty"))
+    with_corrupt = T.StructType(schema.fields + [T.StructField("_corrupt", T.StringType())])
+    parsed = df.select(_parsed(value, with_corrupt, "PERMISSIVE"))
+    bad = F.col("_corrupt").isNotNull()
+    return parsed.filter(~bad).drop("_corrupt"), parsed.filter(bad).select(F.col("_corrupt").alias("dirty"))
 
 
 def with_event_time(df: DataFrame, ts_ms: str = "ts_ms", delay: str = "3 seconds") -> DataFrame:
@@ -100,36 +109,48 @@ def app_log(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataF
 
 # -- tables as change events ----------------------------------------------------------
 
-def text_map(columns: dict[str, Column]) -> Column:
-    """A map of texts; reading a literal key back folds to the column itself."""
-    pairs = []
-    for name, col in columns.items():
-        pairs += [F.lit(name), col.cast("string")]
-    return F.create_map(*pairs)
+def text_map(columns: dict[str, str]) -> str:
+    """SQL for a map of texts, the shape of a row in a feed that mixes tables."""
+    return "map(" + ", ".join(f"'{name}', cast({sql} as string)" for name, sql in columns.items()) + ")"
 
 
-def source_tag(db: str, table: str) -> Column:
-    return text_map({"db": F.lit(db), "table": F.lit(table), "server_id": F.lit("1")})
+def typed_row(columns: dict[str, str]) -> str:
+    """SQL for a struct, the shape of a row in a feed of one table."""
+    return "named_struct(" + ", ".join(f"'{name}', {sql}" for name, sql in columns.items()) + ")"
 
 
-def as_change_events(df: DataFrame, db: str, table: str, op: str | Column, ts_ms: Column,
-                     after: dict[str, Column] | None, before: dict[str, Column] | None = None,
-                     before_when: Column | None = None, after_when: Column | None = None) -> DataFrame:
-    """Wrap table rows in the change envelope."""
-    def side(columns, condition):
+def as_change_events(df: DataFrame, db: str, table: str, op: str, ts_ms: str, after: dict[str, str] | None,
+                     before: dict[str, str] | None = None, before_when: str | None = None,
+                     row=typed_row) -> DataFrame:
+    """Wrap table rows in the change envelope; columns, ``op`` and ``ts_ms`` are SQL texts."""
+    def side(columns, condition=None):
         if columns is None:
-            return F.lit(None).cast("map<string,string>")
-        packed = text_map(columns)
-        return packed if condition is None else F.when(condition, packed)
+            return "cast(null as map<string,string>)"
+        return f"case when {condition} then {row(columns)} end" if condition else row(columns)
 
-    return df.select(side(before, before_when).alias("before"), side(after, after_when).alias("after"),
-                     source_tag(db, table).alias("source"),
-                     (F.lit(op) if isinstance(op, str) else op).alias("op"), ts_ms.alias("ts_ms"))
+    return df.selectExpr(f"{side(before, before_when)} as before", f"{side(after)} as after",
+                         f"map('db', '{db}', 'table', '{table}', 'server_id', '1') as source",
+                         f"{op} as op", f"cast({ts_ms} as bigint) as ts_ms")
 
 
-def snapshot_events(df: DataFrame, db: str, table: str, ts_ms: Column) -> DataFrame:
+def snapshot_events(df: DataFrame, db: str, table: str, ts_ms: str, row=typed_row) -> DataFrame:
     """A one-time table read as events of kind ``r``."""
-    return as_change_events(df, db, table, "r", ts_ms, {c: F.col(c) for c in df.columns})
+    return as_change_events(df, db, table, "'r'", ts_ms, {c: f"`{c}`" for c in df.columns}, row=row)
+
+
+def by_table(events: DataFrame, schemas_: dict[str, T.StructType], value: str = "value") -> dict[str, DataFrame]:
+    """JSON messages of a mixed feed as one typed feed per table.
+
+    Each table's rows are parsed straight into its columns: no text maps, and only the columns
+    named in its schema are kept.
+    """
+    feeds = {}
+    for table, row in schemas_.items():
+        envelope = T.StructType([T.StructField("before", row), T.StructField("after", row),
+                                 *schemas.CHANGE_EVENT.fields[2:]])
+        mine = events.filter(F.get_json_object(value, "$.source.table") == table)
+        feeds[table] = parse_json(mine, envelope, value)
+    return feeds
 
 
 def config_rows(events: DataFrame, columns: list[str]) -> DataFrame:

@@ -1,7 +1,7 @@
 """Shop-shaped inputs derived from the test tables by plain arithmetic.
 
 Order times are spread over 30 days from the order key, so orders and their lines agree on
-them without a join.  ``checks/oracle.py`` states the same arithmetic in SQL.
+them without a join.  ``checks/oracle.py`` states the same arithmetic for the SQL side.
 """
 
 from __future__ import annotations
@@ -10,251 +10,245 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.functions.score import BRAND_LEVELS, CATEGORY_LEVELS
 from tidemart.operators.changes import union_all
-from tidemart.sources.feeds import as_change_events
+from tidemart.sources.feeds import as_change_events, text_map, typed_row
 
 DB = "shop"
 DAY0_MS = 1_704_067_200_000
 BRANDS = BRAND_LEVELS["equipment"] + BRAND_LEVELS["trend"] + ["other"]
 CATEGORIES = CATEGORY_LEVELS["trend"] + CATEGORY_LEVELS["home"] + CATEGORY_LEVELS["health"] + ["other"]
 KEYWORD_TYPES = ["时尚与潮流", "性价比", "健康与养生", "家庭与育儿", "科技与数码", "学习与发展", "other"]
-MONEY = "decimal(16,2)"
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
-def order_ms(key: Column) -> Column:
-    return F.lit(DAY0_MS) + (key * 7919 % 2_592_000) * 1000
+def ms(key: str) -> str:
+    """SQL for the time of an order."""
+    return f"({DAY0_MS} + ({key}) * 7919 % 2592000 * 1000)"
 
 
-def pick(values: list[str], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+def order_ms(key: str) -> Column:
+    return F.expr(ms(key))
+
+
+def pick(values: list[str], index: str) -> str:
+    """SQL for the value at a position from 0, null beyond the last."""
+    return f"get(array({', '.join(repr(v) for v in values)}), cast({index} as int))"
+
+
+def money(sql: str) -> str:
+    return f"cast({sql} as decimal(16,2))"
+
+
+_PRICE = money("l_extendedprice")
+_OFF = money(f"{_PRICE} * cast(l_discount as decimal(4,2))")
+_COUPON = money(f"{_PRICE} * cast(l_tax as decimal(4,2))")
+_LINE_ID = "l_orderkey * 10 + l_linenumber"
+_OPERATE = f"{ms('o_orderkey')} + o_orderkey % 40 * 60000"
+
+
+def _order_row(status: str) -> dict[str, str]:
+    return {"id": "o_orderkey", "user_id": "o_custkey", "province_id": "cast(o_orderkey % 25 as int)",
+            "order_status": status, "total_amount": money("o_totalprice"),
+            "original_total_amount": money(f"{money('o_totalprice')} * 0.02"),
+            "consignee": "concat('c', o_custkey)", "trade_body": "o_orderpriority",
+            "create_time": ms("o_orderkey"), "operate_time": _OPERATE}
 
 
 class Testbed:
+    """``row`` chooses how the events hold rows: typed structs, or text maps as a mixed feed does."""
+
     __test__ = False
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir.rstrip("/")
+    def __init__(self, spark: SparkSession, sf_dir: str, row=typed_row):
+        self.spark, self.dir, self.row = spark, sf_dir.rstrip("/"), row
+        self._tables: dict[str, DataFrame] = {}
         # The tables hold zone-less timestamps; they are read as UTC.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        """A test table.  A large one that comes as fewer scan tasks than there are cores (the test
+        files hold a single row group) is spread first; a table of many files is not."""
+        if name not in self._tables:
+            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            cores = self.spark.sparkContext.defaultParallelism
+            if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+                df = df.repartition(cores, SPREAD_BY[name])
+            self._tables[name] = df
+        return self._tables[name]
 
     # -- logs -------------------------------------------------------------------------
 
     def logs(self) -> DataFrame:
         """Nested app logs; ``event_id`` is the position in the log."""
-        e = self.table("events")
-        uid, eid, kind = F.col("user_id"), F.col("event_id"), F.col("event_type")
-        keyword = eid % 4 == 2
-        page_id = (F.when(kind == "view", "home").when(kind == "click", "good_detail")
-                   .when(kind == "signup", "login").when(kind == "purchase", "payment").otherwise("error"))
-        last = F.when(eid % 4 == 1, "login").when(eid % 4 == 2, "search").when(eid % 4 == 3, "home")
-        item = F.when(keyword, F.concat(F.lit("k"), F.regexp_extract("props", r"(\d+)", 1)))
-        none_map = F.lit(None).cast("map<string,string>")
-        display = F.transform(F.sequence(F.lit(1), (eid % 3).cast("int")), lambda i: F.struct(
-            i.alias("pos_seq"), F.lit(5).alias("pos_id"), ((eid + i) % 35).cast("string").alias("item"),
-            F.lit("sku_id").alias("item_type")))
-        ts = F.unix_millis(F.col("ts").cast("timestamp"))
-        return e.select(
-            F.struct((uid % 25).cast("string").alias("ar"), F.lit("acme").alias("ba"),
-                     F.concat(F.lit("ch"), eid % 5).alias("ch"), (eid % 2).cast("string").alias("is_new"),
-                     F.lit("acme x").alias("md"), F.concat(F.lit("mid_"), uid).alias("mid"),
-                     F.when(uid % 2 == 0, "Android 10.1").otherwise("iOS 13.2").alias("os"),
-                     F.concat(F.lit("sid_"), eid).alias("sid"), uid.cast("string").alias("uid"),
-                     F.concat(F.lit("v"), uid % 3).alias("vc")).alias("common"),
-            F.struct(page_id.alias("page_id"), last.alias("last_page_id"),
-                     F.when(keyword, F.concat(item, F.lit(" "), kind)).otherwise((eid % 100).cast("string")).alias("item"),
-                     F.when(keyword, "keyword").otherwise("sku_id").alias("item_type"),
-                     (F.col("value") * 1000).cast("bigint").alias("during_time")).alias("page"),
-            F.when(eid % 3 > 0, display).alias("displays"),
-            F.when(kind == "click", F.array(F.create_map(F.lit("action_id"), F.lit("cart_add"), F.lit("item"),
-                                                         (eid % 35).cast("string")))).alias("actions"),
-            F.when(kind == "signup", F.create_map(F.lit("entry"), F.lit("icon"))).otherwise(none_map).alias("start"),
-            F.when(kind == "error", F.create_map(F.lit("error_code"), (eid % 10 + 1000).cast("string")))
-            .otherwise(none_map).alias("err"),
-            ts.alias("ts"), eid.alias("event_id"))
+        keyword = "concat('k', regexp_extract(props, '(\\\\d+)', 1), ' ', event_type)"
+        return self.table("events").selectExpr(
+            """named_struct('ar', cast(user_id % 25 as string), 'ba', 'acme', 'ch', concat('ch', event_id % 5),
+                'is_new', cast(event_id % 2 as string), 'md', 'acme x', 'mid', concat('mid_', user_id),
+                'os', if(user_id % 2 = 0, 'Android 10.1', 'iOS 13.2'), 'sid', concat('sid_', event_id),
+                'uid', cast(user_id as string), 'vc', concat('v', user_id % 3)) as common""",
+            f"""named_struct('page_id', case event_type when 'view' then 'home' when 'click' then 'good_detail'
+                    when 'signup' then 'login' when 'purchase' then 'payment' else 'error' end,
+                'last_page_id', case event_id % 4 when 1 then 'login' when 2 then 'search' when 3 then 'home' end,
+                'item', if(event_id % 4 = 2, {keyword}, cast(event_id % 100 as string)),
+                'item_type', if(event_id % 4 = 2, 'keyword', 'sku_id'),
+                'during_time', cast(value * 1000 as bigint)) as page""",
+            """if(event_id % 3 > 0, transform(sequence(1, cast(event_id % 3 as int)), i -> named_struct('pos_seq', i,
+                'pos_id', 5, 'item', cast((event_id + i) % 35 as string), 'item_type', 'sku_id')), null) as displays""",
+            """if(event_type = 'click', array(map('action_id', 'cart_add', 'item', cast(event_id % 35 as string))), null)
+                as actions""",
+            "if(event_type = 'signup', map('entry', 'icon'), null) as start",
+            "if(event_type = 'error', map('error_code', cast(event_id % 10 + 1000 as string)), null) as err",
+            "unix_millis(cast(ts as timestamp)) as ts", "event_id")
 
     def messages(self) -> DataFrame:
         """The logs as JSON lines; every 50th line is cut off, one in 500 is empty."""
-        text = F.to_json(F.struct("common", "page", "displays", "actions", "start", "err", "ts"))
-        eid = F.col("event_id")
-        return self.logs().select(F.when(eid % 500 == 7, F.lit(None)).when(
-            eid % 50 == 0, F.concat(F.lit("{cut "), eid)).otherwise(text).alias("value"))
+        return self.logs().selectExpr("""explode(array(case when event_id % 500 = 7 then null
+            when event_id % 50 = 0 then concat('{cut ', event_id)
+            else to_json(struct(common, page, displays, actions, start, err, ts)) end)) as value""")
 
     # -- change events ----------------------------------------------------------------
 
-    def feed(self, *tables: str) -> DataFrame:
-        """The shop's change feed, limited to the tables named."""
-        return union_all([getattr(self, f"{t}_events")() for t in tables])
+    def feed(self, *tables: str) -> dict[str, DataFrame]:
+        """The shop's change feed, one typed feed per table."""
+        return {t: getattr(self, f"{t}_events")() for t in tables}
 
-    def _order_columns(self, status: str) -> dict[str, Column]:
-        key, total = F.col("o_orderkey"), F.col("o_totalprice").cast(MONEY)
-        return {"id": key, "user_id": F.col("o_custkey"), "province_id": key % 25, "order_status": F.lit(status),
-                "total_amount": total, "original_total_amount": (total / 50).cast(MONEY),
-                "consignee": F.concat(F.lit("c"), F.col("o_custkey")), "trade_body": F.col("o_orderpriority"),
-                "create_time": order_ms(key), "operate_time": self._operate_ms()}
+    def mixed_feed(self, *tables: str) -> DataFrame:
+        """The shop's change feed with all tables in one, rows as text maps."""
+        return union_all(list(Testbed(self.spark, self.dir, text_map).feed(*tables).values()))
 
-    @staticmethod
-    def _operate_ms() -> Column:
-        return order_ms(F.col("o_orderkey")) + F.col("o_orderkey") % 40 * 60_000
+    def _events(self, df: DataFrame, table: str, op: str, ts: str, after, before=None, before_when=None) -> DataFrame:
+        return as_change_events(df, DB, table, f"'{op}'" if op.isalpha() else op, ts, after, before, before_when,
+                                self.row)
 
     def order_info_events(self) -> DataFrame:
-        """Created unpaid; then paid (F), cancelled (O) or refunding (P); half of P refunded."""
-        o = self.table("orders")
-        status = F.when(F.col("o_orderstatus") == "F", "1002").when(F.col("o_orderstatus") == "O", "1003") \
-            .otherwise("1005")
-        old, changed = self._order_columns("1001"), self._order_columns("1001")
-        changed["order_status"] = status
-        done = self._order_columns("1006")
-        refunded = o.filter((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0))
-        return union_all([
-            as_change_events(o, DB, "order_info", "c", order_ms(F.col("o_orderkey")), old),
-            as_change_events(o, DB, "order_info", "u", self._operate_ms(), changed, old),
-            as_change_events(refunded, DB, "order_info", "u", self._operate_ms() + 60_000, done, changed)])
+        """Created unpaid; then paid (F), cancelled (O) or refunding (P); half of P refunded.
+
+        One pass over the orders: each is exploded into its two or three events.
+        """
+        status = "case i when 0 then '1001' when 1 then case o_orderstatus when 'F' then '1002' when 'O' then '1003' " \
+                 "else '1005' end else '1006' end"
+        old_status = "case i when 1 then '1001' else '1005' end"
+        steps = self.table("orders").selectExpr("*", """explode(if(o_orderstatus = 'P' and o_orderkey % 2 = 0,
+            array(0, 1, 2), array(0, 1))) as i""")
+        at = f"case i when 0 then {ms('o_orderkey')} when 1 then {_OPERATE} else {_OPERATE} + 60000 end"
+        return self._events(steps, "order_info", "if(i = 0, 'c', 'u')", at, _order_row(status),
+                            _order_row(old_status), "i > 0")
 
     def lines(self) -> DataFrame:
         """Order lines; an ``id`` may come several times, (id, ts_ms, seq) is unique."""
-        line, key = self.table("lineitem"), F.col("l_orderkey")
-        price = F.col("l_extendedprice").cast(MONEY)
-        off = (price * F.col("l_discount").cast("decimal(4,2)")).cast(MONEY)
-        coupon = (price * F.col("l_tax").cast("decimal(4,2)")).cast(MONEY)
-        return line.select(
-            (key * 10 + F.col("l_linenumber")).alias("id"), key.alias("order_id"), F.col("l_partkey").alias("sku_id"),
-            F.concat(F.lit("sku "), F.col("l_partkey")).alias("sku_name"), order_ms(key).alias("create_time"),
-            F.col("l_quantity").cast("bigint").alias("sku_num"), price.alias("order_price"),
-            off.alias("split_activity_amount"), coupon.alias("split_coupon_amount"),
-            (price - off - coupon).cast(MONEY).alias("split_total_amount"), (key % 25).cast("int").alias("province_id"),
-            (order_ms(key) + F.col("l_partkey") % 90 * 1000 + F.col("l_linenumber") * 100).alias("ts_ms"),
-            (F.col("l_partkey") * 1_000_000 + F.col("l_suppkey")).alias("seq"))
+        return self.table("lineitem").selectExpr(
+            f"{_LINE_ID} as id", "l_orderkey as order_id", "l_partkey as sku_id",
+            "concat('sku ', l_partkey) as sku_name", f"{ms('l_orderkey')} as create_time",
+            "cast(l_quantity as bigint) as sku_num", f"{_PRICE} as order_price", f"{_OFF} as split_activity_amount",
+            f"{_COUPON} as split_coupon_amount", f"{money(f'{_PRICE} - {_OFF} - {_COUPON}')} as split_total_amount",
+            "cast(l_orderkey % 25 as int) as province_id",
+            f"{ms('l_orderkey')} + l_partkey % 90 * 1000 + l_linenumber * 100 as ts_ms",
+            "l_partkey * 1000000 + l_suppkey as seq")
 
     def line_changelog(self) -> DataFrame:
         """The order-line fact as a log with re-sent rows."""
-        return self.lines().withColumn("split_original_amount",
-                                       (F.col("sku_num").cast(MONEY) * F.col("order_price")).cast(MONEY))
+        return self.lines().selectExpr("*", f"{money(f'{money('sku_num')} * order_price')} as split_original_amount")
 
     def order_detail_events(self) -> DataFrame:
         columns = ["id", "order_id", "sku_id", "sku_name", "create_time", "sku_num", "order_price",
                    "split_activity_amount", "split_coupon_amount", "split_total_amount"]
-        return as_change_events(self.lines(), DB, "order_detail", "c", F.col("ts_ms"),
-                                {c: F.col(c) for c in columns})
+        return self._events(self.lines(), "order_detail", "c", "ts_ms", {c: c for c in columns})
 
-    def _line_ids(self, condition: Column) -> DataFrame:
-        return (self.table("lineitem").filter(condition)
-                .select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_orderkey").distinct())
+    def _line_ids(self, condition: str) -> DataFrame:
+        return self.table("lineitem").filter(condition).selectExpr(f"{_LINE_ID} as id", "l_orderkey").distinct()
 
     def order_detail_activity_events(self) -> DataFrame:
-        ids = self._line_ids(F.col("l_discount") > 0.05)
-        return as_change_events(ids, DB, "order_detail_activity", "c", order_ms(F.col("l_orderkey")), {
-            "order_detail_id": F.col("id"), "activity_id": F.col("id") % 4 + 1, "activity_rule_id": F.col("id") % 7 + 1})
+        return self._events(self._line_ids("l_discount > 0.05"), "order_detail_activity", "c", ms("l_orderkey"), {
+            "order_detail_id": "id", "activity_id": "id % 4 + 1", "activity_rule_id": "id % 7 + 1"})
 
     def order_detail_coupon_events(self) -> DataFrame:
-        ids = self._line_ids(F.col("l_tax") > 0.04)
-        return as_change_events(ids, DB, "order_detail_coupon", "c", order_ms(F.col("l_orderkey")), {
-            "order_detail_id": F.col("id"), "coupon_id": F.col("id") % 3 + 1})
+        return self._events(self._line_ids("l_tax > 0.04"), "order_detail_coupon", "c", ms("l_orderkey"), {
+            "order_detail_id": "id", "coupon_id": "id % 3 + 1"})
 
     def cart_info_events(self) -> DataFrame:
         """New (line % 3 = 0), changed (1) and snapshot (2) cart rows."""
-        line, part = F.col("l_linenumber"), F.col("l_partkey")
-        number = F.col("l_quantity").cast("int")
-        columns = {"id": F.col("l_orderkey") * 10 + line, "user_id": F.col("l_suppkey"), "sku_id": part,
-                   "sku_num": number}
-        before = {**columns, "sku_num": number - (part % 5 - 2)}
-        op = F.when(line % 3 == 0, "c").when(line % 3 == 1, "u").otherwise("r")
-        return as_change_events(self.table("lineitem"), DB, "cart_info", op,
-                                order_ms(F.col("l_orderkey")) + line * 1000, columns, before, line % 3 == 1)
+        columns = {"id": _LINE_ID, "user_id": "l_suppkey", "sku_id": "l_partkey", "sku_num": "cast(l_quantity as int)"}
+        before = {**columns, "sku_num": "cast(cast(l_quantity as int) - (l_partkey % 5 - 2) as int)"}
+        return self._events(self.table("lineitem"), "cart_info", "get(array('c', 'u', 'r'), l_linenumber % 3)",
+                            f"{ms('l_orderkey')} + l_linenumber * 1000", columns, before, "l_linenumber % 3 = 1")
 
     def payment_info_events(self) -> DataFrame:
         """Paid orders (F); the callback comes up to 39 minutes after the order."""
-        key = F.col("o_orderkey")
-        paid = self.table("orders").filter(F.col("o_orderstatus") == "F")
-        columns = {"order_id": key, "user_id": F.col("o_custkey"), "payment_type": key % 30 + 1100,
-                   "payment_status": F.lit("1602"), "callback_time": self._operate_ms()}
-        return as_change_events(paid, DB, "payment_info", "u", self._operate_ms(), columns,
-                                {**columns, "payment_status": F.lit("1601")})
-
-    def _refunds(self) -> tuple[DataFrame, dict[str, Column], Column]:
-        key, part = F.col("l_orderkey"), F.col("l_partkey")
-        returned = self.table("lineitem").filter(F.col("l_returnflag") == "R")
-        columns = {"id": key * 10 + F.col("l_linenumber"), "user_id": F.col("l_suppkey"), "order_id": key,
-                   "sku_id": part, "refund_type": part % 27 + 1500, "refund_num": F.col("l_quantity").cast("bigint"),
-                   "refund_amount": F.col("l_extendedprice").cast(MONEY), "refund_reason_type": part % 26 + 1300,
-                   "refund_reason_txt": F.concat(F.lit("reason "), part), "refund_status": F.lit("0701"),
-                   "create_time": order_ms(key) + 3_600_000}
-        return returned, columns, order_ms(key) + 3_600_000
+        columns = {"order_id": "o_orderkey", "user_id": "o_custkey",
+                   "payment_type": "cast(o_orderkey % 30 + 1100 as string)", "payment_status": "'1602'",
+                   "callback_time": _OPERATE}
+        return self._events(self.table("orders").filter("o_orderstatus = 'F'"), "payment_info", "u", _OPERATE, columns,
+                            {**columns, "payment_status": "'1601'"})
 
     def order_refund_info_events(self) -> DataFrame:
         """Refund requests; those of odd lines are later completed."""
-        rows, columns, at = self._refunds()
-        done = {**columns, "refund_status": F.lit("0705")}
-        completed = rows.filter(F.col("l_linenumber") % 2 == 1)
-        return union_all([as_change_events(rows, DB, "order_refund_info", "c", at, columns),
-                          as_change_events(completed, DB, "order_refund_info", "u", at + 60_000, done, columns)])
+        steps = self.table("lineitem").filter("l_returnflag = 'R'").selectExpr(
+            "*", "explode(if(l_linenumber % 2 = 1, array(0, 1), array(0))) as i")
+        columns = {"id": _LINE_ID, "user_id": "l_suppkey", "order_id": "l_orderkey", "sku_id": "l_partkey",
+                   "refund_type": "cast(l_partkey % 27 + 1500 as string)", "refund_num": "cast(l_quantity as bigint)",
+                   "refund_amount": _PRICE, "refund_reason_type": "cast(l_partkey % 26 + 1300 as string)",
+                   "refund_reason_txt": "concat('reason ', l_partkey)", "refund_status": "if(i = 0, '0701', '0705')",
+                   "create_time": f"{ms('l_orderkey')} + 3600000"}
+        return self._events(steps, "order_refund_info", "if(i = 0, 'c', 'u')",
+                            f"{ms('l_orderkey')} + 3600000 + i * 60000", columns,
+                            {**columns, "refund_status": "'0701'"}, "i > 0")
 
     def refund_payment_events(self) -> DataFrame:
-        rows, columns, at = self._refunds()
-        columns = {"id": columns["id"], "order_id": columns["order_id"], "sku_id": columns["sku_id"],
-                   "payment_type": F.col("l_partkey") % 28 + 1100, "total_amount": columns["refund_amount"],
-                   "refund_status": F.lit("1602"), "callback_time": at + 90_000}
-        completed = rows.filter(F.col("l_linenumber") % 2 == 1)
-        return as_change_events(completed, DB, "refund_payment", "u", at + 90_000, columns,
-                                {**columns, "refund_status": F.lit("1601")})
+        at = f"{ms('l_orderkey')} + 3690000"
+        columns = {"id": _LINE_ID, "order_id": "l_orderkey", "sku_id": "l_partkey",
+                   "payment_type": "cast(l_partkey % 28 + 1100 as string)", "total_amount": _PRICE,
+                   "refund_status": "'1602'", "callback_time": at}
+        completed = self.table("lineitem").filter("l_returnflag = 'R' and l_linenumber % 2 = 1")
+        return self._events(completed, "refund_payment", "u", at, columns, {**columns, "refund_status": "'1601'"})
 
     def comment_info_events(self) -> DataFrame:
         """Documents as comments on orders; every fifth has its first word appended after a comma."""
-        doc = F.col("doc_id")
-        first = F.regexp_extract(F.lower("text"), r"(\p{L}+)", 1)
-        text = F.when(doc % 5 == 0, F.concat(F.col("text"), F.lit(","), first)).otherwise(F.col("text"))
-        columns = {"id": doc, "user_id": doc % 150, "sku_id": doc % 200, "spu_id": doc % 50, "order_id": doc,
-                   "appraise": doc % 30 + 1200, "comment_txt": text, "nick_name": F.col("source"),
-                   "create_time": order_ms(doc)}
-        return as_change_events(self.table("documents"), DB, "comment_info", "c",
-                                order_ms(doc) + (doc % 5 - 2) * 40_000, columns)
+        first = "regexp_extract(lower(text), '(\\\\p{L}+)', 1)"
+        columns = {"id": "doc_id", "user_id": "doc_id % 150", "sku_id": "doc_id % 200", "spu_id": "doc_id % 50",
+                   "order_id": "doc_id", "appraise": "cast(doc_id % 30 + 1200 as string)",
+                   "comment_txt": f"if(doc_id % 5 = 0, concat(text, ',', {first}), text)", "nick_name": "source",
+                   "create_time": ms("doc_id")}
+        return self._events(self.table("documents"), "comment_info", "c",
+                            f"{ms('doc_id')} + (doc_id % 5 - 2) * 40000", columns)
 
     def user_info_events(self) -> DataFrame:
         """Customers as users; every tenth event comes twice."""
-        c = self.table("customer")
-        key = F.col("c_custkey")
-        columns = {"id": key, "name": F.col("c_name"), "birthday": F.lit(3650) + key * 7 % 14_000,
-                   "gender": F.when(key % 3 == 1, "M").when(key % 3 == 2, "F")}
-        one = as_change_events(c, DB, "user_info", "u", order_ms(key * 3), columns, columns)
-        again = as_change_events(c.filter(key % 10 == 0), DB, "user_info", "u", order_ms(key * 3), columns, columns)
-        return one.unionByName(again)
+        sent = self.table("customer").selectExpr("*", "explode(if(c_custkey % 10 = 0, array(0, 1), array(0))) as i")
+        columns = {"id": "c_custkey", "name": "c_name", "birthday": "cast(3650 + c_custkey * 7 % 14000 as int)",
+                   "gender": "case c_custkey % 3 when 1 then 'M' when 2 then 'F' end"}
+        return self._events(sent, "user_info", "u", ms("c_custkey * 3"), columns, columns)
 
     def user_info_sup_msg_events(self) -> DataFrame:
-        key = F.col("c_custkey")
-        columns = {"uid": key, "height": key % 50 + 150, "unit_height": F.lit("cm"), "weight": key % 60 + 40,
-                   "unit_weight": F.lit("kg")}
-        return as_change_events(self.table("customer"), DB, "user_info_sup_msg", "r",
-                                order_ms(key * 3) + (key % 7 - 3) * 1_500_000, columns)
+        columns = {"uid": "c_custkey", "height": "cast(c_custkey % 50 + 150 as string)", "unit_height": "'cm'",
+                   "weight": "cast(c_custkey % 60 + 40 as string)", "unit_weight": "'kg'"}
+        return self._events(self.table("customer"), "user_info_sup_msg", "r",
+                            f"{ms('c_custkey * 3')} + (c_custkey % 7 - 3) * 1500000", columns)
 
     def part_events(self) -> DataFrame:
         """Products: read once, renamed (every third), deleted (every seventh)."""
-        p, key = self.table("part"), F.col("p_partkey")
-        old = {"id": key, "name": F.col("p_name"), "brand": F.col("p_brand"), "size": F.col("p_size"),
-               "price": F.col("p_retailprice").cast(MONEY)}
-        new = {**old, "name": F.concat(F.col("p_name"), F.lit(" new"))}
+        p = self.table("part")
+        old = {"id": "p_partkey", "name": "p_name", "brand": "p_brand", "size": "p_size", "price": money("p_retailprice")}
+        new = {**old, "name": "concat(p_name, ' new')"}
         return union_all([
-            as_change_events(p, DB, "part", "r", F.lit(DAY0_MS) + key, old),
-            as_change_events(p.filter(key % 3 == 0), DB, "part", "u", F.lit(DAY0_MS + 1_000_000_000) + key, new, old),
-            as_change_events(p.filter(key % 7 == 0), DB, "part", "d", F.lit(DAY0_MS + 2_000_000_000) + key, None, old)])
+            self._events(p, "part", "r", f"{DAY0_MS} + p_partkey", old),
+            self._events(p.filter("p_partkey % 3 = 0"), "part", "u", f"{DAY0_MS + 1_000_000_000} + p_partkey", new, old),
+            self._events(p.filter("p_partkey % 7 = 0"), "part", "d", f"{DAY0_MS + 2_000_000_000} + p_partkey", None, old)])
 
     def supplier_events(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        return as_change_events(self.table("supplier"), DB, "supplier", "r", F.lit(DAY0_MS) + key, {
-            "id": key, "name": F.col("s_name"), "nation": F.col("s_nationkey")})
+        return self._events(self.table("supplier"), "supplier", "r", f"{DAY0_MS} + s_suppkey", {
+            "id": "s_suppkey", "name": "s_name", "nation": "s_nationkey"})
 
     # -- configuration ----------------------------------------------------------------
 
     def _config(self, table: str, rows: list[tuple[str, dict[str, str]]]) -> DataFrame:
         one = self.spark.range(1)
+        quoted = [(op, {k: f"'{v}'" for k, v in row.items()}) for op, row in rows]
         return union_all([
-            as_change_events(one, "config", table, op, F.lit(i + 1).cast("bigint"),
-                             None if op == "d" else {k: F.lit(v) for k, v in row.items()},
-                             {k: F.lit(v) for k, v in row.items()} if op in ("d", "u") else None)
-            for i, (op, row) in enumerate(rows)])
+            as_change_events(one, "config", table, f"'{op}'", str(i + 1), None if op == "d" else row,
+                             row if op in ("d", "u") else None, row=text_map)
+            for i, (op, row) in enumerate(quoted)])
 
     def dim_config_events(self) -> DataFrame:
-        """Parts and suppliers are dimensions; customers were one and are no longer."""
+        """Parts and suppliers are dimensions; users were one and are no longer."""
         def row(table, columns):
             return {"source_table": table, "sink_table": f"dim_{table}", "sink_family": "info",
                     "sink_columns": columns, "sink_row_key": "id"}
@@ -274,43 +268,35 @@ class Testbed:
 
     def dictionary(self) -> DataFrame:
         """25 codes each for payment (11xx), appraisal (12xx), reason (13xx) and refund type (15xx)."""
-        base = F.explode(F.array(*[F.lit(b) for b in (1100, 1200, 1300, 1500)]))
-        return self.table("nation").withColumn("b", base).select(
-            (F.col("b") + F.col("n_nationkey")).cast("string").alias("dic_code"),
-            F.concat(F.lit("name "), F.col("b") + F.col("n_nationkey")).alias("dic_name"))
+        codes = self.table("nation").selectExpr("explode(transform(array(1100, 1200, 1300, 1500), b -> b + n_nationkey)) as code")
+        return codes.selectExpr("cast(code as string) as dic_code", "concat('name ', code) as dic_name")
 
     def provinces(self) -> DataFrame:
-        return self.table("nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
+        return self.table("nation").selectExpr("n_nationkey as id", "n_name as name")
 
     def sku_info(self) -> DataFrame:
-        return self.table("part").select(
-            F.col("p_partkey").alias("id"), F.col("p_name").alias("sku_name"), (F.col("p_partkey") % 100).alias("spu_id"),
-            (F.col("p_partkey") % 12).cast("int").alias("tm_id"), (F.col("p_size") % 25).alias("category3_id"))
+        return self.table("part").selectExpr("p_partkey as id", "p_name as sku_name", "p_partkey % 100 as spu_id",
+                                             "cast(p_partkey % 12 as int) as tm_id", "p_size % 25 as category3_id")
 
     def product_dims(self) -> dict[str, DataFrame]:
         nation = self.table("nation")
         return {
             "sku": self.sku_info(),
-            "spu": self.table("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("spu_name")),
-            "trademark": nation.select(F.col("n_nationkey").alias("id"),
-                                       pick(BRANDS, F.col("n_nationkey")).alias("tm_name")),
-            "category3": nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
-                                       (F.col("n_nationkey") % 30).alias("category2_id")),
-            "category2": nation.select(F.col("n_nationkey").alias("id"), F.concat(F.lit("sub "), "n_name").alias("name"),
-                                       (F.col("n_nationkey") % 18).alias("category1_id")),
-            "category1": nation.select(F.col("n_nationkey").alias("id"),
-                                       pick(CATEGORIES, F.col("n_nationkey")).alias("name")),
+            "spu": self.table("supplier").selectExpr("s_suppkey as id", "s_name as spu_name"),
+            "trademark": nation.selectExpr("n_nationkey as id", f"{pick(BRANDS, 'n_nationkey')} as tm_name"),
+            "category3": nation.selectExpr("n_nationkey as id", "n_name as name", "n_nationkey % 30 as category2_id"),
+            "category2": nation.selectExpr("n_nationkey as id", "concat('sub ', n_name) as name",
+                                           "n_nationkey % 18 as category1_id"),
+            "category1": nation.selectExpr("n_nationkey as id", f"{pick(CATEGORIES, 'n_nationkey')} as name"),
         }
 
     def keyword_types(self) -> DataFrame:
         """k0..k99 followed by each event type, mapped to a search category."""
-        n = F.col("n_nationkey") * 4 + F.col("i")
-        kinds = F.explode(F.array(*[F.lit(k) for k in ("signup", "error", "click", "view", "purchase")]))
-        return (self.table("nation").withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("kind", kinds)
-                .select(F.concat(F.lit("k"), n, F.lit(" "), F.col("kind")).alias("category_name"),
-                        pick(KEYWORD_TYPES, n % 7).alias("search_category")))
+        return self.table("nation").selectExpr("explode(sequence(n_nationkey * 4, n_nationkey * 4 + 3)) as n").selectExpr(
+            "n", "explode(array('signup', 'error', 'click', 'view', 'purchase')) as kind").selectExpr(
+            "concat('k', n, ' ', kind) as category_name", f"{pick(KEYWORD_TYPES, 'n % 7')} as search_category")
 
     def words(self) -> DataFrame:
         """Dictionary: words of at least nine letters in the benchmark texts."""
-        word = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"(\p{L}{9,})"), F.lit(1)))
-        return self.table("benchmark").select(word.alias("word")).distinct()
+        return self.table("benchmark").selectExpr(
+            "explode(regexp_extract_all(lower(text), '(\\\\p{L}{9,})', 1)) as word").distinct()
