@@ -59,7 +59,7 @@ CTE = {
         cast(cast(l_extendedprice as decimal(16,2)) * cast(l_tax as decimal(4,2)) as decimal(16,2)) as coupon,
         l_orderkey % 25 as province_id, l_linenumber as line, l_suppkey as supp,
         {_ms('l_orderkey')} + l_partkey % 90 * 1000 + l_linenumber * 100 as ts_ms,
-        l_partkey * 1000000 + l_suppkey as seq, l_returnflag from lineitem""",
+        l_partkey * 100000 + date_diff('day', date '1970-01-01', cast(l_shipdate as date)) as seq, l_returnflag from lineitem""",
     "amounts": """select *, cast(sku_num as decimal(16,2)) * price as original, price - off - coupon as paid
         from lines""",
     "activity": """select distinct l_orderkey * 10 + l_linenumber as id from lineitem where l_discount > 0.05""",

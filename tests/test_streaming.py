@@ -19,6 +19,15 @@ HOUR = 3_600_000
 FLUSH = DAY0 + 90 * 24 * HOUR
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Every partition of a stateful stream starts a Python worker, so two will do."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def stream_of(spark, folder, schema, batches):
     """Batches of tuples as a stream, one per trigger, with event time ``et`` from ``ts``."""
     for i, rows in enumerate(batches):
@@ -56,7 +65,7 @@ LOG_BATCHES = [
     [log("a", 0), log("a", 1), log("b", 1, "good_detail"), log("a", 2, "good_detail", "search", "red shoe red")],
     [log("a", 25), log("b", 3), log("b", 26, "home", "search", "shoe")],
     [log("a", 24 * 12), log("b", 24 * 3)],
-    [("flush", "v1", "home", "x", None, None, FLUSH)],
+    [("flush", "v1", "home", None, None, None, FLUSH), ("flush", "v1", "home", "search", "x", "keyword", FLUSH)],
 ]
 
 

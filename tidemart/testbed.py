@@ -142,7 +142,7 @@ class Testbed:
             f"{_COUPON} as split_coupon_amount", f"{money(f'{_PRICE} - {_OFF} - {_COUPON}')} as split_total_amount",
             "cast(l_orderkey % 25 as int) as province_id",
             f"{ms('l_orderkey')} + l_partkey % 90 * 1000 + l_linenumber * 100 as ts_ms",
-            "l_partkey * 1000000 + l_suppkey as seq")
+            "l_partkey * 100000 + unix_date(cast(l_shipdate as date)) as seq")
 
     def line_changelog(self) -> DataFrame:
         """The order-line fact as a log with re-sent rows."""
