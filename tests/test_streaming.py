@@ -162,3 +162,12 @@ def test_left_join_stream_gives_unmatched_line_once(spark, tmp_path):
         extras.withColumnRenamed("et", "extra_et").drop("ts"), "detail_id")
     result = collect(spark, joined.select("id", "user_id", F.coalesce("coupon_id", F.lit(-1))), tmp_path)
     assert result == [(1, 7, 3), (2, 7, -1)]
+
+
+def test_newest_row_is_given_out_once_after_the_delay(spark, tmp_path):
+    schema = "id long, amount long, ts long"
+    batches = [[(1, 10, DAY0), (1, 20, DAY0 + 1000), (2, 5, DAY0)], [(1, 7, DAY0 + 500)], [(9, 0, FLUSH)]]
+    stream = stream_of(spark, tmp_path / "in", schema, batches)
+    result = collect(spark, processors.newest_after_stream(stream, ["id"]).select("id", "amount"), tmp_path)
+    batch = spark.createDataFrame([r for b in batches[:-1] for r in b], schema)
+    assert result == rows(changes.latest_per_key(batch, ["id"], ["ts"]).select("id", "amount"))

@@ -73,20 +73,16 @@ def brand_level(name: Column) -> Column:
 
 def band_index(band: Column) -> Column:
     """Position in ``BANDS`` from 0; null for any other band."""
-    out = None
-    for i, label in enumerate(BANDS):
-        out = F.when(band == label, i) if out is None else out.when(band == label, i)
-    return out
+    position = F.array_position(F.array(*[F.lit(b) for b in BANDS]), band)
+    return F.when(position > 0, (position - 1).cast("int"))
 
 
 def factor_score(factor: str, level: Column, index: Column) -> Column:
     """Weight times share at three places; null when the level or the band is unknown."""
-    share, out = Decimal(FACTOR_SHARE[factor]), None
-    for name, weights in FACTOR_WEIGHTS[factor].items():
-        scores = F.array(*[F.lit(Decimal(str(w)) * share).cast(SCORE) for w in weights])
-        hit = level == name
-        out = F.when(hit, scores) if out is None else out.when(hit, scores)
-    return F.get(out, index)
+    share = Decimal(FACTOR_SHARE[factor])
+    levels = [f"'{name}', array({', '.join(f'cast({Decimal(str(w)) * share} as {SCORE})' for w in weights)})"
+              for name, weights in FACTOR_WEIGHTS[factor].items()]
+    return F.get(F.try_element_at(F.expr(f"map({', '.join(levels)})"), level), index)
 
 
 def with_age_scores(df: DataFrame, band: str, category: str, brand: str, price: str, day_part: str,

@@ -96,16 +96,17 @@ def hot_keys(counts: DataFrame, keys: list[str], n: str, at_least: int) -> DataF
             .select(*keys, F.lit(True).alias("_hot")))
 
 
-def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, keys: list[str], spread_by: list[str],
-                     salts: int = 64) -> DataFrame:
+def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, side_hot: Column, keys: list[str],
+                     spread_by: list[str], salts: int = 64) -> DataFrame:
     """Left join in which the rows of hot keys are spread over ``salts`` partitions.
 
-    ``side`` has one row per key; its hot rows are copied once per salt, all others stay
-    single, so the result is that of the plain join.  ``hot`` (see ``hot_keys``) never exceeds
+    ``side`` has one row per key; those for which ``side_hot`` holds are copied once per salt.
+    Every key in ``hot`` must be among them; a copied key that is not in ``hot`` is met at salt 0
+    only, so the result is that of the plain join.  ``hot`` (see ``hot_keys``) never exceeds
     ``HOT_KEYS`` rows and is therefore broadcast.
     """
     marked = rows.join(F.broadcast(hot), keys, "left")
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = side.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.when(side_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = side.withColumn("_salt", F.explode(copies))
     return marked.withColumn("_salt", salt).drop("_hot").join(copied, [*keys, "_salt"], "left").drop("_salt")

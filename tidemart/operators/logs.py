@@ -68,9 +68,10 @@ def repair_new_visitors(logs: DataFrame, tie: str, tz: str | None = None, hot_ro
     ``hot_rows`` rows or more are spread over many partitions.
     """
     firsts = first_visits(logs, tie, tz=tz)
-    hot = hot_keys(firsts, ["_mid"], "_rows", hot_rows)
-    joined = salted_left_join(logs.withColumn("_mid", F.col("common.mid")), firsts.drop("_rows"), hot, ["_mid"],
-                              ["ts", tie])
+    # Both uses of ``firsts`` read the same columns, so its aggregation runs once.
+    hot = hot_keys(firsts.filter(F.col("_first_visit").isNotNull()), ["_mid"], "_rows", hot_rows)
+    joined = salted_left_join(logs.withColumn("_mid", F.col("common.mid")), firsts, hot,
+                              F.col("_rows") >= hot_rows, ["_mid"], ["ts", tie])
     stale = (F.col("common.is_new") == "1") & (F.col("_first_visit") != local_day(F.col("ts"), tz))
     fixed = F.when(stale, F.lit("0")).otherwise(F.col("common.is_new"))
     return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*logs.columns)

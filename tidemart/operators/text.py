@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+# Send the functions themselves to the workers, which then need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A dictionary up to this size is matched inside the tasks; a larger one by a join.
 TASK_WORDS = 200_000
 

@@ -22,6 +22,10 @@ def build_session(app: str = "tidemart", master: str | None = None, shuffle_part
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # The JVM does not compile methods above 8000 bytes of bytecode; let such stages run uncombined.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Merge only what is tiny; the upper size stays Spark's, so this acts on small inputs alone.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # Keep splitting hot join partitions even if that costs one more exchange.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")

@@ -7,14 +7,19 @@ no batch of a key is held in memory.  State lives in RocksDB.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tidemart.functions.dates import DAY_MS, day_start_millis, local_day
 
+# Send the classes themselves to the workers, which then need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _LONG = T.StructType([T.StructField("v", T.LongType())])
 _TEXT = T.StructType([T.StructField("v", T.StringType())])
 
@@ -107,9 +112,9 @@ class Retract(_Keyed):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.schema.names
-        previous = self.previous.get() if self.previous.exists() else None
+        previous, last_ms = self.previous.get() if self.previous.exists() else None, 0
         for row in rows:
-            values = tuple(row[n] for n in names)
+            values, last_ms = tuple(row[n] for n in names), max(last_ms, row["_ms"])
             if previous is not None:
                 yield Row(**{n: (-(v or 0) if n in self.measures else v) for n, v in zip(names, previous)})
             yield Row(**dict(zip(names, values)))
@@ -117,13 +122,44 @@ class Retract(_Keyed):
         self.previous.update(previous)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
-        self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + self.ttl_ms)
+        self.handle.registerTimer(last_ms + self.ttl_ms)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self.previous.clear()
         return iter(())
 
 
+class NewestAfter(_Keyed):
+    """The newest row of a key once, ``delay_ms`` of event time after its first row.
+
+    The alternative to ``Retract``: nothing is taken back, results come later.
+    """
+
+    def __init__(self, schema: T.StructType, delay_ms: int):
+        self.schema, self.delay_ms = schema, delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.newest = handle.getValueState("newest", self.schema)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        at = self.schema.names.index("ts")
+        held = self.newest.get() if self.newest.exists() else None
+        for row in rows:
+            values = tuple(row[n] for n in self.schema.names)
+            if held is None:
+                self.handle.registerTimer(row["_ms"] + self.delay_ms)
+            if held is None or values[at] >= held[at]:
+                held = values
+        self.newest.update(held)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        if self.newest.exists():
+            yield Row(**dict(zip(self.schema.names, self.newest.get())))
+            self.newest.clear()
+
+
 class LatestRecord(_Keyed):
     """Only rows whose ``ts`` exceeds that of every earlier row of the key."""
 
@@ -167,6 +203,10 @@ def _day_start(df: DataFrame, ts: str, tz: str | None) -> DataFrame:
     return df.withColumn("_day_start", day_start_millis(local_day(F.col(ts), tz), tz))
 
 
+def _event_ms(df: DataFrame) -> DataFrame:
+    return df.withColumn("_ms", F.unix_millis("et"))
+
+
 def _apply(df: DataFrame, keys: list[str], processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
     """Event-time mode keeps the watermark of ``et`` alive for a window after the processor."""
     event_time = {"eventTimeColumnName": "et"} if "et" in schema.names else {}
@@ -194,7 +234,12 @@ def repair_new_visitors_stream(df: DataFrame, tz: str | None = None) -> DataFram
 
 def retract_stream(df: DataFrame, keys: list[str], measures: list[str], ttl_ms: int = 10_000) -> DataFrame:
     """Rows with ``et``: streaming form of ``retract_by_negation``, forgetting keys after ``ttl_ms``."""
-    return _apply(df, keys, Retract(df.schema, measures, ttl_ms), df.schema)
+    return _apply(_event_ms(df), keys, Retract(df.schema, measures, ttl_ms), df.schema)
+
+
+def newest_after_stream(df: DataFrame, keys: list[str], delay_ms: int = 5_000) -> DataFrame:
+    """Rows with ``ts`` and ``et``: streaming form of ``latest_per_key``, each key given out after ``delay_ms``."""
+    return _apply(_event_ms(df), keys, NewestAfter(df.schema, delay_ms), df.schema)
 
 
 def latest_records_stream(df: DataFrame, key: str) -> DataFrame:
