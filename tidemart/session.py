@@ -22,6 +22,8 @@ def build_session(app: str = "tidemart", master: str | None = None, shuffle_part
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Keep generated classes of many plans, so a repeated plan finds its compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         # The JVM does not compile methods above 8000 bytes of bytecode; let such stages run uncombined.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Merge only what is tiny; the upper size stays Spark's, so this acts on small inputs alone.
