@@ -114,9 +114,9 @@ CTE = {
         from banded where abs(body_ms - ts_ms) <= 3600000""",
     "products": f"""select p_partkey as sku_id, p_name as sku_name, p_partkey % 100 as spu_id, s_name as spu_name,
         p_partkey % 12 as tm_id, {_list(BRANDS)}[p_partkey % 12 + 1] as tm_name,
-        p_size % 25 as category3_id, n.n_name as category3_name,
-        p_size % 25 % 30 as category2_id, 'sub ' || n.n_name as category2_name,
-        p_size % 25 % 18 as category1_id, {_list(CATEGORIES)}[p_size % 25 % 18 + 1] as category1_name
+        cast(p_size % 25 as bigint) as category3_id, n.n_name as category3_name,
+        cast(p_size % 25 % 30 as bigint) as category2_id, 'sub ' || n.n_name as category2_name,
+        cast(p_size % 25 % 18 as bigint) as category1_id, {_list(CATEGORIES)}[p_size % 25 % 18 + 1] as category1_name
         from part left join supplier on p_partkey % 100 = s_suppkey left join nation n on p_size % 25 = n_nationkey""",
     "part_events": """select p_partkey as id, 'r' as op, 1704067200000 + p_partkey as ts_ms, null as old_name,
             p_name as new_name, p_brand as brand, p_size as size from part
@@ -293,7 +293,7 @@ oracle("fact_comment_order", "comments dic order_events",
 
 # -- joins ----------------------------------------------------------------------------------
 
-oracle("join_lookup_sku", "lines", """select id, sku_id, seq, p_size % 25 as category3_id, p_partkey % 12 as tm_id
+oracle("join_lookup_sku", "lines", """select id, sku_id, seq, cast(p_size % 25 as bigint) as category3_id, p_partkey % 12 as tm_id
     from lines left join part on sku_id = p_partkey""")
 oracle("join_lookup_two_roles", "dic", """select c_custkey, a.dic_code as type_code, b.dic_code as reason_code,
     a.dic_name as type_name, b.dic_name as reason_name from customer
