@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemart.session import shared_dir
 
@@ -40,6 +40,11 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value`` computed once; a column named instead may be computed again at every step of a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 # -- hashing --------------------------------------------------------------------------------
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import saved
+from tidemart.llm.common import let, saved
 
 WINDOW_LINES = 3   # lines that decide whether a chunk ends
 CHUNK_LINES = 4    # mean lines of a chunk
 ROLL_BASE = 31
 LEAST_LINES = 2
+ADDED = ["n_lines", "n_chunks", "n_removed_lines"]
 
 
 def _lines() -> Column:
@@ -25,21 +26,24 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long")
 
 
-def with_chunks(docs: DataFrame) -> DataFrame:
-    """Adds ``lines`` and ``chunks``: structs (first, n) of line numbers from 0."""
-    hashed = docs.withColumn("lines", _lines()).withColumn("hashes", F.transform("lines", _line_hash))
-    last = F.size("lines") - 1
-
-    def ends_at(k: Column) -> Column:
-        roll = sum((F.when(k >= j, F.get("hashes", k - j)).otherwise(0) * ROLL_BASE ** j for j in range(1, WINDOW_LINES)),
-                   F.get("hashes", k))
+def _chunks(lines: Column) -> Column:
+    """The chunks of an array of lines: structs (first, n) of line numbers from 0."""
+    def ends_at(k: Column, hashes: Column, last: Column) -> Column:
+        roll = F.get(hashes, k)
+        for j in range(1, WINDOW_LINES):
+            roll = roll + F.coalesce(F.get(hashes, k - j), F.lit(0)) * ROLL_BASE ** j
         return (roll % CHUNK_LINES == 0) | (k == last)
 
-    cut = hashed.withColumn("ends", F.filter(F.sequence(F.lit(0), last), ends_at))
-    chunks = F.transform("ends", lambda end, j: F.struct(
-        F.when(j > 0, F.get("ends", j - 1) + 1).otherwise(0).alias("first"),
-        (end - F.when(j > 0, F.get("ends", j - 1)).otherwise(-1)).alias("n")))
-    return cut.withColumn("chunks", chunks).drop("hashes", "ends")
+    def cut(hashes: Column) -> Column:
+        last = F.size(hashes) - 1
+        return F.filter(F.sequence(F.lit(0), last), lambda k: ends_at(k, hashes, last))
+
+    def spans(ends: Column) -> Column:
+        return F.transform(ends, lambda end, j: F.struct(
+            (F.coalesce(F.get(ends, j - 1), F.lit(-1)) + 1).alias("first"),
+            (end - F.coalesce(F.get(ends, j - 1), F.lit(-1))).alias("n")))
+
+    return let(F.transform(lines, _line_hash), lambda hashes: let(cut(hashes), spans))
 
 
 def _chunk_text(lines: Column, chunk: Column) -> Column:
@@ -51,8 +55,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     keyed = docs.filter("doc_id is not null").select("doc_id", "text")
 
     def chunk_rows(rows: DataFrame) -> DataFrame:
-        out = with_chunks(rows).select("doc_id", "lines", F.explode("chunks").alias("c")).filter(F.col("c.n") >= LEAST_LINES)
-        return out.select("doc_id", "c.first", "c.n", _chunk_text(F.col("lines"), F.col("c")).alias("chunk"))
+        chunks = let(_lines(), lambda lines: F.transform(
+            F.filter(_chunks(lines), lambda c: c["n"] >= LEAST_LINES),
+            lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), _chunk_text(lines, c).alias("chunk"))))
+        return rows.select("doc_id", F.inline(chunks))
 
     marks = saved(chunk_rows(keyed).select("doc_id", "first", "n", F.unhex(F.md5("chunk")).alias("digest")))
     places = marks.groupBy("digest").agg(F.min(F.struct("doc_id", "first")).alias("kept"),
@@ -72,16 +78,21 @@ def drop_repeated_chunks(docs: DataFrame) -> DataFrame:
 
     A null text is one empty line and stays null; a document that loses every line has an empty text.  Rows
     that repeat a doc_id are judged as one document.  Rows with a null doc_id keep their text.  Extra columns
-    stay, but for names used here (lines, chunks, cuts, n_lines, n_chunks, n_removed_lines), which are replaced.
+    stay, but for cuts, left and the names added, which are replaced.
     """
-    docs = docs.drop("lines", "chunks", "cuts", "n_lines", "n_chunks", "n_removed_lines", "hashes", "ends", "gone")
+    docs = docs.drop(*ADDED, "cuts", "left")
     cuts = repeated_chunks(docs)
-    rows = with_chunks(docs).join(cuts, "doc_id", "left")
-    same = F.filter("cuts", lambda c: _chunk_text(F.col("lines"), c) == c["chunk"])
-    gone = F.flatten(F.transform(same, lambda c: F.sequence(c["first"], c["first"] + c["n"] - 1)))
-    rows = rows.withColumn("gone", F.coalesce(gone, F.array().cast("array<int>")))
-    kept = F.filter("lines", lambda line, k: ~F.array_contains("gone", k))
-    left = F.when(F.size("gone") > 0, F.array_join(kept, "\n")).otherwise(F.col("text"))
-    return rows.select(*[left.alias("text") if c == "text" else F.col(c) for c in docs.columns],
-                       F.size("lines").cast("long").alias("n_lines"), F.size("chunks").cast("long").alias("n_chunks"),
-                       F.size("gone").cast("long").alias("n_removed_lines"))
+
+    def judged(lines: Column) -> Column:
+        same = F.filter(F.col("cuts"), lambda c: _chunk_text(lines, c) == c["chunk"])
+        gone = F.flatten(F.transform(same, lambda c: F.sequence(c["first"], c["first"] + c["n"] - 1)))
+        return let(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(gone, F.array().cast("array<int>"))),
+                   lambda kept: F.struct(
+                       F.size(lines).cast("long").alias("n_lines"), F.size(_chunks(lines)).cast("long").alias("n_chunks"),
+                       (F.size(lines) - F.size(kept)).cast("long").alias("n_removed_lines"),
+                       F.array_join(F.transform(kept, lambda k: F.get(lines, k)), "\n").alias("text")))
+
+    rows = docs.join(cuts, "doc_id", "left").withColumn("left", let(_lines(), judged))
+    text = F.when(F.col("left.n_removed_lines") > 0, F.col("left.text")).otherwise(F.col("text"))
+    return rows.select(*[text.alias("text") if c == "text" else F.col(c) for c in docs.columns],
+                       *[F.col(f"left.{c}") for c in ADDED])
