@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, licences, lines
+from tidemart.llm import chat, licences, lines, packing, tokens
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,13 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_REGISTRY)
 
 
+@query
+def op1_pack_mixture(spark, sf_dir):
+    pieces = packing.pack(table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset", "source")
+
+
 @query
 def op4_licence_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
@@ -34,6 +41,11 @@ def op7_line_dedup(spark, sf_dir):
                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query
+def op8_token_counts(spark, sf_dir):
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 CHECK_TURN = "</s>[INST] ok [/INST]"
 
 
