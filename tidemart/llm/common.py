@@ -75,12 +75,16 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range ``data[start:end]``, equal for equal bytes wherever they lie."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUE[data] * up[:-1], out=sums[1:])
-    return mix64((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+class Hasher:
+    """64-bit hashes of byte ranges of ``data``, equal for equal bytes wherever they lie."""
+
+    def __init__(self, data: np.ndarray):
+        up, self.down = powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, dtype=np.uint64)
+        np.cumsum(BYTE_VALUE[data] * up[:-1], out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
 
 
 def lower_table() -> np.ndarray:
@@ -112,8 +116,9 @@ def _blocks(texts: list[bytes]) -> Iterator[tuple[int, int, bytes]]:
         yield first, len(texts) - first, b" ".join(texts[first:])
 
 
-def _word_bounds(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    inside = np.concatenate(([False], data != 32, [False]))
+def runs_where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of true values."""
+    inside = np.concatenate(([False], mask, [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
 
@@ -129,14 +134,14 @@ def hashed_words(texts: list[bytes], table: np.ndarray) -> Iterator[tuple[int, n
                 while end < len(data) and data[end] != 32:
                     end += 1
                 part = data[at:end]
-                parts.append(range_hashes(part, *_word_bounds(part)))
+                parts.append(Hasher(part).of(*runs_where(part != 32)))
                 at = end
             hashes = np.concatenate(parts)
             yield first, hashes, np.zeros(len(hashes), dtype=np.int64)
             continue
-        starts, ends = _word_bounds(data)
+        starts, ends = runs_where(data != 32)
         begins = np.cumsum([0] + [len(t) + 1 for t in texts[first:first + n]])[:-1]
-        yield first, range_hashes(data, starts, ends), np.searchsorted(begins, starts, "right") - 1
+        yield first, Hasher(data).of(starts, ends), np.searchsorted(begins, starts, "right") - 1
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:

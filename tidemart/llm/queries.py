@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, licences, lines, packing, tokens
+from tidemart.llm import chat, decontaminate, licences, lines, packing, quality, tokens
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,11 +28,24 @@ def op1_pack_mixture(spark, sf_dir):
                          "offset", "source")
 
 
+@query
+def op3_quality_classifier(spark, sf_dir):
+    """The documents that the classifier keeps, with their posteriors."""
+    found = quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.filter("not rejected").drop("rejected")
+
+
 @query
 def op4_licence_scan(spark, sf_dir):
     return licences.scan_licences(table(spark, sf_dir, "documents"), licences.known_licences(spark))
 
 
+@query
+def op5_decontaminate(spark, sf_dir):
+    pairs = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return pairs.select("doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
