@@ -123,8 +123,8 @@ def runs_where(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def hashed_words(texts: list[bytes], table: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per block of texts: (number of the first, hash of each word, number of its text in the block)."""
+def hashed_words(texts: list[bytes], table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Per block of texts: (number of the first, how many, hash of each word, number of its text in the block)."""
     for first, n, joined in _blocks(texts):
         data = table[np.frombuffer(joined, dtype=np.uint8)]
         if len(data) > 4 * BLOCK_BYTES:  # one very long text: cut between words, so memory stays bounded
@@ -137,11 +137,11 @@ def hashed_words(texts: list[bytes], table: np.ndarray) -> Iterator[tuple[int, n
                 parts.append(Hasher(part).of(*runs_where(part != 32)))
                 at = end
             hashes = np.concatenate(parts)
-            yield first, hashes, np.zeros(len(hashes), dtype=np.int64)
+            yield first, 1, hashes, np.zeros(len(hashes), dtype=np.int64)
             continue
         starts, ends = runs_where(data != 32)
         begins = np.cumsum([0] + [len(t) + 1 for t in texts[first:first + n]])[:-1]
-        yield first, Hasher(data).of(starts, ends), np.searchsorted(begins, starts, "right") - 1
+        yield first, n, Hasher(data).of(starts, ends), np.searchsorted(begins, starts, "right") - 1
 
 
 def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -154,6 +154,36 @@ def shingle_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix64(out)
 
 
+# -- connected components -------------------------------------------------------------------
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root): the smallest node of each connected component of (a, b) links, for nodes that have one.
+
+    Alternating large-star and small-star steps; each is an aggregate and a join on the node, so a node with
+    very many links is combined before the shuffle and split by the adaptive join.  Every round is written out.
+    """
+    def stars(edges: DataFrame) -> DataFrame:
+        both = edges.union(edges.select("b", "a")).toDF("u", "v")
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+        large = saved(large.filter("a != b"))
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a")
+        small = small.filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
+        return saved(small.distinct())
+
+    def mark(edges: DataFrame):
+        return edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
+
+    edges = saved(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    before, now = None, mark(edges)
+    while now != before:
+        edges = stars(edges)
+        before, now = now, mark(edges)
+    nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    return nodes.union(edges.select("b", "b")).distinct()
+
+
 # -- next documents -------------------------------------------------------------------------
 
 FANOUT_BITS = 12

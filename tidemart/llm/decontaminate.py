@@ -28,8 +28,8 @@ class Items:
 
     def __init__(self, item_ids: list, texts: list[str], least: int):
         self.ids, self.words = item_ids, [np.zeros(0, dtype=np.uint64)] * len(texts)
-        for first, hashes, owner in hashed_words([t.encode() for t in texts], letters_table()):
-            bounds = np.searchsorted(owner, np.arange(owner[-1] + 2 if len(owner) else 1))
+        for first, n, hashes, owner in hashed_words([t.encode() for t in texts], letters_table()):
+            bounds = np.searchsorted(owner, np.arange(n + 1))
             for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False)):
                 self.words[first + k] = hashes[a:b]
         # An item shorter than ``least`` words is looked for whole, so there is an index per run length.
@@ -84,7 +84,7 @@ def tile(item_places: np.ndarray, doc_places: np.ndarray, width: int, item_words
 def _tile_batches(batches: Iterator[pd.DataFrame], items: Items, coverage: float) -> Iterator[pd.DataFrame]:
     for batch in batches:
         out, ids = [], batch["doc_id"].tolist()
-        for first, words, owner in hashed_words([t.encode() for t in batch["text"]], letters_table()):
+        for first, n, words, owner in hashed_words([t.encode() for t in batch["text"]], letters_table()):
             for width in items.widths:
                 grams, item_of, place_of = items.index[width]
                 runs = shingle_hashes(words, width)
@@ -100,7 +100,7 @@ def _tile_batches(batches: Iterator[pd.DataFrame], items: Items, coverage: float
                 doc = owner[doc_place]
                 order = np.lexsort((item, doc))
                 doc, item, place, doc_place = doc[order], item[order], place[order], doc_place[order]
-                begin = np.searchsorted(owner, np.arange(owner[-1] + 2))
+                begin = np.searchsorted(owner, np.arange(n))
                 starts = np.flatnonzero(np.concatenate(([True], (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]))))
                 for a, b in zip(starts, np.append(starts[1:], len(doc)), strict=True):
                     size = len(items.words[item[a]])
