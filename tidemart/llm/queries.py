@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, decontaminate, licences, lines, packing, quality, tokens
+from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, tokens
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,6 +59,11 @@ def op8_token_counts(spark, sf_dir):
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+@query
+def op9_jaccard_join(spark, sf_dir):
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 CHECK_TURN = "</s>[INST] ok [/INST]"
 
 
