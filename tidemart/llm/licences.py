@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemart.llm.common import let
+
 # Equivalent spellings of the public licence matching guidelines (variant, chosen form).
 SPELLINGS = [
     ("acknowledgement", "acknowledgment"), ("analogue", "analog"), ("analyse", "analyze"), ("artefact", "artifact"),
@@ -62,20 +64,30 @@ original software. 3. This notice may not be removed or altered from any source
     ("Proprietary", "All rights reserved."),
 ]
 
-COPYRIGHT_LINE = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
 
 
-def canonical(text: Column) -> Column:
-    """The canonical form; null and texts without letters or digits give an empty one."""
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    text = F.translate(F.coalesce(text, F.lit("")), upper, lower)
-    text = F.regexp_replace(text, COPYRIGHT_LINE, " ")
-    text = F.regexp_replace(text, r"[^\p{L}\p{N}]+", " ")
+def _spelled(words: Column, pairs=SPELLINGS) -> Column:
     # Two blanks between words, so neighbouring spellings do not share one.
-    text = F.concat(F.lit(" "), F.replace(F.trim(text), F.lit(" "), F.lit("  ")), F.lit(" "))
-    for variant, chosen in SPELLINGS:
-        text = F.replace(text, F.lit(f" {variant.replace(' ', '  ')} "), F.lit(f" {chosen.replace(' ', '  ')} "))
-    return F.replace(F.trim(text), F.lit("  "), F.lit(" "))
+    out = F.concat(F.lit(" "), F.replace(F.trim(words), F.lit(" "), F.lit("  ")), F.lit(" "))
+    for variant, chosen in pairs:
+        out = F.replace(out, F.lit(f" {variant.replace(' ', '  ')} "), F.lit(f" {chosen.replace(' ', '  ')} "))
+    return F.replace(F.trim(out), F.lit("  "), F.lit(" "))
+
+
+def line_forms(text: Column) -> Column:
+    """The canonical form of every line of a text; a copyright line's is empty."""
+    def form(line: Column) -> Column:
+        low = F.lower(line)
+        return F.when(low.rlike(COPYRIGHT_LINE), F.lit("")).otherwise(_spelled(F.regexp_replace(low, r"[^\p{L}\p{N}]+", " ")))
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), form)
+
+
+def whole_form(forms: Column) -> Column:
+    """The canonical form of a text from those of its lines; a spelling of two words may run across a line end."""
+    across = [(a, b) for a, b in SPELLINGS if " " in a]
+    return _spelled(F.array_join(F.filter(forms, lambda f: f != ""), " "), across)
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
@@ -84,7 +96,7 @@ def known_licences(spark: SparkSession) -> DataFrame:
 
 def digests(licences: DataFrame) -> DataFrame:
     """(digest, known_licence, n_chars) of (licence, text) rows; of several names for one text the smallest."""
-    form = licences.select("licence", canonical(F.col("text")).alias("form")).filter("form != ''")
+    form = licences.select("licence", let(line_forms(F.col("text")), whole_form).alias("form")).filter("form != ''")
     return form.groupBy(F.sha2("form", 256).alias("digest")).agg(
         F.min("licence").alias("known_licence"), F.min(F.length("form")).alias("n_chars"))
 
@@ -98,15 +110,15 @@ def scan_licences(docs: DataFrame, licences: DataFrame) -> DataFrame:
     """
     known = digests(licences)
     span = known.agg(F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest")).first()
-    text = F.coalesce("text", F.lit(""))
-    whole = docs.select("doc_id", F.lit(True).alias("is_whole"), canonical(F.col("text")).alias("form"))
-    # A canonical form is never longer than its line by more than a blank per spelling, so short lines cannot match.
-    lines = docs.select("doc_id", F.explode(F.split(text, "\n")).alias("line"))
-    lines = lines.filter(F.length("line") * 2 >= F.lit(span["shortest"] or 0)).select(
-        "doc_id", F.lit(False).alias("is_whole"), canonical(F.col("line")).alias("form"))
-    lines = lines.filter(F.length("form").between(span["shortest"] or 0, span["longest"] or -1))
-    units = whole.unionByName(lines).select(
-        "doc_id", "is_whole", F.when(F.col("form") != "", F.sha2("form", 256)).alias("digest"))
+    shortest, longest = span["shortest"] or 0, span["longest"] or -1
+
+    def units_of(forms: Column) -> Column:
+        lines = F.filter(forms, lambda f: F.length(f).between(shortest, longest))  # others cannot be equal to a known form
+        unit = lambda is_whole, form: F.struct(F.lit(is_whole).alias("is_whole"), form.alias("form"))
+        return F.concat(F.array(unit(True, whole_form(forms))), F.transform(lines, lambda f: unit(False, f)))
+
+    units = docs.select("doc_id", F.inline(let(line_forms(F.col("text")), units_of)))
+    units = units.select("doc_id", "is_whole", F.when(F.col("form") != "", F.sha2("form", 256)).alias("digest"))
     hits = units.join(known.select("digest", "known_licence"), "digest", "left").filter("is_whole or known_licence is not null")
     notice = F.when(~F.col("is_whole"), F.col("known_licence"))
     return hits.groupBy("doc_id").agg(

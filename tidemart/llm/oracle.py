@@ -17,8 +17,9 @@ def _replaced(expr: str, pairs) -> str:
 
 
 def _canonical(expr: str) -> str:
-    low = f"translate(coalesce({expr}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-    bare = f"regexp_replace({low}, {_text(licences.COPYRIGHT_LINE)}, ' ', 'g')"
+    low = f"lower(coalesce({expr}, ''))"
+    notice = r"(?m)^[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*$"
+    bare = f"regexp_replace({low}, {_text(notice)}, ' ', 'g')"
     words = f"trim(regexp_replace({bare}, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"
     pairs = [(f" {a.replace(' ', '  ')} ", f" {b.replace(' ', '  ')} ") for a, b in licences.SPELLINGS]
     doubled = f"(' ' || replace({words}, ' ', '  ') || ' ')"
