@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, tokens
+from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, repeats, tokens
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,12 @@ def op5_decontaminate(spark, sf_dir):
     return pairs.select("doc_id", "item_id", "item_words", "covered", "coverage", F.size("tiles").alias("n_tiles"))
 
 
+@query
+def op6_repeated_bytes(spark, sf_dir):
+    left = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
