@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, repeats, tokens
+from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, repeats, spotsigs, tokens
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,15 @@ def op1_pack_mixture(spark, sf_dir):
                          "offset", "source")
 
 
+@query
+def op2_spot_signatures(spark, sf_dir):
+    found = spotsigs.compared_with_next(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        spotsigs.as_text(F.col("signatures")).alias("fingerprint"),
+        spotsigs.as_text(F.col("edited_signatures")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query
 def op3_quality_classifier(spark, sf_dir):
     """The documents that the classifier keeps, with their posteriors."""
