@@ -3,7 +3,8 @@
 A cut is placed at a blank that follows a character other than white space: the pre-tokenizer's patterns never
 run from a visible character into a blank, so a token ends there whatever surrounds it.  Each chunk is
 encoded with an overlap before and after its cuts, and the offsets of its tokens must show both cuts as token
-boundaries; where one does not, the overlaps are widened, at last to the whole document.
+boundaries; where one does not, the overlaps are widened, at last to the whole document.  Documents short
+enough to be read at once are counted piece by piece between the same kind of cuts.
 """
 
 from __future__ import annotations
@@ -17,8 +18,12 @@ from pyspark.sql import DataFrame, functions as F
 
 CHUNK_CHARS = 1 << 16   # characters between two cuts of a huge document
 OVERLAP_CHARS = 256     # encoded beyond a cut on either side
-BATCH_CHARS = 1 << 20   # characters encoded in one call
+BATCH_TEXTS = 64        # texts whose new pieces are encoded in one call
+KNOWN_PIECES = 1_000_000
 _CUT = re.compile(r"(?<=\S) ")
+_BLANKS = re.compile(r"\s ")
+_MARKED = re.compile(r"[A-Za-z][.,]\Z")
+_COUNTS: dict[str, dict[str, int]] = {}
 _LOADED: dict[str, object] = {}
 
 
@@ -93,15 +98,34 @@ def _encode_chunks(batches: Iterator[pd.DataFrame], path: str, overlap: int) ->
         yield pd.DataFrame({"row": batch["row"], "n": [n for n, _ in found], "fits": [f for _, f in found]})
 
 
+class PieceCounts:
+    """Token counts of texts as sums over their pieces between cuts; counts of pieces are remembered."""
+
+    def __init__(self, path: str):
+        self.coder, self.known = tokenizer(path), _COUNTS.setdefault(path, {})
+
+    def _plain(self, texts: list[str]) -> list[int]:
+        return [len(e) for e in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def of(self, texts: list[str]) -> list[int]:
+        """``known`` holds pieces that follow a blank, without it."""
+        split = [_CUT.split(t) if _BLANKS.search(t) else t.split(" ") for t in texts]
+        if len(self.known) > KNOWN_PIECES:
+            self.known.clear()
+        missing = set().union(*[parts[1:] for parts in split]).difference(self.known)
+        # A mark alone at the end of a word is a token of its own.
+        marked = {p for p in missing if _MARKED.search(p)}
+        stems = list((missing - marked | {p[:-1] for p in marked}).difference(self.known))
+        self.known.update(zip(stems, self._plain([f" {p}" for p in stems]), strict=True))
+        self.known.update((p, self.known[p[:-1]] + 1) for p in marked)
+        find = self.known.__getitem__
+        return [n + sum(map(find, parts[1:])) for n, parts in zip(self._plain([p[0] for p in split]), split, strict=True)]
+
+
 def _count_short(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        coder, texts, counts = tokenizer(path), batch["text"].tolist(), []
-        first, size = 0, 0
-        for k, text in enumerate([*texts, None]):
-            if text is None or size + len(text) > BATCH_CHARS and k > first:
-                counts += [len(e) for e in coder.encode_batch_fast(texts[first:k], add_special_tokens=False)]
-                first, size = k, 0
-            size += len(text or "")
+        counter, texts = PieceCounts(path), batch["text"].tolist()
+        counts = [n for k in range(0, len(texts), BATCH_TEXTS) for n in counter.of(texts[k:k + BATCH_TEXTS])]
         yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": counts})
 
 
@@ -122,7 +146,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, ch
     """(doc_id, n_bytes, n_tokens, over_limit), one row per row of ``docs``.
 
     Null texts count as empty; repeated rows and null ids are counted row by row; other columns are ignored.
-    Documents of up to ``chunk_chars`` characters are encoded whole, in batches.  The chunks of longer ones are
+    Documents of up to ``chunk_chars`` characters are counted whole.  The chunks of longer ones are
     dealt to all tasks and their counts summed; a document with a chunk whose surroundings show no common
     boundary is encoded again with wider ones.
     """
