@@ -90,13 +90,13 @@ CTE = {
     "returned": f"""select l_orderkey * 10 + l_linenumber as id, l_suppkey as user_id, l_orderkey as order_id,
         l_partkey as sku_id, cast(l_quantity as bigint) as refund_num, l_extendedprice as amount,
         l_linenumber as line, {_ms('l_orderkey')} + 3600000 as t0 from lineitem where l_returnflag = 'R'""",
-    "comments": f"""select doc_id as id, case when doc_id % 5 = 0 then text || ',' ||
-            regexp_extract(lower(text), '(\\p{{L}}+)', 1) else text end as msg, doc_id % 150 as user_id,
+    "comments": f"""select doc_id as id, case when doc_id % 4 = 0 then text || ',badword' || doc_id % 40 else text end as msg, doc_id % 150 as user_id,
         doc_id % 200 as sku_id, doc_id % 50 as spu_id, cast(1200 + doc_id % 30 as varchar) as appraise,
         source as nick_name, {_ms('doc_id')} as create_time, {_ms('doc_id')} + (doc_id % 5 - 2) * 40000 as ts_ms
         from documents""",
-    "words": """select distinct unnest(regexp_extract_all(lower(text), '(\\p{L}{9,})', 1)) as word from benchmark""",
-    "users": f"""select c_custkey as id, c_name as name, date '1970-01-01' + cast(3650 + c_custkey * 7 % 14000 as int)
+    "words": """select distinct unnest(regexp_extract_all(lower(text), '(\\p{L}{9,})', 1)) as word from benchmark
+        union select 'badword' || n_nationkey from nation""",
+    "users": f"""select c_custkey as id, c_name as name, date '1970-01-01' + cast(c_custkey * 37 % 21000 - 3650 as int)
         as birthday, case c_custkey % 3 when 1 then 'M' when 2 then 'F' else 'home' end as gender,
         {_ms('c_custkey * 3')} as ts_ms, {_ms('c_custkey * 3')} + (c_custkey % 7 - 3) * 1500000 as body_ms
         from customer""",
@@ -501,8 +501,14 @@ oracle("fn_age_scores", "", _scored(f"""select o_orderkey, {_list([*BANDS, '0-17
 _WORDS_OF = "list_distinct(regexp_extract_all(lower({0}), '[\\p{{L}}\\p{{N}}]+'))"
 oracle("txt_keywords", "", f"""with found as (select lang, unnest({_WORDS_OF.format('text')}) as keyword from documents)
     select lang, keyword, count(*) as texts from found group by all""")
-oracle("txt_segments", "", f"""with found as (select lang, unnest({_WORDS_OF.format('text')}) as word from documents)
+_HAN = "['手机', '健康', '健康食品', '白色', '华为']"
+oracle("txt_segments", "", f"""with found as (select lang, unnest(list_distinct(list_concat({_WORDS_OF.format('text')},
+        case when doc_id % 2 = 0 then [{_HAN}[doc_id % 5 + 1], {_HAN}[doc_id % 3 + 1], '的'] else [] end))) as word from documents)
     select lang, word, count(*) as texts from found group by all""")
+oracle("dws_keywords_segmented", "logs", f"""with found as (select ts, unnest(list_distinct(
+        [{_HAN}[event_id % 5 + 1], {_HAN}[event_id % 3 + 1], '的'])) as keyword from logs
+        where last_page_id = 'search' and event_id % 4 = 2)
+    select {_window('ts', HOUR)}, keyword, count(*) as keyword_count from found group by all""")
 _LAST = "regexp_extract(regexp_replace(msg, ',+$', ''), '([^,]*)$', 1)"
 oracle("txt_last_piece_in_dictionary", "comments words", f"""with pieces as (select id, {_LAST} as piece from comments)
     select id, md5(piece) as piece, cast(word is not null as bigint) as in_dictionary

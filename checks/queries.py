@@ -15,10 +15,11 @@ from tidemart.functions.score import with_age_scores
 from tidemart.operators import changes, etl, firsttime, joins, logs as log_ops, routing, text, windows
 from tidemart.plans import applogs, comments, dims, serving, tags, trade, traffic
 from tidemart.sources import feeds
-from tidemart.testbed import BRANDS, CATEGORIES, DB, KEYWORD_TYPES, Testbed, order_ms, pick
+from tidemart.testbed import BRANDS, CATEGORIES, DB, KEYWORD_TYPES, Testbed, han_phrase, order_ms, pick
 
 AS_OF = "2024-02-01"
 REPORT_DAY = "2024-01-10"
+HOT_SHARE = 1 / 5_000
 HOUR_MS = 3_600_000
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -88,7 +89,8 @@ def src_page_log_maps(t: Testbed):
 
 @query
 def src_word_list(t: Testbed):
-    return feeds.clean_words(t.words())
+    """Words with blanks around them, repeats and blank rows."""
+    return feeds.clean_words(t.raw_words())
 
 
 # -- event filters and projections ------------------------------------------------------
@@ -224,8 +226,8 @@ def visitor_repair(t: Testbed):
 
 @query
 def visitor_repair_hot_devices(t: Testbed):
-    """The same with devices of 100 rows or more spread over many partitions."""
-    return _common(log_ops.repair_new_visitors(t.logs(), "event_id", hot_rows=100), "event_id")
+    """The same with every device of a 5,000th of the rows spread over many partitions."""
+    return _common(log_ops.repair_new_visitors(t.logs(), "event_id", hot_share=HOT_SHARE), "event_id")
 
 
 # -- configuration-driven routing -------------------------------------------------------
@@ -470,6 +472,13 @@ def dws_keywords_daily(t: Testbed):
     return traffic.keyword_window(t.logs(), "1 day")
 
 
+@query
+def dws_keywords_segmented(t: Testbed):
+    """Search phrases without spaces, cut by a dictionary."""
+    logs = t.logs().withColumn("page", F.col("page").withField("item", F.expr(han_phrase("event_id"))))
+    return traffic.keyword_window(logs, "1 hour", t.han_words())
+
+
 @query
 def dws_logins(t: Testbed):
     return traffic.login_window(t.logs())
@@ -554,7 +563,7 @@ def fn_dates(t: Testbed):
 @query
 def fn_people(t: Testbed):
     key = F.col("c_custkey")
-    birthday = dates.from_epoch_days(F.lit(3650) + key * 7 % 14_000)
+    birthday = dates.from_epoch_days(key * 37 % 21_000 - 3650)
     age = people.age_years(birthday, F.lit(AS_OF).cast("date"))
     return t.table("customer").select(
         "c_custkey", birthday.cast("string").alias("birthday"), age.alias("age"), people.age_band(age).alias("age_band"),
@@ -593,9 +602,9 @@ def txt_keywords(t: Testbed):
 
 @query
 def txt_segments(t: Testbed):
-    """The segmenter on all texts; these hold no Han runs, so its words are the plain ones."""
-    cut = text.segmenter(["手机", "健康", "健康食品"])
-    words = t.table("documents").select("lang", F.explode(cut("text")).alias("word"))
+    """Every second text with a Han phrase at its end."""
+    rows = t.table("documents").selectExpr("lang", f"if(doc_id % 2 = 0, concat(text, {han_phrase('doc_id')}), text) as text")
+    words = text.explode_segments(rows, t.han_words(), "text", "word")
     return words.groupBy("lang", "word").agg(F.count("*").alias("texts"))
 
 
@@ -622,7 +631,7 @@ def txt_membership_map(t: Testbed):
 @query
 def txt_words_inside(t: Testbed):
     rows = t.table("documents").select("doc_id", "text")
-    found = text.with_words_inside(rows, t.words(), "text", "found", ["doc_id"])
+    found = text.with_words_inside(rows, t.words(), "text", "found")
     return found.select("doc_id", F.array_join("found", ",").alias("found"))
 
 

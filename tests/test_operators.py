@@ -128,8 +128,8 @@ def test_visitor_repair(spark):
     """Q1: a row that says new on a later day than the first visit becomes old."""
     df = spark.createDataFrame([line("a", "1", DAY0), line("a", "1", DAY0 + DAY), line("b", "0", DAY0),
                                 line("b", "1", DAY0 + 5), line("c", "1", DAY0 + 9)], schemas.APP_LOG)
-    for hot in (1_000_000, 1):
-        got = logs.repair_new_visitors(df, "page", hot_rows=hot)
+    for hot in (0.9, 0.1):
+        got = logs.repair_new_visitors(df, "page", hot_share=hot)
         assert sorted((r.common.mid, r.ts - DAY0, r.common.is_new) for r in got.collect()) == [
             ("a", 0, "1"), ("a", DAY, "0"), ("b", 0, "0"), ("b", 5, "0"), ("c", 9, "1")]
 
@@ -204,8 +204,8 @@ def test_salted_join_equals_plain_join(spark):
     data = [("hot" if i % 3 else f"k{i}", i) for i in range(300)] + [(None, 900)]
     df = spark.createDataFrame(data, "k string, id int")
     side = spark.createDataFrame([("hot", "x"), ("k3", "y")], "k string, v string")
-    hot = joins.hot_keys(df.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", 50)
-    salted = joins.salted_left_join(df, side, hot, F.col("k").isin("hot", "k3"), ["k"], ["id"], salts=8)
+    hot = joins.hot_keys(df.groupBy("k").agg(F.count("*").alias("n")), ["k"], "n", 0.1)
+    salted = joins.salted_left_join(df, side, hot, ["k"], ["id"], salts=8)
     assert rows(salted.select("id", F.coalesce("v", F.lit("-")))) == rows(
         df.join(side, "k", "left").select("id", F.coalesce("v", F.lit("-"))))
 
@@ -227,9 +227,17 @@ def test_words_inside_against_brute_force(spark):
     df = spark.createDataFrame(texts, "id int, t string")
     dictionary = spark.createDataFrame([(w,) for w in words], "word string")
     expected = sorted((i, None if t is None else sorted(w for w in words if w in t)) for i, t in texts)
-    for limit in (1_000, 3):  # scanned in the tasks, and joined with the substrings
-        got = text.with_words_inside(df, dictionary, "t", "found", ["id"], task_words=limit).select("id", "found")
-        assert rows(got) == expected
+    assert rows(text.with_words_inside(df, dictionary, "t", "found").select("id", "found")) == expected
+
+
+def test_words_inside_with_repeated_and_null_keys(spark):
+    """Rows are told apart by their text alone, so repeated and null keys neither double nor lose anything."""
+    df = spark.createDataFrame([(1, "so bad"), (1, "so bad"), (None, "worse 🙂 bad"), (None, None), (2, "")], "id int, msg string")
+    words = spark.createDataFrame([("bad",), ("bad",), ("worse 🙂 b",), ("🙂",), ("",), (None,)], "word string")
+    got = text.with_words_inside(df, words, "msg", "found").collect()
+    assert sorted((str(r.id), str(r.msg), r.found) for r in got if r.msg) == [
+        ("1", "so bad", ["bad"]), ("1", "so bad", ["bad"]), ("None", "worse 🙂 bad", ["bad", "worse 🙂 b", "🙂"])]
+    assert [r.found for r in got if not r.msg and r.msg is not None] == [[]] and [r.found for r in got if r.msg is None] == [None]
 
 
 def test_last_piece_follows_trailing_comma_rule(spark):
@@ -240,15 +248,18 @@ def test_last_piece_follows_trailing_comma_rule(spark):
 def test_grades(spark):
     df = spark.createDataFrame([(1, "fine,bad"), (2, "so bad and worse"), (3, "fine")], "id int, msg string")
     words = spark.createDataFrame([("bad",), ("worse",)], "word string")
-    graded = text.grade_by_words_inside(text.grade_by_last_piece(df, words), words, ["id"])
+    graded = text.grade_by_words_inside(text.grade_by_last_piece(df, words), words)
     assert [(r.id, r.is_violation, r.violation_grade, r.violation_msg) for r in graded.orderBy("id").collect()] == [
         (1, 1, "P0", "bad"), (2, 0, "P1", "bad, worse"), (3, 0, "", "")]
 
 
 def test_segmenter_takes_longest_words(spark):
-    cut = text.segmenter(["智能", "智能手机", "手机", "轻薄"])
-    df = spark.createDataFrame([("智能手机Redmi 轻薄手机 手机",), (None,)], "t string")
-    assert [r[0] for r in df.select(cut("t")).collect()] == [["智能手机", "redmi", "轻薄", "手机"], None]
+    words = spark.createDataFrame([(w,) for w in ("智能", "智能手机", "手机", "轻薄", "")], "word string")
+    df = spark.createDataFrame([("智能手机Redmi 轻薄手机 手机",), (None,), ("Plain words, plain",)], "t string")
+    assert [r.cut for r in text.with_segments(df, words, "t", "cut").collect()] == [
+        ["智能手机", "redmi", "轻薄", "手机"], None, ["plain", "words"]]
+    with pytest.raises(ValueError, match="at most 2"):
+        text.with_segments(df, words, "t", "cut", most_words=2)
 
 
 def test_keyword_function_in_sql(spark):

@@ -81,3 +81,22 @@ def test_shared_dir_comes_from_the_session(spark, tmp_path):
         assert shared_dir(spark, "q", str(tmp_path)) == f"{tmp_path}/q"
         with pytest.raises(ValueError):
             shared_dir(spark, "q")
+
+
+def test_compaction_keeps_the_view_and_is_safe_to_repeat(spark, tmp_path):
+    schema, path = "id int, v string, op string, ts_ms long", f"{tmp_path}/t"
+    write = sinks.append_table(path)
+    write(spark.createDataFrame([(1, "a", "c", 1), (2, "b", "c", 1), (3, "x", "d", 9)], schema), 0)
+    write(spark.createDataFrame([(1, "c", "u", 2)], schema), 1)
+    before = rows(sinks.upserted(spark, path, ["id"], ["ts_ms"]))
+    assert sinks.compact(spark, path, ["id"], ["ts_ms"]) == sinks.compact(spark, path, ["id"], ["ts_ms"]) == 1
+    assert rows(sinks.upserted(spark, path, ["id"], ["ts_ms"])) == before
+    assert sinks.stored_rows(spark, path).count() == 3
+    write(spark.createDataFrame([(2, "d", "u", 5), (3, "late", "c", 4)], schema), 2)
+    after = [(1, "c", "u", 2), (2, "d", "u", 5), (3, "x", "d", 9)]
+    assert rows(sinks.upserted(spark, path, ["id"], ["ts_ms"])) == after
+    assert sinks.compact(spark, path, ["id"], ["ts_ms"]) == 2
+    spark.createDataFrame([(7, "half", "c", 1, 3)], schema + ", batch_id int").write.parquet(f"{path}.base/upto=5")
+    import os
+    os.remove(f"{path}.base/upto=5/_SUCCESS")  # a compaction that broke off
+    assert rows(sinks.upserted(spark, path, ["id"], ["ts_ms"])) == after

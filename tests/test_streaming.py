@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 
 from tidemart.operators import changes, firsttime
 from tidemart.operators.windows import total, tumble
-from tidemart.plans import traffic
+from tidemart.operators import logs as log_operators
+from tidemart.plans import comments, tags, trade, traffic
+from tidemart.sources.feeds import app_log, with_event_time
 from tidemart.streaming import plans, processors, sinks
+from tidemart.testbed import Testbed
+from tests.conftest import SF_DIR
 
 DAY0 = 1_704_067_200_000
 HOUR = 3_600_000
@@ -171,3 +175,106 @@ def test_newest_row_is_given_out_once_after_the_delay(spark, tmp_path):
     result = collect(spark, processors.newest_after_stream(stream, ["id"]).select("id", "amount"), tmp_path)
     batch = spark.createDataFrame([r for b in batches[:-1] for r in b], schema)
     assert result == rows(changes.latest_per_key(batch, ["id"], ["ts"]).select("id", "amount"))
+
+
+def seconds(*points):
+    return [DAY0 + int(p * 1000) for p in points]
+
+
+def test_late_resend_neither_stops_the_stream_nor_changes_totals(spark, tmp_path):
+    """The watermark moves in small steps and has passed the first row when it is sent again after 8 seconds."""
+    from decimal import Decimal
+
+    schema = "id long, order_id long, province_id int, split_total_amount decimal(16,2), ts long, seq long"
+    at = seconds(0, 7.5, 7.6, 7.7, 8)
+    batches = [[(1 if k in (0, 4) else 10 + k, 5, 5, Decimal(100 if k == 0 else 30), t, k)] for k, t in enumerate(at)]
+    provinces = spark.createDataFrame([(5, "P5")], "id int, name string")
+    stream = stream_of(spark, tmp_path / "in", schema, [*batches, [(9, 9, 9, Decimal(0), FLUSH, 1)]])
+    result = collect(spark, plans.province_stream(stream, provinces), tmp_path)
+    batch = spark.createDataFrame([r for b in batches for r in b], schema)
+    newest = changes.latest_per_key(batch, ["id"], ["ts", "seq"]).agg(F.sum("split_total_amount")).first()[0]
+    assert sum(r[5] for r in result) == newest == Decimal(120)
+
+
+def test_newest_row_under_steady_traffic(spark, tmp_path):
+    schema = "id long, amount long, ts long"
+    batches = [[(1, 10, t0), (2, 5, t0)] if k == 0 else [(100 + k, 1, t0)] if k != 1 else [(1, 20, t0)]
+               for k, t0 in enumerate(seconds(0, 4, 6, 7, 9, 12))]
+    stream = stream_of(spark, tmp_path / "in", schema, [*batches, [(9, 0, FLUSH)], [(8, 0, FLUSH + HOUR)]])
+    summed = tumble(processors.newest_after_stream(stream, ["id"]), "1 second", [], [total("amount")])
+    batch = spark.createDataFrame([r for b in batches for r in b], schema)
+    expected = changes.latest_per_key(batch, ["id"], ["ts"]).agg(F.sum("amount")).first()[0]
+    assert sum(r[-1] for r in collect(spark, summed, tmp_path)) == expected == 29
+
+
+def test_segmented_keyword_stream_equals_batch(spark, tmp_path):
+    logs = [log("a", 1, item="智能手机轻薄"), log("b", 1, item="红手机 red shoe")]
+    logs = [(m, v, p, "search", *rest) for m, v, p, _, *rest in logs]
+    words = spark.createDataFrame([("智能手机",), ("手机",), ("智能",)], "word string")
+    stream = nested(stream_of(spark, tmp_path / "in", LOGS, [logs, [("f", "v1", "home", "search", "x", "keyword", FLUSH)]]))
+    batch = rows(traffic.keyword_window(nested(spark.createDataFrame(logs, LOGS)), words=words))
+    assert collect(spark, plans.keyword_stream(stream, words=words), tmp_path) == batch
+    assert {r[3] for r in batch} == {"智能手机", "轻", "薄", "红", "手机", "red", "shoe"}
+
+
+def feed_streams(spark, folder, t, *tables):
+    """A feed of the test tables, each as one written file and as a stream of it."""
+    batch, streams = {}, {}
+    for name, df in t.feed(*tables).items():
+        df.limit(400).coalesce(1).write.parquet(str(folder / name))
+        batch[name] = spark.read.parquet(str(folder / name))
+        streams[name] = spark.readStream.schema(batch[name].schema).parquet(str(folder / name))
+    return batch, streams
+
+
+@pytest.fixture(scope="module")
+def testbed(spark):
+    return Testbed(spark, SF_DIR)
+
+
+def test_cancel_stream_equals_batch(spark, tmp_path, testbed):
+    batch, streams = feed_streams(spark, tmp_path / "in", testbed, "order_info", "order_detail", "order_detail_activity",
+                                  "order_detail_coupon")
+    details = trade.order_detail_fact(batch)
+    details.write.parquet(str(tmp_path / "details"))
+    lines = spark.readStream.schema(details.schema).parquet(str(tmp_path / "details"))
+    expected = rows(trade.order_cancel_fact(details, batch, within_ms=1_805_000))
+    assert collect(spark, plans.cancel_stream(with_event_time(lines), streams), tmp_path) == expected and expected
+
+
+def test_refund_streams_equal_batch(spark, tmp_path, testbed):
+    batch, streams = feed_streams(spark, tmp_path / "in", testbed, "order_refund_info", "order_info", "refund_payment")
+    names = testbed.dictionary()
+    expected = rows(trade.refund_fact(batch, names))
+    assert collect(spark, plans.refund_stream(streams, names, 90 * 24 * 3600), tmp_path / "r") == expected and expected
+    expected = rows(trade.refund_payment_fact(batch, names))
+    assert collect(spark, plans.refund_payment_stream(streams, names, 90 * 24 * 3600), tmp_path / "p") == expected
+
+
+def test_comment_order_stream_and_its_moderation_equal_batch(spark, tmp_path, testbed):
+    batch, streams = feed_streams(spark, tmp_path / "in", testbed, "comment_info", "order_info")
+    columns = {"id": "bigint", "user_id": "bigint", "consignee": "string"}
+    joined = comments.comment_order_fact(batch, testbed.dictionary(), columns)
+    stream = plans.comment_order_stream(streams, testbed.dictionary(), columns)
+    write = sinks.append_result(lambda df: comments.moderation(df, testbed.words()), f"{tmp_path}/out")
+    sinks.run(stream, write, f"{tmp_path}/checkpoint", available_now=True).awaitTermination()
+    graded = spark.read.parquet(f"{tmp_path}/out").drop("batch_id")
+    expected = rows(comments.moderation(joined, testbed.words()))
+    assert rows(graded) == expected and {r[-2] for r in expected} >= {"", "P0"}
+
+
+def test_user_attributes_stream_equals_batch(spark, tmp_path, testbed):
+    batch, streams = feed_streams(spark, tmp_path / "in", testbed, "user_info", "user_info_sup_msg")
+    as_of = F.lit("2024-02-01").cast("date")
+    expected = rows(tags.user_attributes(batch, as_of))
+    assert collect(spark, plans.user_attributes_stream(streams, as_of), tmp_path) == expected and expected
+
+
+def test_log_records_stream_equals_batch(spark, tmp_path, testbed):
+    testbed.messages().limit(300).coalesce(1).write.parquet(str(tmp_path / "in"))
+    messages = spark.read.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(messages.schema).parquet(str(tmp_path / "in"))
+    logs, _ = app_log(messages)
+    got = collect(spark, plans.log_records_stream(stream), tmp_path)
+    expected = rows(log_operators.split_records(logs))
+    assert len(got) == len(expected) and sorted(r[0] for r in got) == sorted(r[0] for r in expected)

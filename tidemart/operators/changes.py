@@ -92,16 +92,19 @@ def latest_records(df: DataFrame, key: str, ts: str, arrival: str, block: int =
 def running_profile(df: DataFrame, key: str, arrival: str, sets: list[str], block: int = 10_000) -> DataFrame:
     """Per row: how many rows its key has so far, and the distinct values seen, comma-joined.
 
-    Values are joined in sorted order.  The carried state is one set per key and block.
+    Values are joined in sorted order.  A value is carried from the one block in which it first
+    appears, so what the blocks of a key carry adds up to its distinct values.
     """
     rows = _blocks(df, arrival, block)
-    per_block = rows.groupBy(key, "_block").agg(
-        F.count("*").alias("_n"), *[F.collect_set(c).alias(f"_set_{c}") for c in sets])
+    per_block = rows.groupBy(key, "_block").agg(F.count("*").alias("_n"))
+    for c in sets:
+        firsts = rows.filter(F.col(c).isNotNull()).groupBy(key, c).agg(F.min("_block").alias("_block"))
+        new = firsts.groupBy(key, "_block").agg(F.collect_list(c).alias(f"_new_{c}"))
+        per_block = per_block.join(new, [key, "_block"], "left")
     earlier_blocks = Window.partitionBy(key).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = per_block.select(
         key, "_block", F.coalesce(F.sum("_n").over(earlier_blocks), F.lit(0)).alias("_before"),
-        *[F.array_distinct(F.flatten(F.collect_list(f"_set_{c}").over(earlier_blocks))).alias(f"_old_{c}")
-          for c in sets])
+        *[F.flatten(F.collect_list(f"_new_{c}").over(earlier_blocks)).alias(f"_old_{c}") for c in sets])
     so_far = Window.partitionBy(key, "_block").orderBy(arrival).rowsBetween(Window.unboundedPreceding, 0)
     joined = rows.join(carried, [key, "_block"])
     seen = [F.array_join(F.array_sort(F.array_union(f"_old_{c}", F.collect_set(c).over(so_far))), ",").alias(c)

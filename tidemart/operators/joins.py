@@ -1,15 +1,18 @@
 """Lookups, interval joins and joins with hot keys.
 
-Nothing here carries a broadcast hint: a dimension's size is not known when the plan is
-written.  Spark broadcasts a side whose size is below the configured threshold, measured
-again at run time, and otherwise shuffles it.
+Dimensions carry no broadcast hint: their size is not known when the plan is written.  Spark
+broadcasts a side whose size is below the configured threshold, measured again at run time,
+and otherwise shuffles it.  Sides with a checked bound are broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-HOT_KEYS = 1_000
+# A key is hot when it holds at least this share of all rows, so there are at most 1,000 by arithmetic.
+HOT_SHARE = 1 / 1_000
+# Rows that a side sent to every task may have.
+SMALL_ROWS = 100_000
 
 
 def lookup(df: DataFrame, dim: DataFrame, on: dict[str, str], add: dict[str, str], how: str = "left") -> DataFrame:
@@ -90,23 +93,34 @@ def stream_interval_join(left: DataFrame, right: DataFrame, on: dict[str, str],
     return left.join(right, condition, how)
 
 
-def hot_keys(counts: DataFrame, keys: list[str], n: str, at_least: int) -> DataFrame:
-    """At most ``HOT_KEYS`` keys that hold ``at_least`` rows, the fullest first."""
-    return (counts.filter(F.col(n) >= at_least).orderBy(F.desc(n), *keys).limit(HOT_KEYS)
-            .select(*keys, F.lit(True).alias("_hot")))
+def small_side(df: DataFrame, what: str, most_rows: int = SMALL_ROWS) -> DataFrame:
+    """``df`` marked for broadcasting after its size was checked; a larger one raises ValueError.
+
+    For configurations and code lists, whose keys are a handful of values: shuffled by them, a large other side
+    would end up in as many partitions.
+    """
+    rows = df.limit(most_rows + 1).count()
+    if rows > most_rows:
+        raise ValueError(f"{what} has more than {most_rows} rows")
+    return F.broadcast(df)
+
+
+def hot_keys(counts: DataFrame, keys: list[str], n: str, share: float = HOT_SHARE) -> DataFrame:
+    """The keys that hold at least ``share`` of all rows, at most 1 / share of them."""
+    least = share * counts.agg(F.sum(n)).scalar()
+    return counts.filter(F.col(n) >= least).select(*keys, F.lit(True).alias("_hot"))
 
 
-def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, side_hot: Column, keys: list[str],
-                     spread_by: list[str], salts: int = 64) -> DataFrame:
+def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, keys: list[str], spread_by: list[str],
+                     salts: int = 64) -> DataFrame:
     """Left join in which the rows of hot keys are spread over ``salts`` partitions.
 
-    ``side`` has one row per key; those for which ``side_hot`` holds are copied once per salt.
-    Every key in ``hot`` must be among them; a copied key that is not in ``hot`` is met at salt 0
-    only, so the result is that of the plain join.  ``hot`` (see ``hot_keys``) never exceeds
-    ``HOT_KEYS`` rows and is therefore broadcast.
+    ``side`` has one row per key; those of hot keys are copied once per salt.  ``hot`` (see ``hot_keys``) is bounded
+    by its share and therefore broadcast.
     """
-    marked = rows.join(F.broadcast(hot), keys, "left")
+    hot = F.broadcast(hot)
+    marked = rows.join(hot, keys, "left")
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(side_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    copied = side.withColumn("_salt", F.explode(copies))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    copied = side.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return marked.withColumn("_salt", salt).drop("_hot").join(copied, [*keys, "_salt"], "left").drop("_salt")

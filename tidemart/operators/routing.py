@@ -1,10 +1,14 @@
-"""Routing of change events by a configuration table."""
+"""Routing of change events by a configuration table.
+
+Events hold their rows as text maps here, since the columns wanted are known only from the configuration.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.operators.changes import latest_per_key
+from tidemart.operators.joins import small_side
 
 
 def current_config(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -23,7 +27,8 @@ def route_dimensions(events: DataFrame, config: DataFrame) -> DataFrame:
 
     A delete takes its row from ``before``.  Events of other tables are dropped.
     """
-    side = config.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key")
+    side = small_side(config.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key"),
+                      "the configuration")
     routed = events.withColumn("source_table", F.col("source")["table"]).join(side, "source_table")
     row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     return routed.select("sink_table", "sink_family", row[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms",
@@ -32,7 +37,7 @@ def route_dimensions(events: DataFrame, config: DataFrame) -> DataFrame:
 
 def route_facts(events: DataFrame, config: DataFrame) -> DataFrame:
     """Each event configured by (table, kind) with its sink and wanted columns plus ``ts_ms``."""
-    side = config.select("source_table", "source_type", "sink_table", "sink_columns")
+    side = small_side(config.select("source_table", "source_type", "sink_table", "sink_columns"), "the configuration")
     keyed = events.withColumn("source_table", F.col("source")["table"]).withColumn("source_type", F.col("op"))
     return keyed.join(side, ["source_table", "source_type"]).select(
         "sink_table", prune_columns(F.col("after"), F.col("sink_columns")).alias("data"), "ts_ms")

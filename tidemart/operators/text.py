@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Send the functions themselves to the workers, which then need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-# A dictionary up to this size is matched inside the tasks; a larger one by a join.
-TASK_WORDS = 200_000
+# Letters by which dictionary words are looked for: each word by the largest size that it reaches.
+GRAM_SIZES = (1, 2, 3, 5, 8)
+# Words that the segmenter takes at most.
+SEGMENT_WORDS = 500_000
 
 _WORD = r"[\p{L}\p{N}]+"
 
@@ -31,14 +33,8 @@ def explode_keywords(df: DataFrame, text: str, keyword: str = "keyword") -> Data
 
 def register_keyword_function(spark: SparkSession, name: str = "keywords_of") -> None:
     """Table function for SQL: ``from t, lateral keywords_of(t.text)`` gives column ``keyword``."""
-    @F.udtf(returnType="keyword string")
-    class Keywords:
-        def eval(self, text: str):
-            if text is not None:
-                for word in dict.fromkeys(re.findall(r"[^\W_]+", text.lower())):
-                    yield (word,)
-
-    spark.udtf.register(name, Keywords)
+    spark.sql(f"""CREATE OR REPLACE TEMPORARY FUNCTION {name}(text STRING) RETURNS TABLE (keyword STRING)
+        RETURN SELECT explode(array_distinct(regexp_extract_all(lower({name}.text), r'({_WORD})', 1)))""")
 
 
 # -- segmentation of text written without spaces -----------------------------------------
@@ -55,8 +51,7 @@ def longest_words(run: str, words: set[str], longest: int) -> list[str]:
     return out
 
 
-def segmenter(words: list[str]):
-    """Column function: distinct words of a text, Han runs cut by the given dictionary."""
+def _segmenter(words: list[str]):
     known, longest = set(words), max(map(len, words), default=1)
 
     @F.pandas_udf("array<string>")
@@ -77,6 +72,24 @@ def segmenter(words: list[str]):
     return segment
 
 
+def with_segments(df: DataFrame, words: DataFrame, text: str, out: str, most_words: int = SEGMENT_WORDS) -> DataFrame:
+    """Distinct words of ``text``, Han runs cut by the dictionary's ``word``; only texts that hold Han leave the JVM.
+
+    The dictionary goes to the tasks, so its size is checked: one of more than ``most_words`` raises ValueError.
+    """
+    known = [r[0] for r in words.select("word").filter("word != ''").distinct().limit(most_words + 1).collect()]
+    if len(known) > most_words:
+        raise ValueError(f"the segmenter takes at most {most_words} words")
+    han = F.col(text).rlike("[一-鿿]")
+    cut = df.withColumn("_cut", _segmenter(known)(F.when(han, F.col(text))))
+    return cut.withColumn(out, F.when(han, F.col("_cut")).otherwise(words_of(F.col(text)))).drop("_cut")
+
+
+def explode_segments(df: DataFrame, words: DataFrame, text: str, keyword: str = "keyword") -> DataFrame:
+    """As ``explode_keywords``, with Han runs cut by the dictionary."""
+    return with_segments(df, words, text, "_words").withColumn(keyword, F.explode("_words")).drop("_words")
+
+
 # -- membership -------------------------------------------------------------------------
 
 def last_piece(text: Column) -> Column:
@@ -99,54 +112,32 @@ def membership_map(df: DataFrame, words: DataFrame, key: str, pieces: str) -> Da
         F.map_from_entries(F.collect_list(F.struct("piece", "in_dictionary"))).alias("membership"))
 
 
-def _finder(words: list[str]):
-    @F.pandas_udf("array<string>")
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        try:
-            import ahocorasick
-        except ImportError:
-            def matches(text):
-                return {w for w in words if w in text}
-        else:
-            automaton = ahocorasick.Automaton()
-            for word in words:
-                automaton.add_word(word, word)
-            if words:
-                automaton.make_automaton()
-
-            def matches(text):
-                return {w for _, w in automaton.iter(text)} if words else set()
+def with_words_inside(df: DataFrame, words: DataFrame, text: str, out: str) -> DataFrame:
+    """All dictionary words that occur anywhere in ``text``, as a sorted array; null for a null text.
 
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else sorted(matches(t)))
-
-    return find
-
-
-def with_words_inside(df: DataFrame, words: DataFrame, text: str, out: str, key: list[str],
-                      task_words: int = TASK_WORDS) -> DataFrame:
-    """All dictionary words that occur anywhere in ``text``, as a sorted array.
-
-    Up to ``task_words`` words are shipped to the tasks and every text is scanned once.  A
-    larger dictionary is joined with the texts' substrings; ``key`` must then be unique.
+    Every word is found by its first letters, as many as one of GRAM_SIZES allows: the distinct grams of each
+    distinct text are joined with those, and what meets is looked up in the whole text.  Empty words do not count.
     """
-    known = [r[0] for r in words.select("word").limit(task_words + 1).collect()]
-    if len(known) <= task_words:
-        return df.withColumn(out, _finder(known)(F.col(text)))
-    return df.join(_words_by_join(df, words, text, out, key), key, "left") \
-        .withColumn(out, F.when(F.col(text).isNotNull(), F.coalesce(out, F.array().cast("array<string>"))))
-
-
-def _words_by_join(df: DataFrame, words: DataFrame, text: str, out: str, key: list[str]) -> DataFrame:
-    sizes = [r[0] for r in words.select(F.length("word").alias("n")).distinct().collect()]
-    letters = df.select(*key, F.split(text, "").alias("_l"))
-    grams = None
-    for size in sizes:
-        starts = F.sequence(F.lit(1), F.greatest(F.size("_l") - size + 1, F.lit(1)))
-        cut = F.transform(starts, lambda i: F.array_join(F.slice(F.col("_l"), i, size), ""))
-        part = letters.select(*key, F.explode(F.array_distinct(cut)).alias("word"))
-        grams = part if grams is None else grams.unionByName(part)
-    return grams.join(words.select("word"), "word").groupBy(*key).agg(F.array_sort(F.collect_set("word")).alias(out))
+    sizes = F.array(*[F.lit(n) for n in GRAM_SIZES])
+    size = F.array_max(F.filter(sizes, lambda n: n <= F.length("word")))
+    known = words.select("word").filter("word != ''").distinct().withColumn("_size", size)
+    known = known.withColumn("_gram", F.substring("word", F.lit(1), F.col("_size")))
+    keyed = df.withColumn("_text", F.sha2(text, 256))
+    texts = keyed.select("_text", F.col(text).alias("_whole")).filter("_text is not null").dropDuplicates(["_text"])
+
+    def grams(n: int) -> Column:
+        found = F.regexp_extract_all("_whole", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
+        return F.transform(F.array_distinct(found), lambda g: F.struct(F.lit(n).alias("_size"), g.alias("_gram")))
+
+    cut = texts.select("_text", F.inline(F.concat(*[grams(n) for n in GRAM_SIZES])))
+    met = cut.join(known, ["_size", "_gram"]).select("_text", "word", "_size")
+    # A word no longer than its gram is found already; the others are looked up.
+    whole = met.filter(F.length("word") == F.col("_size")).select("_text", "word")
+    longer = met.filter(F.length("word") > F.col("_size")).join(texts, "_text").filter(F.contains("_whole", "word"))
+    found = whole.unionByName(longer.select("_text", "word")).groupBy("_text").agg(F.array_sort(F.collect_set("word")).alias(out))
+    joined = keyed.drop(out).join(found, "_text", "left")
+    filled = F.when(F.col("_text").isNotNull(), F.coalesce(out, F.array().cast("array<string>")))
+    return joined.withColumn(out, filled).select(*[c for c in df.columns if c != out], out)
 
 
 # -- grading ----------------------------------------------------------------------------
@@ -159,10 +150,10 @@ def grade_by_last_piece(df: DataFrame, words: DataFrame, text: str = "msg") -> D
                          F.when(F.col("_hit"), F.col("_last")).otherwise("").alias("violation_msg"))
 
 
-def grade_by_words_inside(df: DataFrame, words: DataFrame, key: list[str], text: str = "msg") -> DataFrame:
+def grade_by_words_inside(df: DataFrame, words: DataFrame, text: str = "msg") -> DataFrame:
     """Grade P1, naming the words, when an ungraded text has dictionary words inside."""
-    unseen = df.withColumn("_text", F.when(F.col("is_violation") == 0, F.col(text)))
-    found = with_words_inside(unseen, words, "_text", "_found", key)
+    unseen = df.withColumn("_unseen", F.when(F.col("is_violation") == 0, F.col(text)))
+    found = with_words_inside(unseen, words, "_unseen", "_found")
     hit = F.coalesce(F.size("_found") > 0, F.lit(False))
     return found.select(*[c for c in df.columns if c not in ("violation_grade", "violation_msg")],
                         F.when(hit, "P1").otherwise(F.col("violation_grade")).alias("violation_grade"),

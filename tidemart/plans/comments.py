@@ -21,11 +21,16 @@ def comment_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
         "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts_ms")
 
 
+def comment_sides(events: etl.Feed, dictionary: DataFrame, order_columns: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """Comments with the name of their appraisal, and orders with all columns as ``info_*``."""
+    comments = dictionary_name_or(etl.flat_comments(events), dictionary, "appraise", "dic_name")
+    return comments, prefixed(etl.flat_orders(events, order_columns))
+
+
 def comment_order_fact(events: etl.Feed, dictionary: DataFrame, order_columns: dict[str, str],
                        within_ms: int = MINUTE_MS, tz: str | None = None) -> DataFrame:
     """Comments with their order's columns as ``info_*``, if both came within a minute."""
-    comments = dictionary_name_or(etl.flat_comments(events), dictionary, "appraise", "dic_name")
-    orders = prefixed(etl.flat_orders(events, order_columns))
+    comments, orders = comment_sides(events, dictionary, order_columns)
     joined = interval_join(comments, orders, {"order_id": "info_id"}, "ts_ms", "info_tm_ms",
                            -within_ms, within_ms, spread="left")
     return etl.with_day_key(joined, "ts_ms", tz)
@@ -39,5 +44,5 @@ def moderation(comments: DataFrame, words: DataFrame) -> DataFrame:
     rows = drop_repeats(comments, ["order_id", "ts_ms"]).select(
         "order_id", "user_id", F.col("info_consignee").alias("consignee"), "ts_ms", "ds",
         F.col("comment_txt").alias("msg"))
-    graded = grade_by_words_inside(grade_by_last_piece(rows, words), words, ["order_id", "ts_ms"])
+    graded = grade_by_words_inside(grade_by_last_piece(rows, words), words)
     return graded.drop("order_id")

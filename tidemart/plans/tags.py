@@ -21,20 +21,29 @@ def _unique(events: etl.Feed, table: str, columns: dict[str, str]) -> DataFrame:
     return drop_repeats(rows, ["id", "ts_ms"])
 
 
-def user_attributes(events: etl.Feed, as_of: Column, within_ms: int = HOUR_MS) -> DataFrame:
-    """Users with age, age band, era, star sign, and body measures that came within the hour."""
-    birthday = F.col("birthday")
-    users = _unique(events, "user_info", {"name": "string", "birthday": "int", "gender": "string"}).select(
-        "id", "name", "ts_ms", from_epoch_days(birthday).alias("birthday"),
-        people.gender_or_home(F.col("gender")).alias("gender"))
-    users = users.withColumn("age", people.age_years(birthday, as_of)).select(
+def user_rows(rows: DataFrame, as_of: Column) -> DataFrame:
+    """Age, age band, era and star sign of users given as id, name, birthday, gender, ts_ms; further columns stay."""
+    birthday, more = F.col("birthday"), [c for c in rows.columns if c not in ("id", "name", "birthday", "gender", "ts_ms")]
+    users = rows.withColumns({"birthday": from_epoch_days(birthday), "gender": people.gender_or_home(F.col("gender"))})
+    return users.withColumn("age", people.age_years(birthday, as_of)).select(
         "id", "ts_ms", "name", birthday.cast("string").alias("birthday"), "gender", "age",
         people.age_band(F.col("age")).alias("age_group"), people.era(birthday).alias("era"),
-        people.star_sign(birthday).alias("constellation"))
-    body = etl.drop_deletes(etl.of_table(events, "user_info_sup_msg")).select(
+        people.star_sign(birthday).alias("constellation"), *more)
+
+
+def body_rows(events: etl.Feed) -> DataFrame:
+    return etl.drop_deletes(etl.of_table(events, "user_info_sup_msg")).select(
         F.col("after")["uid"].cast("bigint").alias("_uid"), F.col("ts_ms").alias("_body_ts"),
         *etl.after({"height": "string", "unit_height": "string", "weight": "string", "unit_weight": "string"}))
-    return interval_join(users, body, {"id": "_uid"}, "ts_ms", "_body_ts", -within_ms, within_ms).drop(
+
+
+USER_COLUMNS = {"name": "string", "birthday": "int", "gender": "string"}
+
+
+def user_attributes(events: etl.Feed, as_of: Column, within_ms: int = HOUR_MS) -> DataFrame:
+    """Users with age, age band, era, star sign, and body measures that came within the hour."""
+    users = user_rows(_unique(events, "user_info", USER_COLUMNS), as_of)
+    return interval_join(users, body_rows(events), {"id": "_uid"}, "ts_ms", "_body_ts", -within_ms, within_ms).drop(
         "_uid", "_body_ts")
 
 

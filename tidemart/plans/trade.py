@@ -47,22 +47,31 @@ def order_detail_fact(events: etl.Feed) -> DataFrame:
         *schemas.ORDER_DETAIL_FACT.names)
 
 
+def cancels(events: etl.Feed) -> DataFrame:
+    """Orders that go from unpaid to cancelled: cancel_id, cancel_time, cancel_ts."""
+    return etl.transition(events, "order_info", "order_status", "1003", "1001").select(
+        F.col("after")["id"].cast("bigint").alias("cancel_id"),
+        F.col("after")["operate_time"].cast("bigint").alias("cancel_time"), F.col("ts_ms").alias("cancel_ts"))
+
+
+def cancel_columns(joined: DataFrame) -> DataFrame:
+    kept = [c for c in schemas.ORDER_DETAIL_FACT.names if c not in ("date_id", "create_time", "ts_ms")]
+    return joined.select(*kept[:9], to_date_text(F.col("cancel_time")).alias("date_id"), "cancel_time", *kept[9:],
+                         F.col("cancel_ts").alias("ts_ms"))
+
+
 def order_cancel_fact(order_details: DataFrame, events: etl.Feed, within_ms: int | None = None) -> DataFrame:
     """Lines of orders that go from unpaid to cancelled.
 
     ``within_ms`` keeps the lines that are at most so much older or newer than the cancel.
     """
-    cancels = etl.transition(events, "order_info", "order_status", "1003", "1001").select(
-        F.col("after")["id"].cast("bigint").alias("cancel_id"),
-        F.col("after")["operate_time"].cast("bigint").alias("cancel_time"), F.col("ts_ms").alias("cancel_ts"))
+    side = cancels(events)
     if within_ms is None:
-        joined = order_details.join(cancels, F.col("order_id") == F.col("cancel_id"))
+        joined = order_details.join(side, F.col("order_id") == F.col("cancel_id"))
     else:
-        joined = interval_join(order_details, cancels, {"order_id": "cancel_id"}, "ts_ms", "cancel_ts",
+        joined = interval_join(order_details, side, {"order_id": "cancel_id"}, "ts_ms", "cancel_ts",
                                -within_ms, within_ms, spread="right")
-    kept = [c for c in schemas.ORDER_DETAIL_FACT.names if c not in ("date_id", "create_time", "ts_ms")]
-    return joined.select(*kept[:9], to_date_text(F.col("cancel_time")).alias("date_id"), "cancel_time", *kept[9:],
-                         F.col("cancel_ts").alias("ts_ms"))
+    return cancel_columns(joined)
 
 
 def payment_fact(order_details: DataFrame, events: etl.Feed, dictionary: DataFrame) -> DataFrame:
@@ -80,41 +89,66 @@ def payment_fact(order_details: DataFrame, events: etl.Feed, dictionary: DataFra
                          F.col("split_total_amount").alias("split_payment_amount"), F.col("paid_ts").alias("ts_ms"))
 
 
-def refund_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
-    """Refund requests of orders set to refunding; type and reason named from one dictionary."""
+def refund_requests(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
+    """Refund requests, type and reason named from one dictionary."""
     refunds = etl.of_table(events, "order_refund_info", "c").select(
         *etl.after({"id": "bigint", "user_id": "bigint", "order_id": "bigint", "sku_id": "bigint"}),
         F.col("after")["create_time"].cast("bigint").alias("create_time"),
         F.col("after")["refund_type"].alias("refund_type_code"),
         F.col("after")["refund_reason_type"].alias("refund_reason_type_code"),
         *etl.after({"refund_reason_txt": "string", "refund_num": "bigint", "refund_amount": MONEY}), "ts_ms")
-    orders = etl.transition(events, "order_info", "order_status", "1005").select(
-        *etl.after({"id": "bigint", "province_id": "int"}))
-    fact = dictionary_name(refunds, dictionary, "refund_type_code", "refund_type_name")
-    fact = dictionary_name(fact, dictionary, "refund_reason_type_code", "refund_reason_type_name")
-    fact = lookup(fact, orders, {"order_id": "id"}, {"province_id": "province_id"}, "inner")
-    return fact.select("id", "user_id", "order_id", "sku_id", "province_id",
-                       to_date_text(F.col("create_time")).alias("date_id"), "create_time", "refund_type_code",
-                       "refund_type_name", "refund_reason_type_code", "refund_reason_type_name",
-                       "refund_reason_txt", "refund_num", "refund_amount", "ts_ms")
+    named = dictionary_name(refunds, dictionary, "refund_type_code", "refund_type_name")
+    return dictionary_name(named, dictionary, "refund_reason_type_code", "refund_reason_type_name")
 
 
-def refund_payment_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
-    """Refunds paid out: payment, request and order all reached their final state."""
+def orders_set_to(events: etl.Feed, status: str) -> DataFrame:
+    """Orders that reach a status: set_id, set_user, set_province, set_ts."""
+    return etl.transition(events, "order_info", "order_status", status).select(
+        F.col("after")["id"].cast("bigint").alias("set_id"), F.col("after")["user_id"].cast("bigint").alias("set_user"),
+        F.col("after")["province_id"].cast("int").alias("set_province"), F.col("ts_ms").alias("set_ts"))
+
+
+def refund_columns(joined: DataFrame) -> DataFrame:
+    return joined.select("id", "user_id", "order_id", "sku_id", F.col("set_province").alias("province_id"),
+                         to_date_text(F.col("create_time")).alias("date_id"), "create_time", "refund_type_code",
+                         "refund_type_name", "refund_reason_type_code", "refund_reason_type_name",
+                         "refund_reason_txt", "refund_num", "refund_amount", "ts_ms")
+
+
+def refund_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
+    """Refund requests of orders set to refunding; type and reason named from one dictionary."""
+    orders = orders_set_to(events, "1005")
+    return refund_columns(refund_requests(events, dictionary).join(orders, F.col("order_id") == F.col("set_id")))
+
+
+def refunds_paid(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
+    """Refund payments that succeed, with the name of their payment type."""
     paid = etl.transition(events, "refund_payment", "refund_status", "1602").select(
         *etl.after({"id": "bigint", "order_id": "bigint", "sku_id": "bigint"}),
         F.col("after")["payment_type"].alias("payment_type_code"), *etl.after({"callback_time": "bigint"}),
         F.col("after")["total_amount"].cast(MONEY).alias("refund_amount"), "ts_ms")
-    requests = etl.transition(events, "order_refund_info", "refund_status", "0705").select(
-        *etl.after({"order_id": "bigint", "sku_id": "bigint", "refund_num": "bigint"}))
-    orders = etl.transition(events, "order_info", "order_status", "1006").select(
-        *etl.after({"id": "bigint", "user_id": "bigint", "province_id": "int"}))
-    fact = lookup(dictionary_name(paid, dictionary, "payment_type_code", "payment_type_name"), requests,
-                  {"order_id": "order_id", "sku_id": "sku_id"}, {"refund_num": "refund_num"}, "inner")
-    fact = lookup(fact, orders, {"order_id": "id"}, {"user_id": "user_id", "province_id": "province_id"}, "inner")
-    return fact.select("id", "user_id", "order_id", "sku_id", "province_id", "payment_type_code",
-                       "payment_type_name", to_date_text(F.col("callback_time")).alias("date_id"), "callback_time",
-                       "refund_num", "refund_amount", "ts_ms")
+    return dictionary_name(paid, dictionary, "payment_type_code", "payment_type_name")
+
+
+def requests_completed(events: etl.Feed) -> DataFrame:
+    """Refund requests that are completed: done_order, done_sku, refund_num, done_ts."""
+    return etl.transition(events, "order_refund_info", "refund_status", "0705").select(
+        F.col("after")["order_id"].cast("bigint").alias("done_order"), F.col("after")["sku_id"].cast("bigint").alias("done_sku"),
+        *etl.after({"refund_num": "bigint"}), F.col("ts_ms").alias("done_ts"))
+
+
+def refund_payment_columns(joined: DataFrame) -> DataFrame:
+    return joined.select("id", F.col("set_user").alias("user_id"), "order_id", "sku_id",
+                         F.col("set_province").alias("province_id"), "payment_type_code", "payment_type_name",
+                         to_date_text(F.col("callback_time")).alias("date_id"), "callback_time", "refund_num",
+                         "refund_amount", "ts_ms")
+
+
+def refund_payment_fact(events: etl.Feed, dictionary: DataFrame) -> DataFrame:
+    """Refunds paid out: payment, request and order all reached their final state."""
+    joined = refunds_paid(events, dictionary).join(
+        requests_completed(events), (F.col("order_id") == F.col("done_order")) & (F.col("sku_id") == F.col("done_sku")))
+    return refund_payment_columns(joined.join(orders_set_to(events, "1006"), F.col("order_id") == F.col("set_id")))
 
 
 # -- order summaries -------------------------------------------------------------------

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemart.operators import etl
 from tidemart.operators.firsttime import daily_logins, first_of_day
-from tidemart.operators.text import explode_keywords
+from tidemart.operators.text import explode_keywords, explode_segments
 from tidemart.operators.windows import of_date, total, tumble
 
 VIEW_KEYS = ["vc", "ch", "ar", "is_new"]
@@ -45,10 +45,11 @@ def home_detail_window(logs: DataFrame, size: str = "10 seconds", tz: str | None
                                      F.count_if(~F.col("home")).alias("good_detail_uv_ct")], ts="ts")
 
 
-def keyword_window(logs: DataFrame, size: str = "1 second") -> DataFrame:
-    """How often each word was searched for per window."""
-    words = explode_keywords(etl.searches(logs).select(F.col("page.item").alias("full_word"), "ts"), "full_word")
-    return tumble(words, size, ["keyword"], [F.count("*").alias("keyword_count")], ts="ts")
+def keyword_window(logs: DataFrame, size: str = "1 second", words: DataFrame | None = None) -> DataFrame:
+    """How often each word was searched for per window; phrases without spaces are cut by the dictionary ``words``."""
+    phrases = etl.searches(logs).select(F.col("page.item").alias("full_word"), "ts")
+    found = explode_keywords(phrases, "full_word") if words is None else explode_segments(phrases, words, "full_word")
+    return tumble(found, size, ["keyword"], [F.count("*").alias("keyword_count")], ts="ts")
 
 
 def login_window(logs: DataFrame, size: str = "10 seconds", tz: str | None = None) -> DataFrame:

@@ -6,14 +6,18 @@ appended when the watermark passes the end of a window or an interval.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.operators import etl
 from tidemart.operators.joins import dictionary_name, lookup, stream_interval_join
-from tidemart.operators.text import explode_keywords
+from tidemart.operators.text import explode_keywords, explode_segments
 from tidemart.operators.windows import distinct_count, total, tumble
+from tidemart.operators.logs import split_records
+from tidemart.plans import comments as comment_plans, tags, trade
 from tidemart.plans.traffic import VIEW_KEYS
-from tidemart.streaming.processors import daily_logins_stream, first_of_day_stream, retract_stream
+from tidemart.sources.feeds import app_log, with_event_time
+from tidemart.streaming.processors import (daily_logins_stream, first_of_day_stream, repair_new_visitors_stream,
+                                           retract_stream)
 
 
 def traffic_stream(logs: DataFrame, size: str = "10 seconds", tz: str | None = None) -> DataFrame:
@@ -34,9 +38,10 @@ def home_detail_stream(logs: DataFrame, size: str = "10 seconds", tz: str | None
                                      F.count_if(F.col("page_id") != "home").alias("good_detail_uv_ct")])
 
 
-def keyword_stream(logs: DataFrame, size: str = "1 second") -> DataFrame:
-    words = explode_keywords(etl.searches(logs).select(F.col("page.item").alias("full_word"), "et"), "full_word")
-    return tumble(words, size, ["keyword"], [F.count("*").alias("keyword_count")])
+def keyword_stream(logs: DataFrame, size: str = "1 second", words: DataFrame | None = None) -> DataFrame:
+    phrases = etl.searches(logs).select(F.col("page.item").alias("full_word"), "et")
+    found = explode_keywords(phrases, "full_word") if words is None else explode_segments(phrases, words, "full_word")
+    return tumble(found, size, ["keyword"], [F.count("*").alias("keyword_count")])
 
 
 def login_stream(logs: DataFrame, size: str = "10 seconds", tz: str | None = None) -> DataFrame:
@@ -86,3 +91,70 @@ def order_lines_stream(lines: DataFrame, orders: DataFrame, extras: DataFrame, e
     joined = lines.join(orders, F.expr(f"order_id = oid and order_et between et - {bound} and et + {bound}")) \
         .drop("order_et")
     return joined.join(extras, F.expr(f"id = {extra_key} and extra_et between et - {bound} and et + {bound}"), "left")
+
+
+# -- facts and tags from feeds of change events -------------------------------------------------
+#
+# These take feeds without a watermark and set one on every side of a join, so state ends with the interval.
+
+def _timed(df: DataFrame, ts_ms: str, et: str) -> DataFrame:
+    return with_event_time(df, ts_ms).withColumnRenamed("et", et)
+
+
+def cancel_stream(order_details: DataFrame, events: etl.Feed, within_s: int = 1805) -> DataFrame:
+    """Streaming form of ``order_cancel_fact``; ``order_details`` carries its watermarked ``et``."""
+    side = _timed(trade.cancels(events), "cancel_ts", "cancel_et")
+    return trade.cancel_columns(stream_interval_join(
+        order_details, side, {"order_id": "cancel_id"}, "et", "cancel_et", f"'-{within_s}' second", f"'{within_s}' second"))
+
+
+def refund_stream(events: etl.Feed, dictionary: DataFrame, within_s: int = 7200) -> DataFrame:
+    """Streaming form of ``refund_fact`` for requests and orders set to refunding within the bound of each other."""
+    requests = _timed(trade.refund_requests(events, dictionary), "ts_ms", "et")
+    orders = _timed(trade.orders_set_to(events, "1005"), "set_ts", "set_et")
+    return trade.refund_columns(stream_interval_join(
+        requests, orders, {"order_id": "set_id"}, "et", "set_et", f"'-{within_s}' second", f"'{within_s}' second"))
+
+
+def refund_payment_stream(events: etl.Feed, dictionary: DataFrame, within_s: int = 7200) -> DataFrame:
+    """Streaming form of ``refund_payment_fact``, the three final states within the bound of the payment."""
+    paid = _timed(trade.refunds_paid(events, dictionary), "ts_ms", "et")
+    done = _timed(trade.requests_completed(events), "done_ts", "done_et")
+    orders = _timed(trade.orders_set_to(events, "1006"), "set_ts", "set_et")
+    low, high = f"'-{within_s}' second", f"'{within_s}' second"
+    joined = stream_interval_join(paid, done, {"order_id": "done_order", "sku_id": "done_sku"}, "et", "done_et", low, high)
+    return trade.refund_payment_columns(stream_interval_join(joined, orders, {"order_id": "set_id"}, "et", "set_et", low, high))
+
+
+def comment_order_stream(events: etl.Feed, dictionary: DataFrame, order_columns: dict[str, str], within_s: int = 60,
+                         tz: str | None = None) -> DataFrame:
+    """Streaming form of ``comment_order_fact``.
+
+    Moderation follows per micro-batch: ``sinks.append_result(lambda df: comments.moderation(df, words), path)``.
+    """
+    comments, orders = comment_plans.comment_sides(events, dictionary, order_columns)
+    joined = stream_interval_join(_timed(comments, "ts_ms", "et"), _timed(orders, "info_tm_ms", "info_et"),
+                                  {"order_id": "info_id"}, "et", "info_et", f"'-{within_s}' second", f"'{within_s}' second")
+    return etl.with_day_key(joined.drop("et", "info_et"), "ts_ms", tz)
+
+
+def user_attributes_stream(events: etl.Feed, as_of: Column, within_s: int = 3600) -> DataFrame:
+    """Streaming form of ``user_attributes``; a repeated (id, time) is forgotten with the watermark."""
+    live = etl.drop_deletes(etl.of_table(events, "user_info"))
+    users = with_event_time(live.select(*etl.after({"id": "bigint", **tags.USER_COLUMNS}), "ts_ms"))
+    users = tags.user_rows(users.dropDuplicatesWithinWatermark(["id", "ts_ms"]), as_of)
+    joined = stream_interval_join(users, _timed(tags.body_rows(events), "_body_ts", "_body_et"), {"id": "_uid"}, "et",
+                                  "_body_et", f"'-{within_s}' second", f"'{within_s}' second")
+    return joined.drop("_uid", "_body_ts", "_body_et", "et")
+
+
+def log_records_stream(messages: DataFrame, tz: str | None = None) -> DataFrame:
+    """Raw log lines to (kind, value) records of all five outputs, the visitor flag repaired, in one job."""
+    logs, _ = app_log(messages)
+    flat = logs.select(F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"), "ts",
+                       F.to_json(F.struct(*logs.columns)).alias("line"))
+    fixed = repair_new_visitors_stream(with_event_time(flat, "ts"), tz)
+    fields = F.from_json("line", logs.schema)
+    rows = fixed.select("is_new", fields.alias("r")).select(
+        *[F.col("r.common").withField("is_new", F.col("is_new")).alias(c) if c == "common" else F.col(f"r.{c}") for c in logs.columns])
+    return split_records(rows)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from datetime import timedelta
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, functions as F
@@ -21,9 +22,14 @@ from tidemart.functions.dates import DAY_MS, day_start_millis, local_day
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _LONG = T.StructType([T.StructField("v", T.LongType())])
+_MS = T.StructField("_ms", T.LongType())
 _TEXT = T.StructType([T.StructField("v", T.StringType())])
 
 
+def _with_ms(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, _MS])
+
+
 class _Keyed(StatefulProcessor):
     def close(self) -> None:
         pass
@@ -101,25 +107,33 @@ class FirstVisit(_Keyed):
 
 
 class Retract(_Keyed):
-    """Each row; if the key was seen within ``ttl_ms``, its previous row first, measures negated."""
+    """Each row; if the key was seen within ``ttl_ms``, its previous row first, measures negated.
+
+    A row may not leave with a time that the watermark has passed.  The negation of such a row takes the new
+    row's time: its window is out already, so the correction falls into the present one and totals stay right.
+    """
 
     def __init__(self, schema: T.StructType, measures: list[str], ttl_ms: int):
         self.schema, self.measures, self.ttl_ms = schema, measures, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.previous = handle.getValueState("previous", self.schema)
+        self.previous = handle.getValueState("previous", _with_ms(self.schema))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = self.schema.names
-        previous, last_ms = self.previous.get() if self.previous.exists() else None, 0
+        held = self.previous.get() if self.previous.exists() else None
+        last_ms, passed = 0, timerValues.getCurrentWatermarkInMs()
         for row in rows:
             values, last_ms = tuple(row[n] for n in names), max(last_ms, row["_ms"])
-            if previous is not None:
-                yield Row(**{n: (-(v or 0) if n in self.measures else v) for n, v in zip(names, previous)})
+            if held is not None:
+                negated = {n: (-(v or 0) if n in self.measures else v) for n, v in zip(names, held)}
+                if held[-1] < passed:
+                    negated["et"] = row["et"]
+                yield Row(**negated)
             yield Row(**dict(zip(names, values)))
-            previous = values
-        self.previous.update(previous)
+            held = (*values, row["_ms"])
+        self.previous.update(held)
         for timer in list(self.handle.listTimers()):
             self.handle.deleteTimer(timer)
         self.handle.registerTimer(last_ms + self.ttl_ms)
@@ -132,7 +146,8 @@ class Retract(_Keyed):
 class NewestAfter(_Keyed):
     """The newest row of a key once, ``delay_ms`` of event time after its first row.
 
-    The alternative to ``Retract``: nothing is taken back, results come later.
+    The alternative to ``Retract``: nothing is taken back, results come later.  A row leaves when the watermark has
+    passed it, so its ``et`` is moved up to the watermark; its own time stays in ``ts``.
     """
 
     def __init__(self, schema: T.StructType, delay_ms: int):
@@ -140,7 +155,7 @@ class NewestAfter(_Keyed):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.newest = handle.getValueState("newest", self.schema)
+        self.newest = handle.getValueState("newest", _with_ms(self.schema))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         at = self.schema.names.index("ts")
@@ -150,13 +165,16 @@ class NewestAfter(_Keyed):
             if held is None:
                 self.handle.registerTimer(row["_ms"] + self.delay_ms)
             if held is None or values[at] >= held[at]:
-                held = values
+                held = (*values, row["_ms"])
         self.newest.update(held)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if self.newest.exists():
-            yield Row(**dict(zip(self.schema.names, self.newest.get())))
+            *values, own_ms = self.newest.get()
+            row = dict(zip(self.schema.names, values))
+            row["et"] += timedelta(milliseconds=max(0, timerValues.getCurrentWatermarkInMs() - own_ms))
+            yield Row(**row)
             self.newest.clear()
 
 

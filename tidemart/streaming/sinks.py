@@ -56,6 +56,11 @@ def append_tables(outputs: Callable[[DataFrame], dict[str, DataFrame]], path: st
     return write
 
 
+def append_result(result: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
+    """Append what a batch operator makes of each micro-batch."""
+    return lambda df, batch_id: _write_batch(result(df), batch_id, path, [])
+
+
 def route_dimension_changes(route: Callable[[DataFrame], DataFrame], path: str) -> Callable[[DataFrame, int], None]:
     """Dimension changes by sink table; ``route`` reads the configuration anew for each batch."""
     return lambda df, batch_id: _write_batch(route(df), batch_id, path, ["sink_table"])
@@ -63,15 +68,50 @@ def route_dimension_changes(route: Callable[[DataFrame], DataFrame], path: str)
 
 # -- readers of the tables above ------------------------------------------------------------
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def _base(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
+    """The newest complete compaction of a table and the last batch in it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.base")
+    if not _exists(spark, f"{path}.base"):
+        return None, -1
+    found = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+    done = [int(n.split("=")[1]) for n in found if n.startswith("upto=") and _exists(spark, f"{path}.base/{n}/_SUCCESS")]
+    return (spark.read.parquet(f"{path}.base/upto={max(done)}"), max(done)) if done else (None, -1)
+
+
+def stored_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of an appended table with ``batch_id``: its last compaction and the batches after it."""
+    base, upto = _base(spark, path)
+    later = spark.read.parquet(path).filter(F.col("batch_id") > upto)
+    return later if base is None else base.unionByName(later)
+
+
+def compact(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> int:
+    """Write the newest row per key of all batches so far beside the table and return the last batch in it.
+
+    Readers then skip the batches it covers, whose folders may be removed.  Rows of deletes stay, so an older row
+    that comes late does not return.  The result depends on the batches alone: a repeated run writes the same
+    folder, and one that fails leaves no ``_SUCCESS`` and is not read.  Run one at a time, on batches that are over.
+    """
+    rows = stored_rows(spark, path)
+    upto = rows.agg(F.max("batch_id")).first()[0]
+    newest = latest_per_key(rows, keys, [*order, "batch_id"])
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}.base/upto={upto}")
+    return upto
+
+
 def upserted(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
     """The newest row per key of an appended table (the upsert view)."""
-    rows = spark.read.parquet(path)
-    return latest_per_key(rows, keys, [*order, "batch_id"]).drop("batch_id")
+    return latest_per_key(stored_rows(spark, path), keys, [*order, "batch_id"]).drop("batch_id")
 
 
 def dimension_view(spark: SparkSession, path: str, sink_table: str) -> DataFrame:
     """The rows of one dimension in force; only that dimension's folders are read."""
-    changes = spark.read.parquet(path).filter(F.col("sink_table") == sink_table)
+    changes = stored_rows(spark, path).filter(F.col("sink_table") == sink_table)
     return current_dimension(changes, ["ts_ms", "batch_id"])
 
 

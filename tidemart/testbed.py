@@ -10,14 +10,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemart.functions.score import BRAND_LEVELS, CATEGORY_LEVELS
 from tidemart.operators.changes import union_all
-from tidemart.sources.feeds import as_change_events, text_map, typed_row
+from tidemart.sources.feeds import as_change_events, clean_words, text_map, typed_row
 
 DB = "shop"
+# Words of the segmenter's dictionary, one for each of the five regions, and the phrases made of them.
+HAN_WORDS = ["手机", "健康", "健康食品", "白色", "华为"]
+HAN_PHRASE = "concat({0}, {1}, '的', {0})"
 DAY0_MS = 1_704_067_200_000
 BRANDS = BRAND_LEVELS["equipment"] + BRAND_LEVELS["trend"] + ["other"]
 CATEGORIES = CATEGORY_LEVELS["trend"] + CATEGORY_LEVELS["home"] + CATEGORY_LEVELS["health"] + ["other"]
 KEYWORD_TYPES = ["时尚与潮流", "性价比", "健康与养生", "家庭与育儿", "科技与数码", "学习与发展", "other"]
-SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 
 
 def ms(key: str) -> str:
@@ -34,6 +36,11 @@ def pick(values: list[str], index: str) -> str:
     return f"get(array({', '.join(repr(v) for v in values)}), cast({index} as int))"
 
 
+def han_phrase(key: str) -> str:
+    """SQL for a phrase without spaces, of two dictionary words and a character that is none."""
+    return HAN_PHRASE.format(pick(HAN_WORDS, f"({key}) % 5"), pick(HAN_WORDS, f"({key}) % 3"))
+
+
 def money(sql: str) -> str:
     return f"cast({sql} as decimal(16,2))"
 
@@ -65,14 +72,9 @@ class Testbed:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        """A test table.  A large one that comes as fewer scan tasks than there are cores (the test
-        files hold a single row group) is spread first; a table of many files is not."""
+        """A test table as its files come."""
         if name not in self._tables:
-            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-            cores = self.spark.sparkContext.defaultParallelism
-            if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores, SPREAD_BY[name])
-            self._tables[name] = df
+            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
         return self._tables[name]
 
     # -- logs -------------------------------------------------------------------------
@@ -201,11 +203,10 @@ class Testbed:
         return self._events(completed, "refund_payment", "u", at, columns, {**columns, "refund_status": "'1601'"})
 
     def comment_info_events(self) -> DataFrame:
-        """Documents as comments on orders; every fifth has its first word appended after a comma."""
-        first = "regexp_extract(lower(text), '(\\\\p{L}+)', 1)"
+        """Documents as comments on orders; every fourth ends in a comma and a word, of which most are in the dictionary."""
         columns = {"id": "doc_id", "user_id": "doc_id % 150", "sku_id": "doc_id % 200", "spu_id": "doc_id % 50",
                    "order_id": "doc_id", "appraise": "cast(doc_id % 30 + 1200 as string)",
-                   "comment_txt": f"if(doc_id % 5 = 0, concat(text, ',', {first}), text)", "nick_name": "source",
+                   "comment_txt": "if(doc_id % 4 = 0, concat(text, ',badword', doc_id % 40), text)", "nick_name": "source",
                    "create_time": ms("doc_id")}
         return self._events(self.table("documents"), "comment_info", "c",
                             f"{ms('doc_id')} + (doc_id % 5 - 2) * 40000", columns)
@@ -213,7 +214,7 @@ class Testbed:
     def user_info_events(self) -> DataFrame:
         """Customers as users; every tenth event comes twice."""
         sent = self.table("customer").selectExpr("*", "explode(if(c_custkey % 10 = 0, array(0, 1), array(0))) as i")
-        columns = {"id": "c_custkey", "name": "c_name", "birthday": "cast(3650 + c_custkey * 7 % 14000 as int)",
+        columns = {"id": "c_custkey", "name": "c_name", "birthday": "cast(c_custkey * 37 % 21000 - 3650 as int)",
                    "gender": "case c_custkey % 3 when 1 then 'M' when 2 then 'F' end"}
         return self._events(sent, "user_info", "u", ms("c_custkey * 3"), columns, columns)
 
@@ -296,7 +297,15 @@ class Testbed:
             "n", "explode(array('signup', 'error', 'click', 'view', 'purchase')) as kind").selectExpr(
             "concat('k', n, ' ', kind) as category_name", f"{pick(KEYWORD_TYPES, 'n % 7')} as search_category")
 
+    def raw_words(self) -> DataFrame:
+        """Words of at least nine letters in the benchmark texts and some made ones, with blanks and repeats."""
+        long = self.table("benchmark").selectExpr("explode(regexp_extract_all(lower(text), '(\\\\p{L}{9,})', 1)) as word")
+        made = self.table("nation").selectExpr("concat('badword', n_nationkey) as word")
+        return long.unionByName(made).selectExpr("explode(array(word, concat('  ', word, ' '), '  ')) as word")
+
     def words(self) -> DataFrame:
-        """Dictionary: words of at least nine letters in the benchmark texts."""
-        return self.table("benchmark").selectExpr(
-            "explode(regexp_extract_all(lower(text), '(\\\\p{L}{9,})', 1)) as word").distinct()
+        return clean_words(self.raw_words())
+
+    def han_words(self) -> DataFrame:
+        """Dictionary of the segmenter; one word begins another."""
+        return self.table("region").selectExpr(f"{pick(HAN_WORDS, 'r_regionkey')} as word")
