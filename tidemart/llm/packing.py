@@ -8,15 +8,17 @@ lanes before it left, which follow from counts alone: share times all tokens bef
 
 from __future__ import annotations
 
-import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemart.llm.common import saved
-from tidemart.llm.tokens import tokenizer, vocabulary
+from tidemart.llm.tokens import distinct_parts, spelled, text_blocks, tokenizer, vocabulary
 
 WINDOW = 2048
 END_ID = 1
@@ -24,7 +26,6 @@ LANE_TOKENS = 1 << 20   # tokens of a lane, about; one task packs a lane
 RUN_TOKENS = 1 << 16    # tokens of a row of the saved table at most
 LEAST_SEND = 256        # a visited source sends so many tokens even on less credit, and owes them
 KNOWN_WORDS = 1_000_000   # words whose ids a worker remembers
-_MARK = re.compile(r"(?<=[a-z])([.,!?])(?=[ \n]|\Z)")
 _WORDS: dict[str, dict[str, bytes]] = {}
 
 
@@ -36,46 +37,68 @@ class WordIds:
         self.kind = np.dtype("<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4")
 
     @staticmethod
-    def words(text: str) -> list[str]:
-        """Fewer different words by steps that the vocabulary's own normalizer and splitter take anyway: ASCII lower
-        case (not where it could spell a special token), and a mark alone after a letter as a word of its own."""
-        if "<|" not in text:
-            text = text.encode().lower().decode()
-        return _MARK.sub(r" \1", text).replace("\n", " ").split(" ")
-
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for first in range(0, len(texts), 64):
-            split = [self.words(text) for text in texts[first:first + 64]]
-            if len(self.known) > KNOWN_WORDS:
-                self.known.clear()
-            missing = list(set().union(*split).difference(self.known))
-            for word, found in zip(missing, self.coder.encode_batch_fast(missing, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
-
-
-def _runs(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+    def spread(texts: pa.Array) -> pa.Array:
+        """Texts with blanks between words.
+
+        Fewer different words by steps that the vocabulary's own normalizer and splitter take anyway: ASCII lower
+        case (not where it could spell a special token), and a mark alone after a letter as a word of its own.
+        """
+        low = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        low = pc.replace_substring_regex(low, r"([a-z])([.,!?])([ \n]|\z)", r"\1 \2\3")
+        return pc.replace_substring(low, "\n", " ")
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts of one block one after the other, and where each text's begin and the last end."""
+        words, numbers, begin = distinct_parts(self.spread(texts))
+        if len(self.known) > KNOWN_WORDS:
+            self.known.clear()
+        rest, split, pack = [], self.coder.model.tokenize, "H" if self.kind.itemsize == 2 else "I"
+        for word in set(words).difference(self.known):
+            low = spelled(word.lower()) if "\u0130" not in word else None
+            if low is None:
+                rest.append(word)
+            else:  # one word for the vocabulary, so its model is asked directly
+                self.known[word] = struct.pack(f"<{len(found := split(low))}{pack}", *[t.id for t in found])
+        for word, found in zip(rest, self.coder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+            self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+        held = [self.known[w] for w in words]
+        pool = np.frombuffer(b"".join(held), dtype=self.kind)
+        sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // self.kind.itemsize
+        first = np.cumsum(sizes) - sizes
+        sizes, first = sizes[numbers], first[numbers]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return pool[np.repeat(first - ends[:-1], sizes) + np.arange(ends[-1])], ends[begin]
+
+
+def _runs(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     coder = WordIds(path)
-    end = np.array([END_ID], dtype=coder.kind).tobytes()
-    step = RUN_TOKENS * coder.kind.itemsize
+    end = np.array([END_ID], dtype=coder.kind)
     for batch in batches:
-        out = []
-        for doc_id, source, ids in zip(batch["doc_id"], batch["source"], coder.encode(batch["text"].tolist()), strict=True):
-            ids += end
-            total = len(ids) // coder.kind.itemsize
-            for at in range(0, len(ids), step):
-                part = ids[at:at + step]
-                out.append((doc_id, source, at // coder.kind.itemsize, len(part) // coder.kind.itemsize, total, part))
-        yield pd.DataFrame(out, columns=["doc_id", "source", "start", "n", "doc_tokens", "ids"])
+        row, start, n, total, parts = [], [], [], [], []
+        for block in text_blocks(batch.column("text")):
+            ids, bounds = coder.encode(block)
+            first = row[-1] + 1 if row else 0
+            for k, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+                own = np.concatenate((ids[a:b], end))
+                for at in range(0, len(own), RUN_TOKENS):
+                    part = own[at:at + RUN_TOKENS]
+                    row.append(first + k)
+                    start.append(at)
+                    n.append(len(part))
+                    total.append(len(own))
+                    parts.append(part.tobytes())
+        at = pa.array(row, pa.int64())
+        columns = [batch.column("doc_id").take(at), batch.column("source").take(at), *[pa.array(x, pa.int64()) for x in (start, n, total)],
+                   pa.array(parts, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "start", "n", "doc_tokens", "ids"])
 
 
 def token_runs(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, source, start, n, doc_tokens, ids): the ids of every document with its end id, in little-endian runs."""
     rows = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), F.coalesce("text", F.lit("")).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInPandas(lambda it: _runs(it, path),
-                            f"doc_id {kind}, source string, start long, n long, doc_tokens long, ids binary")
+    return rows.mapInArrow(lambda it: _runs(it, path),
+                           f"doc_id {kind}, source string, start long, n long, doc_tokens long, ids binary")
 
 
 def window_sizes(total: int, window: int) -> list[int]:
