@@ -13,15 +13,17 @@ import os
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 CHUNK_CHARS = 1 << 16   # characters between two cuts of a huge document
 OVERLAP_CHARS = 256     # encoded beyond a cut on either side
-BATCH_TEXTS = 64        # texts whose new pieces are encoded in one call
+BLOCK_BYTES = 1 << 21   # text whose new pieces are encoded in one call
 KNOWN_PIECES = 1_000_000
 _CUT = re.compile(r"(?<=\S) ")
-_BLANKS = re.compile(r"\s ")
 _MARKED = re.compile(r"[A-Za-z][.,]\Z")
 _COUNTS: dict[str, dict[str, int]] = {}
 _LOADED: dict[str, object] = {}
@@ -43,6 +45,24 @@ def tokenizer(path: str):
     return _LOADED[path]
 
 
+def _byte_characters() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: printable Latin-1 as itself, the others by characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+_SPELL = _byte_characters()
+BLANK = _SPELL[32]
+
+
+def spelled(word: str) -> str | None:
+    """The byte-level spelling of a word of Latin letters alone, which splitters keep whole; None for others."""
+    if word.isalpha() and max(word) < "\u0250":
+        return word if word.isascii() else word.encode().decode("latin-1").translate(_SPELL)
+    return None
+
+
 def cuts(text: str, size: int) -> list[int]:
     """Places to cut ``text``, about ``size`` apart: a place without a fit blank moves on to the next one."""
     out, at = [0], size
@@ -98,6 +118,24 @@ def _encode_chunks(batches: Iterator[pd.DataFrame], path: str, overlap: int) ->
         yield pd.DataFrame({"row": batch["row"], "n": [n for n, _ in found], "fits": [f for _, f in found]})
 
 
+def distinct_parts(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """What blanks separate: the distinct parts, the number of each part in order, and where each text's begin."""
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), lists.offsets.to_numpy()
+
+
+def text_blocks(texts: pa.Array, size: int = BLOCK_BYTES) -> Iterator[pa.Array]:
+    """Slices of about ``size`` bytes, a longer text on its own."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < len(texts):
+        start = sizes[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(sizes, start + size, "right")))
+        yield texts.slice(first, last - first)
+        first = last
+
+
 class PieceCounts:
     """Token counts of texts as sums over their pieces between cuts; counts of pieces are remembered."""
 
@@ -107,26 +145,47 @@ class PieceCounts:
     def _plain(self, texts: list[str]) -> list[int]:
         return [len(e) for e in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def of(self, texts: list[str]) -> list[int]:
+    def _learn(self, parts: set[str]) -> None:
         """``known`` holds pieces that follow a blank, without it."""
-        split = [_CUT.split(t) if _BLANKS.search(t) else t.split(" ") for t in texts]
         if len(self.known) > KNOWN_PIECES:
             self.known.clear()
-        missing = set().union(*[parts[1:] for parts in split]).difference(self.known)
+        missing = parts.difference(self.known)
         # A mark alone at the end of a word is a token of its own.
         marked = {p for p in missing if _MARKED.search(p)}
-        stems = list((missing - marked | {p[:-1] for p in marked}).difference(self.known))
-        self.known.update(zip(stems, self._plain([f" {p}" for p in stems]), strict=True))
+        stems, rest, split = (missing - marked | {p[:-1] for p in marked}).difference(self.known), [], self.coder.model.tokenize
+        for stem in stems:
+            word = spelled(stem)
+            if word is None:
+                rest.append(stem)
+            else:  # one word for the vocabulary, so its model is asked directly
+                self.known[stem] = len(split(BLANK + word))
+        self.known.update(zip(rest, self._plain([f" {p}" for p in rest]), strict=True))
         self.known.update((p, self.known[p[:-1]] + 1) for p in marked)
-        find = self.known.__getitem__
-        return [n + sum(map(find, parts[1:])) for n, parts in zip(self._plain([p[0] for p in split]), split, strict=True)]
-
 
-def _count_short(batches: Iterator[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+    def of(self, texts: pa.Array) -> np.ndarray:
+        """The counts of the texts of one block."""
+        # A blank behind other white space is no cut; texts with one are taken apart by the pattern.
+        odd = pc.match_substring_regex(texts, r"[\s\v\x{1c}-\x{1f}\x{85}\p{Z}] ").to_numpy(zero_copy_only=False)
+        out = np.zeros(len(texts), dtype=np.int64)
+        plain, numbers, begin = distinct_parts(texts.filter(pa.array(~odd)))
+        held = [_CUT.split(t) for t in texts.filter(pa.array(odd)).to_pylist()]
+        self._learn(set(plain).union(*[parts[1:] for parts in held]))
+        counts = np.fromiter(map(self.known.__getitem__, plain), dtype=np.int64, count=len(plain))[numbers]
+        if len(begin) > 1:
+            counts[begin[:-1]] = 0  # a text's first part follows no blank
+            out[~odd] = np.add.reduceat(counts, begin[:-1]) + self._plain([plain[k] for k in numbers[begin[:-1]]])
+        out[odd] = [n + sum(map(self.known.__getitem__, parts[1:]))
+                    for n, parts in zip(self._plain([p[0] for p in held]), held, strict=True)]
+        return out
+
+
+def _count_short(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    counter = PieceCounts(path)
     for batch in batches:
-        counter, texts = PieceCounts(path), batch["text"].tolist()
-        counts = [n for k in range(0, len(texts), BATCH_TEXTS) for n in counter.of(texts[k:k + BATCH_TEXTS])]
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "n_bytes": batch["n_bytes"], "n_tokens": counts})
+        counts = [counter.of(block) for block in text_blocks(batch.column("text"))]
+        counts = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(counts)],
+                                         ["doc_id", "n_bytes", "n_tokens"])
 
 
 def _count_whole(batches: Iterator[pd.DataFrame], path: str, size: int, overlap: int) -> Iterator[pd.DataFrame]:
@@ -154,8 +213,8 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 1024, ch
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("n_bytes", F.octet_length("text").cast("long"))
     is_short = F.length("text") <= chunk_chars
-    schema = "doc_id long, n_bytes long, n_tokens long"
-    short = rows.filter(is_short).mapInPandas(lambda it: _count_short(it, path), schema)
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_bytes long, n_tokens long"
+    short = rows.filter(is_short).mapInArrow(lambda it: _count_short(it, path), schema)
     # A row is known by its id and text, so repeated rows share one count.
     huge = rows.filter(~is_short).withColumn("row", F.sha2("text", 256))
     texts = huge.select("row", "text").dropDuplicates(["row"])
