@@ -267,9 +267,8 @@ def varied(seed, groups, copies, words, edits):
     rng.shuffle(out)
     return out
 
-@pytest.mark.parametrize("words,edits", [((1, 12), 1), ((5, 60), 2), ((60, 200), 6)])
-def test_components_equal_all_pairs(spark, monkeypatch, words, edits):
-    monkeypatch.setattr(jaccard, "FREQUENT", 3)  # so that frequent shingles occur in a small table
+@pytest.mark.parametrize("words,edits", [((1, 12), 1), ((5, 60), 2), ((60, 200), 6), ((300, 600), 20)])
+def test_components_equal_all_pairs(spark, words, edits):
     texts = varied(len(str(words)) + edits, 25, 8, words, edits)
     sets = {k: shingles(t) for k, t in enumerate(texts)}
     found = jaccard.similar_documents(documents(spark, texts))
