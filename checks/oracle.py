@@ -3,10 +3,52 @@
 from __future__ import annotations
 
 from checks.queries import AS_OF, REPORT_DAY
-from tidemart.functions.score import (BANDS, BRAND_LEVELS, CATEGORY_LEVELS, FACTOR_SHARE, FACTOR_WEIGHTS)
 from tidemart.testbed import BRANDS, CATEGORIES, KEYWORD_TYPES
 
 
+BANDS = ["18-24", "25-29", "30-34", "35-39", "40-49", "50+"]
+
+# Share of each factor, and its weight per level for the bands above.
+FACTOR_SHARE = {"category": "0.30", "brand": "0.20", "price": "0.15", "day_part": "0.10",
+                "keyword": "0.15", "os": "0.10"}
+FACTOR_WEIGHTS = {
+    "category": {"潮流服饰": [.9, .8, .6, .4, .2, .1],
+                 "家具用品": [.2, .4, .6, .8, .9, .7],
+                 "健康食品": [.1, .2, .4, .6, .8, .9]},
+    "brand": {"设备类": [.9, .7, .5, .3, .2, .1],
+              "服饰类": [.1, .3, .5, .7, .8, .9]},
+    "price": {"高价商品": [.1, .2, .3, .4, .5, .6],
+              "中价商品": [.2, .4, .6, .7, .8, .7],
+              "低价商品": [.8, .6, .4, .3, .2, .1]},
+    "day_part": {"凌晨": [.2, .1, .1, .1, .1, .1],
+                 "早晨": [.1, .1, .1, .1, .2, .3],
+                 "上午": [.2, .2, .2, .2, .3, .4],
+                 "中午": [.4, .4, .4, .4, .4, .3],
+                 "下午": [.4, .5, .5, .5, .5, .4],
+                 "晚上": [.8, .7, .6, .5, .4, .3],
+                 "夜间": [.9, .7, .5, .3, .2, .1]},
+    "keyword": {"时尚与潮流": [.9, .7, .5, .3, .2, .1],
+                "性价比": [.2, .4, .6, .7, .8, .8],
+                "健康与养生": [.1, .2, .4, .6, .8, .9],
+                "家庭与育儿": [.1, .2, .4, .6, .8, .7],
+                "科技与数码": [.8, .6, .4, .3, .2, .1],
+                "学习与发展": [.4, .5, .6, .7, .8, .7]},
+    "os": {"Android": [.8, .7, .6, .5, .4, .3],
+           "iOS": [.7, .6, .5, .4, .3, .2]},
+}
+
+# The types of categories and brands, and which belong to which.
+CATEGORY_LEVELS = {
+    "潮流服饰": ["珠宝", "礼品箱包", "鞋靴", "服饰内衣", "个护化妆"],
+    "家具用品": ["母婴", "钟表", "厨具", "电脑办公", "家居家装", "家用电器", "图书、音像、电子书刊", "手机", "汽车用品", "数码"],
+    "健康食品": ["运动健康", "食品饮料、保健食品"],
+}
+BRAND_LEVELS = {
+    "设备类": ["Redmi", "苹果", "联想", "TCL", "小米"],
+    "服饰类": ["长粒香", "金沙河", "索芙特", "CAREMiLLE", "欧莱雅", "香奈儿"],
+}
+
+
 def _ms(key: str) -> str:
     return f"(1704067200000 + (({key}) * 7919 % 2592000) * 1000)"
 
@@ -176,6 +218,10 @@ oracle("src_snapshot_events", "", """select 'r' as op, 1704067200000 as ts_ms, c
 oracle("src_page_log_maps", "logs", f"""select mid, page_id, during_time, ts, {_text('ts')} as et from logs""")
 oracle("src_word_list", "words", "select word from words")
 
+oracle("src_word_list_file", "words", "select word from words")
+oracle("src_text_messages", "", "select event_id || ' ' || event_type as value from events")
+oracle("src_dictionary", "dic", "select dic_code, dic_name from dic")
+
 # -- event filters and projections ----------------------------------------------------------
 
 oracle("etl_valid_events", "part_events", """select op, id, ts_ms from part_events
@@ -478,6 +524,7 @@ def _scored(source: str, band: str, columns: dict[str, str]) -> str:
         if factor == "category":
             score = f"case when list_contains({_list(BANDS)}, r.{band}) then {score} else -1 end"
         scores.append(f"cast({score} as decimal(6,3)) as {_FACTORS[factor]}")
+    scores += ["l_category.level as category_type", "l_brand.level as tm_type"]
     parts = " + ".join(f"coalesce({c}, 0)" for c in _FACTORS.values())
     return f"""with weights(factor, level, band, score) as (values {_WEIGHTS}), levels(factor, name, level) as (values
         {_LEVELS}), rws as ({source}), parts as (select r.*, {', '.join(scores)} from rws r {joins}),
@@ -572,3 +619,21 @@ oracle("tag_age", "lines order_events products attributes logs", "with " + _ORDE
 oracle("sink_json_records", "carts", """select 'dwd_trade_cart_add' as topic, cast(id as varchar) as "key",
     '{"id":' || id || ',"user_id":' || user_id || ',"sku_id":' || sku_id || ',"sku_num":' || sku_num
     || ',"ts_ms":' || ts_ms || '}' as "value" from carts""")
+
+
+def _of(name: str) -> str:
+    """The SQL of another query as a table."""
+    return f"({_ORACLE[name]})"
+
+
+oracle("src_stored_table", "", f"select * from {_of('fact_cart_add')}")
+oracle("sink_topics_per_record", "", f"""select sink_table as topic, cast(ts_ms as varchar) as "key", count(*) as n
+    from {_of('fact_routed_rows')} group by all""")
+oracle("sink_appended_windows", "", f"select * exclude (cur_date) from ({_with(['ranked_lines'], _provinces(DAY))})")
+oracle("sink_upserted", "lines", """select id, ts_ms, seq, sku_id from (select *, row_number() over (partition by id
+    order by ts_ms desc, seq desc) as rn from lines) where rn = 1""")
+oracle("sink_dimension_view", "", f"select * from {_of('dim_current_rows')} where sink_table = 'dim_part'")
+oracle("sink_split_outputs", "", f"select kind, count(*) as n from {_of('log_records')} group by kind")
+oracle("ads_reports_of_today", "", f"""select 'gmv' as report, '' as name, round(sum(order_amount), 2) as v from {_of('dws_province_orders_hourly')}
+    union all select 'province', province_name, round(sum(order_amount), 2) from {_of('dws_province_orders_hourly')} group by province_name
+    union all (select 'channel', ch, cast(sum(uv_ct) as double) as v from {_of('dws_traffic')} group by ch order by v desc, ch limit 10)""")

@@ -5,6 +5,8 @@ Every result is flat: integers as bigint, amounts as double, dates and times as
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -14,7 +16,9 @@ from tidemart.functions import dates, people
 from tidemart.functions.score import with_age_scores
 from tidemart.operators import changes, etl, firsttime, joins, logs as log_ops, routing, text, windows
 from tidemart.plans import applogs, comments, dims, serving, tags, trade, traffic
+from tidemart.session import shared_dir
 from tidemart.sources import feeds
+from tidemart.streaming import sinks
 from tidemart.testbed import BRANDS, CATEGORIES, DB, KEYWORD_TYPES, Testbed, han_phrase, order_ms, pick
 
 AS_OF = "2024-02-01"
@@ -87,6 +91,45 @@ def src_page_log_maps(t: Testbed):
                                         F.date_format("et", dates.DATE_TIME).alias("et"))
 
 
+def _folder(t: Testbed, name: str) -> str:
+    """A new shared folder; on one machine without one a temporary folder."""
+    fallback = tempfile.mkdtemp(prefix="tidemart-") if t.spark.sparkContext.master.startswith("local[") else None
+    return shared_dir(t.spark, f"{name}-{uuid.uuid4().hex}", fallback)
+
+
+@query
+def src_text_messages(t: Testbed):
+    """Lines written as text files and read again."""
+    path = _folder(t, "lines")
+    t.table("events").selectExpr("concat(event_id, ' ', event_type) as value").write.text(path)
+    return feeds.text_messages(t.spark, path)
+
+
+@query
+def src_stored_table(t: Testbed):
+    """A fact written and read again by its schema."""
+    path, fact = _folder(t, "carts"), trade.cart_add_fact(t.feed("cart_info"))
+    fact.write.parquet(path)
+    return feeds.stored_table(t.spark, path, fact.schema)
+
+
+@query
+def src_dictionary(t: Testbed):
+    """The code dictionary as a stored table with further columns."""
+    path = _folder(t, "dictionary")
+    t.dictionary().withColumn("parent_code", F.lit("0")).write.parquet(path)
+    return feeds.dictionary(t.spark, path)
+
+
+@query
+def src_word_list_file(t: Testbed):
+    """Words read from a text file, cleaned, saved and read again."""
+    lines, path = _folder(t, "lines"), _folder(t, "words")
+    t.raw_words().write.text(lines)
+    feeds.save_words(feeds.word_list(t.spark, lines), path)
+    return t.spark.read.parquet(path)
+
+
 @query
 def src_word_list(t: Testbed):
     """Words with blanks around them, repeats and blank rows."""
@@ -667,7 +710,7 @@ def tag_age(t: Testbed):
                          joins.flat_products(**t.product_dims()), t.keyword_types(), "event_id",
                          user_ms=120 * HOUR_MS, log_ms=48 * HOUR_MS)
     return rows.select("user_id", "name", "age_group", "id", "te", "ts", "category_name", "tm_name", "price_sensitive",
-                       "time_period", "keyword", "keyword_type", "os", "category_score", "tm_score",
+                       "time_period", "keyword", "keyword_type", "os", "category_type", "tm_type", "category_score", "tm_score",
                        "price_sensitive_score", "time_period_score", "keyword_type_score", "os_score", "total_score",
                        "new_age_group")
 
@@ -677,6 +720,69 @@ def tag_age(t: Testbed):
 @query
 def sink_json_records(t: Testbed):
     """Cart facts as (topic, key, value) records with snake_case JSON."""
-    from tidemart.streaming.sinks import json_records
+    return sinks.json_records(trade.cart_add_fact(t.feed("cart_info")), F.lit("dwd_trade_cart_add"), ["id"])
+
+
+@query
+def sink_topics_per_record(t: Testbed):
+    """Routed facts as records whose topic varies, written by topic and read again."""
+    path = _folder(t, "topics")
+    routed = dims.fact_rows(t.mixed_feed("part", "cart_info"), t.fact_config_events())
+    sinks.append_table(path, ["topic"])(sinks.json_records(routed, F.col("sink_table"), ["ts_ms"]), 0)
+    return t.spark.read.parquet(path).select("topic", "key").groupBy("topic", "key").agg(F.count("*").alias("n"))
 
-    return json_records(trade.cart_add_fact(t.feed("cart_info")), F.lit("dwd_trade_cart_add"), ["id"])
+
+@query
+def sink_appended_windows(t: Testbed):
+    """Window rows appended by date in two batches, of which one came twice."""
+    path, rows = _folder(t, "windows"), _province_windows(t, "1 day")
+    write = sinks.append_table(path, ["cur_date"])
+    for batch in (0, 1, 1):
+        write(rows.filter(F.col("province_id") % 2 == batch), batch)
+    return t.spark.read.parquet(path).drop("batch_id", "cur_date")
+
+
+@query
+def sink_upserted(t: Testbed):
+    """The newest row per order line of three batches, of which two were compacted."""
+    path, rows = _folder(t, "lines"), t.lines().select("id", "ts_ms", "seq", "sku_id")
+    write = sinks.append_table(path)
+    for batch in range(3):
+        write(rows.filter(F.col("sku_id") % 3 == batch), batch)
+        if batch == 1:
+            sinks.compact(t.spark, path, ["id"], ["ts_ms", "seq"])
+    return sinks.upserted(t.spark, path, ["id"], ["ts_ms", "seq"])
+
+
+@query
+def sink_dimension_view(t: Testbed):
+    """Rows of one dimension in force, from routed changes written by table and compacted."""
+    path = _folder(t, "dimensions")
+    changes_of = sinks.route_dimension_changes(lambda df: dims.dimension_rows(df, t.dim_config_events(), DB), path)
+    changes_of(t.mixed_feed("part", "supplier"), 0)
+    sinks.compact(t.spark, path, ["sink_table", "row_key"], ["ts_ms"])
+    return sinks.dimension_view(t.spark, path, "dim_part").select("sink_table", "row_key", _sorted_entries("data"), "ts_ms")
+
+
+@query
+def sink_split_outputs(t: Testbed):
+    """The five outputs of one micro-batch of logs, written side by side and counted."""
+    path = _folder(t, "logs")
+    logs, _ = feeds.app_log(t.messages())
+    sinks.append_tables(log_ops.split_logs, path)(logs, 0)
+    counts = [t.spark.read.parquet(f"{path}/{kind}").agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+              for kind in ("err", "start", "display", "action", "page")]
+    return changes.union_all(counts)
+
+
+@query
+def ads_reports_of_today(t: Testbed):
+    """The reports at their defaults: today, ten channels; all windows are dated today for it."""
+    today = F.date_format(F.current_date(), dates.DATE)
+    orders = _province_windows(t, "1 hour").withColumn("cur_date", today)
+    channels = serving.top_channels(traffic.traffic_window(t.logs()).withColumn("cur_date", today))
+    return changes.union_all([
+        serving.gmv(orders).select(F.lit("gmv").alias("report"), F.lit("").alias("name"), F.col("order_amount").cast("double").alias("v")),
+        serving.province_amounts(orders).select(F.lit("province"), "province_name", F.col("order_amount").cast("double"))
+        .toDF("report", "name", "v"),
+        channels.select(F.lit("channel"), "ch", F.col("uv_ct").cast("double")).toDF("report", "name", "v")])

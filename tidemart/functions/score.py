@@ -15,11 +15,11 @@ SCORE = "decimal(4,3)"
 FACTOR_SHARE = {"category": "0.30", "brand": "0.20", "price": "0.15", "day_part": "0.10",
                 "keyword": "0.15", "os": "0.10"}
 FACTOR_WEIGHTS = {
-    "category": {"trend": [.9, .8, .6, .4, .2, .1],
-                 "home": [.2, .4, .6, .8, .9, .7],
-                 "health": [.1, .2, .4, .6, .8, .9]},
-    "brand": {"equipment": [.9, .7, .5, .3, .2, .1],
-              "trend": [.1, .3, .5, .7, .8, .9]},
+    "category": {"潮流服饰": [.9, .8, .6, .4, .2, .1],
+                 "家具用品": [.2, .4, .6, .8, .9, .7],
+                 "健康食品": [.1, .2, .4, .6, .8, .9]},
+    "brand": {"设备类": [.9, .7, .5, .3, .2, .1],
+              "服饰类": [.1, .3, .5, .7, .8, .9]},
     "price": {"高价商品": [.1, .2, .3, .4, .5, .6],
               "中价商品": [.2, .4, .6, .7, .8, .7],
               "低价商品": [.8, .6, .4, .3, .2, .1]},
@@ -40,15 +40,15 @@ FACTOR_WEIGHTS = {
            "iOS": [.7, .6, .5, .4, .3, .2]},
 }
 
-# Which categories and brands belong to which level.
+# The types of categories and brands, and which belong to which.
 CATEGORY_LEVELS = {
-    "trend": ["珠宝", "礼品箱包", "鞋靴", "服饰内衣", "个护化妆"],
-    "home": ["母婴", "钟表", "厨具", "电脑办公", "家居家装", "家用电器", "图书、音像、电子书刊", "手机", "汽车用品", "数码"],
-    "health": ["运动健康", "食品饮料、保健食品"],
+    "潮流服饰": ["珠宝", "礼品箱包", "鞋靴", "服饰内衣", "个护化妆"],
+    "家具用品": ["母婴", "钟表", "厨具", "电脑办公", "家居家装", "家用电器", "图书、音像、电子书刊", "手机", "汽车用品", "数码"],
+    "健康食品": ["运动健康", "食品饮料、保健食品"],
 }
 BRAND_LEVELS = {
-    "equipment": ["Redmi", "苹果", "联想", "TCL", "小米"],
-    "trend": ["长粒香", "金沙河", "索芙特", "CAREMiLLE", "欧莱雅", "香奈儿"],
+    "设备类": ["Redmi", "苹果", "联想", "TCL", "小米"],
+    "服饰类": ["长粒香", "金沙河", "索芙特", "CAREMiLLE", "欧莱雅", "香奈儿"],
 }
 
 # Lowest total of each re-assigned band.
@@ -87,16 +87,18 @@ def factor_score(factor: str, level: Column, index: Column) -> Column:
 
 def with_age_scores(df: DataFrame, band: str, category: str, brand: str, price: str, day_part: str,
                     keyword_type: str, os: str) -> DataFrame:
-    """Add the six factor scores, their total and the band the total stands for.
+    """Add the types of category and brand, the six factor scores, their total and the band the total stands for.
 
     A user outside the six bands gets -1 as the only score, hence no new band.
     """
     index = F.col("_band")
+    typed = df.withColumns({"_band": band_index(F.col(band)), "category_type": category_level(F.col(category)),
+                            "tm_type": brand_level(F.col(brand))})
     category_score = F.when(index.isNull(), F.lit("-1").cast(SCORE)).otherwise(
-        factor_score("category", category_level(F.col(category)), index))
-    scored = df.withColumn("_band", band_index(F.col(band))).withColumns({
+        factor_score("category", F.col("category_type"), index))
+    scored = typed.withColumns({
         "category_score": category_score,
-        "tm_score": factor_score("brand", brand_level(F.col(brand)), index),
+        "tm_score": factor_score("brand", F.col("tm_type"), index),
         "price_sensitive_score": factor_score("price", F.col(price), index),
         "time_period_score": factor_score("day_part", F.col(day_part), index),
         "keyword_type_score": factor_score("keyword", F.trim(F.col(keyword_type)), index),

@@ -92,7 +92,7 @@ def nested_tag(tags: DataFrame) -> DataFrame:
                     "unit_height", F.col("era").alias("Era"), "name", F.col("user_id").alias("id"), "unit_weight",
                     F.col("new_age_group").alias("new_ageGroup"), F.col("user_ts_ms").alias("ts_ms"), "age", "height")
     age = F.struct("category_name", "create_time", "os", "sku_id", "price_sensitive", "original_total_amount",
-                   "keyword_type", "tm_name", "category1_id", "tm_id", "user_id", "id", "keyword", "order_id",
+                   "keyword_type", "tm_name", "category_type", "tm_type", "category1_id", "tm_id", "user_id", "id", "keyword", "order_id",
                    "category3_id", "category2_id", "time_period", "ts")
     score = F.struct("tm_score", "price_sensitive_score", "time_period_score", "category_score", "os_score",
                      F.col("total_score").alias("TotalScore"), "keyword_type_score")

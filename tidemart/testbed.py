@@ -17,8 +17,8 @@ DB = "shop"
 HAN_WORDS = ["手机", "健康", "健康食品", "白色", "华为"]
 HAN_PHRASE = "concat({0}, {1}, '的', {0})"
 DAY0_MS = 1_704_067_200_000
-BRANDS = BRAND_LEVELS["equipment"] + BRAND_LEVELS["trend"] + ["other"]
-CATEGORIES = CATEGORY_LEVELS["trend"] + CATEGORY_LEVELS["home"] + CATEGORY_LEVELS["health"] + ["other"]
+BRANDS = [b for names in BRAND_LEVELS.values() for b in names] + ["other"]
+CATEGORIES = [c for names in CATEGORY_LEVELS.values() for c in names] + ["other"]
 KEYWORD_TYPES = ["时尚与潮流", "性价比", "健康与养生", "家庭与育儿", "科技与数码", "学习与发展", "other"]
 
 
