@@ -138,7 +138,7 @@ CTE = {
         from documents""",
     "words": """select distinct unnest(regexp_extract_all(lower(text), '(\\p{L}{9,})', 1)) as word from benchmark
         union select 'badword' || n_nationkey from nation""",
-    "users": f"""select c_custkey as id, c_name as name, date '1970-01-01' + cast(c_custkey * 37 % 21000 - 3650 as int)
+    "users": f"""select c_custkey as id, c_name as name, date '1970-01-01' + cast(c_custkey * 137 % 21000 - 3650 as int)
         as birthday, case c_custkey % 3 when 1 then 'M' when 2 then 'F' else 'home' end as gender,
         {_ms('c_custkey * 3')} as ts_ms, {_ms('c_custkey * 3')} + (c_custkey % 7 - 3) * 1500000 as body_ms
         from customer""",

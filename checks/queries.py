@@ -23,7 +23,6 @@ from tidemart.testbed import BRANDS, CATEGORIES, DB, KEYWORD_TYPES, Testbed, han
 
 AS_OF = "2024-02-01"
 REPORT_DAY = "2024-01-10"
-HOT_SHARE = 1 / 5_000
 HOUR_MS = 3_600_000
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -267,10 +266,14 @@ def visitor_repair(t: Testbed):
     return _common(log_ops.repair_new_visitors(t.logs(), "event_id"), "event_id")
 
 
+def hot_share(t: Testbed) -> float:
+    return 1.1 / t.logs().select("common.mid").distinct().count()
+
+
 @query
 def visitor_repair_hot_devices(t: Testbed):
-    """The same with every device of a 5,000th of the rows spread over many partitions."""
-    return _common(log_ops.repair_new_visitors(t.logs(), "event_id", hot_share=HOT_SHARE), "event_id")
+    """The same with every device that has a tenth more rows than the mean spread over many partitions."""
+    return _common(log_ops.repair_new_visitors(t.logs(), "event_id", hot_share=hot_share(t)), "event_id")
 
 
 # -- configuration-driven routing -------------------------------------------------------
@@ -606,7 +609,7 @@ def fn_dates(t: Testbed):
 @query
 def fn_people(t: Testbed):
     key = F.col("c_custkey")
-    birthday = dates.from_epoch_days(key * 37 % 21_000 - 3650)
+    birthday = dates.from_epoch_days(key * 137 % 21_000 - 3650)
     age = people.age_years(birthday, F.lit(AS_OF).cast("date"))
     return t.table("customer").select(
         "c_custkey", birthday.cast("string").alias("birthday"), age.alias("age"), people.age_band(age).alias("age_band"),

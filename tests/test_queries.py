@@ -5,7 +5,7 @@ import pytest
 from __spark_entry__ import entry
 from checks.compare import connect, differences
 from checks.oracle import statements
-from checks.queries import HOT_SHARE, registry
+from checks.queries import hot_share, registry
 from tests.conftest import SF_DIR
 from tidemart.operators import joins, logs
 from tidemart.testbed import Testbed
@@ -45,6 +45,6 @@ def test_every_branch_has_rows(spark, name):
 def test_hot_devices_and_han_phrases_occur(spark):
     t = Testbed(spark, SF_DIR)
     firsts = logs.first_visits(t.logs(), "event_id")
-    hot, devices = joins.hot_keys(firsts, ["_mid"], "_rows", HOT_SHARE).count(), firsts.count()
+    hot, devices = joins.hot_keys(firsts, ["_mid"], "_rows", hot_share(t)).count(), firsts.count()
     assert 0 < hot < devices
     assert registry()["txt_segments"](spark, SF_DIR).filter("word in ('的', '健康食品')").count() > 1

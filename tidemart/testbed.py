@@ -214,7 +214,7 @@ class Testbed:
     def user_info_events(self) -> DataFrame:
         """Customers as users; every tenth event comes twice."""
         sent = self.table("customer").selectExpr("*", "explode(if(c_custkey % 10 = 0, array(0, 1), array(0))) as i")
-        columns = {"id": "c_custkey", "name": "c_name", "birthday": "cast(c_custkey * 37 % 21000 - 3650 as int)",
+        columns = {"id": "c_custkey", "name": "c_name", "birthday": "cast(c_custkey * 137 % 21000 - 3650 as int)",
                    "gender": "case c_custkey % 3 when 1 then 'M' when 2 then 'F' end"}
         return self._events(sent, "user_info", "u", ms("c_custkey * 3"), columns, columns)
 
