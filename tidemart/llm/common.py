@@ -40,6 +40,33 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+FILTER_BITS = 24  # whatever the input; a fuller filter lets more rows pass, which costs time but changes nothing
+
+
+def split_by_filter(rows: DataFrame, ids: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``column`` may be among ``ids`` (one column) and rows whose is not, without a shuffle of the rows.
+
+    The ids are marked in a filter of fixed size, 2**FILTER_BITS bits in all, which is sent to every task.
+    """
+    def spot(c: str) -> Column:
+        return F.pmod(F.xxhash64(F.col(c).cast("long")), F.lit(1 << FILTER_BITS))
+
+    bit = F.expr("shiftleft(1L, cast(pmod(_spot, 64) as int))")
+    word = F.floor(F.col("_spot") / 64).cast("int")
+    marks = ids.select(spot(ids.columns[0]).alias("_spot")).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    marked = rows.withColumn("_spot", spot(column)).withColumn("_word", word)
+    marked = marked.join(F.broadcast(saved(marks)), "_word", "left")
+    maybe = F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))
+    return marked.filter(maybe).select(rows.columns), marked.filter(~maybe).select(rows.columns)
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without those whose doc_id is in the one column of ``ids``; only rows that may be are shuffled."""
+    ids = saved(ids.distinct().toDF("doc_id"))
+    some, others = split_by_filter(docs, ids, "doc_id")
+    return some.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(others)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` computed once; a column named instead may be computed again at every step of a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import hashed_words, letters_table, shingle_hashes
+from tidemart.llm.common import hashed_words, letters_table, shingle_hashes, without_ids
 
 LEAST_RUN = 5
 COVERAGE = 0.5
@@ -138,4 +138,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_run: int = LEAST_R
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without documents that hold an item; rows without a doc_id stay."""
-    return docs.join(contaminated(docs, benchmark).select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, contaminated(docs, benchmark).select("doc_id"))

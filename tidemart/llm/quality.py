@@ -16,15 +16,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, mix64, runs_where, saved
+from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, mix64, runs_where, saved, without_ids
 
 BUCKETS = 1 << 20
-TRAIN_ROWS = 20_000     # labelled documents the evidence is learnt from, about
+TRAIN_ROWS = 12_000     # labelled documents the evidence is learnt from, about
 LEAST_DOCS = 5          # documents a feature must occur in
 LEAST_Z = 4.5           # standard errors by which its rate must differ between the classes
-MOST_FEATURES = 4096    # of those, the ones that differ most are learnt from
+MOST_FEATURES = 2048    # of those, the ones that differ most are learnt from
 PENALTY = 2e-5          # of squared weights in the regression
-STEPS = 400
+STEPS = 300
+UNKNOWN = -10.0         # prior log odds without any labelled document
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning taken as a feature
 CLASSES = ("toxic", "low")
 REJECT = 0.5            # posterior from which a document is rejected
@@ -94,8 +95,10 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     marks = labels.select("doc_id", *[F.coalesce(_bad(c), F.lit(False)).cast("int").alias(c) for c in CLASSES]).dropna()
     marks = marks.dropDuplicates(["doc_id"])
     share = min(1.0, train_rows / max(1, marks.count()))
-    marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select("doc_id", "text").filter("text is not null").join(marks, "doc_id").select("text", *CLASSES)
+    # The sample is drawn by the hash of the id on both sides, so that only its texts are shuffled.
+    drawn = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(1 << 20)) < int(share * (1 << 20))
+    rows = docs.select("doc_id", "text").filter("text is not null").filter(drawn)
+    rows = saved(rows.join(marks.filter(drawn), "doc_id").select("text", *CLASSES))
     sums = ", ".join(f"{c} long" for c in ("feature", "n", *CLASSES))
     counts = saved(rows.mapInPandas(_count, sums).groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *CLASSES)]))
     # Every text has exactly one step of each kind of shape, so those of kind 0 count the documents.
@@ -103,7 +106,7 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     out = {}
     for c in CLASSES:
         bad, good = whole[c], whole["n"] - whole[c]
-        out[c] = {-1: math.log((bad + 0.5) / (good + 0.5))}
+        out[c] = {-1: math.log((bad + 0.5) / (good + 0.5)) if whole["n"] else UNKNOWN}
         if not bad or not good:
             continue
         a, b = F.col(c) / bad, (F.col("n") - F.col(c)) / good
@@ -112,8 +115,10 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
         told = counts.filter((F.col("n") >= LEAST_DOCS) & (z >= LEAST_Z)).orderBy(z.desc(), "feature").limit(MOST_FEATURES)
         chosen = np.sort(np.array([r["feature"] for r in told.select("feature").collect()], dtype=np.int64))
         if len(chosen):
-            held = rows.mapInPandas(lambda it, c=c, chosen=chosen: _chosen(it, c, chosen), "bad int, held array<int>").collect()
-            weights, shift = _fit([r["held"] for r in held], np.array([r["bad"] for r in held], dtype=float), len(chosen))
+            held = rows.mapInPandas(lambda it, c=c, chosen=chosen: _chosen(it, c, chosen), "bad int, held binary").collect()
+            held.sort(key=lambda r: (r["held"], r["bad"]))  # so that the sums do not depend on who came first
+            weights, shift = _fit([np.frombuffer(r["held"], dtype="<u2") for r in held],
+                                  np.array([r["bad"] for r in held], dtype=float), len(chosen))
             out[c] |= dict(zip(chosen.tolist(), weights.tolist(), strict=True)) | {-2: shift - out[c][-1]}
     return out
 
@@ -123,14 +128,14 @@ def _chosen(batches: Iterator[pd.DataFrame], c: str, chosen: np.ndarray) -> Iter
         held = []
         for text in batch["text"]:
             own = features(text.encode())
-            held.append(np.flatnonzero(np.isin(chosen, own, assume_unique=True)).astype(np.int32))
+            held.append(np.flatnonzero(np.isin(chosen, own, assume_unique=True)).astype("<u2").tobytes())
         yield pd.DataFrame({"bad": batch[c], "held": held})
 
 
-def _fit(held: list[list[int]], bad: np.ndarray, size: int) -> tuple[np.ndarray, float]:
+def _fit(held: list[np.ndarray], bad: np.ndarray, size: int) -> tuple[np.ndarray, float]:
     """Weights and shift of a logistic regression over presence, by gradient steps scaled per weight."""
-    row = np.repeat(np.arange(len(held)), [len(x) for x in held])
-    col = np.concatenate([np.array(x, dtype=np.int64) for x in held]) if held else np.zeros(0, dtype=np.int64)
+    row = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held])
+    col = np.concatenate(held).astype(np.int32) if held else np.zeros(0, dtype=np.int32)
     weights, shift = np.zeros(size + 1), math.log((bad.sum() + 0.5) / (len(bad) - bad.sum() + 0.5))
     weights[size] = shift
     mean, square = np.zeros(size + 1), np.zeros(size + 1)
@@ -208,5 +213,4 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: tuple[
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rejected; of rows that share a doc_id one rejected takes all, rows without one stay."""
-    bad = judge(docs, labels).filter("rejected").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, judge(docs, labels).filter("rejected").select("doc_id"))
