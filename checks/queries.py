@@ -248,7 +248,7 @@ def log_pages(t: Testbed):
 def log_records(t: Testbed):
     """All split outputs written as one table: records per kind, with a value read back from the JSON."""
     logs, _ = feeds.app_log(t.messages())
-    records = log_ops.split_records(log_ops.repair_new_visitors(logs, "page"))
+    records = log_ops.split_records(log_ops.repair_new_visitors(logs, "page", visits=feeds.visit_log(t.messages())))
     return records.select("kind", F.get_json_object("value", "$.common.mid").alias("mid"),
                           F.get_json_object("value", "$.common.is_new").alias("is_new"),
                           F.coalesce(F.get_json_object("value", "$.display.item"),

@@ -44,7 +44,7 @@ def test_every_branch_has_rows(spark, name):
 
 def test_hot_devices_and_han_phrases_occur(spark):
     t = Testbed(spark, SF_DIR)
-    firsts = logs.first_visits(t.logs(), "event_id")
+    firsts = logs.first_visits(t.logs())
     hot, devices = joins.hot_keys(firsts, ["_mid"], "_rows", hot_share(t)).count(), firsts.count()
     assert 0 < hot < devices
     assert registry()["txt_segments"](spark, SF_DIR).filter("word in ('的', '健康食品')").count() > 1

@@ -48,30 +48,32 @@ def split_records(logs: DataFrame) -> DataFrame:
     return logs.select(F.explode(records).alias("_r")).select("_r.kind", "_r.value")
 
 
-def first_visits(logs: DataFrame, tie: str, mid: str = "common.mid", is_new: str = "common.is_new",
-                 ts: str = "ts", tz: str | None = None) -> DataFrame:
+def first_visits(logs: DataFrame, mid: str = "common.mid", is_new: str = "common.is_new", ts: str = "ts",
+                 tz: str | None = None) -> DataFrame:
     """First known visit date per device, decided by its earliest row, and its row count.
 
     A row that says "new" dates the first visit to its own day, one that says "old" to the
-    day before; of rows that agree in time and ``tie`` an old one decides.  One partial
-    aggregate, so a hot device never meets in one task.
+    day before; of rows at the same time an old one decides.  One partial aggregate, so a hot
+    device never meets in one task.
     """
     day = local_day(F.col(ts), tz)
     known = F.when(F.col(is_new) == "1", day).otherwise(F.date_sub(day, 1))
     return logs.groupBy(F.col(mid).alias("_mid")).agg(
-        F.min_by(known, F.struct(F.col(ts), F.col(tie), F.col(is_new))).alias("_first_visit"), F.count("*").alias("_rows"))
+        F.min_by(known, F.struct(F.col(ts), F.col(is_new))).alias("_first_visit"), F.count("*").alias("_rows"))
 
 
-def repair_new_visitors(logs: DataFrame, tie: str, tz: str | None = None, hot_share: float = HOT_SHARE) -> DataFrame:
+def repair_new_visitors(logs: DataFrame, spread_by: str, tz: str | None = None, hot_share: float = HOT_SHARE,
+                        visits: DataFrame | None = None) -> DataFrame:
     """Set ``common.is_new`` to 0 where a row says 1 but the device was seen on another day.
 
-    The logs are read twice: once for the first visits, once for the rows.  Rows of devices that hold
-    at least ``hot_share`` of all rows are spread over many partitions.
+    The logs are read twice: once for the first visits, once for the rows.  ``visits`` may give the same rows with
+    ``common.mid``, ``common.is_new`` and ``ts`` alone, where they are cheaper to read.  Rows of devices that hold at
+    least ``hot_share`` of all rows are spread over many partitions by ``spread_by``.
     """
-    firsts = first_visits(logs, tie, tz=tz)
+    firsts = first_visits(logs if visits is None else visits, tz=tz)
     # All uses of ``firsts`` read the same columns, so its aggregation runs once.
     hot = hot_keys(firsts, ["_mid"], "_rows", hot_share)
-    joined = salted_left_join(logs.withColumn("_mid", F.col("common.mid")), firsts, hot, ["_mid"], ["ts", tie])
+    joined = salted_left_join(logs.withColumn("_mid", F.col("common.mid")), firsts, hot, ["_mid"], ["ts", spread_by])
     stale = (F.col("common.is_new") == "1") & (F.col("_first_visit") != local_day(F.col("ts"), tz))
     fixed = F.when(stale, F.lit("0")).otherwise(F.col("common.is_new"))
     return joined.withColumn("common", F.col("common").withField("is_new", fixed)).select(*logs.columns)

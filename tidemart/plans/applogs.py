@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tidemart.operators.logs import repair_new_visitors, split_logs
-from tidemart.sources.feeds import app_log
+from tidemart.sources.feeds import app_log, visit_log
 
 
 def split_messages(messages: DataFrame, tz: str | None = None) -> dict[str, DataFrame]:
     """Raw lines to err, start, display, action, page and dirty.
 
-    The visitor flag is repaired first.  Rows of a device at equal times are ordered by
-    their page, as a log line carries no other position.
+    The visitor flag is repaired first, in one pass that reads what it needs of the lines and one that reads all.
     """
     logs, dirty = app_log(messages)
-    outputs = split_logs(repair_new_visitors(logs, "page", tz))
+    outputs = split_logs(repair_new_visitors(logs, "page", tz, visits=visit_log(messages)))
     outputs["dirty"] = dirty
     return outputs

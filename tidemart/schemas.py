@@ -42,6 +42,12 @@ APP_LOG = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# What the first visits need of a log line.
+VISIT_LOG = T.StructType([
+    T.StructField("common", T.StructType([f for f in _COMMON.fields if f.name in ("mid", "is_new")])),
+    T.StructField("ts", T.LongType()),
+])
+
 # The page log read as a table of maps.
 PAGE_LOG_MAPS = T.StructType([
     T.StructField("common", _TEXT_MAP),

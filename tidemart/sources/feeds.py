@@ -107,6 +107,11 @@ def app_log(messages: DataFrame, value: str = "value") -> tuple[DataFrame, DataF
     return split_dirty(drop_tombstones(messages, value), schemas.APP_LOG, value)
 
 
+def visit_log(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Device, visitor flag and time of the valid log lines, without parsing the rest of them into columns."""
+    return split_dirty(drop_tombstones(messages, value), schemas.VISIT_LOG, value)[0]
+
+
 # -- tables as change events ----------------------------------------------------------
 
 def text_map(columns: dict[str, str]) -> str:

@@ -13,6 +13,8 @@ from tidemart.operators.changes import union_all
 from tidemart.sources.feeds import as_change_events, clean_words, text_map, typed_row
 
 DB = "shop"
+SPREAD = "tidemart.testbed.spread"
+SPREAD_BY = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "event_id", "documents": "doc_id"}
 # Words of the segmenter's dictionary, one for each of the five regions, and the phrases made of them.
 HAN_WORDS = ["手机", "健康", "健康食品", "白色", "华为"]
 HAN_PHRASE = "concat({0}, {1}, '的', {0})"
@@ -72,9 +74,15 @@ class Testbed:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        """A test table as its files come."""
+        """A test table as its files come.
+
+        The test files hold one row group each, so they are read by one task.  Where the session sets ``SPREAD`` to a
+        number, as ``bench.py`` does, the large ones are dealt to as many partitions first, like tables of many files.
+        """
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+            parts = self.spark.conf.get(SPREAD, None)
+            self._tables[name] = df.repartition(int(parts), SPREAD_BY[name]) if parts and name in SPREAD_BY else df
         return self._tables[name]
 
     # -- logs -------------------------------------------------------------------------
