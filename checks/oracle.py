@@ -614,6 +614,24 @@ oracle("tag_age", "lines order_events products attributes logs", "with " + _ORDE
     select * exclude (rn) from (select *, row_number() over (partition by user_id, name order by te, id, ts) as rn
     from scored) where rn = 1""")
 
+CTE["users2"] = f"""select o_custkey as id, 'user ' || o_custkey as name, date '1970-01-01'
+    + cast(o_custkey * 137 % 21000 - 3650 as int) as birthday, {_ms('o_orderkey')} + o_orderkey % 5 * 20000 as ts_ms from orders"""
+CTE["aged2"] = CTE["aged"].replace("from users", "from users2")
+CTE["banded2"] = CTE["banded"].replace("from aged", "from aged2")
+NEEDS["aged2"], NEEDS["banded2"] = ["users2"], ["aged2"]
+oracle("tag_age_default_bounds", "lines order_events products banded2", "with " + _ORDER_ROWS + f""",
+    known as (select a.* exclude (te), u.name, u.age_band, greatest(a.te, u.ts_ms) as te from order_age a
+        join banded2 u on u.id = a.user_id and u.ts_ms between a.te - 60000 and a.te + 60000),
+    searches as (select log_uid, ts, if(log_uid % 2 = 0, 'Android', 'iOS') as os, 'k' || k || ' view' as keyword, k
+        from (select *, max(ts) over (partition by log_uid order by event_id rows between unbounded preceding
+            and 1 preceding) as top from (select o_custkey as log_uid, {_ms('o_orderkey')} + o_orderkey % 3 * 2400000 as ts,
+            o_orderkey % 100 as k, o_orderkey as event_id from orders)) where top is null or ts > top),
+    searched as (select known.*, ts, os, keyword, k from known join searches on log_uid = user_id
+        and ts between te - 3600000 and te + 3600000),
+    scored as ({_TAG})
+    select * exclude (rn) from (select *, row_number() over (partition by user_id, name order by te, id, ts) as rn
+    from scored) where rn = 1""")
+
 # -- records for sinks ----------------------------------------------------------------------
 
 oracle("sink_json_records", "carts", """select 'dwd_trade_cart_add' as topic, cast(id as varchar) as "key",

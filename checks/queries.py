@@ -707,15 +707,34 @@ def tag_order_rows(t: Testbed):
     return tags.order_age_rows(t.feed("order_detail", "order_info"), joins.flat_products(**t.product_dims()))
 
 
+TAG_COLUMNS = """user_id name age_group id te ts category_name tm_name price_sensitive time_period keyword
+keyword_type os category_type tm_type category_score tm_score price_sensitive_score time_period_score
+keyword_type_score os_score total_score new_age_group""".split()
+
+
 @query
 def tag_age(t: Testbed):
     rows = tags.age_tags(t.feed("order_detail", "order_info"), _users(t), etl.log_profile(t.logs(), ["event_id"]),
                          joins.flat_products(**t.product_dims()), t.keyword_types(), "event_id",
                          user_ms=120 * HOUR_MS, log_ms=48 * HOUR_MS)
-    return rows.select("user_id", "name", "age_group", "id", "te", "ts", "category_name", "tm_name", "price_sensitive",
-                       "time_period", "keyword", "keyword_type", "os", "category_type", "tm_type", "category_score", "tm_score",
-                       "price_sensitive_score", "time_period_score", "keyword_type_score", "os_score", "total_score",
-                       "new_age_group")
+    return rows.select(*TAG_COLUMNS)
+
+
+
+@query
+def tag_age_default_bounds(t: Testbed):
+    """The tag at its own bounds: users a minute and searches an hour around the order, both derived from the orders."""
+    orders = t.table("orders").select("o_orderkey", "o_custkey", order_ms("o_orderkey").alias("ms"))
+    users = tags.user_rows(orders.selectExpr(
+        "o_custkey as id", "concat('user ', o_custkey) as name", "cast(o_custkey * 137 % 21000 - 3650 as int) as birthday",
+        "case o_custkey % 3 when 1 then 'M' when 2 then 'F' end as gender", "ms + o_orderkey % 5 * 20000 as ts_ms"),
+        F.lit(AS_OF).cast("date"))
+    searches = orders.selectExpr(
+        "cast(o_custkey as string) as uid", "ms + o_orderkey % 3 * 2400000 as ts", "if(o_custkey % 2 = 0, 'Android', 'iOS') as os",
+        "concat('k', o_orderkey % 100, ' view') as keyword", "o_orderkey as event_id")
+    rows = tags.age_tags(t.feed("order_detail", "order_info"), users, searches, joins.flat_products(**t.product_dims()),
+                         t.keyword_types(), "event_id")
+    return rows.select(*TAG_COLUMNS)
 
 
 # -- records for sinks ------------------------------------------------------------------------

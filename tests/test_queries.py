@@ -48,3 +48,7 @@ def test_hot_devices_and_han_phrases_occur(spark):
     hot, devices = joins.hot_keys(firsts, ["_mid"], "_rows", hot_share(t)).count(), firsts.count()
     assert 0 < hot < devices
     assert registry()["txt_segments"](spark, SF_DIR).filter("word in ('的', '健康食品')").count() > 1
+
+
+def test_default_bounds_find_tags(spark):
+    assert not registry()["tag_age_default_bounds"](spark, SF_DIR.replace("0.001", "0.01")).isEmpty()

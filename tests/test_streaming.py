@@ -9,13 +9,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import changes, firsttime
+from tidemart.operators import changes, firsttime, joins
 from tidemart.operators.windows import total, tumble
 from tidemart.operators import logs as log_operators
 from tidemart.plans import comments, tags, trade, traffic
 from tidemart.sources.feeds import app_log, with_event_time
 from tidemart.streaming import plans, processors, sinks
-from tidemart.testbed import Testbed
+from tidemart.testbed import Testbed, ms as testbed_ms
 from tests.conftest import SF_DIR
 
 DAY0 = 1_704_067_200_000
@@ -278,3 +278,26 @@ def test_log_records_stream_equals_batch(spark, tmp_path, testbed):
     got = collect(spark, plans.log_records_stream(stream), tmp_path)
     expected = rows(log_operators.split_records(logs))
     assert len(got) == len(expected) and sorted(r[0] for r in got) == sorted(r[0] for r in expected)
+
+
+def test_age_tag_stream_tags_the_users_of_the_batch(spark, tmp_path, testbed):
+    batch, streams = feed_streams(spark, tmp_path / "in", testbed, "order_info", "order_detail")
+    orders = testbed.table("orders").filter("o_orderstatus is not null")
+    at = testbed_ms("o_orderkey")
+    people = orders.selectExpr("o_custkey as id", "concat('u', o_custkey) as name", "cast(9000 + o_custkey as int) as birthday",
+                               "'M' as gender", f"{at} as ts_ms").dropDuplicates(["id"])
+    found = orders.selectExpr("cast(o_custkey as string) as uid", f"{at} + 60000 as ts", "'iOS' as os",
+                              "concat('k', o_orderkey % 100, ' view') as keyword").dropDuplicates(["uid"])
+    paths = {}
+    for name, df in (("people", tags.user_rows(people, F.lit("2024-02-01").cast("date"))), ("found", found)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+        stored = spark.read.parquet(str(tmp_path / name))
+        paths[name] = stored, spark.readStream.schema(stored.schema).parquet(str(tmp_path / name))
+    products = joins.flat_products(**testbed.product_dims())
+    expected = tags.age_tags(batch, paths["people"][0], paths["found"][0].withColumn("event_id", F.col("ts")), products,
+                             testbed.keyword_types(), "event_id")
+    stream = plans.age_tag_stream(streams, with_event_time(paths["people"][1]), with_event_time(paths["found"][1], "ts"),
+                                  products, testbed.keyword_types())
+    columns = ["user_id", "name", "age_group", "keyword"]
+    wanted = rows(expected.select(columns))
+    assert collect(spark, stream.select(columns), tmp_path) == wanted and wanted

@@ -140,14 +140,36 @@ def comment_order_stream(events: etl.Feed, dictionary: DataFrame, order_columns:
 
 def user_attributes_stream(events: etl.Feed, as_of: Column, within_s: int = 3600) -> DataFrame:
     """Streaming form of ``user_attributes``; a repeated (id, time) is forgotten with the watermark."""
-    live = etl.drop_deletes(etl.of_table(events, "user_info"))
-    users = with_event_time(live.select(*etl.after({"id": "bigint", **tags.USER_COLUMNS}), "ts_ms"))
-    users = tags.user_rows(users.dropDuplicatesWithinWatermark(["id", "ts_ms"]), as_of)
+    users = tags.user_rows(tags.unique_rows(events, "user_info", tags.USER_COLUMNS), as_of)
     joined = stream_interval_join(users, _timed(tags.body_rows(events), "_body_ts", "_body_et"), {"id": "_uid"}, "et",
                                   "_body_et", f"'-{within_s}' second", f"'{within_s}' second")
     return joined.drop("_uid", "_body_ts", "_body_et", "et")
 
 
+def age_tag_stream(events: etl.Feed, users: DataFrame, logs: DataFrame, products: DataFrame, keyword_types: DataFrame,
+                   line_s: int = 60, user_s: int = 60, log_s: int = 3600) -> DataFrame:
+    """Streaming form of ``age_tags``: a user's first tag to arrive, forgotten with the watermark.
+
+    ``users`` (see ``tags.user_rows``) and ``logs`` (``log_profile``, only newest records) carry their watermarked
+    ``et``.  Every join is bounded on the line's event time, so state ends, and then exactly on the time ``te`` so far.
+    """
+    def between(et: str, ts: str, before_s: int, after_s: int, within_s: int) -> Column:
+        return F.expr(f"{et} >= et - interval '{before_s}' second and {et} <= et + interval '{after_s}' second and "
+                      f"{ts} between te - {within_s * 1000} and te + {within_s * 1000}")
+
+    lines, orders = tags.order_sides(events)
+    rows = stream_interval_join(lines, orders, {"order_id": "_order"}, "et", "_order_et", f"'-{line_s}' second", f"'{line_s}' second")
+    rows = rows.withColumn("te", F.greatest("ts_ms", "_order_ts")).drop("_order", "_order_ts", "_order_et", "ts_ms")
+    rows = tags.with_products(rows.dropDuplicatesWithinWatermark(["id", "create_time"]), products)
+    rows = rows.join(tags.user_side(users), (F.col("user_id") == F.col("_uid"))
+                     & between("user_et", "user_ts_ms", user_s, line_s + user_s, user_s))
+    rows = rows.withColumn("te", F.greatest("te", "user_ts_ms")).drop("_uid", "user_et")
+    rows = rows.join(tags.search_side(logs), (F.col("user_id") == F.col("_log_uid"))
+                     & between("log_et", "ts", log_s, line_s + user_s + log_s, log_s))
+    rows = rows.withColumn("te", F.greatest("te", "ts")).drop("_log_uid", "log_et")
+    return tags.scored_rows(rows, keyword_types).dropDuplicatesWithinWatermark(["user_id", "name"])
+
+
 def log_records_stream(messages: DataFrame, tz: str | None = None) -> DataFrame:
     """Raw log lines to (kind, value) records of all five outputs, the visitor flag repaired, in one job."""
     logs, _ = app_log(messages)
