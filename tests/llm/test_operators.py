@@ -268,7 +268,8 @@ def varied(seed, groups, copies, words, edits):
     return out
 
 @pytest.mark.parametrize("words,edits", [((1, 12), 1), ((5, 60), 2), ((60, 200), 6), ((300, 600), 20)])
-def test_components_equal_all_pairs(spark, words, edits):
+def test_components_equal_all_pairs(spark, monkeypatch, words, edits):
+    monkeypatch.setattr(jaccard, "FEW", 3)  # so that some lists are fuller in a small table
     texts = varied(len(str(words)) + edits, 25, 8, words, edits)
     sets = {k: shingles(t) for k, t in enumerate(texts)}
     found = jaccard.similar_documents(documents(spark, texts))

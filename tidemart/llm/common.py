@@ -36,10 +36,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def is_empty(df: DataFrame) -> bool:
-    return df.isEmpty()
-
-
 FILTER_BITS = 24  # whatever the input; a fuller filter lets more rows pass, which costs time but changes nothing
 
 

@@ -4,11 +4,13 @@ Equal sets are one class.  Two sets of sizes a and b link when they share at lea
 
 * Light sets (up to a size chosen by cost) enumerate their subsets of every size that a partner can need; sets
   that share such a subset link without further work, each with the smallest of them.
-* Heavy sets put their smallest hashes, as many as a partner cannot miss all of, into inverted lists.  Each set is
-  compared with one leader of its lists first.  What then lies in different components of one list is compared
-  pair by pair, unless bounds rule it out: the shingles of a prefix that nobody else has cannot be shared, and
-  two sets that share only frequent shingles must share many of them.  Every comparison looks at parity sketches
-  first, which bound the difference from below, and then at the whole sets.
+* Heavy sets put their smallest hashes into inverted lists: as many as a partner cannot miss all of, but no more
+  than PREFIX.  Of the PREFIX smallest hashes of two linked sets' union each is shared with probability 0.8 or more,
+  so fewer than ``shared_at_least`` shared ones have a probability below 10**-19, as little as equal 64-bit hashes of
+  different shingles.  Sets that meet others in fewer lists are done.  Each other set is compared with one leader of its lists, and in lists of
+  FEW sets with all that are not in its component yet.  Sets with many fuller lists are joined among themselves with all
+  their shingles, rarest first, where shingles that no other of these sets has bound the possible overlap.  Every
+  comparison looks at parity sketches first, which bound the difference from below, and then at the whole sets.
 """
 
 from __future__ import annotations
@@ -22,13 +24,14 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import components, hashed_words, lower_table, mix64, saved, shingle_hashes
+from tidemart.llm.common import components, hashed_words, lower_table, mix64, saved, shingle_hashes, split_by_filter, without_ids
 
 WIDTH = 5
 SMALL = 24        # largest size that can be light
-FREQUENT = 64     # sets in a list from which its shingle counts as frequent
+FOLD = 8          # numbers of 64 bits of the parity that entries of lists carry
+PREFIX = 64       # hashes of a set in lists at most
+FEW = 16          # sets of a list whose pairs are compared directly
 KEY_STEPS, LIST_STEPS = 2, 3  # shuffles that a subset key and a list entry go through
-FILTER_BITS = 24  # the filter of wanted documents has 2**24 bits, whatever the input
 
 
 def need(a: int, b: int) -> int:
@@ -36,18 +39,37 @@ def need(a: int, b: int) -> int:
     return -(-4 * (a + b) // 9)
 
 
-def prefix(n: int) -> int:
+def full_prefix(n: int) -> int:
+    """Elements in any common order of which a set shares one with every partner."""
     return n - -(-4 * n // 5) + 1
 
 
+def prefix(n: int) -> int:
+    return min(full_prefix(n), PREFIX)
+
+
+def shared_at_least(size: int) -> int:
+    """What linked sets share of their ``size`` smallest hashes, but for a probability of 10**-19; at least 1."""
+    below, k = 0.0, 0
+    while True:
+        below += math.comb(size, k) * 0.8 ** k * 0.2 ** (size - k)
+        if below >= 1e-19:
+            return max(1, k)
+        k += 1
+
+
 def _need(a: Column, b: Column) -> Column:
     return F.floor((4 * (a + b) + 8) / 9)
 
 
-def _prefix(n: Column) -> Column:
+def _full_prefix(n: Column) -> Column:
     return n - F.floor((4 * n + 4) / 5) + 1
 
 
+def _prefix(n: Column) -> Column:
+    return F.least(_full_prefix(n), F.lit(PREFIX))
+
+
 # -- sets -----------------------------------------------------------------------------------
 
 def shingle_sets(texts: list[str], width: int) -> Iterator[np.ndarray]:
@@ -74,6 +96,12 @@ def sketch(found: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
+def folded(found: np.ndarray) -> np.ndarray:
+    """The same over FOLD * 64 bits for every size, as numbers that a join condition can compare."""
+    counts = np.bincount((found & np.uint64(64 * FOLD - 1)).astype(np.int64), minlength=64 * FOLD)
+    return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def least_difference(a: bytes, b: bytes) -> int:
     """At most the number of shingles that only one of two sets has."""
     x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
@@ -90,13 +118,13 @@ def _describe(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFr
         for doc_id, found in zip(batch["doc_id"], shingle_sets(batch["text"].tolist(), width), strict=True):
             n = len(found)
             heads = found[:n if n <= SMALL else prefix(n)].view(np.int64)
-            out.append((doc_id, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), heads, sketch(found)))
-        yield pd.DataFrame(out, columns=["doc_id", "n", "set_id", "heads", "sketch"])
+            out.append((doc_id, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), heads, sketch(found), folded(found)))
+        yield pd.DataFrame(out, columns=["doc_id", "n", "set_id", "heads", "sketch", "fold"])
 
 
 def _whole_sets(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        sets = [s.tobytes() for s in shingle_sets(batch["text"].tolist(), width)]
+        sets = [s.view(np.int64) for s in shingle_sets(batch["text"].tolist(), width)]
         yield pd.DataFrame({"node": batch["doc_id"], "held": sets})
 
 
@@ -154,11 +182,8 @@ def _near_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _near_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        keep = []
-        for x, y in zip(batch["held_a"], batch["held_b"], strict=True):
-            x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(shared >= need(len(x), len(y)))
+        keep = [len(np.intersect1d(x, y, assume_unique=True)) >= need(len(x), len(y))
+                for x, y in zip(batch["held_a"], batch["held_b"], strict=True)]
         yield batch.loc[keep, ["a", "b"]]
 
 
@@ -170,72 +195,99 @@ def _beside(pairs: DataFrame, held: DataFrame) -> DataFrame:
     return pairs
 
 
-def wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is in ``ids`` and some others, found by a filter of fixed size without a shuffle."""
-    spot = F.pmod(F.xxhash64(F.col("doc_id")), F.lit(1 << FILTER_BITS))
-    word, bit = F.floor(spot / 64).cast("int"), F.expr("shiftleft(1L, cast(pmod(spot, 64) as int))")
-    words = ids.select(F.col(ids.columns[0]).cast("long").alias("doc_id")).select(spot.alias("spot")).select(
-        F.floor(F.col("spot") / 64).cast("int").alias("word"), bit.alias("bit"))
-    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    marked = docs.withColumn("spot", spot).withColumn("word", F.floor(F.col("spot") / 64).cast("int"))
-    held = marked.join(F.broadcast(words), "word").filter(F.col("bits").bitwiseAND(bit) != 0)
-    return held.select(docs.columns)
+def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, held): the shingle hashes of some documents, from their texts."""
+    some, _ = split_by_filter(docs, nodes, "doc_id")
+    sets = some.mapInPandas(lambda it: _whole_sets(it, width), "node long, held array<long>")
+    return saved(sets.join(nodes.select(F.col(nodes.columns[0]).alias("node")), "node", "left_semi"))
 
 
-def compared(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The (a, b) pairs that really link."""
-    near = saved(_beside(pairs, sketches).mapInPandas(_near_sketches, "a long, b long"))
-    nodes = near.select("a").union(near.select("b")).distinct()
-    sets = wanted(docs, nodes).mapInPandas(lambda it: _whole_sets(it, width), "node long, held binary")
-    sets = saved(sets.join(nodes.select(F.col("a").alias("node")), "node", "left_semi"))
-    return saved(_beside(near, sets).mapInPandas(_near_sets, "a long, b long"))
+def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    return saved(_beside(pairs, sketches.drop("fold")).mapInPandas(_near_sketches, "a long, b long"))
+
+
+def near_by_set(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    return saved(_beside(pairs, sets).mapInPandas(_near_sets, "a long, b long"))
 
 
 # -- heavy sets -----------------------------------------------------------------------------
 
-def _may_link(a: str, b: str) -> Column:
-    """Sizes and the largest possible overlaps of two entries allow a link; ``cap`` leaves out what nobody else has."""
-    shared = _need(F.col(f"{a}.n"), F.col(f"{b}.n"))
-    return (shared <= F.least(F.col(f"{a}.n"), F.col(f"{b}.n"))) & (shared <= F.least(F.col(f"{a}.cap"), F.col(f"{b}.cap")))
+def _led(entries: DataFrame, rank: Column) -> DataFrame:
+    """(a, b): every set with the commonest leader of its lists; ``rank`` chooses a list's leader."""
+    leaders = entries.groupBy("token").agg(F.min(F.struct(rank.alias("rank"), F.xxhash64("node").alias("turn"), "node", "n")).alias("lead"))
+    fits = _need(F.col("n"), F.col("lead.n")) <= F.least(F.col("n"), F.col("lead.n"))
+    led = entries.join(leaders, "token").filter(F.col("node") != F.col("lead.node")).filter(fits)
+    led = led.groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
+    led = led.groupBy("node").agg(F.max(F.struct("times", "leader")).alias("best"))
+    return led.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+
+
+def _rooted(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """Entries (node, token, ...) with their component, of lists that hold several components."""
+    found = entries.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = found.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
+    return saved(found.join(mixed, "token", "left_semi"))
+
+
+def _pairs(entries: DataFrame, fits: Column) -> DataFrame:
+    """Pairs of different components in a list, sizes and ``fits`` (of x and y) permitting, the smaller set first."""
+    # A set meets partners of its own step of sizes and of the next.
+    stepped = entries.withColumn("step", F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)))
+    left = stepped.withColumn("step", F.explode(F.array("step", F.col("step") + 1))).alias("x")
+    a, b = F.col("x.n"), F.col("y.n")
+    ordered = (a < b) | ((a == b) & (F.col("x.node") < F.col("y.node")))
+    pairs = left.join(stepped.alias("y"), ["token", "step"]).filter(
+        ordered & (_need(a, b) <= a) & fits & (F.col("x.root") != F.col("y.root")))
+    return pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    near = near_by_sketch(pairs, sketches)
+    return near_by_set(near, whole_sets(docs, near.select("a").union(near.select("b")).distinct(), width))
+
+
+def crowd_links(crowd: DataFrame, first: DataFrame, sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """(a, b) links among the sets ``crowd`` (node) that meet many others, beyond the links ``first``.
+
+    A join of these sets alone: shingles are ordered by the number of sets that have them, those of one set first, and
+    a set enters the lists of what is left of its full prefix.  ``cap``, its shingles that others have, bounds its overlaps.
+    In each list the set with the fewest shingles of its own leads; what is not linked with it is compared in pairs.
+    """
+    sets = whole_sets(docs, crowd, width)
+    entries = sets.select("node", F.size("held").alias("n"), F.explode("held").alias("token"))
+    counts = entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
+    common = entries.join(counts, "token").groupBy("node", "n").agg(
+        F.array_sort(F.collect_list(F.struct("df", "token"))).alias("common"))
+    room = _full_prefix(F.col("n")) - (F.col("n") - F.size("common"))
+    lists = common.filter(room > 0).join(sketches.select("node", "fold"), "node").select(
+        "node", "n", "fold", F.size("common").alias("cap"), F.explode(F.slice("common", 1, room.cast("int"))).alias("c"))
+    lists = saved(lists.select("node", "n", "fold", "cap", F.col("c.token").alias("token")))
+    second = near_by_set(near_by_sketch(_led(lists, F.col("n") - F.col("cap")), sketches), sets)
+    rest = _rooted(lists, first.unionByName(second))
+    shared = _need(F.col("x.n"), F.col("y.n"))
+    apart = sum((F.bit_count(F.get("x.fold", F.lit(k)).bitwiseXOR(F.get("y.fold", F.lit(k)))) for k in range(FOLD)), F.lit(0))
+    pairs = _pairs(rest, (shared <= F.least("x.cap", "y.cap")) & (apart <= F.col("x.n") + F.col("y.n") - 2 * shared))
+    return second.unionByName(near_by_set(near_by_sketch(pairs, sketches), sets))
 
 
 def heavy_links(large: DataFrame, sketches: DataFrame, docs: DataFrame, width: int) -> DataFrame:
     """(a, b) links of sets given as (node, n, heads), enough of them to connect all that link."""
     entries = large.select("node", "n", F.explode(F.slice("heads", 1, _prefix(F.col("n")).cast("int"))).alias("token"))
     lists = entries.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = entries.join(lists, "token").groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("in_lists"))
-    frequent = F.size(F.filter("in_lists", lambda t: t["df"] > FREQUENT))
-    shared = shared.select(
-        "node", "n", (F.col("n") - _prefix(F.col("n")) + F.size("in_lists")).alias("cap"), frequent.alias("frequent"),
-        F.inline("in_lists"))
+    shared = entries.join(lists, "token").groupBy("node", "n").agg(F.collect_list(F.struct("token", "df")).alias("tokens"))
+    # The smallest partner has 0.8 of the size; with it the fewest hashes are compared.
+    fewest = _prefix(F.floor((4 * F.col("n") + 4) / 5)).cast("int")
+    least = F.get(F.array(*[F.lit(shared_at_least(k)) for k in range(PREFIX + 1)]), fewest)
+    full = F.size(F.filter("tokens", lambda t: t["df"] > FEW))
+    shared = shared.filter(F.size("tokens") >= least).select("node", "n", (full >= least).alias("crowded"), F.inline("tokens"))
     shared = saved(shared)
-
-    # One leader per list, by preference a set that much of the list may link with; of a set's leaders the commonest.
-    rank = F.struct((F.col("cap") * 9 < F.col("n") * 8).alias("late"), F.xxhash64("node").alias("turn"), "node", "n", "cap")
-    leaders = shared.groupBy("token").agg(F.min(rank).alias("lead"))
-    led = shared.alias("x").join(leaders, "token").filter(F.col("x.node") != F.col("lead.node")).filter(_may_link("x", "lead"))
-    led = led.groupBy(F.col("x.node").alias("node"), F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
-    led = led.groupBy("node").agg(F.max(F.struct("times", "leader")).alias("best"))
-    first = compared(led.select(F.col("node").alias("a"), F.col("best.leader").alias("b")), sketches, docs, width)
-
-    # What one list still holds of different components.
-    roots = components(first)
-    rest = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    rest = saved(rest.join(mixed, "token", "left_semi"))
-    # Where sizes can fit: a set meets partners of its own step of sizes and of the next.
-    step = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25))
-    left = rest.withColumn("step", F.explode(F.array(step, step + 1))).alias("x")
-    right = rest.withColumn("step", step).alias("y")
-    a, b = F.col("x.n"), F.col("y.n")
-    ordered = (a < b) | ((a == b) & (F.col("x.node") < F.col("y.node")))
-    # Both prefixes together hold at least so many shared shingles, all frequent if the pair meets in no other list.
-    least = F.least(_prefix(a) - a, _prefix(b) - b) + _need(a, b)
-    often = (F.col("x.df") <= FREQUENT) | (F.least("x.frequent", "y.frequent") >= least)
-    pairs = left.join(right, ["token", "step"]).filter(
-        ordered & (F.col("x.root") != F.col("y.root")) & _may_link("x", "y") & often)
-    pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    return first.unionByName(compared(pairs, sketches, docs, width))
+    first = verified(_led(shared, F.lit(0)), sketches, docs, width)
+    rest = _rooted(shared, first)
+    # Pairs that share a hash of few sets meet there; others share frequent ones alone, as many as linked sets do.
+    second = verified(_pairs(rest.filter(F.col("df") <= FEW), F.lit(True)), sketches, docs, width)
+    crowd = saved(rest.filter("crowded").filter(F.col("df") > FEW).select("node").distinct())
+    first = first.unionByName(second)
+    return first.unionByName(crowd_links(crowd, first, sketches, docs, width))
 
 
 def similar_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -247,7 +299,7 @@ def similar_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     sets = saved(rows.mapInPandas(lambda it: _describe(it, width),
-                                  "doc_id long, n long, set_id binary, heads array<long>, sketch binary"))
+                                  "doc_id long, n long, set_id binary, heads array<long>, sketch binary, fold array<long>"))
     held = sets.filter("n > 0 and doc_id is not null")
     # The class of equal sets is named by its smallest document, whose row stands for it.
     classes = held.groupBy("set_id").agg(F.min("doc_id").alias("node"))
@@ -256,8 +308,8 @@ def similar_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     # A document with several sets may stand for several classes: they are one component anyway.
     one = own.groupBy("node").agg(F.min("set_id").alias("set_id"), F.count("*").alias("k"))
     nodes = saved(held.join(one.select("node", "set_id"), [held.doc_id == one.node, held.set_id == one.set_id])
-                  .select("node", "n", "heads", "sketch").dropDuplicates(["node"]))
-    sketches = nodes.select("node", "n", F.col("sketch").alias("held"))
+                  .select("node", "n", "heads", "sketch", "fold").dropDuplicates(["node"]))
+    sketches = nodes.select("node", "n", F.col("sketch").alias("held"), "fold")
 
     counts = {r["n"]: r["k"] for r in nodes.filter(F.col("n") <= SMALL).groupBy("n").agg(F.count("*").alias("k")).collect()}
     few = nodes.filter(F.col("n") <= SMALL).select(F.explode(F.slice("heads", 1, _prefix(F.col("n")).cast("int"))).alias("t"))
@@ -276,5 +328,4 @@ def similar_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def first_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest doc_id; rows without a doc_id stay."""
     found = similar_documents(docs, width)
-    others = found.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    return without_ids(docs, found.filter("doc_id != component_id").select("doc_id"))

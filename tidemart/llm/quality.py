@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, mix64, runs_where, saved, without_ids
+from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, runs_where, saved, without_ids
 
 BUCKETS = 1 << 20
 TRAIN_ROWS = 12_000     # labelled documents the evidence is learnt from, about
