@@ -1,6 +1,6 @@
 """Document fingerprints of spot signatures, with built-in functions only.
 
-After every common word (the anchor) the next CHAIN content words, common ones skipped, form a signature; the
+After every common word (the anchor) the next two content words, common ones skipped, form a signature; the
 set of a document's signatures is its fingerprint.  Fingerprints are compared by Jaccard.  For near
 duplicates equal fingerprints are one class, classes are partitioned by set length so that only neighbouring
 partitions can hold similar sets, and compared where the rarest signatures of both, of which similar sets
@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.llm.common import let, next_lower, saved
 
-CHAIN = 2
 THRESHOLD = 0.8
 # Common words of English, German, French and Spanish.
 COMMON = """a an and are as at be but by for from had has have he her his in is it not of on or she that the they this to was
@@ -23,13 +22,25 @@ were which will with you der die das den dem des ein eine einen und oder ist sin
 auch es dass als le la les un une et ou est sont de du au aux dans en par pour que qui sur pas ce se el los las uno y o
 del al con no lo como su sus más""".split()
 
-_ANCHOR = "(?:" + "|".join(sorted(COMMON, key=lambda w: (-len(w), w))) + ") "
-_CHAIN = rf"(?<= )(?=({_ANCHOR}" + rf"(?:{_ANCHOR})*+[^ ]+ " * CHAIN + rf")){_ANCHOR}"
-_SKIPPED = rf" (?:{_ANCHOR})++"
 
+def _short_hash(*values: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(*values), 32).cast("long")
 
-def _short_hash(value: Column) -> Column:
-    return F.shiftrightunsigned(F.xxhash64(value), 32).cast("long")
+
+def _chains(words: Column) -> Column:
+    """A signature for every common word and the two content words next after it."""
+    def before(places: Column, j: Column) -> Column:
+        # The common words between a content word and the one before it begin chains with it and its successor.
+        first, place = F.coalesce(F.get(places, j - 1) + 1, F.lit(0)), F.get(places, j)
+        return F.transform(F.slice(words, first + 1, place - first),
+                           lambda common: _short_hash(common, F.get(words, place), F.get(words, F.get(places, j + 1))))
+
+    def of(places: Column) -> Column:
+        numbers = F.when(F.size(places) > 1, F.sequence(F.lit(0), F.size(places) - 2)).otherwise(F.array().cast("array<int>"))
+        return F.flatten(F.transform(numbers, lambda j: before(places, j)))
+
+    numbers = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
+    return let(F.filter(numbers, lambda k: ~F.get(words, k).isin(COMMON)), of)
 
 
 def signatures(text: Column) -> Column:
@@ -41,14 +52,12 @@ def signatures(text: Column) -> Column:
     text = F.coalesce(text, F.lit(""))
 
     def of(words: Column) -> Column:
-        chains = F.regexp_extract_all(words, F.lit(_CHAIN), 1)
-        return let(F.transform(chains, lambda c: _short_hash(F.regexp_replace(c, _SKIPPED, " "))), lambda found: F.when(
+        return let(_chains(words), lambda found: F.when(
             F.size(found) > 0, F.array_sort(F.array_distinct(found))).otherwise(
-            F.when(words != "  ", F.array(_short_hash(words))).when(text != "", F.array(_short_hash(text)))
-            .otherwise(F.array().cast("array<bigint>"))))
+            F.when(F.size(words) > 0, F.array(_short_hash(F.array_join(words, " "))))
+            .when(text != "", F.array(_short_hash(text))).otherwise(F.array().cast("array<bigint>"))))
 
-    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
-    return let(spaced, of)
+    return let(F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), ""), of)
 
 
 def as_text(found: Column) -> Column:
