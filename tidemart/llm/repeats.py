@@ -14,26 +14,27 @@ writes files, and no task depends on a local folder.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import BLOCK_BYTES, Hasher, mix64, saved
-from tidemart.llm.jaccard import FILTER_BITS
+from tidemart.llm.common import BLOCK_BYTES, Hasher, mix64, saved, split_by_filter
 
 LENGTH = 100
 ANCHOR = 24
-COLLECTION_BYTES = 1 << 18   # of strips ordered together, a group of one anchor at least
-CROWD = 1000                 # different strips of one anchor from which they are cut into single windows
+COLLECTION_BYTES = 1 << 19   # of strips looked at together, a group of one anchor at least
+CROWD = 4000                 # different strips of one anchor from which they are cut into single windows
+SETTLED_BLOCKS = 16          # blocks of text among which equal strips are found before they are sent
+DOCS_AT_ONCE = 500           # documents whose bytes are cut out before they are sent
 TAG_SHIFT = 40               # a place is the tag of its text times 2**40 plus its offset
 NO_ID = -(1 << 63)
 
 
 # -- strips ---------------------------------------------------------------------------------
 
-def _pieces(keys: list[int], tags: list[int], texts: list[bytes], length: int):
+def _pieces(keys: Iterable[int], tags: Iterable[int], texts: Iterable[bytes], length: int):
     """Blocks (data, key, tag, offset of the piece in its text, bounds in data); long texts in overlapping pieces."""
     held, size = [], 0
     for key, tag, text in zip(keys, tags, texts, strict=True):
@@ -103,8 +104,12 @@ def settled(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _find_strips(batches: Iterator[pd.DataFrame], length: int, anchor: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        parts = [strips(held, length, anchor) for held in
-                 _pieces(batch["doc"].tolist(), batch["tag"].tolist(), [t.encode() for t in batch["text"]], length)]
+        parts = []
+        for held in _pieces(batch["doc"], batch["tag"], (t.encode() for t in batch["text"]), length):
+            parts.append(strips(held, length, anchor))
+            if len(parts) == SETTLED_BLOCKS:
+                yield settled(pd.concat(parts, ignore_index=True))
+                parts = []
         if parts:
             yield settled(pd.concat(parts, ignore_index=True))
 
@@ -171,70 +176,118 @@ def suffix_order(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     code[used] = np.arange(1, len(used) + 1)
     joined, begin = code[joined], np.concatenate(([0], np.cumsum(sizes)))[:-1]
     # Round 0: the empty suffixes.  ``front`` is the symbol before a suffix, 0 where the text is used up.
-    owner = np.arange(count, dtype=np.int32)
-    length = np.zeros(count, dtype=np.uint16)
     common = np.zeros(count, dtype=np.uint8)
     front = np.where(sizes > 0, joined[np.maximum(begin + sizes - 1, 0)] if len(joined) else 0, 0).astype(code.dtype)
-    newest = np.flatnonzero(sizes > 0)  # places of the suffixes that grow in this round
+    grown = np.flatnonzero(sizes > 0)   # texts that grow in this round, and the places of their newest suffixes
+    newest = grown.copy()
     for step in range(1, int(sizes.max(initial=0)) + 1):
-        grown = owner[newest]
         # The new order behind the empty suffixes is that of (symbol before, old place).
-        order = np.argsort(front, kind="stable")[np.count_nonzero(front == 0):]
-        rank = np.empty(len(front), dtype=np.int64)
-        rank[order] = np.arange(len(order))
-        slot = rank[newest]
+        order, bounds = _by_symbol(front)
+        slot = _slots(order, bounds, front[newest], newest)
         turn = np.argsort(slot, kind="stable")
         slot, grown = slot[turn], grown[turn]
         # Common prefixes change at the new suffixes and right behind them.
         total = len(order)
-        touched = np.unique(np.concatenate((slot, slot[slot + 1 < total] + 1)))
-        touched = touched[touched > 0]
+        touched = np.sort(np.concatenate((slot, slot + 1)))
+        touched = touched[(touched > 0) & (touched < total) & (np.diff(touched, prepend=-1) > 0)]
         left, right = order[touched - 1], order[touched]
         same = front[left] == front[right]
         lo, hi = left[same] + 1, right[same] + 1
         fresh = np.zeros(len(touched), dtype=np.uint8)
         if len(lo):
-            bounds = np.empty(2 * len(lo), dtype=np.int64)
-            bounds[::2], bounds[1::2] = lo[::-1], hi[::-1]  # from the end, so the ranges between hold one entry
-            least = np.minimum.reduceat(np.append(common, np.uint8(255)), bounds)[::2][::-1]
+            ranges = np.empty(2 * len(lo), dtype=np.int64)
+            ranges[::2], ranges[1::2] = lo[::-1], hi[::-1]  # from the end, so the ranges between hold one entry
+            least = np.minimum.reduceat(np.append(common, np.uint8(255)), ranges)[::2][::-1]
             fresh[same] = np.minimum(least, 254) + 1
-        place = slot + count
-        size = len(front) + len(place)
-        is_new = np.zeros(size, dtype=bool)
-        is_new[place] = True
-        is_old = ~is_new
-
-        def merged(old, new):
-            out = np.empty(size, dtype=old.dtype)  # noqa: B023
-            out[is_old], out[is_new] = old, new  # noqa: B023
-            return out
-
+        # One sequential pass merges the new symbols and prefixes into the old ones.
+        place, size = slot + count, len(front) + len(slot)
+        old = np.ones(size, dtype=bool)
+        old[place] = False
         rest = sizes[grown] - step
-        symbol = np.where(rest > 0, joined[np.maximum(begin[grown] + rest - 1, 0)], 0).astype(code.dtype)
-        owner, length, front = merged(owner, grown), merged(length, np.uint16(step)), merged(front, symbol)
-        common = merged(common, np.uint8(0))
+        merged = np.empty(size, dtype=front.dtype)
+        merged[old] = front
+        merged[place] = np.where(rest > 0, joined[np.maximum(begin[grown] + rest - 1, 0)], 0)
+        front, before = merged, common
+        common = np.zeros(size, dtype=np.uint8)
+        common[old] = before
         common[touched + count] = fresh
-        newest = place[rest > 0]
+        grown, newest = grown[rest > 0], place[rest > 0]
+    # Whose suffix lies where: from the empty suffixes backwards through the finished transform.
+    owner, length = np.empty(len(front), dtype=np.int32), np.zeros(len(front), dtype=np.int64)
+    order, bounds = _by_symbol(front)
+    rank = np.empty(len(front), dtype=np.int64)
+    rank[order] = np.arange(len(order))
+    texts_left = place = np.arange(count)
+    step = 0
+    while len(texts_left):
+        owner[place], length[place] = texts_left, step
+        more = front[place] != 0
+        texts_left, place, step = texts_left[more], rank[place[more]] + count, step + 1
     return owner, sizes[owner] - length, common
 
 
-def _compare(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+def _by_symbol(front: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places by their symbol, used-up texts left out, and where each symbol's begin."""
+    counts = np.bincount(front, minlength=2)
+    counts[0], used_up = 0, counts[0]
+    return np.argsort(front, kind="stable")[used_up:], np.concatenate(([0], np.cumsum(counts)))
+
+
+def _slots(order: np.ndarray, bounds: np.ndarray, symbols: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Where each place stands in ``order``."""
+    slot = np.empty(len(places), dtype=np.int64)
+    for symbol in np.flatnonzero(np.bincount(symbols)):
+        own = symbols == symbol
+        slot[own] = bounds[symbol] + np.searchsorted(order[bounds[symbol]:bounds[symbol + 1]], places[own])
+    return slot
+
+
+def _compare(batches: Iterator[pd.DataFrame], length: int, anchor: int) -> Iterator[pd.DataFrame]:
     """Repeated windows of strips, which come sorted by anchor; whole anchors are gathered into collections."""
-    held, size = [], 0
+    held, size, last = [], 0, None
     for batch in batches:
-        edge = np.flatnonzero(batch["anchor"].to_numpy()[1:] != batch["anchor"].to_numpy()[:-1]) + 1
-        for a, b in zip(np.concatenate(([0], edge)), np.append(edge, len(batch)), strict=True):
-            part = batch.iloc[a:b]
-            if held and size > COLLECTION_BYTES and part["anchor"].iat[0] != held[-1]["anchor"].iat[0]:
-                yield _compared(pd.concat(held, ignore_index=True), length)
-                held, size = [], 0
-            held.append(part)
-            size += int(part["text"].str.len().sum())
+        anchors = batch["anchor"].to_numpy()
+        upto = np.concatenate(([0], np.cumsum([len(t) for t in batch["text"]])))
+        edges = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1
+        start = 0
+        for edge in (edges if last is None or last == anchors[0] else np.concatenate(([0], edges))).tolist():
+            if size + upto[edge] - upto[start] > COLLECTION_BYTES:
+                yield _compared(pd.concat([*held, batch.iloc[start:edge]], ignore_index=True), length, anchor)
+                held, size, start = [], 0, edge
+        held.append(batch.iloc[start:])
+        size, last = size + upto[-1] - upto[start], anchors[-1]
     if held:
-        yield _compared(pd.concat(held, ignore_index=True), length)
+        yield _compared(pd.concat(held, ignore_index=True), length, anchor)
 
 
-def _compared(rows: pd.DataFrame, length: int) -> pd.DataFrame:
+def worth_comparing(texts: list[bytes], anchors: np.ndarray, length: int, anchor: int) -> np.ndarray:
+    """Whether a strip can share a window with another one.
+
+    A window has length - anchor bytes beside the anchor, of which some lie to the left.  Whatever their number, the
+    window holds one of a few strings around the anchor that differ in where the anchor lies; strips that share
+    none of them share no window.
+    """
+    data = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    sizes = np.array([len(t) for t in texts])
+    ends = np.cumsum(sizes)
+    begin = ends - sizes
+    hasher, grams = Hasher(data), np.arange(len(data) - anchor + 1)
+    found = np.flatnonzero(hasher.of(grams, grams + anchor) == np.repeat(anchors.view(np.uint64), sizes)[:len(grams)])
+    place = found[np.minimum(np.searchsorted(found, begin), len(found) - 1)]  # its leftmost one is a strip's anchor
+    side = length - anchor
+    step, worth = max(1, side // 4), np.zeros(len(texts), dtype=bool)
+    for left in range(0, side, step):
+        lo, hi = place - left, place + anchor + max(0, side - left - step)
+        inside = np.flatnonzero((lo >= begin) & (hi <= ends))
+        _, number, times = np.unique(hasher.of(lo[inside], hi[inside]), return_inverse=True, return_counts=True)
+        worth[inside] |= times[number] > 1
+    return worth
+
+
+def _compared(rows: pd.DataFrame, length: int, anchor: int) -> pd.DataFrame:
+    rows = rows[worth_comparing(rows["text"].tolist(), rows["anchor"].to_numpy(), length, anchor)]
+    if not len(rows):
+        return pd.DataFrame({"doc": [], "at": [], "n": []}).astype({"doc": "int64", "at": "int64", "n": "int32"})
     rows = rows.sort_values(["doc", "at"], ignore_index=True)  # so the number of a strip tells which is earlier
     owner, start, common = suffix_order(rows["text"].tolist())
     run = np.cumsum(common < length) - 1
@@ -274,28 +327,16 @@ def _tag_of(at: Column) -> Column:
     return F.shiftright(at, TAG_SHIFT)
 
 
-def split_by_filter(docs: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents that may be among ``keys`` and those that are not, by a filter of fixed size without a shuffle."""
-    spot = F.pmod(F.xxhash64("doc"), F.lit(1 << FILTER_BITS))
-    bit = F.expr("shiftleft(1L, cast(pmod(spot, 64) as int))")
-    words = keys.select(spot.alias("spot")).groupBy(F.floor(F.col("spot") / 64).cast("int").alias("word")).agg(
-        F.bit_or(bit).alias("bits"))
-    marked = docs.withColumn("spot", spot).withColumn("word", F.floor(F.col("spot") / 64).cast("int"))
-    marked = marked.join(F.broadcast(saved(words)), "word", "left")
-    marked = marked.withColumn("maybe", F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False)))
-    return marked.filter("maybe").select(docs.columns), marked.filter("not maybe").select(docs.columns)
-
-
 def _cut_out(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     """The bytes of the strips asked for."""
     for batch in batches:
-        out = []
-        for doc, text, asked in zip(batch["doc"], batch["text"], batch["asked"], strict=True):
+        doc = np.repeat(batch["doc"].to_numpy(), [len(x) for x in batch["at"]])
+        at, n, anchor, crowded = (np.concatenate(batch[c].to_list()) for c in ("at", "n", "anchor", "crowded"))
+        cut = []
+        for text, places, sizes in zip(batch["text"], batch["at"], batch["n"], strict=True):
             data = text.encode()
-            for item in asked:
-                at = item["at"] & (1 << TAG_SHIFT) - 1
-                out.append((doc, item["at"], item["n"], item["anchor"], item["crowded"], data[at:at + item["n"] + length - 1]))
-        yield pd.DataFrame(out, columns=["doc", "at", "n", "anchor", "crowded", "text"])
+            cut += [data[a:a + k + length - 1] for a, k in zip((places & (1 << TAG_SHIFT) - 1).tolist(), sizes.tolist(), strict=True)]
+        yield pd.DataFrame({"doc": doc, "at": at, "n": n, "anchor": anchor, "crowded": crowded, "text": cut})
 
 
 def repeated_windows(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHOR) -> DataFrame:
@@ -307,12 +348,13 @@ def repeated_windows(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHO
     unclear = unclear.join(crowds, "anchor", "left").withColumn("crowded", F.col("strips").isNotNull())
     asked = unclear.groupBy("doc", _tag_of(F.col("at")).alias("tag")).agg(
         F.collect_list(F.struct("at", "n", "anchor", "crowded")).alias("asked"))
-    some, _ = split_by_filter(keyed, unclear.select("doc").distinct())
-    texts = some.dropDuplicates(["doc", "tag"]).join(asked, ["doc", "tag"]).select("doc", "text", "asked").mapInPandas(
+    some, _ = split_by_filter(keyed, unclear.select("doc").distinct(), "doc")
+    texts = some.dropDuplicates(["doc", "tag"]).join(asked, ["doc", "tag"]).select(
+        "doc", "text", *[F.col(f"asked.{c}").alias(c) for c in ("at", "n", "anchor", "crowded")]).mapInPandas(
         lambda it: _cut_out(it, length), "doc long, at long, n int, anchor long, crowded boolean, text binary")
     texts = saved(texts)
     dealt = texts.filter("not crowded").repartition("anchor").sortWithinPartitions("anchor")
-    compared = dealt.select("doc", "at", "anchor", "text").mapInPandas(lambda it: _compare(it, length), "doc long, at long, n int")
+    compared = dealt.select("doc", "at", "anchor", "text").mapInPandas(lambda it: _compare(it, length, anchor), "doc long, at long, n int")
     single = texts.filter("crowded").mapInPandas(lambda it: _single_windows(it, length), STRIP_SCHEMA)
     again = _sorted_out(single).filter("repeat")
     columns = ["doc", "at", "n"]
@@ -320,15 +362,15 @@ def repeated_windows(keyed: DataFrame, length: int = LENGTH, anchor: int = ANCHO
 
 
 def _remove(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in (b.iloc[k:k + DOCS_AT_ONCE] for b in batches for k in range(0, len(b), DOCS_AT_ONCE)):
         removed, spans, kept = [], [], []
-        for text, cuts in zip(batch["text"], batch["cuts"], strict=True):
+        for text, at, n in zip(batch["text"], batch["at"], batch["n"], strict=True):
             data = np.frombuffer(text.encode(), dtype=np.uint8)
-            change = np.zeros(len(data) + 1, dtype=np.int64)
-            for item in [] if cuts is None else cuts:
-                at = item["at"] & (1 << TAG_SHIFT) - 1
-                change[at] += 1
-                change[at + item["n"] + length - 1] -= 1
+            change = np.zeros(len(data) + 1, dtype=np.int32)
+            if at is not None:
+                at = at & (1 << TAG_SHIFT) - 1
+                np.add.at(change, at, 1)
+                np.add.at(change, at + n + length - 1, -1)
             gone = np.cumsum(change[:-1]) > 0
             removed.append(int(gone.sum()))
             spans.append(int(np.count_nonzero(gone & ~np.concatenate(([False], gone[:-1])))) if len(gone) else 0)
@@ -348,10 +390,11 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     keyed = _keyed(docs)
     windows = saved(repeated_windows(keyed, length, anchor))
     cuts = windows.groupBy("doc", _tag_of(F.col("at")).alias("tag")).agg(F.collect_list(F.struct("at", "n")).alias("cuts"))
-    some, others = split_by_filter(keyed, windows.select("doc").distinct())
+    cuts = cuts.select("doc", "tag", F.col("cuts.at").alias("at"), F.col("cuts.n").cast("array<long>").alias("n"))
+    some, others = split_by_filter(keyed, windows.select("doc").distinct(), "doc")
     n_bytes = F.octet_length("text").cast("long").alias("n_bytes")
     kind = dict(docs.dtypes)["doc_id"]
-    some = some.join(cuts, ["doc", "tag"], "left").select("doc_id", n_bytes, "text", "cuts").mapInPandas(
+    some = some.join(cuts, ["doc", "tag"], "left").select("doc_id", n_bytes, "text", "at", "n").mapInPandas(
         lambda it: _remove(it, length), f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept binary")
     zero = F.lit(0).cast("long")
     others = others.select("doc_id", n_bytes, zero.alias("n_removed"), zero.alias("n_spans"), F.col("text").cast("binary").alias("kept"))
