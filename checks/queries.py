@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions import dates, people
 from tidemart.functions.score import with_age_scores
-from tidemart.operators import changes, etl, firsttime, joins, logs as log_ops, routing, text, windows
+from tidemart.operators import changes, etl, firsttime, joins, logs as log_ops, text
 from tidemart.plans import applogs, comments, dims, serving, tags, trade, traffic
 from tidemart.session import shared_dir
 from tidemart.sources import feeds

@@ -9,7 +9,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import changes, firsttime, joins
+from tidemart.operators import changes, joins
 from tidemart.operators.windows import total, tumble
 from tidemart.operators import logs as log_operators
 from tidemart.plans import comments, tags, trade, traffic
