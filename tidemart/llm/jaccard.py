@@ -24,10 +24,11 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import components, hashed_words, lower_table, mix64, saved, shingle_hashes, split_by_filter, without_ids
+from tidemart.llm.common import components, hashed_words, lower_table, mix64, rows_at_once, saved, shingle_hashes, split_by_filter, without_ids
 
 WIDTH = 5
 SMALL = 24        # largest size that can be light
+ROWS_AT_ONCE = 500  # documents or pairs with their sets that a worker holds
 FOLD = 8          # numbers of 64 bits of the parity that entries of lists carry
 PREFIX = 64       # hashes of a set in lists at most
 FEW = 16          # sets of a list whose pairs are compared directly
@@ -199,7 +200,8 @@ def whole_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, held): the shingle hashes of some documents, from their texts."""
     some, _ = split_by_filter(docs, nodes, "doc_id")
     sets = some.mapInPandas(lambda it: _whole_sets(it, width), "node long, held array<long>")
-    return saved(sets.join(nodes.select(F.col(nodes.columns[0]).alias("node")), "node", "left_semi"))
+    with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        return saved(sets.join(nodes.select(F.col(nodes.columns[0]).alias("node")), "node", "left_semi"))
 
 
 def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -207,7 +209,8 @@ def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def near_by_set(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    return saved(_beside(pairs, sets).mapInPandas(_near_sets, "a long, b long"))
+    with rows_at_once(pairs.sparkSession, ROWS_AT_ONCE):
+        return saved(_beside(pairs, sets).mapInPandas(_near_sets, "a long, b long"))
 
 
 # -- heavy sets -----------------------------------------------------------------------------
@@ -298,8 +301,10 @@ def similar_documents(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     document with several sets, linked by it.  Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    sets = saved(rows.mapInPandas(lambda it: _describe(it, width),
-                                  "doc_id long, n long, set_id binary, heads array<long>, sketch binary, fold array<long>"))
+    described = rows.mapInPandas(lambda it: _describe(it, width),
+                                 "doc_id long, n long, set_id binary, heads array<long>, sketch binary, fold array<long>")
+    with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        sets = saved(described)
     held = sets.filter("n > 0 and doc_id is not null")
     # The class of equal sets is named by its smallest document, whose row stands for it.
     classes = held.groupBy("set_id").agg(F.min("doc_id").alias("node"))
