@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemart.llm.common import saved
+from tidemart.llm.common import rows_at_once, saved
 from tidemart.llm.tokens import distinct_parts, spelled, text_blocks, tokenizer, vocabulary
 
 WINDOW = 2048
@@ -25,6 +25,7 @@ END_ID = 1
 LANE_TOKENS = 1 << 20   # tokens of a lane, about; one task packs a lane
 RUN_TOKENS = 1 << 16    # tokens of a row of the saved table at most
 LEAST_SEND = 256        # a visited source sends so many tokens even on less credit, and owes them
+ROWS_AT_ONCE = 1000     # texts that a worker gets at once
 KNOWN_WORDS = 1_000_000   # words whose ids a worker remembers
 _WORDS: dict[str, dict[str, bytes]] = {}
 
@@ -185,7 +186,8 @@ def pack(docs: DataFrame, path: str | None = None, mixture: DataFrame | None = N
     rows are documents of their own, and an empty table gives no piece.  Other columns are ignored.
     """
     path = path or vocabulary("word_bpe_49k.json")
-    runs = saved(token_runs(docs, path))
+    with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        runs = saved(token_runs(docs, path))
     totals = runs.groupBy("source").agg(F.sum("n").alias("weight"))
     lanes = max(1, round((totals.agg(F.sum("weight")).first()[0] or 0) / lane_tokens))
     shares = _shares(totals if mixture is None else mixture.groupBy("source").agg(F.sum("weight").alias("weight")))

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, runs_where, saved, without_ids
+from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, rows_at_once, runs_where, saved, without_ids
 
 BUCKETS = 1 << 20
 TRAIN_ROWS = 12_000     # labelled documents the evidence is learnt from, about
@@ -29,6 +29,7 @@ UNKNOWN = -10.0         # prior log odds without any labelled document
 BEGINNINGS = (4, 5, 6)  # bytes of a word's beginning taken as a feature
 CLASSES = ("toxic", "low")
 REJECT = 0.5            # posterior from which a document is rejected
+ROWS_AT_ONCE = 500      # texts that a worker holds
 LETTERS = letters_table()
 
 
@@ -100,7 +101,8 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> d
     rows = docs.select("doc_id", "text").filter("text is not null").filter(drawn)
     rows = saved(rows.join(marks.filter(drawn), "doc_id").select("text", *CLASSES))
     sums = ", ".join(f"{c} long" for c in ("feature", "n", *CLASSES))
-    counts = saved(rows.mapInPandas(_count, sums).groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *CLASSES)]))
+    with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        counts = saved(rows.mapInPandas(_count, sums).groupBy("feature").agg(*[F.sum(c).alias(c) for c in ("n", *CLASSES)]))
     # Every text has exactly one step of each kind of shape, so those of kind 0 count the documents.
     whole = counts.filter("feature < 16").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", *CLASSES)]).first()
     out = {}
@@ -193,7 +195,8 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: tuple[
     site = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"site_{k}") for k in keys]
     rows = docs.select("doc_id", *site, F.coalesce("text", F.lit("")).alias("text"))
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text") + ", " + ", ".join(f"{c} double" for c in CLASSES)
-    scored = saved(rows.mapInPandas(lambda it: _score(it, weights), kinds))
+    with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
+        scored = saved(rows.mapInPandas(lambda it: _score(it, weights), kinds))
     marks = labels.select("doc_id", *[_bad(c).cast("double").alias(f"{c}_label") for c in CLASSES])
     marks = marks.groupBy("doc_id").agg(*[F.max(f"{c}_label").alias(f"{c}_label") for c in CLASSES])
     known = scored.join(marks, "doc_id", "left")
