@@ -7,8 +7,10 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import connect
 from tests.llm.helpers import SCHEMA, awkward, documents, linked, shingles
-from tidemart.llm import (chat, decontaminate, jaccard, licences, lines, packing, quality, repeats, spotsigs, tokens)
+from tidemart.llm import (chat, decontaminate, jaccard, licence_table, licences, lines, oracle, packing, quality, repeats, spotsigs,
+                          tokens)
 from tidemart.llm.common import components, next_lower
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -122,6 +124,30 @@ def test_licence_texts_in_other_spellings(spark, odd, none):
     assert licences.scan_licences(none, known).count() == 0
     assert licences.scan_licences(docs, known.limit(0)).filter("licence is not null").count() == 0
 
+
+def test_common_licences_are_known(spark, tmp_path):
+    """Whole texts as shipped, filled in, titled and wrapped anew, and usual notices; the SQL agrees."""
+    text = licence_table._text
+    unwrapped = lambda t: "\n\n".join(" ".join(p.split()) for p in t.split("\n\n"))
+    wholes = {"Apache-2.0": text("Apache-2.0").replace("[yyyy] [name of copyright owner]", "2024 Somebody"),
+              "GPL-3.0-only": text("GPL-3.0-only"), "GPL-2.0-only": text("GPL-2.0-only").split("END OF TERMS")[0] + "END OF TERMS AND CONDITIONS\n",
+              "LGPL-2.1-only": text("LGPL-2.1-only"), "MPL-2.0": unwrapped(text("MPL-2.0")), "BSL-1.0": text("BSL-1.0").upper(),
+              "Unlicense": text("Unlicense").replace("http:", "https:"), "CC0-1.0": text("CC0-1.0"), "GFDL-1.3-only": text("GFDL-1.3-only"),
+              "BSD-2-Clause": "Copyright (c) 2020, Me\nAll rights reserved.\n\n" + text("BSD-2-Clause"),
+              "BSD-3-Clause": "BSD 3-Clause License\n\nCopyright (c) 2020, Me\nAll rights reserved.\n\n" + text("BSD-3-Clause"),
+              "MIT": "The MIT License (MIT)\n\nCopyright (c) 2020 Me\n\n" + text("MIT"), "ISC": "The ISC License\n\n" + text("ISC")}
+    lines = {"Apache-2.0": ' * Licensed under the Apache License, Version 2.0 (the "License");', "MPL-2.0": "# SPDX-License-Identifier: MPL-2.0",
+             "BSD-3-Clause": "This project is licensed under the BSD 3-Clause License - see the [LICENSE](LICENSE) file for details.",
+             "GPL-3.0-or-later": "// SPDX-License-Identifier: GPL-3.0-or-later */", "CC-BY-SA-4.0":
+             "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."}
+    docs = documents(spark, [*wholes.values(), *(f"some words\n{line}\nmore words" for line in lines.values()), "some words"])
+    found = sorted(licences.scan_licences(docs, licences.known_licences(spark)).collect())
+    assert [r["licence"] for r in found] == [*wholes, *[None] * (len(lines) + 1)]
+    assert [r["notices"] for r in found[len(wholes):]] == [*lines, ""]
+    docs.toPandas().to_parquet(tmp_path / "documents.parquet")
+    expected = connect(str(tmp_path)).execute(oracle.statements()["op4_licence_scan"]).fetchall()
+    assert [tuple(r) for r in found] == sorted(expected)
+
 # -- 5 decontamination ----------------------------------------------------------------------------
 
 def greedy_tiles(item, doc, least):

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemart.llm.common import let
+from tidemart.llm import licence_table
+from tidemart.llm.common import let, saved
 
 # Equivalent spellings of the public licence matching guidelines (variant, chosen form).
 SPELLINGS = [
@@ -26,7 +27,7 @@ SPELLINGS = [
     ("whilst", "while"), ("wilful", "willful"),
 ]
 
-# Short licence texts and the notice lines by which documents name a licence.
+# Short licence texts and the notice lines by which documents name a licence; more come from ``licence_table``.
 KNOWN = [
     ("0BSD", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
 hereby granted. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE
@@ -63,6 +64,7 @@ original software. 3. This notice may not be removed or altered from any source
     ("MIT", "Licensed under the MIT License."),
     ("Proprietary", "All rights reserved."),
 ]
+KNOWN += licence_table.rows(KNOWN)
 
 COPYRIGHT_LINE = r"^[^a-z0-9]*(copyright|\(c\)|©)"
 
@@ -108,12 +110,11 @@ def scan_licences(docs: DataFrame, licences: DataFrame) -> DataFrame:
     sorted and joined by commas, ``n_notices`` counts the lines.  A text without letters or digits has a null
     digest and matches nothing.  Rows that repeat a doc_id count as one document (smallest digest, all lines).
     """
-    known = digests(licences)
-    span = known.agg(F.min("n_chars").alias("shortest"), F.max("n_chars").alias("longest")).first()
-    shortest, longest = span["shortest"] or 0, span["longest"] or -1
+    known = saved(digests(licences))
+    sizes = [r["n_chars"] for r in known.select("n_chars").distinct().collect()]  # at most the length of the longest text
 
     def units_of(forms: Column) -> Column:
-        lines = F.filter(forms, lambda f: F.length(f).between(shortest, longest))  # others cannot be equal to a known form
+        lines = F.filter(forms, lambda f: F.length(f).isin(sizes))  # others cannot be equal to a known form
         unit = lambda is_whole, form: F.struct(F.lit(is_whole).alias("is_whole"), form.alias("form"))
         return F.concat(F.array(unit(True, whole_form(forms))), F.transform(lines, lambda f: unit(False, f)))
 
