@@ -302,6 +302,26 @@ def test_components_equal_all_pairs(spark, monkeypatch, words, edits):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == {
         k: (len(sets[k]), root) for k, root in linked(sets).items()}
 
+def test_long_sets_link_at_exactly_the_threshold(spark):
+    """Sets of 400 to 5000 shingles whose Jaccard is 0.8, or one shingle less."""
+    def run(name, n):
+        return [f"{name}w{k}" for k in range(n)]
+
+    texts = []
+    for n in (405, 900, 2250, 4995):
+        for less in (0, 1):
+            head = run(f"h{n}-{less}", 8 * n // 9 + 4 - less)  # of n shingles each, 8 n / 9 are shared
+            texts += [" ".join(head + run(f"t{n}-{less}-{k}", n // 9 + less)) for k in range(2)]
+    for n in (500, 5000):
+        for less in (0, 1):
+            whole = run(f"s{n}-{less}", n + 4)
+            texts += [" ".join(whole), " ".join(whole[:4 * n // 5 + 4 - less])]  # one set within the other
+    sets = {k: shingles(t) for k, t in enumerate(texts)}
+    expected = linked(sets)
+    assert [expected[k] for k in range(1, len(texts), 2)] == [k - 1 + k // 2 % 2 for k in range(1, len(texts), 2)]
+    found = {r["doc_id"]: r["component_id"] for r in jaccard.similar_documents(documents(spark, texts)).collect()}
+    assert found == expected
+
 def test_subset_sizes_cover_every_pair():
     for a in range(1, 25):
         for b in range(a, a * 5 // 4 + 1):
