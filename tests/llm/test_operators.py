@@ -103,6 +103,18 @@ def test_quality_of_awkward_and_empty_tables(spark, odd, none):
     assert quality.judge(odd, labels.limit(0)).filter("rejected").count() == 0
     assert quality.keep_good(odd, labels).columns == odd.columns
 
+def test_rejected_rows_without_an_id_go(spark):
+    rng = random.Random(8)
+    good, bad = [f"calm{k}" for k in range(30)], [f"vile{k}" for k in range(30)]
+    words = lambda kind: " ".join(rng.choices(kind, k=20))
+    rows = [(k, words(bad if k % 3 == 0 else good), "en", "a", 1) for k in range(300)]
+    unnamed = [(None, words(bad if k % 2 else good), "en", "a", 1) for k in range(40)] + [(None, None, None, None, None)]
+    labels = spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(300)], LABELS)
+    docs = spark.createDataFrame(rows + unnamed, SCHEMA)
+    rejected = quality.judge(docs, labels).filter("rejected and doc_id is null").count()
+    kept = [r["text"] for r in quality.keep_good(docs, labels).filter("doc_id is null").collect()]
+    assert rejected == 20 and len(kept) == len(unnamed) - rejected and not any("vile" in (t or "") for t in kept)
+
 def test_sparse_sites_are_shrunk_more(spark):
     rows = [(k, f"plain text {k} about nothing much", "en", "big", 1) for k in range(200)]
     rows += [(1000 + k, f"plain text {k} about nothing much", "en", f"small{k}", 1) for k in range(20)]
@@ -192,6 +204,16 @@ def test_reordered_passages_are_caught(spark, odd, none):
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.without_contaminated(odd, items).count() == odd.count()
 
+def test_contaminated_rows_without_an_id_go(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    docs = documents(spark, [(None, f"before {item} after"), (None, f"before {item} after"), (None, "clean words"), (None, None), (1, item),
+                             (2, "clean words"), (2, "clean words")])
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    left = decontaminate.without_contaminated(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((str(r["doc_id"]), str(r["text"])) for r in left.collect()) == [
+        ("2", "clean words"), ("2", "clean words"), ("None", "None"), ("None", "clean words")]
+
 # -- 6 repeated bytes -----------------------------------------------------------------------------
 
 def test_suffix_order_equals_sorting():

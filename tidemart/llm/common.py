@@ -76,6 +76,23 @@ def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return some.join(ids, "doc_id", "left_anti").select(docs.columns).unionByName(others)
 
 
+def text_key(*values: Column) -> Column:
+    """One key for equal values, nulls as empty strings."""
+    return F.sha2(F.concat(*[F.sha2(F.coalesce(v.cast("string"), F.lit("")), 256) for v in values]), 256)
+
+
+def has_unnamed(docs: DataFrame) -> bool:
+    return docs.filter("doc_id is null").limit(1).count() > 0
+
+
+def without_unnamed(docs: DataFrame, keys: DataFrame, *columns: str) -> DataFrame:
+    """``docs`` without rows that have no doc_id and whose ``text_key`` of ``columns`` is in the one column of ``keys``."""
+    keys = saved(keys.distinct().toDF("_key"))
+    unnamed = docs.filter("doc_id is null").withColumn("_key", text_key(*[F.col(c) for c in columns]))
+    unnamed = unnamed.join(keys, "_key", "left_anti").select(docs.columns)
+    return docs.filter("doc_id is not null").unionByName(unnamed)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` computed once; a column named instead may be computed again at every step of a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

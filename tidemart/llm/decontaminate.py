@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import hashed_words, letters_table, shingle_hashes, without_ids
+from tidemart.llm.common import has_unnamed, hashed_words, letters_table, shingle_hashes, text_key, without_ids, without_unnamed
 
 LEAST_RUN = 5
 COVERAGE = 0.5
@@ -137,5 +137,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least_run: int = LEAST_R
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without documents that hold an item; rows without a doc_id stay."""
-    return without_ids(docs, contaminated(docs, benchmark).select("doc_id"))
+    """``docs`` without documents that hold an item; rows without a doc_id go each by its own text."""
+    left = without_ids(docs, contaminated(docs.filter("doc_id is not null"), benchmark).select("doc_id"))
+    if not has_unnamed(docs):
+        return left
+    unnamed = docs.filter("doc_id is null").select(text_key(F.col("text")).alias("doc_id"), "text").distinct()
+    return without_unnamed(left, contaminated(unnamed, benchmark).select("doc_id"), "text")

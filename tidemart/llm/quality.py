@@ -16,7 +16,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import BLOCK_BYTES, Hasher, letters_table, rows_at_once, runs_where, saved, without_ids
+from tidemart.llm.common import (BLOCK_BYTES, Hasher, has_unnamed, letters_table, rows_at_once, runs_where, saved, text_key, without_ids,
+                                 without_unnamed)
 
 BUCKETS = 1 << 20
 TRAIN_ROWS = 12_000     # labelled documents the evidence is learnt from, about
@@ -190,10 +191,17 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: tuple[
     like any other, and a label decides only through the rates: labelled documents are judged by their text,
     too.  Without labels nothing is rejected.  Other columns are ignored.
     """
+    return _judged(docs, labels, host, path, train_rows, reject).drop("own")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, host: str = "source", path: tuple[str, ...] = ("source", "lang"),
+            train_rows: int = TRAIN_ROWS, reject: float = REJECT) -> DataFrame:
+    """As ``judge``, and ``own``: for a row without a doc_id the key of what it was judged by, else null."""
     weights = learn(docs, labels, train_rows)
     keys = list(dict.fromkeys([host, *path]))
     site = [F.coalesce(F.col(k).cast("string"), F.lit("")).alias(f"site_{k}") for k in keys]
-    rows = docs.select("doc_id", *site, F.coalesce("text", F.lit("")).alias("text"))
+    own_key = F.when(F.col("doc_id").isNull(), text_key(*[F.col(k) for k in keys], F.col("text")))
+    rows = docs.select("doc_id", own_key.alias("own"), *site, F.coalesce("text", F.lit("")).alias("text"))
     kinds = ", ".join(f"{n} {t}" for n, t in rows.dtypes if n != "text") + ", " + ", ".join(f"{c} double" for c in CLASSES)
     with rows_at_once(docs.sparkSession, ROWS_AT_ONCE):
         scored = saved(rows.mapInPandas(lambda it: _score(it, weights), kinds))
@@ -210,10 +218,12 @@ def judge(docs: DataFrame, labels: DataFrame, host: str = "source", path: tuple[
     paths = paths.join(hosts, host_key)
     paths = paths.select(*path_keys, *[_shrunk(paths, c, F.col(f"{c}_host")).alias(f"{c}_path") for c in CLASSES])
     judged = scored.join(paths, path_keys)
-    judged = judged.select("doc_id", *[_sigmoid(F.col(c) + _logit(F.col(f"{c}_path"))).alias(c) for c in CLASSES])
+    judged = judged.select("doc_id", "own", *[_sigmoid(F.col(c) + _logit(F.col(f"{c}_path"))).alias(c) for c in CLASSES])
     return judged.withColumn("rejected", reduce(lambda a, b: a | b, [F.col(c) >= reject for c in CLASSES]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rejected; of rows that share a doc_id one rejected takes all, rows without one stay."""
-    return without_ids(docs, judge(docs, labels).filter("rejected").select("doc_id"))
+    """``docs`` without the rejected; of rows that share a doc_id one rejected takes all, rows without one go each by its own verdict."""
+    rejected = _judged(docs, labels).filter("rejected")
+    left = without_ids(docs, rejected.select("doc_id"))
+    return without_unnamed(left, rejected.filter("own is not null").select("own"), "source", "lang", "text") if has_unnamed(docs) else left
