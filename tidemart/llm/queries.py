@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemart.llm import chat, decontaminate, jaccard, licences, lines, packing, quality, repeats, spotsigs, tokens
+from tidemart.llm import (centroids, chat, chosenpath, decontaminate, jaccard, licences, lines, packing, quality, repeats, resampling,
+                          spotsigs, tokens)
 from tidemart.llm.common import table
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,19 @@ def op10_chat_format(spark, sf_dir):
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(F.array_join(turn, ""), 256).alias("turns_sha256"),
         F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@query
+def op11_centroid_clusters(spark, sf_dir):
+    found = centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2(centroids.written(F.col("centroid")), 256)).drop("centroid")
+
+
+@query
+def op12_importance_resampling(spark, sf_dir):
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_minhash_near_duplicates(spark, sf_dir):
+    return chosenpath.near_duplicates(table(spark, sf_dir, "documents"))
