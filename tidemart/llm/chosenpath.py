@@ -2,9 +2,10 @@
 
 Equal sets are one class.  TREES independent trees branch the classes: at each level a class goes to the child of the
 token that is smallest under that tree's and level's hash, which two sets share with a probability equal to their
-Jaccard similarity.  All trees grow level by level as one table of (path, node):
+Jaccard similarity.  All trees grow level by level as one table of (path, node), from the second level on, where sets
+that have little in common are apart already:
 
-* every node takes the leader it meets most often and is compared with it, which joins groups of copies of any size;
+* every node takes the leaders it meets most often and is compared with them, which joins groups of copies of any size;
 * paths whose members are all in one component are done;
 * where few members lie outside a path's largest component, they are compared with all members;
 * the other paths branch on; at the last level all that is left is compared.
@@ -28,6 +29,8 @@ from tidemart.llm.jaccard import FOLD, folded, near_by_set, near_by_sketch, sket
 
 WIDTH = 2
 LEVELS = 4
+FIRST = 2           # tokens of the paths that are looked at first
+LEADERS = 3         # leaders that a node is compared with on a level
 RECALL = 1 - 1e-6   # of a single pair that is found nowhere before the last level
 OUTSIDE = 32        # members outside a path's largest component that are compared with all of the path
 SLICE_BYTES = 1 << 21
@@ -133,25 +136,23 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, width: int) -
 # -- trees ------------------------------------------------------------------------------------
 
 def _shared(entries: DataFrame) -> DataFrame:
-    """Entries (path, tree, node, n) of paths with several nodes, and the path's leader."""
-    turn = F.struct(F.xxhash64("node").alias("turn"), "node", "n")
-    paths = entries.groupBy("path").agg(F.count("*").alias("m"), F.min(turn).alias("lead")).filter("m > 1")
-    return saved(entries.join(paths.drop("m"), "path"))
+    """Entries (path, tree, node) of paths with several nodes, and the path's leader; names of sets are in random order."""
+    paths = entries.groupBy("path").agg(F.min("node").alias("lead"), F.max("node").alias("last")).filter("lead != last")
+    return saved(entries.join(paths.select("path", "lead"), "path"))
 
 
 def _led(shared: DataFrame) -> DataFrame:
-    """(a, b): each node and the leader, of a size that can link, that it meets in most paths."""
-    a, b = F.col("n"), F.col("lead.n")
-    led = shared.filter((F.col("node") != F.col("lead.node")) & (_need(a, b) <= F.least(a, b)))
-    times = led.groupBy("node", F.col("lead.node").alias("leader")).agg(F.count("*").alias("times"))
-    best = times.groupBy("node").agg(F.max(F.struct("times", "leader")).alias("best"))
-    return best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+    """(a, b): each node and the leaders that it meets in most paths."""
+    times = shared.filter("node != lead").groupBy("node", "lead").agg(F.count("*").alias("times"))
+    # A node has at most TREES leaders.
+    best = times.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "lead")), False).alias("best"))
+    return best.select(F.col("node").alias("a"), F.explode(F.slice("best", 1, LEADERS)).alias("b")).select("a", F.col("b.lead").alias("b"))
 
 
 def _rooted(shared: DataFrame, links: DataFrame) -> DataFrame:
     """Entries with their component (root), of paths that several components share: ``major`` is the one with most
     members there, ``outside`` the number of the others."""
-    rooted = shared.drop("lead").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = shared.select("path", "tree", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rooted.groupBy("path", "root").agg(F.count("*").alias("k"))
     paths = sizes.groupBy("path").agg(F.sum("k").alias("m"), F.max(F.struct("k", "root")).alias("most"))
     paths = paths.select("path", F.col("most.root").alias("major"), (F.col("m") - F.col("most.k")).alias("outside"))
@@ -162,7 +163,7 @@ def _pairs(rest: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b) of different components in a path: those outside the largest with all, where sizes and parities permit."""
     # Sets that link lie in one step of sizes or in neighbouring ones.
     step = F.floor(F.log(F.col("n").cast("double")) / math.log(1.25)).cast("int")
-    whole = saved(rest.join(nodes.select("node", "fold"), "node").withColumn("step", step))
+    whole = saved(rest.join(nodes.select("node", "n", "fold"), "node").withColumn("step", step))
     left = whole.filter("root != major").withColumn("step", F.explode(F.array(F.col("step") - 1, "step", F.col("step") + 1)))
     a, b = F.col("x.n"), F.col("y.n")
     shared = _need(a, b)
@@ -175,31 +176,30 @@ def _pairs(rest: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _branched(rest: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
     """Entries of the next level; the tokens are joined once per node, which has at most TREES paths."""
-    held = rest.groupBy("node", "n").agg(F.collect_list(F.struct("path", "tree")).alias("at")).join(nodes.select("node", "tokens"), "node")
+    held = rest.groupBy("node").agg(F.collect_list(F.struct("path", "tree")).alias("at")).join(nodes.select("node", "tokens"), "node")
     token = F.get("tokens", F.col("tree") * LEVELS + level)
-    return held.select("node", "n", "tokens", F.inline("at")).select(F.xxhash64("path", token).alias("path"), "tree", "node", "n")
+    return held.select("node", "tokens", F.inline("at")).select(F.xxhash64("path", token).alias("path"), "tree", "node")
 
 
 def path_links(nodes: DataFrame, rows: DataFrame, width: int) -> DataFrame:
     """(a, b) links of ``nodes`` (node, n, tokens, fold, held, doc_id), enough of them to connect all that link."""
     first = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.struct(
-        F.xxhash64(tree, F.get("tokens", tree * LEVELS)).alias("path"), tree.alias("tree")))
-    entries = nodes.select("node", "n", F.inline(first)).select("path", "tree", "node", "n")
+        F.xxhash64(tree, *[F.get("tokens", tree * LEVELS + k) for k in range(FIRST)]).alias("path"), tree.alias("tree")))
+    entries = nodes.select("node", F.inline(first)).select("path", "tree", "node")
     links = None
-    for level in range(LEVELS):
+    for level in range(FIRST, LEVELS + 1):
         shared = _shared(entries)
         found = confirmed(_led(shared), nodes, rows, width)
         links = found if links is None else saved(links.unionByName(found))
         rest = _rooted(shared, links)
         if rest.isEmpty():
             break
-        small = rest if level + 1 == LEVELS else rest.filter(F.col("outside") <= OUTSIDE)
+        small = rest if level == LEVELS else rest.filter(F.col("outside") <= OUTSIDE)
         links = saved(links.unionByName(confirmed(_pairs(small, nodes), nodes, rows, width)))
-        if level + 1 < LEVELS:
-            large = rest.filter(F.col("outside") > OUTSIDE)
-            if large.isEmpty():
-                break
-            entries = saved(_branched(large, nodes, level + 1))
+        large = rest.filter(F.col("outside") > OUTSIDE)
+        if level == LEVELS or large.isEmpty():
+            break
+        entries = saved(_branched(large, nodes, level))
     return links
 
 
