@@ -5,10 +5,11 @@ token that is smallest under that tree's and level's hash, which two sets share
 Jaccard similarity.  All trees grow level by level as one table of (path, node), from the second level on, where sets
 that have little in common are apart already:
 
-* every node takes the leaders it meets most often and is compared with them, which joins groups of copies of any size;
+* every node takes the leader it meets most often and is compared with it, which joins groups of copies of any size;
 * paths whose members are all in one component are done;
 * where few members lie outside a path's largest component, they are compared with all members;
-* the other paths branch on; at the last level all that is left is compared.
+* the other paths branch on, and what lies outside is compared with some members of the largest component before; at the
+  last level all that is left is compared.
 
 A pair is found in a tree of d levels with a probability of at least 0.8 ** d, so the number of trees follows from the
 recall that is asked for.  Comparisons look at parities first, which bound the difference of two sets from below, and
@@ -21,16 +22,17 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.llm.common import components, hashed_words, lower_table, mix64, saved, shingle_hashes, split_by_filter, without_ids
-from tidemart.llm.jaccard import FOLD, folded, near_by_set, near_by_sketch, sketch
+from tidemart.llm.jaccard import FOLD, folded, least_difference, near_by_set, need, sketch
 
 WIDTH = 2
 LEVELS = 4
 FIRST = 2           # tokens of the paths that are looked at first
-LEADERS = 3         # leaders that a node is compared with on a level
+PROBES = 3          # members of largest components that a node outside is compared with before its paths branch on
 RECALL = 1 - 1e-6   # of a single pair that is found nowhere before the last level
 OUTSIDE = 32        # members outside a path's largest component that are compared with all of the path
 SLICE_BYTES = 1 << 21
@@ -122,15 +124,24 @@ def _whole(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
 
 # -- confirming -------------------------------------------------------------------------------
 
+def _near_sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        keep = [need(a, b) <= min(a, b) and least_difference(x, y) <= a + b - 2 * need(a, b)
+                for a, b, x, y in zip(batch["n_a"], batch["n_b"], batch["held_a"], batch["held_b"], strict=True)]
+        yield batch.loc[keep, ["a", "b", "doc_a", "doc_b"]]
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """The (a, b) of ``pairs`` that link by their whole sets, computed again from texts of the classes concerned."""
-    near = near_by_sketch(pairs, nodes.select("node", "n", "held", "fold"))
-    concerned = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    of = saved(nodes.select("node", "doc_id").join(concerned, "node"))
-    some, _ = split_by_filter(rows, of.select("doc_id"), "doc_id")
-    sets = some.mapInArrow(lambda it: _whole(it, width), "node long, held array<long>")
-    sets = saved(sets.join(of.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-    return near_by_set(near, sets)
+    """The (a, b) of ``pairs`` that link by their whole sets, computed again from a text of each class concerned."""
+    for side in ("a", "b"):
+        own = nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("held").alias(f"held_{side}"),
+                           F.col("doc_id").alias(f"doc_{side}"))
+        pairs = pairs.join(own, side)
+    near = saved(pairs.mapInPandas(_near_sketches, "a long, b long, doc_a long, doc_b long"))
+    some, _ = split_by_filter(rows, near.select(F.explode(F.array("doc_a", "doc_b")).alias("doc_id")), "doc_id")
+    # Texts that the filter lets through in vain, and equal sets, find no pair or the same one again.
+    sets = saved(some.mapInArrow(lambda it: _whole(it, width), "node long, held array<long>"))
+    return near_by_set(near.select("a", "b"), sets)
 
 
 # -- trees ------------------------------------------------------------------------------------
@@ -142,23 +153,55 @@ def _shared(entries: DataFrame) -> DataFrame:
 
 
 def _led(shared: DataFrame) -> DataFrame:
-    """(a, b): each node and the leaders that it meets in most paths."""
+    """(a, b): each node and the leader that it meets in most paths; b is the smaller."""
     times = shared.filter("node != lead").groupBy("node", "lead").agg(F.count("*").alias("times"))
-    # A node has at most TREES leaders.
-    best = times.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "lead")), False).alias("best"))
-    return best.select(F.col("node").alias("a"), F.explode(F.slice("best", 1, LEADERS)).alias("b")).select("a", F.col("b.lead").alias("b"))
-
-
-def _rooted(shared: DataFrame, links: DataFrame) -> DataFrame:
+    best = times.groupBy("node").agg(F.max(F.struct("times", "lead")).alias("best"))
+    return best.select(F.col("node").alias("a"), F.col("best.lead").alias("b"))
+
+
+def _climbed(parents: DataFrame) -> DataFrame:
+    """(node, root) of the forest that (a, b) links make, one for each a, by doubling the way upwards."""
+    found = saved(parents.select(F.col("a").alias("node"), F.col("b").alias("root")).distinct())
+    while True:
+        above = found.select(F.col("node").alias("root"), F.col("root").alias("above"))
+        found = saved(found.select("node", "root").join(above, "root", "left").select(
+            "node", F.coalesce("above", "root").alias("root"), F.col("above").isNotNull().alias("moved")))
+        if found.filter("moved").isEmpty():
+            return found.select("node", "root")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots`` (node, root) after further (a, b) links, which are drawn between the roots."""
+    for side in ("a", "b"):
+        own = roots.select(F.col("node").alias(side), F.col("root").alias(f"of_{side}"))
+        links = links.join(own, side, "left").withColumn(side, F.coalesce(f"of_{side}", side)).drop(f"of_{side}")
+    links = saved(links.filter("a != b").distinct())
+    if links.isEmpty():
+        return roots
+    found = saved(components(links).toDF("root", "upper"))
+    moved = roots.join(found, "root", "left").select("node", F.coalesce("upper", "root").alias("root"))
+    return saved(moved.unionByName(found.filter("root != upper").select(F.col("root").alias("node"), F.col("upper").alias("root"))))
+
+
+def _rooted(entries: DataFrame, roots: DataFrame) -> DataFrame:
     """Entries with their component (root), of paths that several components share: ``major`` is the one with most
-    members there, ``outside`` the number of the others."""
-    rooted = shared.select("path", "tree", "node").join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    sizes = rooted.groupBy("path", "root").agg(F.count("*").alias("k"))
-    paths = sizes.groupBy("path").agg(F.sum("k").alias("m"), F.max(F.struct("k", "root")).alias("most"))
-    paths = paths.select("path", F.col("most.root").alias("major"), (F.col("m") - F.col("most.k")).alias("outside"))
+    members there, ``outside`` the number of the others, ``probe`` one of its members, another one in each path."""
+    rooted = entries.select("path", "tree", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    some = F.min(F.struct(F.xxhash64("path", "node").alias("turn"), "node")).alias("some")
+    sizes = rooted.groupBy("path", "root").agg(F.count("*").alias("k"), some)
+    paths = sizes.groupBy("path").agg(F.sum("k").alias("m"), F.max(F.struct("k", "root", "some")).alias("most"))
+    paths = paths.select("path", F.col("most.root").alias("major"), F.col("most.some.node").alias("probe"),
+                         (F.col("m") - F.col("most.k")).alias("outside"))
     return saved(rooted.join(paths.filter("outside > 0"), "path"))
 
 
+def _probes(rest: DataFrame) -> DataFrame:
+    """(a, b): nodes outside the largest component, each with some members of it."""
+    met = rest.filter("root != major").select("node", "probe").distinct()
+    chosen = met.groupBy("node").agg(F.slice(F.collect_list("probe"), 1, PROBES).alias("probes"))  # at most TREES in a list
+    return chosen.select(F.col("node").alias("a"), F.explode("probes").alias("b"))
+
+
 def _pairs(rest: DataFrame, nodes: DataFrame) -> DataFrame:
     """(a, b) of different components in a path: those outside the largest with all, where sizes and parities permit."""
     # Sets that link lie in one step of sizes or in neighbouring ones.
@@ -181,26 +224,23 @@ def _branched(rest: DataFrame, nodes: DataFrame, level: int) -> DataFrame:
     return held.select("node", "tokens", F.inline("at")).select(F.xxhash64("path", token).alias("path"), "tree", "node")
 
 
-def path_links(nodes: DataFrame, rows: DataFrame, width: int) -> DataFrame:
-    """(a, b) links of ``nodes`` (node, n, tokens, fold, held, doc_id), enough of them to connect all that link."""
+def path_roots(nodes: DataFrame, rows: DataFrame, width: int) -> DataFrame:
+    """(node, root) of the components of ``nodes`` (node, n, tokens, fold, held, doc_id); a node without a row is its own root."""
     first = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.struct(
         F.xxhash64(tree, *[F.get("tokens", tree * LEVELS + k) for k in range(FIRST)]).alias("path"), tree.alias("tree")))
-    entries = nodes.select("node", F.inline(first)).select("path", "tree", "node")
-    links = None
+    entries = _shared(nodes.select("node", F.inline(first)).select("path", "tree", "node"))
+    roots = _climbed(confirmed(_led(entries), nodes, rows, width))
     for level in range(FIRST, LEVELS + 1):
-        shared = _shared(entries)
-        found = confirmed(_led(shared), nodes, rows, width)
-        links = found if links is None else saved(links.unionByName(found))
-        rest = _rooted(shared, links)
-        if rest.isEmpty():
-            break
-        small = rest if level == LEVELS else rest.filter(F.col("outside") <= OUTSIDE)
-        links = saved(links.unionByName(confirmed(_pairs(small, nodes), nodes, rows, width)))
+        rest = _rooted(entries, roots)
         large = rest.filter(F.col("outside") > OUTSIDE)
-        if level == LEVELS or large.isEmpty():
+        last = level == LEVELS or large.isEmpty()
+        pairs = _pairs(rest if last else rest.filter(F.col("outside") <= OUTSIDE), nodes)
+        pairs = pairs if last else pairs.unionByName(_probes(large)).distinct()
+        roots = _merged(roots, confirmed(pairs, nodes, rows, width))
+        if last:
             break
-        entries = saved(_branched(large, nodes, level))
-    return links
+        entries = _shared(_branched(large, nodes, level))
+    return roots
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -217,11 +257,10 @@ def near_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     held = sets.filter("n > 0 and doc_id is not null")
     members = saved(held.select("doc_id", "node").distinct())
     nodes = saved(held.dropDuplicates(["node"]))
-    links = path_links(nodes, rows, width)
     # Several sets of one doc_id are one component anyway.
     firsts = members.groupBy("doc_id").agg(F.min("node").alias("a"))
     same = members.join(firsts, "doc_id").filter("node != a").select("a", F.col("node").alias("b"))
-    roots = components(links.unionByName(same))
+    roots = _merged(path_roots(nodes, rows, width), same)
     rooted = members.join(roots, "node", "left").select("doc_id", F.coalesce("root", "node").alias("root"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component"))
     owner = rooted.distinct().join(least, "root").select("doc_id", "component")
