@@ -1,6 +1,7 @@
 """Operators on small tables: nulls, empty and long texts, ties, repeated rows, empty tables, clashing names."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -185,11 +186,27 @@ def test_tiles_cover_as_much_as_brute_force():
     for _ in range(60):
         item = [random.choice("abcd") for _ in range(random.randint(3, 25))]
         doc = [random.choice("abcd") for _ in range(random.randint(3, 40))]
-        seeds = [(i, j) for i in range(len(item) - 2) for j in range(len(doc) - 2) if item[i:i + 3] == doc[j:j + 3]]
-        if seeds:
-            i, j = (np.array(x) for x in zip(*seeds, strict=True))
-            covered = sum(n for _, _, n in decontaminate.tile(i, j, 3, len(item), 1))
-            assert abs(covered - greedy_tiles(item, doc, 3)) <= 3  # equal lengths may be taken in another order
+        names = lambda letters: np.array([ord(c) * 0x9E3779B97F4A7C15 % (1 << 64) for c in letters], dtype=np.uint64)
+        tiles = decontaminate.tiles_between(names(item), names(doc), 3, 1)
+        for i, j, n in tiles:
+            assert item[i:i + n] == doc[j:j + n]
+        for side in (0, 1):
+            marked = [k for t in tiles for k in range(t[side], t[side] + t[2])]
+            assert len(marked) == len(set(marked))
+        covered = sum(n for _, _, n in tiles)
+        assert abs(covered - greedy_tiles(item, doc, 3)) <= 3  # equal lengths may be taken in another order
+
+def test_repetitive_texts_are_tiled_in_little_memory(spark):
+    words = np.full(100_000, 0x9E3779B97F4A7C15, dtype=np.uint64)
+    decontaminate.powers(10)  # its table is made once
+    tracemalloc.start()
+    assert decontaminate.tiles_between(words[:500], words, 5, 250) == [(0, 0, 500)]
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    tracemalloc.stop()
+    docs = documents(spark, ["word " * 100_000, "word " * 3, "a " * 60 + "b " * 60, " ".join(f"u{k}" for k in range(50))])
+    items = spark.createDataFrame([(1, "word " * 500), (2, "a " * 100 + "b " * 100)], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items).collect()
+    assert {(r["doc_id"], r["item_id"], r["covered"]) for r in found} == {(0, 1, 500), (2, 2, 120)}
 
 def test_reordered_passages_are_caught(spark, odd, none):
     item = [f"w{k}" for k in range(30)]
@@ -198,8 +215,6 @@ def test_reordered_passages_are_caught(spark, odd, none):
     items = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, ""), (4, "two words")], "item_id long, text string")
     found = {(r["doc_id"], r["item_id"]): (r["covered"], len(r["tiles"])) for r in decontaminate.contaminated(docs, items).collect()}
     assert found == {(0, 1): (30, 1), (1, 1): (30, 3), (6, 4): (2, 1)}
-    in_blocks = decontaminate.contaminated(docs, items, block_chars=20)
-    assert {(r["doc_id"], r["item_id"]) for r in in_blocks.collect()} == set(found)
     assert decontaminate.contaminated(odd, items).count() == 0 and decontaminate.contaminated(none, items).count() == 0
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.without_contaminated(odd, items).count() == odd.count()
