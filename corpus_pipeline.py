@@ -20,7 +20,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated chunks of lines go, and documents of which nothing is left; ``n_chars`` follows the text."""
     left = lines.drop_repeated_chunks(docs)
-    emptied = (F.col("n_removed_lines") > 0) & (F.trim("text") == "")
+    emptied = (F.col("n_removed_lines") > 0) & ~F.col("text").rlike(r"\S")
     left = left.filter(~emptied)
     n_chars = F.when(F.col("n_removed_lines") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
     return left.withColumn("n_chars", n_chars).select(docs.columns)
