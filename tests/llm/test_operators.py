@@ -271,6 +271,13 @@ def test_repeated_bytes_of_awkward_and_empty_tables(odd, none):
     assert len(found) == odd.count() and repeats.without_repeats(none).count() == 0
     assert found[found["doc_id"] == 3]["n_bytes"].tolist() == [0]
 
+def test_many_texts_without_an_id(spark):
+    rows = [(None, f"{k:07d}" + "".join(f" shared{j}" for j in range(14)) + f" {k}") for k in range(9000)]
+    found = repeats.without_repeats(documents(spark, rows)).select("n_bytes", "n_removed").toPandas()
+    first = found[found["n_removed"] == 0]
+    assert len(found) == 9000 and len(first) == 1  # whichever hash is the smallest
+    assert (found["n_bytes"] - found["n_removed"]).max() == first["n_bytes"].iloc[0]
+
 # -- 7 lines --------------------------------------------------------------------------------------
 
 def test_shifted_blocks_of_lines_are_removed(spark, odd, none):

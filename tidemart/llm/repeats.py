@@ -28,7 +28,7 @@ COLLECTION_BYTES = 1 << 19   # of strips looked at together, a group of one anch
 CROWD = 4000                 # different strips of one anchor from which they are cut into single windows
 SETTLED_BLOCKS = 16          # blocks of text among which equal strips are found before they are sent
 DOCS_AT_ONCE = 500           # documents whose bytes are cut out before they are sent
-TAG_SHIFT = 40               # a place is the tag of its text times 2**40 plus its offset
+TAG_SHIFT = 32               # a place is the tag of its text, of 31 bits, times 2**32 plus its offset
 NO_ID = -(1 << 63)
 
 
@@ -319,8 +319,10 @@ def _single_windows(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"),
-                       F.pmod(F.xxhash64(text), F.lit(1 << 23)).alias("tag"))
+    # Texts without an id are documents of their own, named by their hashes, below all ids.
+    unnamed = F.lit(NO_ID) + F.shiftrightunsigned(F.xxhash64(text), 2)
+    return docs.select("doc_id", text.alias("text"), F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("doc"),
+                       F.shiftrightunsigned(F.xxhash64(text), 33).alias("tag"))
 
 
 def _tag_of(at: Column) -> Column:
@@ -383,8 +385,9 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR)
     """(doc_id, n_bytes, n_removed, n_spans, kept), one row per row of ``docs``; ``kept`` holds the bytes left.
 
     Every byte goes that is covered by a string of ``length`` bytes which also starts earlier: in a smaller
-    doc_id, or before in the same text.  Null texts are empty, a null doc_id comes before all others, rows that
-    repeat a doc_id and text are one document, other texts of a doc_id come in the order of their hashes.
+    doc_id, or before in the same text.  Null texts are empty, rows without a doc_id come before all others in the order
+    of their texts' hashes (ids below -2**62 would mix with them), rows that repeat a doc_id, or have none, and the text are one
+    document, other texts of a doc_id come in the order of their hashes.
     Other columns are ignored.
     """
     keyed = _keyed(docs)
