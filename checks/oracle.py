@@ -293,6 +293,15 @@ oracle("fact_routed_rows", "part_events", f"""select 'dwd_part_r' as sink_table,
         || ',sku_num=' || cast(l_quantity as bigint) || ',user_id=' || l_suppkey,
         {_ms('l_orderkey')} + l_linenumber * 1000 from lineitem where l_linenumber % 3 = 0""")
 
+oracle("fact_routed_as_of", "part_events", f"""select case when ts_ms < 1705067200100 then 'dwd_part_u' else 'dwd_part_later' end as sink_table,
+        case when ts_ms < 1705067200100 then 'id=' || id || ',name=' || new_name else 'brand=' || brand || ',id=' || id end as data,
+        ts_ms from part_events where op = 'u'
+    union all select case when moment < 1704767200000 then 'dwd_cart' else 'dwd_cart_again' end, 'id=' || id || case when moment < 1704767200000
+        then ',sku_num=' || num else '' end || ',user_id=' || supp, moment from (
+        select l_orderkey * 10 + l_linenumber as id, cast(l_quantity as bigint) as num, l_suppkey as supp,
+          {_ms('l_orderkey')} + l_linenumber * 1000 as moment from lineitem where l_linenumber % 3 = 0)
+      where moment < 1704767200000 or moment >= 1705372000000""")
+
 # -- facts ----------------------------------------------------------------------------------
 
 oracle("fact_cart_add", "carts", "select id, user_id, sku_id, sku_num, ts_ms from carts")
@@ -341,6 +350,9 @@ oracle("fact_comment_order", "comments dic order_events",
 
 oracle("join_lookup_sku", "lines", """select id, sku_id, seq, cast(p_size % 25 as bigint) as category3_id, p_partkey % 12 as tm_id
     from lines left join part on sku_id = p_partkey""")
+oracle("join_lookup_as_of", "lines part_events", """select l.id, l.sku_id, l.seq, l.ts_ms,
+    case when v.op <> 'd' then v.new_name end as part_name from lines l asof left join part_events v
+    on l.sku_id = v.id and l.ts_ms >= v.ts_ms""")
 oracle("join_lookup_two_roles", "dic", """select c_custkey, a.dic_code as type_code, b.dic_code as reason_code,
     a.dic_name as type_name, b.dic_name as reason_name from customer
     join dic a on a.dic_code = cast(1500 + c_custkey % 27 as varchar)

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemart.functions import dates, people
 from tidemart.functions.score import with_age_scores
-from tidemart.operators import changes, etl, firsttime, joins, logs as log_ops, text
+from tidemart.operators import asof, changes, etl, firsttime, joins, logs as log_ops, text
 from tidemart.plans import applogs, comments, dims, serving, tags, trade, traffic
 from tidemart.session import shared_dir
 from tidemart.sources import feeds
@@ -301,6 +301,13 @@ def fact_routed_rows(t: Testbed):
     return rows.select("sink_table", _sorted_entries("data"), "ts_ms")
 
 
+@query
+def fact_routed_as_of(t: Testbed):
+    """Events before and after a change of the configuration take the sinks of their time."""
+    rows = dims.fact_rows_as_of(t.mixed_feed("part", "cart_info"), t.fact_config_history())
+    return rows.select("sink_table", _sorted_entries("data"), "ts_ms")
+
+
 # -- facts ------------------------------------------------------------------------------
 
 ORDER_FEED = ["order_info", "order_detail", "order_detail_activity", "order_detail_coupon"]
@@ -374,6 +381,14 @@ def join_lookup_sku(t: Testbed):
                         {"category3_id": "category3_id", "tm_id": "tm_id"})
 
 
+@query
+def join_lookup_as_of(t: Testbed):
+    """Order lines with the product's name at their time; products are renamed and deleted meanwhile."""
+    rows = t.lines().select("id", "sku_id", "seq", "ts_ms")
+    return asof.lookup_as_of(rows, t.part_versions(), {"sku_id": "part_id"}, "ts_ms", {"name": "part_name"},
+                             deleted=F.col("op") == "d")
+
+
 @query
 def join_lookup_two_roles(t: Testbed):
     """One dictionary under two roles; a missing code drops the row."""

@@ -15,7 +15,7 @@ from tidemart.operators import logs as log_operators
 from tidemart.plans import comments, tags, trade, traffic
 from tidemart.sources.feeds import app_log, with_event_time
 from tidemart.streaming import plans, processors, sinks
-from tidemart.testbed import Testbed, ms as testbed_ms
+from tidemart.testbed import Testbed, ms as order_time
 from tests.conftest import SF_DIR
 
 DAY0 = 1_704_067_200_000
@@ -283,7 +283,7 @@ def test_log_records_stream_equals_batch(spark, tmp_path, testbed):
 def test_age_tag_stream_tags_the_users_of_the_batch(spark, tmp_path, testbed):
     batch, streams = feed_streams(spark, tmp_path / "in", testbed, "order_info", "order_detail")
     orders = testbed.table("orders").filter("o_orderstatus is not null")
-    at = testbed_ms("o_orderkey")
+    at = order_time("o_orderkey")
     people = orders.selectExpr("o_custkey as id", "concat('u', o_custkey) as name", "cast(9000 + o_custkey as int) as birthday",
                                "'M' as gender", f"{at} as ts_ms").dropDuplicates(["id"])
     found = orders.selectExpr("cast(o_custkey as string) as uid", f"{at} + 60000 as ts", "'iOS' as os",

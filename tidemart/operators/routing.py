@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemart.operators.asof import route_as_of
 from tidemart.operators.changes import latest_per_key
 from tidemart.operators.joins import small_side
 
@@ -43,6 +44,24 @@ def route_facts(events: DataFrame, config: DataFrame) -> DataFrame:
         "sink_table", prune_columns(F.col("after"), F.col("sink_columns")).alias("data"), "ts_ms")
 
 
+def route_facts_as_of(events: DataFrame, config: DataFrame) -> DataFrame:
+    """As ``route_facts``, by the configuration that was in force when each event happened; ``config`` holds all changes."""
+    keyed = events.withColumn("source_table", F.col("source")["table"]).withColumn("source_type", F.col("op")).drop("op")
+    rows = config.select("source_table", "source_type", "sink_table", "sink_columns", "op", "ts_ms")
+    return route_as_of(keyed, rows, ["source_table", "source_type"]).select(
+        "sink_table", prune_columns(F.col("after"), F.col("sink_columns")).alias("data"), "ts_ms")
+
+
+def route_dimensions_as_of(events: DataFrame, config: DataFrame) -> DataFrame:
+    """As ``route_dimensions``, by the configuration that was in force when each event happened."""
+    keyed = events.withColumn("source_table", F.col("source")["table"]).withColumnRenamed("op", "_kind")
+    rows = config.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key", "op", "ts_ms")
+    routed = route_as_of(keyed, rows, ["source_table"]).withColumnRenamed("_kind", "op")
+    row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
+    return routed.select("sink_table", "sink_family", row[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms",
+                         prune_columns(row, F.col("sink_columns")).alias("data"))
+
+
 def current_dimension(routed: DataFrame, order: list[str] | None = None) -> DataFrame:
     """The dimension rows in force after all events; null columns are not stored."""
     newest = latest_per_key(routed, ["sink_table", "row_key"], order or ["ts_ms"], deleted=F.col("op") == "d")

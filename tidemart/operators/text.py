@@ -90,6 +90,20 @@ def explode_segments(df: DataFrame, words: DataFrame, text: str, keyword: str =
     return with_segments(df, words, text, "_words").withColumn(keyword, F.explode("_words")).drop("_words")
 
 
+FILTER_BITS = 24  # whatever the dictionary; a fuller filter lets more rows pass, which costs time but changes nothing
+
+
+def maybe_among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """``df`` without rows whose ``column`` is surely not in ``values[column]``, by a filter of fixed size that every task gets."""
+    def marked(rows: DataFrame) -> DataFrame:
+        spot = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+        return rows.withColumn("_spot", spot).withColumn("_place", F.shiftright("_spot", 6).cast("int"))
+
+    bit = F.expr("shiftleft(1L, cast(_spot & 63 as int))")
+    marks = marked(values.select(column)).groupBy("_place").agg(F.bit_or(bit).alias("_bits"))
+    return marked(df).join(F.broadcast(marks), "_place").filter(F.col("_bits").bitwiseAND(bit) != 0).select(df.columns)
+
+
 # -- membership -------------------------------------------------------------------------
 
 def last_piece(text: Column) -> Column:
@@ -116,12 +130,13 @@ def with_words_inside(df: DataFrame, words: DataFrame, text: str, out: str) -> D
     """All dictionary words that occur anywhere in ``text``, as a sorted array; null for a null text.
 
     Every word is found by its first letters, as many as one of GRAM_SIZES allows: the distinct grams of each
-    distinct text are joined with those, and what meets is looked up in the whole text.  Empty words do not count.
+    distinct text that may be such letters are joined with them, and what meets is looked up in the whole text.  Empty words do not count.
     """
     sizes = F.array(*[F.lit(n) for n in GRAM_SIZES])
     size = F.array_max(F.filter(sizes, lambda n: n <= F.length("word")))
     known = words.select("word").filter("word != ''").distinct().withColumn("_size", size)
     known = known.withColumn("_gram", F.substring("word", F.lit(1), F.col("_size")))
+    used = [r["_size"] for r in known.select("_size").distinct().collect()]  # at most as many as GRAM_SIZES has
     keyed = df.withColumn("_text", F.sha2(text, 256))
     texts = keyed.select("_text", F.col(text).alias("_whole")).filter("_text is not null").dropDuplicates(["_text"])
 
@@ -129,8 +144,10 @@ def with_words_inside(df: DataFrame, words: DataFrame, text: str, out: str) -> D
         found = F.regexp_extract_all("_whole", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1))
         return F.transform(F.array_distinct(found), lambda g: F.struct(F.lit(n).alias("_size"), g.alias("_gram")))
 
-    cut = texts.select("_text", F.inline(F.concat(*[grams(n) for n in GRAM_SIZES])))
-    met = cut.join(known, ["_size", "_gram"]).select("_text", "word", "_size")
+    none = F.array().cast("array<struct<_size:int,_gram:string>>")
+    cut = texts.select("_text", F.inline(F.concat(none, *[grams(n) for n in used])))
+    # Few grams begin a word: all others stay out of the shuffle.
+    met = maybe_among(cut, "_gram", known).join(known, ["_size", "_gram"]).select("_text", "word", "_size")
     # A word no longer than its gram is found already; the others are looked up.
     whole = met.filter(F.length("word") == F.col("_size")).select("_text", "word")
     longer = met.filter(F.length("word") > F.col("_size")).join(texts, "_text").filter(F.contains("_whole", "word"))

@@ -24,3 +24,13 @@ def fact_rows(events: DataFrame, config_events: DataFrame) -> DataFrame:
     config = routing.current_config(config_rows(config_events, schemas.FACT_CONFIG_COLUMNS),
                                     ["source_table", "source_type"])
     return routing.route_facts(etl.drop_bootstrap(events), config)
+
+
+def fact_rows_as_of(events: DataFrame, config_events: DataFrame) -> DataFrame:
+    """Changes sent to the fact table that was configured for (table, kind) when they happened."""
+    return routing.route_facts_as_of(etl.drop_bootstrap(events), config_rows(config_events, schemas.FACT_CONFIG_COLUMNS))
+
+
+def dimension_rows_as_of(events: DataFrame, config_events: DataFrame, db: str) -> DataFrame:
+    """Changes of tables that were configured when they happened, each by the configuration of that time."""
+    return routing.route_dimensions_as_of(etl.valid_events(events, db), config_rows(config_events, schemas.DIM_CONFIG_COLUMNS))

@@ -22,7 +22,8 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, starting: str
 
 def text_messages(spark: SparkSession, path: str, stream: bool = False,
                   files_per_trigger: int | None = None) -> DataFrame:
-    """Lines of the files in a folder as ``value``; as a stream it tails the folder."""
+    """Lines of the files in a folder as ``value``; a stream takes files that are whole when they appear (growing ones:
+    ``tail.tailed_messages``)."""
     if not stream:
         return spark.read.text(path)
     reader = spark.readStream.format("text")

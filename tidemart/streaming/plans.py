@@ -10,14 +10,15 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.operators import etl
 from tidemart.operators.joins import dictionary_name, lookup, stream_interval_join
+from tidemart.operators.routing import prune_columns
 from tidemart.operators.text import explode_keywords, explode_segments
 from tidemart.operators.windows import distinct_count, total, tumble
 from tidemart.operators.logs import split_records
 from tidemart.plans import comments as comment_plans, tags, trade
 from tidemart.plans.traffic import VIEW_KEYS
 from tidemart.sources.feeds import app_log, with_event_time
-from tidemart.streaming.processors import (daily_logins_stream, first_of_day_stream, repair_new_visitors_stream,
-                                           retract_stream)
+from tidemart.streaming.processors import (daily_logins_stream, early_left_join_stream, first_ever_stream, first_of_day_stream,
+                                           lookup_as_of_stream, repair_new_visitors_stream, retract_stream)
 
 
 def traffic_stream(logs: DataFrame, size: str = "10 seconds", tz: str | None = None) -> DataFrame:
@@ -93,6 +94,28 @@ def order_lines_stream(lines: DataFrame, orders: DataFrame, extras: DataFrame, e
     return joined.join(extras, F.expr(f"id = {extra_key} and extra_et between et - {bound} and et + {bound}"), "left")
 
 
+def early_order_lines_stream(lines: DataFrame, extras: DataFrame, extra_key: str, within_ms: int = 10_000) -> DataFrame:
+    """Order lines with an optional partner, at once: with nulls first, then taken back and given again with the partner.
+
+    ``sinks.upserted`` by line and ``version`` over the result holds each line as it is in the end.
+    """
+    return early_left_join_stream(lines, extras, "id", extra_key, within_ms)
+
+
+def fact_rows_stream(events: DataFrame, config: DataFrame, salts: int = 32) -> DataFrame:
+    """Events routed by the configuration in force when they happened: streaming form of ``dims.fact_rows_as_of``.
+
+    ``config`` is the configuration's own change feed (``feeds.config_rows`` with ``et``), read from its start.
+    """
+    keyed = etl.drop_bootstrap(events).select(
+        F.col("source")["table"].alias("source_table"), F.col("op").alias("source_type"),
+        F.to_json("after", {"ignoreNullFields": "false"}).alias("after"), "ts_ms", "et")  # state holds no maps
+    routed = lookup_as_of_stream(keyed, config, {"source_table": "source_table", "source_type": "source_type"},
+                                 {"sink_table": "sink_table", "sink_columns": "sink_columns"}, F.col("op") == "d", salts)
+    return routed.filter("sink_table is not null").select(
+        "sink_table", prune_columns(F.from_json("after", "map<string,string>"), F.col("sink_columns")).alias("data"), "ts_ms")
+
+
 # -- facts and tags from feeds of change events -------------------------------------------------
 #
 # These take feeds without a watermark and set one on every side of a join, so state ends with the interval.
@@ -147,8 +170,9 @@ def user_attributes_stream(events: etl.Feed, as_of: Column, within_s: int = 3600
 
 
 def age_tag_stream(events: etl.Feed, users: DataFrame, logs: DataFrame, products: DataFrame, keyword_types: DataFrame,
-                   line_s: int = 60, user_s: int = 60, log_s: int = 3600) -> DataFrame:
-    """Streaming form of ``age_tags``: a user's first tag to arrive, forgotten with the watermark.
+                   line_s: int = 60, user_s: int = 60, log_s: int = 3600, seen: DataFrame | None = None) -> DataFrame:
+    """Streaming form of ``age_tags``: a user's first tag to arrive, and no other one; ``seen`` (user_id, name) holds those tagged
+    before a start without a checkpoint.
 
     ``users`` (see ``tags.user_rows``) and ``logs`` (``log_profile``, only newest records) carry their watermarked
     ``et``.  Every join is bounded on the line's event time, so state ends, and then exactly on the time ``te`` so far.
@@ -167,7 +191,7 @@ def age_tag_stream(events: etl.Feed, users: DataFrame, logs: DataFrame, products
     rows = rows.join(tags.search_side(logs), (F.col("user_id") == F.col("_log_uid"))
                      & between("log_et", "ts", log_s, line_s + user_s + log_s, log_s))
     rows = rows.withColumn("te", F.greatest("te", "ts")).drop("_log_uid", "log_et")
-    return tags.scored_rows(rows, keyword_types).dropDuplicatesWithinWatermark(["user_id", "name"])
+    return first_ever_stream(tags.scored_rows(rows, keyword_types), ["user_id", "name"], seen)
 
 
 def log_records_stream(messages: DataFrame, tz: str | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from datetime import timedelta
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Row, functions as F
+from pyspark.sql import Column, DataFrame, Row, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -30,6 +30,11 @@ def _with_ms(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, _MS])
 
 
+def _values(struct, schema: T.StructType) -> tuple:
+    """The fields of a struct column, which comes as a row or as a dictionary."""
+    return tuple(struct[name] for name in schema.names)
+
+
 class _Keyed(StatefulProcessor):
     def close(self) -> None:
         pass
@@ -215,6 +220,124 @@ class Profile(_Keyed):
         self.pv.update((pv,))
 
 
+class VersionInForce(_Keyed):
+    """Rows with the version of their key that was in force at their time, given out when the watermark has passed them.
+
+    Versions are kept as long as a row may still ask for them: the newest that the watermark has passed, and all later ones.
+    """
+
+    def __init__(self, rows: T.StructType, versions: T.StructType):
+        self.rows, self.versions = rows, versions
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.known = handle.getMapState("known", _LONG, self.versions)
+        self.waiting = handle.getListState("waiting", _with_ms(self.rows))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        times = set()
+        for row in rows:
+            if row["_kind"] == 0:
+                self.known.updateValue((row["_ms"],), _values(row["_version"], self.versions))
+            else:
+                self.waiting.appendValue((*_values(row["_row"], self.rows), row["_ms"]))
+                times.add(row["_ms"])
+        for ms in times:
+            self.handle.registerTimer(ms)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed = timerValues.getCurrentWatermarkInMs()
+        waiting = [tuple(w) for w in self.waiting.get()] if self.waiting.exists() else []
+        known = sorted((k[0], tuple(v)) for k, v in self.known.iterator())
+        for *values, ms in (w for w in waiting if w[-1] <= passed):
+            held = [v for at, v in known if at <= ms]
+            found = held[-1] if held and held[-1][0] else (None,) * len(self.versions)
+            yield Row(**dict(zip(self.rows.names, values)), **dict(zip(self.versions.names[1:], found[1:])))
+        left = [w for w in waiting if w[-1] > passed]
+        if left:
+            self.waiting.put(left)
+        else:
+            self.waiting.clear()
+        for at in [at for at, _ in known if at <= passed][:-1]:
+            self.known.removeKey((at,))
+
+
+class EarlyJoin(_Keyed):
+    """A left join that answers at once: the row with nulls, and when a partner comes its retraction and the joined row.
+
+    ``change`` is + for a row that holds and - for one that is taken back, ``version`` counts a key's changes.  A key is
+    forgotten ``bound_ms`` after its last row.
+    """
+
+    def __init__(self, left: T.StructType, right: T.StructType, bound_ms: int):
+        self.left, self.right, self.bound_ms = left, right, bound_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.lefts, self.rights = handle.getListState("lefts", self.left), handle.getListState("rights", self.right)
+        self.version = handle.getValueState("version", _LONG)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        lefts = [tuple(x) for x in self.lefts.get()] if self.lefts.exists() else []
+        rights = [tuple(x) for x in self.rights.get()] if self.rights.exists() else []
+        version, last_ms = self.version.get()[0] if self.version.exists() else 0, 0
+        nothing = (None,) * len(self.right)
+        timers = list(self.handle.listTimers())
+        if timers and max(timers) <= timerValues.getCurrentWatermarkInMs():  # ended, though the timer's turn comes after the rows
+            lefts, rights = [], []
+            self.lefts.clear()
+            self.rights.clear()
+
+        def out(change: str, a: tuple, b: tuple) -> Row:
+            return Row(**dict(zip(self.left.names, a)), **dict(zip(self.right.names, b)), change=change, version=version)
+
+        for row in rows:
+            last_ms = max(last_ms, row["_ms"])
+            if row["_kind"] == 0:
+                a = _values(row["_left"], self.left)
+                for b in rights or [nothing]:
+                    version += 1
+                    yield out("+", a, b)
+                lefts.append(a)
+                self.lefts.appendValue(a)
+            else:
+                b = _values(row["_right"], self.right)
+                for a in lefts:
+                    if not rights:
+                        version += 1
+                        yield out("-", a, nothing)
+                    version += 1
+                    yield out("+", a, b)
+                rights.append(b)
+                self.rights.appendValue(b)
+        self.version.update((version,))
+        for timer in timers:
+            last_ms = max(last_ms, timer - self.bound_ms)
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(last_ms + self.bound_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        for state in (self.lefts, self.rights, self.version):
+            state.clear()
+        return iter(())
+
+
+class FirstEver(_Keyed):
+    """The first row of a key to arrive, and never another one: the mark has no end.  Keys of an initial state are marked."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", _LONG)
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        self.seen.update((1,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if not self.seen.exists():
+            self.seen.update((1,))
+            yield next(iter(rows))
+
+
 # -- the processors on DataFrames -----------------------------------------------------------
 
 def _day_start(df: DataFrame, ts: str, tz: str | None) -> DataFrame:
@@ -270,3 +393,53 @@ def profile_stream(df: DataFrame) -> DataFrame:
     schema = T.StructType([df.schema["uid"], T.StructField("pv", T.LongType()),
                            T.StructField("os", T.StringType()), T.StructField("keyword", T.StringType())])
     return _apply(df, ["uid"], Profile(), schema)
+
+
+def lookup_as_of_stream(df: DataFrame, versions: DataFrame, on: dict[str, str], add: dict[str, str], deleted: Column | None = None,
+                        salts: int = 1) -> DataFrame:
+    """Streaming form of ``lookup_as_of``: both streams have a watermarked ``et``, whose milliseconds count as time.
+
+    A row leaves when the watermark has passed it, so it meets every version up to its time; it leaves without ``et``.
+    With ``salts`` the rows of a key are spread and its versions copied, for keys as few as a configuration's.
+    """
+    keys = [f"_k{i}" for i in range(len(on))]
+    columns = [c for c in df.columns if c != "et"]
+    alive = ~F.coalesce(deleted, F.lit(False)) if deleted is not None else F.lit(True)
+    held = versions.select(
+        *[F.col(d).alias(k) for k, d in zip(keys, on.values(), strict=True)], F.explode(F.array(*[F.lit(k) for k in range(salts)])).alias("_salt"),
+        "et", F.struct(alive.alias("_alive"), *[F.col(c).alias(name) for c, name in add.items()]).alias("_version"))
+    # Columns may hold maps, which have no hash of their own.
+    salt = F.pmod(F.xxhash64(F.to_json(F.struct(*columns))), F.lit(salts)).cast("int") if salts > 1 else F.lit(0)
+    rows = df.select(*[F.col(c).alias(k) for k, c in zip(keys, on, strict=True)], salt.alias("_salt"), "et", F.struct(*columns).alias("_row"))
+    row_type, version_type = rows.schema["_row"].dataType, held.schema["_version"].dataType
+    both = rows.withColumns({"_version": F.lit(None).cast(version_type), "_kind": F.lit(1)}).unionByName(
+        held.withColumns({"_row": F.lit(None).cast(row_type), "_kind": F.lit(0)}))
+    out = T.StructType([*row_type.fields, *[T.StructField(f.name, f.dataType) for f in version_type.fields[1:]]])
+    return _event_ms(both).groupBy(*keys, "_salt").transformWithState(VersionInForce(row_type, version_type), out, "Append", "EventTime")
+
+
+def early_left_join_stream(left: DataFrame, right: DataFrame, left_key: str, right_key: str, bound_ms: int = 10_000) -> DataFrame:
+    """Rows of ``left`` at once, joined as soon as a partner comes (see ``EarlyJoin``); both have a watermarked ``et``.
+
+    Columns of the two sides differ; the result has those of both without ``et``, ``change`` and ``version``.
+    """
+    mine, other = ([c for c in df.columns if c != "et"] for df in (left, right))
+    a = left.select(F.col(left_key).alias("_key"), "et", F.struct(*mine).alias("_left"))
+    b = right.select(F.col(right_key).cast(left.schema[left_key].dataType).alias("_key"), "et", F.struct(*other).alias("_right"))
+    left_type, right_type = a.schema["_left"].dataType, b.schema["_right"].dataType
+    both = a.withColumns({"_right": F.lit(None).cast(right_type), "_kind": F.lit(0)}).unionByName(
+        b.withColumns({"_left": F.lit(None).cast(left_type), "_kind": F.lit(1)}))
+    right_out = [T.StructField(f.name, f.dataType) for f in right_type.fields]
+    out = T.StructType([*left_type.fields, *right_out, T.StructField("change", T.StringType()), T.StructField("version", T.LongType())])
+    return _event_ms(both).groupBy("_key").transformWithState(EarlyJoin(left_type, right_type, bound_ms), out, "Append", "EventTime")
+
+
+def first_ever_stream(df: DataFrame, keys: list[str], seen: DataFrame | None = None) -> DataFrame:
+    """The first row of each key to arrive, for ever; ``seen`` holds the keys of rows given out before, on a new start.
+
+    The state grows with the number of keys and has no end, as nothing says when a key may come again.
+    """
+    schema, event_time = df.schema, {"eventTimeColumnName": "et"} if "et" in df.columns else {}
+    initial = None if seen is None else seen.select(*keys).distinct().groupBy(*keys)
+    return df.groupBy(*keys).transformWithState(FirstEver(), schema, "Append", "EventTime" if event_time else "None",
+                                                initialState=initial, **event_time)

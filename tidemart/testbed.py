@@ -248,11 +248,11 @@ class Testbed:
 
     # -- configuration ----------------------------------------------------------------
 
-    def _config(self, table: str, rows: list[tuple[str, dict[str, str]]]) -> DataFrame:
+    def _config(self, table: str, rows: list[tuple[str, dict[str, str]]], times: list[int] | None = None) -> DataFrame:
         one = self.spark.range(1)
         quoted = [(op, {k: f"'{v}'" for k, v in row.items()}) for op, row in rows]
         return union_all([
-            as_change_events(one, "config", table, f"'{op}'", str(i + 1), None if op == "d" else row,
+            as_change_events(one, "config", table, f"'{op}'", str(times[i] if times else i + 1), None if op == "d" else row,
                              row if op in ("d", "u") else None, row=text_map)
             for i, (op, row) in enumerate(quoted)])
 
@@ -273,6 +273,21 @@ class Testbed:
             ("r", row("part", "u", "id,name")), ("r", row("part", "r", "id,brand,size")),
             ("r", row("cart_info", "c", "id,user_id,sku_id,sku_num")), ("d", row("part", "u", "id,name"))])
 
+    def fact_config_history(self) -> DataFrame:
+        """Changes of parts move to another table among them, cart rows pause for a week and come back with fewer columns."""
+        def row(table, kind, sink, columns):
+            return {"source_table": table, "source_type": kind, "sink_table": sink, "sink_columns": columns}
+        return self._config("table_process_dwd", [
+            ("r", row("part", "u", "dwd_part_u", "id,name")), ("r", row("cart_info", "c", "dwd_cart", "id,user_id,sku_num")),
+            ("u", row("part", "u", "dwd_part_later", "id,brand")), ("d", row("cart_info", "c", "dwd_cart", "id,user_id,sku_num")),
+            ("c", row("cart_info", "c", "dwd_cart_again", "id,user_id"))],
+            [1, 2, DAY0_MS + 1_000_000_100, DAY0_MS + 700_000_000, DAY0_MS + 1_304_800_000])
+
+    def part_versions(self) -> DataFrame:
+        """Products as they were: every event of a part with its name."""
+        row = F.coalesce("after", "before")
+        return Testbed(self.spark, self.dir, text_map).part_events().select(row["id"].cast("bigint").alias("part_id"), row["name"].alias("name"), "op", "ts_ms")
+
     # -- dimensions -------------------------------------------------------------------
 
     def dictionary(self) -> DataFrame:
