@@ -256,10 +256,42 @@ def test_grades(spark):
 def test_segmenter_takes_longest_words(spark):
     words = spark.createDataFrame([(w,) for w in ("智能", "智能手机", "手机", "轻薄", "")], "word string")
     df = spark.createDataFrame([("智能手机Redmi 轻薄手机 手机",), (None,), ("Plain words, plain",)], "t string")
-    assert [r.cut for r in text.with_segments(df, words, "t", "cut").collect()] == [
-        ["智能手机", "redmi", "轻薄", "手机"], None, ["plain", "words"]]
-    with pytest.raises(ValueError, match="at most 2"):
-        text.with_segments(df, words, "t", "cut", most_words=2)
+    assert {r.t: r.cut for r in text.with_segments(df, words, "t", "cut").collect()} == {
+        "智能手机Redmi 轻薄手机 手机": ["智能手机", "redmi", "轻薄", "手机"], None: None, "Plain words, plain": ["plain", "words"]}
+
+
+def _longest_words(run, words):
+    out, at = [], 0
+    while at < len(run):
+        size = next((n for n in range(len(run) - at, 1, -1) if run[at:at + n] in words), 1)
+        out.append(run[at:at + size])
+        at += size
+    return out
+
+
+def test_segmenter_equals_a_scan_from_the_left(spark):
+    import random
+    dice = random.Random(7)
+    letters = "天地人山水火"
+    known = {"".join(dice.choices(letters, k=dice.randint(1, 5))) for _ in range(60)}
+    runs = ["".join(dice.choices(letters, k=dice.randint(1, 40))) for _ in range(200)] + ["天" * 3000]
+    words = spark.createDataFrame([(w,) for w in known] + [("天a",), (None,)], "word string")
+    df = spark.createDataFrame([(i, r + (" Ab1 " + r[::-1] if i % 3 else "")) for i, r in enumerate(runs)] + [(-1, ""), (-1, "")],
+                               "i int, t string")
+    got = {r.i: r.cut for r in text.with_segments(df, words, "t", "cut").collect()}
+    for i, run in enumerate(runs):
+        parts = _longest_words(run, known) + (["ab1", *_longest_words(run[::-1], known)] if i % 3 else [])
+        assert got[i] == list(dict.fromkeys(parts))
+    assert got[-1] == []
+    assert text.with_segments(df, words.limit(0), "t", "cut").count() == len(runs) + 2
+
+
+def test_segmenter_takes_a_large_dictionary(spark):
+    """Of 600,000 words; nothing of it passes the driver."""
+    words = spark.range(600_000).selectExpr("translate(lpad(id, 6, '0'), '0123456789', '零一二三四五六七八九') as word")
+    df = words.filter("word = '五零零零零七'").selectExpr("concat('火火', word, '人') as t")
+    row = text.with_segments(df, words, "t", "cut").first()
+    assert row.cut == ["火", "五零零零零七", "人"]
 
 
 def test_keyword_function_in_sql(spark):

@@ -301,3 +301,19 @@ def test_age_tag_stream_tags_the_users_of_the_batch(spark, tmp_path, testbed):
     columns = ["user_id", "name", "age_group", "keyword"]
     wanted = rows(expected.select(columns))
     assert collect(spark, stream.select(columns), tmp_path) == wanted and wanted
+
+
+def test_distinct_orders_of_a_window_under_resends(spark, tmp_path):
+    """Many orders of one province, some lines sent again with other amounts: counts and sums equal the batch, no set is kept."""
+    from decimal import Decimal
+    schema = "id long, order_id long, province_id int, split_total_amount decimal(16,2), ts long, seq long"
+    first = [(i, i // 3, 5 + i % 2, Decimal(i), DAY0 + i * 20, 1) for i in range(300)] + [(900, None, 5, Decimal(1), DAY0, 1)]
+    again = [(i, i // 3, 5 + i % 2, Decimal(2 * i), DAY0 + i * 20, 2) for i in range(0, 300, 7)]
+    stream = stream_of(spark, tmp_path / "in", schema, [first, again, [(9999, 9999, 9, Decimal(0), FLUSH, 1)]])
+    provinces = spark.createDataFrame([(5, "P5"), (6, "P6"), (9, "P9")], "int_id int, name string").withColumnRenamed("int_id", "id")
+    result = collect(spark, plans.province_stream(stream, provinces), tmp_path)
+    batch = spark.createDataFrame(first + again, schema).withColumnRenamed("ts", "ts_ms")
+    expected = trade.province_window(batch, provinces, order=["ts_ms", "seq"])
+    assert sorted((r[0], r[3], r[4], r[5]) for r in result) == sorted(
+        (r.stt, r.province_id, r.order_count, r.order_amount) for r in expected.collect())
+    assert "collect_set" not in plans.province_stream(stream, provinces)._jdf.queryExecution().logical().toString()

@@ -2,23 +2,13 @@
 
 from __future__ import annotations
 
-import re
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Send the functions themselves to the workers, which then need not have this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Letters by which dictionary words are looked for: each word by the largest size that it reaches.
 GRAM_SIZES = (1, 2, 3, 5, 8)
-# Words that the segmenter takes at most.
-SEGMENT_WORDS = 500_000
 
 _WORD = r"[\p{L}\p{N}]+"
+_HAN, _NOT_HAN = "[一-鿿]", r"[\p{L}\p{N}&&[^一-鿿]]"
 
 
 def words_of(text: Column) -> Column:
@@ -37,71 +27,106 @@ def register_keyword_function(spark: SparkSession, name: str = "keywords_of") ->
         RETURN SELECT explode(array_distinct(regexp_extract_all(lower({name}.text), r'({_WORD})', 1)))""")
 
 
+FILTER_BITS = 24  # whatever the dictionary; a fuller filter lets more rows pass, which costs time but changes nothing
+
+
+def maybe_among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
+    """``df`` without rows whose ``column`` is surely not in ``values[column]``, by a filter of fixed size that every task gets."""
+    def marked(rows: DataFrame) -> DataFrame:
+        spot = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+        return rows.withColumn("_spot", spot).withColumn("_place", F.shiftright("_spot", 6).cast("int"))
+
+    bit = F.expr("shiftleft(1L, cast(_spot & 63 as int))")
+    marks = marked(values.select(column)).groupBy("_place").agg(F.bit_or(bit).alias("_bits"))
+    return marked(df).join(F.broadcast(marks), "_place").filter(F.col("_bits").bitwiseAND(bit) != 0).select(df.columns)
+
+
 # -- segmentation of text written without spaces -----------------------------------------
 
-def longest_words(run: str, words: set[str], longest: int) -> list[str]:
-    """Cut a run into the longest dictionary words, left to right; else single characters."""
-    out, at = [], 0
-    while at < len(run):
-        size = min(longest, len(run) - at)
-        while size > 1 and run[at:at + size] not in words:
-            size -= 1
-        out.append(run[at:at + size])
-        at += size
-    return out
+def _pieces(text: Column) -> Column:
+    """Distinct Han runs and other words of a text, lower-cased, in order of appearance."""
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_HAN}+|{_NOT_HAN}+)"), F.lit(1)))
 
 
-def _segmenter(words: list[str]):
-    known, longest = set(words), max(map(len, words), default=1)
+def _cut_run(run: Column, matches: Column) -> Column:
+    """A run as the longest dictionary words, left to right, else single characters; ``matches`` are structs (at, n) by at."""
+    def step(done: Column, m: Column) -> Column:
+        # Of the words at one place the longest comes first; later ones lie before the end of what was taken.
+        taken = F.named_struct(F.lit("next"), m["at"] + m["n"], F.lit("cuts"), F.concat(done["cuts"], F.array(m)))
+        return F.when(m["at"] >= done["next"], taken).otherwise(done)
 
-    @F.pandas_udf("array<string>")
-    def segment(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        pieces = re.compile("([一-鿿]+)|([^\\W_一-鿿]+)")
+    none = F.array().cast("array<struct<at:int,n:int>>")
+    cuts = F.aggregate(F.array_sort(matches, lambda x, y: F.when(x["at"] != y["at"], x["at"] - y["at"]).otherwise(y["n"] - x["n"])),
+                       F.named_struct(F.lit("next"), F.lit(0), F.lit("cuts"), none), step, lambda done: done["cuts"])
 
-        def cut(text):
-            if text is None:
-                return None
-            found = []
-            for han, other in pieces.findall(text.lower()):
-                found += longest_words(han, known, longest) if han else [other]
-            return list(dict.fromkeys(found))
+    def pieces(cuts: Column) -> Column:
+        ends = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda m: m["at"] + m["n"]))
+        starts = F.concat(F.transform(cuts, lambda m: m["at"]), F.array(F.length(run)))
+        words = F.concat(F.transform(cuts, lambda m: F.substring(run, m["at"] + 1, m["n"])), F.array(F.lit("")))
+        return F.flatten(F.zip_with(F.zip_with(ends, starts, lambda end, start: F.split(F.substring(run, end + 1, start - end), "")),
+                                    words, lambda single, word: F.concat(single, F.array(word))))
 
-        for texts in batches:
-            yield texts.map(cut)
+    return F.filter(F.flatten(F.transform(F.array(cuts), pieces)), lambda piece: piece != "")
 
-    return segment
 
+def _dictionary_matches(pieces: DataFrame, words: DataFrame) -> DataFrame:
+    """``pieces`` (one row per ``_piece``) with places ``_at`` and lengths ``_n`` of dictionary words in Han runs, and one
+    row per piece with ``_n`` 0, so that none is lost."""
+    known = words.select(F.col("word").alias("_gram")).filter(F.col("_gram").rlike(f"^{_HAN}{{2,}}$")).distinct()
+    lengths = [r[0] for r in known.select(F.length("_gram")).distinct().collect()]  # at most as many as the longest word has letters
+    none = F.array().cast("array<struct<_at:int,_n:int,_gram:string>>")
 
-def with_segments(df: DataFrame, words: DataFrame, text: str, out: str, most_words: int = SEGMENT_WORDS) -> DataFrame:
-    """Distinct words of ``text``, Han runs cut by the dictionary's ``word``; only texts that hold Han leave the JVM.
+    def grams(n: int) -> Column:
+        found = F.regexp_extract_all("_piece", F.lit(f"(?=({_HAN}{{{n}}}))"), F.lit(1))
+        return F.transform(found, lambda gram, at: F.struct(at.alias("_at"), F.lit(n).alias("_n"), gram.alias("_gram")))
 
-    The dictionary goes to the tasks, so its size is checked: one of more than ``most_words`` raises ValueError.
-    """
-    known = [r[0] for r in words.select("word").filter("word != ''").distinct().limit(most_words + 1).collect()]
-    if len(known) > most_words:
-        raise ValueError(f"the segmenter takes at most {most_words} words")
-    han = F.col(text).rlike("[一-鿿]")
-    cut = df.withColumn("_cut", _segmenter(known)(F.when(han, F.col(text))))
-    return cut.withColumn(out, F.when(han, F.col("_cut")).otherwise(words_of(F.col(text)))).drop("_cut")
+    cut = pieces.select("*", F.inline(F.concat(none, *[grams(n) for n in sorted(lengths)])))
+    met = maybe_among(cut, "_gram", known).join(known, "_gram").drop("_gram")
+    return met.unionByName(pieces.select("*", F.lit(0).alias("_at"), F.lit(0).alias("_n")))
 
 
-def explode_segments(df: DataFrame, words: DataFrame, text: str, keyword: str = "keyword") -> DataFrame:
-    """As ``explode_keywords``, with Han runs cut by the dictionary."""
-    return with_segments(df, words, text, "_words").withColumn(keyword, F.explode("_words")).drop("_words")
+def _real(matches: Column) -> Column:
+    return F.filter(matches, lambda m: m["n"] > 0)
 
 
-FILTER_BITS = 24  # whatever the dictionary; a fuller filter lets more rows pass, which costs time but changes nothing
+def with_segments(df: DataFrame, words: DataFrame, text: str, out: str) -> DataFrame:
+    """Distinct words of ``text``, Han runs cut by the dictionary's ``word`` of any number; null for a null text.
 
+    The places of grams of distinct Han runs that are dictionary words come from a join, behind a filter of fixed size; runs
+    and texts are put together again by their keys.  Texts without Han are not shuffled.
+    """
+    rest = [c for c in df.columns if c != out]
+    han = F.coalesce(F.col(text).rlike(_HAN), F.lit(False))
+    plain = df.filter(~han).withColumn(out, words_of(F.col(text))).select(*rest, out)
+    keyed = df.filter(han).withColumn("_text", F.sha2(text, 256))
+    texts = keyed.select("_text", F.col(text).alias("_whole")).dropDuplicates(["_text"])
+    pieces = texts.select("_text", F.posexplode(_pieces(F.col("_whole"))).alias("_place", "_piece"))
+    runs = pieces.filter(F.col("_piece").rlike(f"^{_HAN}")).select("_piece").distinct()
+    matches = _dictionary_matches(runs, words).groupBy("_piece").agg(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n"))).alias("_matches"))
+    cut = matches.select("_piece", _cut_run(F.col("_piece"), _real(F.col("_matches"))).alias("_words"))
+    found = pieces.join(cut, "_piece", "left").groupBy("_text").agg(F.array_sort(F.collect_list(F.struct(
+        "_place", F.coalesce("_words", F.array("_piece")).alias("_words")))).alias("_found"))
+    found = found.select("_text", F.array_distinct(F.flatten(F.col("_found._words"))).alias(out))
+    return plain.unionByName(keyed.select("_text", *rest).join(found, "_text").select(*rest, out))
+
+
+def _segments_of_stream(df: DataFrame, words: DataFrame, text: str, keyword: str) -> DataFrame:
+    """Equal rows of one event time, which come back as many; a row leaves once the watermark has passed it."""
+    pieces = df.select("*", F.explode(_pieces(F.col(text))).alias("_piece"))
+    met = _dictionary_matches(pieces, words).groupBy(*df.columns, "_piece").agg(
+        F.collect_set(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n"))).alias("_matches"),
+        F.count_if(F.col("_n") == 0).cast("int").alias("_rows"))
+    cut = met.select(*df.columns, "_rows", F.when(F.col("_piece").rlike(f"^{_HAN}"), _cut_run(F.col("_piece"), _real(F.col("_matches"))))
+                     .otherwise(F.array("_piece")).alias("_words"))
+    found = cut.select(*df.columns, "_rows", F.explode("_words").alias(keyword)).dropDuplicates([*df.columns, keyword])
+    return found.select(*df.columns, keyword, F.explode(F.sequence(F.lit(1), "_rows"))).drop("col")
 
-def maybe_among(df: DataFrame, column: str, values: DataFrame) -> DataFrame:
-    """``df`` without rows whose ``column`` is surely not in ``values[column]``, by a filter of fixed size that every task gets."""
-    def marked(rows: DataFrame) -> DataFrame:
-        spot = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
-        return rows.withColumn("_spot", spot).withColumn("_place", F.shiftright("_spot", 6).cast("int"))
 
-    bit = F.expr("shiftleft(1L, cast(_spot & 63 as int))")
-    marks = marked(values.select(column)).groupBy("_place").agg(F.bit_or(bit).alias("_bits"))
-    return marked(df).join(F.broadcast(marks), "_place").filter(F.col("_bits").bitwiseAND(bit) != 0).select(df.columns)
+def explode_segments(df: DataFrame, words: DataFrame, text: str, keyword: str = "keyword") -> DataFrame:
+    """As ``explode_keywords``, with Han runs cut by the dictionary; a stream needs ``et`` and columns that can be grouped by."""
+    if df.isStreaming:
+        return _segments_of_stream(df, words, text, keyword)
+    return with_segments(df, words, text, "_words").withColumn(keyword, F.explode("_words")).drop("_words")
 
 
 # -- membership -------------------------------------------------------------------------

@@ -35,9 +35,15 @@ def total(column: str, alias: str | None = None) -> Column:
     return F.coalesce(F.sum(column), F.lit(0)).alias(alias or column)
 
 
-def distinct_count(df: DataFrame, column: str) -> Column:
-    """Exact distinct count; streams cannot count distinct, so there the window keeps the set."""
-    return F.size(F.collect_set(column)).cast("bigint") if df.isStreaming else F.count_distinct(column)
+def tumble_distinct(df: DataFrame, size: str, keys: list[str], column: str, out: str, sums: list[str], et: str = "et") -> DataFrame:
+    """As ``tumble`` on a stream, with the exact number of distinct values of ``column`` and sums.
+
+    The state holds one row per window, key and value, which sums the value's rows; when the watermark passes the window
+    these rows are counted and summed once more, so no set of values is kept in one row.  Null values do not count.
+    """
+    values = df.groupBy(event_window(df, size, et=et).alias("_window"), *keys, column).agg(*[total(c) for c in sums])
+    counted = [F.count(column).alias(out), *[total(c).cast(values.schema[c].dataType).alias(c) for c in sums]]
+    return labelled(values.groupBy(F.window(F.window_time("_window"), size).alias("window"), *keys).agg(*counted))
 
 
 def of_date(df: DataFrame, cur_date: str | None) -> DataFrame:

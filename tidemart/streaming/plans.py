@@ -12,7 +12,7 @@ from tidemart.operators import etl
 from tidemart.operators.joins import dictionary_name, lookup, stream_interval_join
 from tidemart.operators.routing import prune_columns
 from tidemart.operators.text import explode_keywords, explode_segments
-from tidemart.operators.windows import distinct_count, total, tumble
+from tidemart.operators.windows import total, tumble, tumble_distinct
 from tidemart.operators.logs import split_records
 from tidemart.plans import comments as comment_plans, tags, trade
 from tidemart.plans.traffic import VIEW_KEYS
@@ -59,8 +59,7 @@ def province_stream(order_details: DataFrame, provinces: DataFrame, size: str =
                     ttl_ms: int = 10_000) -> DataFrame:
     lines = order_details.select("id", "order_id", "province_id", F.col("split_total_amount").alias("order_amount"), "et")
     signed = retract_stream(lines, ["id"], ["order_amount"], ttl_ms)
-    summed = tumble(signed, size, ["province_id"], [distinct_count(signed, "order_id").alias("order_count"),
-                                                    total("order_amount")])
+    summed = tumble_distinct(signed, size, ["province_id"], "order_id", "order_count", ["order_amount"])
     return lookup(summed, provinces, {"province_id": "id"}, {"name": "province_name"})
 
 
