@@ -224,6 +224,15 @@ oracle("src_dictionary", "dic", "select dic_code, dic_name from dic")
 
 # -- event filters and projections ----------------------------------------------------------
 
+oracle("src_snapshot_then_changes", "", """with c as (select c_custkey as id, cast(c_acctbal as double) as balance,
+        c_custkey * 37 % 1000 + 1 as "at", 300 + (c_custkey // 100) * 29 % 500 as high from customer)
+    select 'r' as op, id, case when id % 15 = 0 and "at" + 520 <= high then cast(0 as double) when id % 3 = 0 and "at" <= high then balance + 1
+        else balance end as balance, high as pos from c
+        where id % 5 <> 0 or "at" + 500 > high or (id % 15 = 0 and "at" + 520 <= high)
+    union all select 'u', id, balance + 1, "at" from c where id % 3 = 0 and "at" > high
+    union all select 'd', id, null, "at" + 500 from c where id % 5 = 0 and "at" + 500 > high
+    union all select 'c', id, cast(0 as double), "at" + 520 from c where id % 15 = 0 and "at" + 520 > high
+    union all select 'c', id + 10000000, balance, "at" from c where id % 7 = 0 and "at" > 200""")
 oracle("etl_valid_events", "part_events", """select op, id, ts_ms from part_events
     union all select 'r', s_suppkey, 1704067200000 + s_suppkey from supplier""")
 oracle("etl_drop_bootstrap", "part_events", "select op, id, ts_ms from part_events where ts_ms % 2 = 0")
@@ -663,6 +672,11 @@ oracle("sink_appended_windows", "", f"select * exclude (cur_date) from ({_with([
 oracle("sink_upserted", "lines", """select id, ts_ms, seq, sku_id from (select *, row_number() over (partition by id
     order by ts_ms desc, seq desc) as rn from lines) where rn = 1""")
 oracle("sink_dimension_view", "", f"select * from {_of('dim_current_rows')} where sink_table = 'dim_part'")
+oracle("sink_table_lives", "part_events", """select 'dim_part' as sink_table, cast(id as varchar) as row_key,
+        'brand=' || brand || ',id=' || id || ',name=' || new_name as data, ts_ms from part_events
+        where op = 'u' and ts_ms >= 1705067200100 and id % 7 <> 0
+    union all select 'dim_supplier', cast(s_suppkey as varchar), 'id=' || s_suppkey || ',name=' || s_name,
+        1704067200000 + s_suppkey from supplier where s_suppkey >= 6""")
 oracle("sink_split_outputs", "", f"select kind, count(*) as n from {_of('log_records')} group by kind")
 oracle("ads_reports_of_today", "", f"""select 'gmv' as report, '' as name, round(sum(order_amount), 2) as v from {_of('dws_province_orders_hourly')}
     union all select 'province', province_name, round(sum(order_amount), 2) from {_of('dws_province_orders_hourly')} group by province_name

@@ -17,7 +17,7 @@ from tidemart.functions.score import with_age_scores
 from tidemart.operators import asof, changes, etl, firsttime, joins, logs as log_ops, text
 from tidemart.plans import applogs, comments, dims, serving, tags, trade, traffic
 from tidemart.session import shared_dir
-from tidemart.sources import feeds
+from tidemart.sources import feeds, handover
 from tidemart.streaming import sinks
 from tidemart.testbed import BRANDS, CATEGORIES, DB, KEYWORD_TYPES, Testbed, han_phrase, order_ms, pick
 
@@ -82,6 +82,14 @@ def src_snapshot_events(t: Testbed):
                                                      "c_acctbal": "double", "c_mktsegment": "string"}))
 
 
+@query
+def src_snapshot_then_changes(t: Testbed):
+    """Customers read in chunks while they change, then the changes that the chunks do not hold."""
+    read, log, fences = t.customer_chunks(100)
+    events = handover.snapshot_then_changes(read, log, fences, "id", 100, start=200)
+    return events.select("op", F.coalesce("after.id", "before.id").alias("id"), F.col("after.balance").alias("balance"), "pos")
+
+
 @query
 def src_page_log_maps(t: Testbed):
     lines = t.logs().select(F.to_json(F.struct("common", "page", "ts")).alias("value"))
@@ -801,6 +809,18 @@ def sink_dimension_view(t: Testbed):
     return sinks.dimension_view(t.spark, path, "dim_part").select("sink_table", "row_key", _sorted_entries("data"), "ts_ms")
 
 
+@query
+def sink_table_lives(t: Testbed):
+    """Dimension tables created, made anew and dropped with rows between, written in two batches of which one came twice."""
+    path = _folder(t, "lives")
+    write = sinks.route_dimension_changes(lambda df: dims.dimension_rows_by_life(df, t.dim_config_history(), DB), path)
+    for batch, table in enumerate(("part", "supplier", "supplier")):
+        write(t.mixed_feed(table), min(batch, 1))
+    actions = dims.table_life(t.dim_config_history())
+    views = [sinks.dimension_view(t.spark, path, f"dim_{table}", actions) for table in ("part", "supplier")]
+    return changes.union_all(views).select("sink_table", "row_key", _sorted_entries("data"), "ts_ms")
+
+
 @query
 def sink_split_outputs(t: Testbed):
     """The five outputs of one micro-batch of logs, written side by side and counted."""

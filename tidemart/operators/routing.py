@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.operators.asof import route_as_of
+from tidemart.operators.asof import lookup_as_of, route_as_of
 from tidemart.operators.changes import latest_per_key
 from tidemart.operators.joins import small_side
 
@@ -72,3 +72,19 @@ def table_actions(rows: DataFrame) -> DataFrame:
     """What each configuration row asks for: drop, create, or drop and create the sink table."""
     action = F.when(F.col("op") == "d", "drop").when(F.col("op") == "u", "recreate").otherwise("create")
     return rows.select("sink_table", "sink_columns", "ts_ms", action.alias("action"))
+
+
+def with_generation(routed: DataFrame, actions: DataFrame) -> DataFrame:
+    """Routed rows with ``generation``, the time at which the table that they go to was created, by ``table_actions`` of all
+    configuration changes; rows of a time without the table go."""
+    alive = actions.withColumn("_alive", F.col("action") != "drop")  # of one time, a drop comes first
+    return lookup_as_of(routed, alive, {"sink_table": "sink_table"}, "ts_ms", {"ts_ms": "generation"}, order=["ts_ms", "_alive"],
+                        deleted=~F.col("_alive"), how="inner")
+
+
+def rows_in_force(rows: DataFrame, actions: DataFrame) -> DataFrame:
+    """Rows, which have ``generation``, of the tables that exist after all ``actions``; one newest action per table is joined."""
+    alive = (F.col("action") != "drop").alias("_alive")
+    newest = actions.groupBy("sink_table").agg(F.max(F.struct(F.col("ts_ms").alias("generation"), alive)).alias("_last"))
+    existing = newest.filter("_last._alive").select("sink_table", "_last.generation")
+    return rows.join(existing, ["sink_table", "generation"], "left_semi")

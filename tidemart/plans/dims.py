@@ -34,3 +34,13 @@ def fact_rows_as_of(events: DataFrame, config_events: DataFrame) -> DataFrame:
 def dimension_rows_as_of(events: DataFrame, config_events: DataFrame, db: str) -> DataFrame:
     """Changes of tables that were configured when they happened, each by the configuration of that time."""
     return routing.route_dimensions_as_of(etl.valid_events(events, db), config_rows(config_events, schemas.DIM_CONFIG_COLUMNS))
+
+
+def table_life(config_events: DataFrame) -> DataFrame:
+    """When each dimension table was created, dropped or made anew."""
+    return routing.table_actions(config_rows(config_events, schemas.DIM_CONFIG_COLUMNS))
+
+
+def dimension_rows_by_life(events: DataFrame, config_events: DataFrame, db: str) -> DataFrame:
+    """As ``dimension_rows_as_of``, each row with the ``generation`` of its table."""
+    return routing.with_generation(dimension_rows_as_of(events, config_events, db), table_life(config_events))

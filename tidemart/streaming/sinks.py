@@ -1,19 +1,21 @@
 """Sinks for batches and micro-batches.
 
-A micro-batch may be written twice after a failure.  Each writer here therefore either puts
-the batch id into the path it overwrites, or serves a reader that takes the newest row per
-key, so a repeated batch changes nothing.
+A micro-batch may be written twice after a failure.  A writer puts the rows of batch N below ``batch_id=N`` and then, last, a
+mark beside the table (``<path>.commits``).  ``stored_rows``, ``upserted``, ``dimension_view`` and ``compact`` read marked batches only.
+A batch that has no mark yet is overwritten in place; one that is marked already is written to a new folder below ``<path>.redo``,
+which counts once its own mark is there, so no folder changes that a reader may have open.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart.operators.changes import latest_per_key
-from tidemart.operators.routing import current_dimension
+from tidemart.operators.changes import latest_per_key, union_all
+from tidemart.operators.routing import current_dimension, rows_in_force
 
 
 def json_records(df: DataFrame, topic: Column, key: list[str]) -> DataFrame:
@@ -29,12 +31,45 @@ def write_kafka(records: DataFrame, servers: str) -> None:
 
 # -- batch writers, each usable as a foreachBatch function ----------------------------------
 
+def _folder(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _listed(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names in a folder, none if it is absent, with the times they were written."""
+    where, files = _folder(spark, path)
+    return {f.getPath().getName(): f.getModificationTime() for f in files.listStatus(where)} if files.exists(where) else {}
+
+
+def _mark(spark: SparkSession, path: str, batch_id: int, attempt: int) -> None:
+    where, files = _folder(spark, f"{path}.commits/{batch_id}.{attempt}")
+    files.create(where, True).close()
+
+
+def _commits(spark: SparkSession, path: str) -> dict[int, dict[int, int]]:
+    """Per batch its marked attempts with their times; the largest attempt counts, 0 stands in the table's own folder."""
+    found: dict[int, dict[int, int]] = {}
+    for name, written in _listed(spark, f"{path}.commits").items():
+        batch_id, _, attempt = name.partition(".")
+        found.setdefault(int(batch_id), {})[int(attempt)] = written
+    return found
+
+
+def _attempt_folder(path: str, batch_id: int, attempt: int) -> str:
+    return f"{path}.redo/attempt={attempt}/batch_id={batch_id}" if attempt else f"{path}/batch_id={batch_id}"
+
+
 def _write_batch(df: DataFrame, batch_id: int, path: str, partitions: list[str]) -> None:
-    """Write below ``batch_id=N``, replacing what an earlier attempt left there."""
+    """Write a batch as an attempt of its own and mark it when it is whole."""
+    spark = df.sparkSession
+    earlier = any(name.startswith(f"{batch_id}.") for name in _listed(spark, f"{path}.commits"))
+    attempt = time.time_ns() if earlier else 0
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partitions:
         writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{path}/batch_id={batch_id}")
+    writer.parquet(_attempt_folder(path, batch_id, attempt))
+    _mark(spark, path, batch_id, attempt)
 
 
 def append_table(path: str, partitions: list[str] | None = None) -> Callable[[DataFrame, int], None]:
@@ -68,40 +103,67 @@ def route_dimension_changes(route: Callable[[DataFrame], DataFrame], path: str)
 
 # -- readers of the tables above ------------------------------------------------------------
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-
-
-def _base(spark: SparkSession, path: str) -> tuple[DataFrame | None, int]:
-    """The newest complete compaction of a table and the last batch in it."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.base")
-    if not _exists(spark, f"{path}.base"):
-        return None, -1
-    found = [s.getPath().getName() for s in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
-    done = [int(n.split("=")[1]) for n in found if n.startswith("upto=") and _exists(spark, f"{path}.base/{n}/_SUCCESS")]
-    return (spark.read.parquet(f"{path}.base/upto={max(done)}"), max(done)) if done else (None, -1)
+def _bases(spark: SparkSession, path: str) -> dict[int, int]:
+    """The complete compactions by the last batch in them, with the times they were finished."""
+    done = {}
+    for name in _listed(spark, f"{path}.base"):
+        finished = _listed(spark, f"{path}.base/{name}").get("_SUCCESS")
+        if finished is not None:
+            done[int(name.split("=")[1])] = finished
+    return done
 
 
 def stored_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of an appended table with ``batch_id``: its last compaction and the batches after it."""
-    base, upto = _base(spark, path)
-    later = spark.read.parquet(path).filter(F.col("batch_id") > upto)
-    return later if base is None else base.unionByName(later)
+    """Rows of an appended table with ``batch_id``: its last compaction and the marked batches after it."""
+    bases = _bases(spark, path)
+    upto = max(bases, default=-1)
+    parts = [spark.read.parquet(f"{path}.base/upto={upto}")] if bases else []
+    later = {n: max(attempts) for n, attempts in sorted(_commits(spark, path).items()) if n > upto}
+    for root, again in ((path, False), (f"{path}.redo", True)):
+        folders = [_attempt_folder(path, n, attempt) for n, attempt in later.items() if bool(attempt) == again]
+        if folders:
+            parts.append(spark.read.option("basePath", root).parquet(*folders).drop("attempt"))
+    if not parts:
+        raise ValueError(f"no batch of {path} is complete")
+    return union_all(parts)
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> int:
-    """Write the newest row per key of all batches so far beside the table and return the last batch in it.
+    """Write the newest row per key of all marked batches beside the table and return the last batch in it.
+
+    Readers then skip the batches it covers; ``remove_superseded`` takes their folders away.  Rows of deletes stay, so an
+    older row that comes late does not return.  A run that fails leaves no ``_SUCCESS`` and is not read; without newer
+    batches nothing is written.  Run one at a time, on batches that are over.
+    """
+    done, marked = max(_bases(spark, path), default=-1), max(_commits(spark, path), default=-1)
+    if 0 <= done >= marked:
+        return done
+    newest = latest_per_key(stored_rows(spark, path), keys, [*order, "batch_id"])
+    newest.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}.base/upto={marked}")
+    return marked
+
+
+def remove_superseded(spark: SparkSession, path: str, grace_ms: int) -> list[str]:
+    """Remove what a compaction or a repeated batch replaced at least ``grace_ms`` ago, and return those folders.
 
-    Readers then skip the batches it covers, whose folders may be removed.  Rows of deletes stay, so an older row
-    that comes late does not return.  The result depends on the batches alone: a repeated run writes the same
-    folder, and one that fails leaves no ``_SUCCESS`` and is not read.  Run one at a time, on batches that are over.
+    A reader keeps the list of folders it was planned with, so the grace must exceed the longest read.  What counts now is never
+    removed, nor the marks of batches that no old enough compaction covers.
     """
-    rows = stored_rows(spark, path)
-    upto = rows.agg(F.max("batch_id")).first()[0]
-    newest = latest_per_key(rows, keys, [*order, "batch_id"])
-    newest.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}.base/upto={upto}")
-    return upto
+    limit = int(time.time() * 1000) - grace_ms
+    bases, commits = _bases(spark, path), _commits(spark, path)
+    covered = max((n for n, finished in bases.items() if finished <= limit), default=-1)
+    gone = [f"{path}.base/upto={n}" for n in bases if n < covered]
+    marks = []
+    for batch_id, attempts in commits.items():
+        valid = max((a for a, written in attempts.items() if written <= limit), default=-1)
+        old = [a for a in attempts if batch_id <= covered or a < valid]
+        gone += [_attempt_folder(path, batch_id, a) for a in old]
+        # The newest mark of a covered batch stays, so that a repeat of the batch does not take it for new.
+        marks += [f"{path}.commits/{batch_id}.{a}" for a in old if a < max(attempts)]
+    for name in [*marks, *gone]:
+        where, files = _folder(spark, name)
+        files.delete(where, True)
+    return gone
 
 
 def upserted(spark: SparkSession, path: str, keys: list[str], order: list[str]) -> DataFrame:
@@ -109,9 +171,15 @@ def upserted(spark: SparkSession, path: str, keys: list[str], order: list[str])
     return latest_per_key(stored_rows(spark, path), keys, [*order, "batch_id"]).drop("batch_id")
 
 
-def dimension_view(spark: SparkSession, path: str, sink_table: str) -> DataFrame:
-    """The rows of one dimension in force; only that dimension's folders are read."""
+def dimension_view(spark: SparkSession, path: str, sink_table: str, actions: DataFrame | None = None) -> DataFrame:
+    """The rows of one dimension in force; only that dimension's folders are read.
+
+    With ``actions`` (``routing.table_actions`` of all configuration changes) the rows carry ``generation``, and those
+    of tables dropped or created anew since do not count.
+    """
     changes = stored_rows(spark, path).filter(F.col("sink_table") == sink_table)
+    if actions is not None:
+        changes = rows_in_force(changes, actions.filter(F.col("sink_table") == sink_table))
     return current_dimension(changes, ["ts_ms", "batch_id"])
 
 

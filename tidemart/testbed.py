@@ -265,6 +265,16 @@ class Testbed:
             ("r", row("part", "id,name")), ("r", row("user_info", "id,name")), ("r", row("supplier", "id,name,nation")),
             ("u", row("part", "id,name,brand")), ("d", row("user_info", "id,name"))])
 
+    def dim_config_history(self) -> DataFrame:
+        """Parts are made anew with more columns after two weeks, suppliers dropped for three milliseconds."""
+        def row(table, columns):
+            return {"source_table": table, "sink_table": f"dim_{table}", "sink_family": "info",
+                    "sink_columns": columns, "sink_row_key": "id"}
+        return self._config("table_process_dim", [
+            ("r", row("part", "id,name")), ("r", row("supplier", "id,name,nation")), ("u", row("part", "id,name,brand")),
+            ("d", row("supplier", "id,name,nation")), ("c", row("supplier", "id,name"))],
+            [1, 2, DAY0_MS + 1_000_000_100, DAY0_MS + 3, DAY0_MS + 6])
+
     def fact_config_events(self) -> DataFrame:
         def row(table, kind, columns):
             return {"source_table": table, "source_type": kind, "sink_table": f"dwd_{table}_{kind}",
@@ -288,6 +298,32 @@ class Testbed:
         row = F.coalesce("after", "before")
         return Testbed(self.spark, self.dir, text_map).part_events().select(row["id"].cast("bigint").alias("part_id"), row["name"].alias("name"), "op", "ts_ms")
 
+    def customer_chunks(self, chunk_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Customers as a table read by chunks while it changed: (rows read, changes at log positions 1 to 1520, fences).
+
+        Every third is changed, then every fifth deleted, then every fifteenth comes back; every seventh has a new row
+        behind all chunks.  A chunk is read 50 positions after its low mark, 50 before its high one.
+        """
+        c = self.table("customer").selectExpr(
+            "c_custkey as id", "cast(c_acctbal as double) as balance", "c_custkey * 37 % 1000 + 1 as at",
+            f"cast(floor(c_custkey / {chunk_rows}) as bigint) as chunk").selectExpr("*", "200 + chunk * 29 % 500 as low")
+        row = "named_struct('id', cast({} as bigint), 'balance', {})"
+        none = "cast(null as struct<id: bigint, balance: double>)"
+
+        def events(condition: str, op: str, at: str, after: str | None, before: str | None) -> DataFrame:
+            return c.filter(condition).selectExpr(f"{before or none} as before", f"{after or none} as after", f"'{op}' as op",
+                                                  f"{DAY0_MS} + {at} as ts_ms", f"cast({at} as bigint) as pos")
+
+        new = row.format("id", "balance + 1")
+        changes = union_all([
+            events("id % 3 = 0", "u", "at", new, row.format("id", "balance")), events("id % 5 = 0", "d", "at + 500", None, new),
+            events("id % 15 = 0", "c", "at + 520", row.format("id", "0D"), None),
+            events("id % 7 = 0", "c", "at", row.format("id + 10000000", "balance"), None)])
+        read = c.filter("id % 5 <> 0 or at + 500 > low + 50 or (id % 15 = 0 and at + 520 <= low + 50)").selectExpr(
+            "id", "case when id % 15 = 0 and at + 520 <= low + 50 then 0D when id % 3 = 0 and at <= low + 50 then balance + 1 else balance end as balance")
+        fences = c.select("chunk", "low").distinct().selectExpr("chunk", "low", "low + 100 as high", f"{DAY0_MS} + low as ts_ms")
+        return read, changes, fences
+
     # -- dimensions -------------------------------------------------------------------
 
     def dictionary(self) -> DataFrame:
