@@ -294,6 +294,27 @@ def test_shifted_blocks_of_lines_are_removed(spark, odd, none):
     assert left.count() == odd.count() and lines.drop_repeated_chunks(none).count() == 0
     assert left.filter("text is null").count() == 2
 
+
+def test_shared_passages_of_few_lines(spark):
+    """Passages of 2 to 6 lines between lines of their own, in two documents each: how many lose a line in the second, never in the first."""
+    import random
+    dice = random.Random(5)
+    line = lambda: " ".join(str(dice.randrange(10 ** 6)) for _ in range(12))
+    texts, own = [], {}
+    for n in range(2, 7):
+        for _ in range(200):
+            shared = [line() for _ in range(n)]
+            for _ in range(2):
+                around = [[line() for _ in range(4)] for _ in range(2)]
+                own[len(texts)] = around[0] + around[1]
+                texts.append("\n".join(around[0] + shared + around[1]))
+    rows = {r["doc_id"]: r for r in lines.drop_repeated_chunks(documents(spark, texts)).collect()}
+    assert all(rows[i]["n_removed_lines"] == 0 for i in range(0, len(texts), 2))
+    assert all(set(own[i]) <= set(rows[i]["text"].split("\n")) for i in own)
+    touched = {n: sum(rows[(n - 2) * 400 + 2 * i + 1]["n_removed_lines"] > 0 for i in range(200)) / 200 for n in range(2, 7)}
+    for n, least in {3: 0.2, 4: 0.35, 5: 0.5, 6: 0.6}.items():
+        assert touched[n] >= least
+
 # -- 8 token counts ---------------------------------------------------------------------------------
 
 def test_chunked_counts_equal_whole_encodings(spark, odd, none):

@@ -49,8 +49,7 @@ def chunks(text):
     hashes = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
     out, first = [], 0
     for k in range(len(lines)):
-        roll = sum(hashes[k - j] * 31 ** j for j in range(3) if k >= j)
-        if roll % 4 == 0 or k == len(lines) - 1:
+        if k == len(lines) - 1 or hashes[k] > hashes[k + 1]:
             out.append(tuple(lines[first:k + 1]))
             first = k + 1
     return out

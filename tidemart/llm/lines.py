@@ -1,7 +1,8 @@
 """Line deduplication over content-defined chunks of lines, with built-in functions only.
 
-A rolling hash over the hashes of neighbouring lines decides where a chunk ends, so an inserted line moves
-only the chunks around it.  A chunk of several lines that occurs more than once keeps its first occurrence
+A rolling hash over the hashes of two neighbouring lines decides where a chunk ends: h(line) * 1 + h(next line) * ROLL_BASE with
+base -1, so a chunk ends where the line hashes fall, every two lines on average.  An inserted line moves only the chunks around
+it, and equal lines in a row stay together.  A chunk of several lines that occurs more than once keeps its first occurrence
 (smallest doc_id, then first line); the others go after their bytes were compared with the first's.
 """
 
@@ -11,9 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemart.llm.common import let, saved
 
-WINDOW_LINES = 3   # lines that decide whether a chunk ends
-CHUNK_LINES = 4    # mean lines of a chunk
-ROLL_BASE = 31
+ROLL_BASE = -1
 LEAST_LINES = 2
 ADDED = ["n_lines", "n_chunks", "n_removed_lines"]
 
@@ -29,10 +28,7 @@ def _line_hash(line: Column) -> Column:
 def _chunks(lines: Column) -> Column:
     """The chunks of an array of lines: structs (first, n) of line numbers from 0."""
     def ends_at(k: Column, hashes: Column, last: Column) -> Column:
-        roll = F.get(hashes, k)
-        for j in range(1, WINDOW_LINES):
-            roll = roll + F.coalesce(F.get(hashes, k - j), F.lit(0)) * ROLL_BASE ** j
-        return (roll % CHUNK_LINES == 0) | (k == last)
+        return (k == last) | (F.get(hashes, k) + F.get(hashes, k + 1) * ROLL_BASE > 0)
 
     def cut(hashes: Column) -> Column:
         last = F.size(hashes) - 1

@@ -42,11 +42,10 @@ from hits group by doc_id"""
 
 
 def _line_dedup() -> str:
-    roll = " + ".join(f"case when k > {j} then hs[k - {j}] else 0 end * {lines.ROLL_BASE ** j}" for j in range(lines.WINDOW_LINES))
     return f"""
 with l as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
 h as (select *, list_transform(ls, lambda x: cast('0x' || substr(md5(x), 1, 7) as bigint)) as hs from l),
-e as (select *, list_filter(range(1, len(ls) + 1), lambda k: ({roll}) % {lines.CHUNK_LINES} = 0 or k = len(ls)) as ends from h),
+e as (select *, list_filter(range(1, len(ls) + 1), lambda k: k = len(ls) or hs[k] > hs[k + 1]) as ends from h),
 c as (select doc_id, ls, unnest(list_transform(range(1, len(ends) + 1),
         lambda j: {{'a': case when j > 1 then ends[j - 1] else 0 end + 1, 'b': ends[j]}})) as c from e),
 t as (select doc_id, c.a as a, c.b as b, array_to_string(ls[c.a:c.b], chr(10)) as chunk from c),
