@@ -440,3 +440,14 @@ def test_chats_are_read_back(spark):
     context = examples.filter("conv_id = 1").orderBy("example").collect()
     assert all(b["text"].startswith(a["text"]) for a, b in zip(context, context[1:], strict=False))
     assert chat.format_chats(df.limit(0)).count() == 0
+
+
+def test_forgotten_words_get_the_same_ids(monkeypatch):
+    texts = pa.array([f"common word{k} Word{k % 7} again{k % 3}, x{k}" for k in range(300)])
+    whole, bounds = packing.WordIds(tokens.vocabulary("word_bpe_49k.json")).encode(texts)
+    monkeypatch.setattr(packing, "KNOWN_WORDS", 20)
+    monkeypatch.setattr(packing, "_WORDS", {})
+    coder = packing.WordIds(tokens.vocabulary("word_bpe_49k.json"))
+    parts = [coder.encode(texts.slice(at, 10))[0] for at in range(0, 300, 10)]
+    assert np.array_equal(np.concatenate(parts), whole) and bounds[-1] == len(whole)
+    assert all(len(held) < 60 for held in coder.lists)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemart.llm.common import rows_at_once, saved
+from tidemart.llm.common import give_back, rows_at_once, saved
 from tidemart.llm.tokens import distinct_parts, spelled, text_blocks, tokenizer, vocabulary
 
 WINDOW = 2048
@@ -26,15 +26,15 @@ LANE_TOKENS = 1 << 20   # tokens of a lane, about; one task packs a lane
 RUN_TOKENS = 1 << 16    # tokens of a row of the saved table at most
 LEAST_SEND = 256        # a visited source sends so many tokens even on less credit, and owes them
 ROWS_AT_ONCE = 1000     # texts that a worker gets at once
-KNOWN_WORDS = 1_000_000   # words whose ids a worker remembers
-_WORDS: dict[str, dict[str, bytes]] = {}
+KNOWN_WORDS = 1 << 18   # words after which a worker starts a new list of words and their ids; it keeps the last two lists
+_WORDS: dict[str, list[dict[str, bytes]]] = {}
 
 
 class WordIds:
     """Ids of texts, word by word: no token of this kind of vocabulary runs across a blank or line end."""
 
     def __init__(self, path: str):
-        self.coder, self.known = tokenizer(path), _WORDS.setdefault(path, {})
+        self.coder, self.lists = tokenizer(path), _WORDS.setdefault(path, [{}, {}])
         self.kind = np.dtype("<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4")
 
     @staticmethod
@@ -51,18 +51,22 @@ class WordIds:
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts of one block one after the other, and where each text's begin and the last end."""
         words, numbers, begin = distinct_parts(self.spread(texts))
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+        if len(self.lists[0]) > KNOWN_WORDS:
+            self.lists[:] = {}, self.lists[0]
+        known, older = self.lists
         rest, split, pack = [], self.coder.model.tokenize, "H" if self.kind.itemsize == 2 else "I"
-        for word in set(words).difference(self.known):
+        for word in set(words).difference(known):
+            if word in older:
+                known[word] = older[word]
+                continue
             low = spelled(word.lower()) if "\u0130" not in word else None
             if low is None:
                 rest.append(word)
             else:  # one word for the vocabulary, so its model is asked directly
-                self.known[word] = struct.pack(f"<{len(found := split(low))}{pack}", *[t.id for t in found])
+                known[word] = struct.pack(f"<{len(found := split(low))}{pack}", *[t.id for t in found])
         for word, found in zip(rest, self.coder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            self.known[word] = np.array(found.ids, dtype=self.kind).tobytes()
-        held = [self.known[w] for w in words]
+            known[word] = np.array(found.ids, dtype=self.kind).tobytes()
+        held = [known[w] for w in words]
         pool = np.frombuffer(b"".join(held), dtype=self.kind)
         sizes = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // self.kind.itemsize
         first = np.cumsum(sizes) - sizes
@@ -92,6 +96,7 @@ def _runs(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBat
         columns = [batch.column("doc_id").take(at), batch.column("source").take(at), *[pa.array(x, pa.int64()) for x in (start, n, total)],
                    pa.array(parts, pa.binary())]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "source", "start", "n", "doc_tokens", "ids"])
+    give_back()
 
 
 def token_runs(docs: DataFrame, path: str) -> DataFrame:
