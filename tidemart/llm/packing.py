@@ -36,6 +36,8 @@ class WordIds:
     def __init__(self, path: str):
         self.coder, self.lists = tokenizer(path), _WORDS.setdefault(path, [{}, {}])
         self.kind = np.dtype("<u2" if self.coder.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.kind.itemsize == 2 else "I"
+        self.packers = [struct.Struct(f"<{n}{self.code}").pack for n in range(8)]
 
     @staticmethod
     def spread(texts: pa.Array) -> pa.Array:
@@ -54,8 +56,10 @@ class WordIds:
         if len(self.lists[0]) > KNOWN_WORDS:
             self.lists[:] = {}, self.lists[0]
         known, older = self.lists
-        rest, split, pack = [], self.coder.model.tokenize, "H" if self.kind.itemsize == 2 else "I"
-        for word in set(words).difference(known):
+        rest, split = [], self.coder.model.tokenize
+        for word in words:
+            if word in known:
+                continue
             if word in older:
                 known[word] = older[word]
                 continue
@@ -63,7 +67,8 @@ class WordIds:
             if low is None:
                 rest.append(word)
             else:  # one word for the vocabulary, so its model is asked directly
-                known[word] = struct.pack(f"<{len(found := split(low))}{pack}", *[t.id for t in found])
+                found = [t.id for t in split(low)]
+                known[word] = self.packers[len(found)](*found) if len(found) < 8 else struct.pack(f"<{len(found)}{self.code}", *found)
         for word, found in zip(rest, self.coder.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             known[word] = np.array(found.ids, dtype=self.kind).tobytes()
         held = [known[w] for w in words]
