@@ -2,14 +2,18 @@
 
 import os
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.operators import asof, changes
+from tidemart.operators import asof, changes, joins
 from tidemart.operators.routing import route_facts_as_of
+from tidemart.plans import dims
 from tidemart.sources import feeds, tail
 from tidemart.streaming import plans, processors, sinks
+from tidemart.testbed import DB, Testbed
+from tests.conftest import SF_DIR
 from tests.test_streaming import DAY0, FLUSH, HOUR, collect, stream_of
 
 ROWS = "id long, k long, ts long, name string"
@@ -151,3 +155,20 @@ def test_configuration_spans(spark):
     spans = asof.in_force(spark.createDataFrame(config, "k string, sink string, op string, ts_ms long"), ["k"])
     assert sorted((r["sink"], r["_from"], r["_to"]) for r in spans.collect()) == [("one", 1, 5), ("three", 9, None), ("two", 5, 9)]
     assert changes.union_all([spans]).count() == 3
+
+
+def test_a_large_configuration_routes_alike(spark, monkeypatch):
+    t = Testbed(spark, SF_DIR)
+    routes = [lambda: dims.fact_rows(t.mixed_feed("part", "cart_info"), t.fact_config_events()),
+              lambda: dims.fact_rows_as_of(t.mixed_feed("part", "cart_info"), t.fact_config_history()),
+              lambda: dims.dimension_rows(t.mixed_feed("part", "supplier", "user_info"), t.dim_config_events(), DB)]
+
+    def counted(route):
+        rows = route().withColumn("data", F.array_sort(F.map_entries("data")).cast("string"))
+        return Counter(map(tuple, rows.collect()))
+
+    small = [counted(route) for route in routes]
+    monkeypatch.setattr(joins, "SMALL_ROWS", 0)
+    assert all(small) and [counted(route) for route in routes] == small
+    plan = routes[0]()._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemart.operators.joins import small_side
+from tidemart.operators.joins import join_config
 
 BLOCK_MS = 3_600_000
 
@@ -68,9 +68,14 @@ def in_force(rows: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:
     return spans.filter("_alive").drop("_alive")
 
 
+def event_spread(ts: str = "ts_ms") -> list[Column]:
+    """What tells change events of one table apart, for dealing them out."""
+    return [F.col(ts), F.map_entries("before"), F.map_entries("after")]
+
+
 def route_as_of(events: DataFrame, config: DataFrame, keys: list[str], ts: str = "ts_ms") -> DataFrame:
-    """``events``, which have ``keys``, with the other columns of the configuration in force at their time, which is sent to
-    all tasks after a check of its size; events of what is not configured then go."""
-    spans = small_side(in_force(config, keys).drop("op"), "the configuration")
+    """``events``, which have ``keys``, with the other columns of the configuration in force at their time, whose size
+    decides how it is joined; events of what is not configured then go."""
+    spans = in_force(config, keys).drop("op")
     known = (F.col(ts) >= F.col("_from")) & (F.col("_to").isNull() | (F.col(ts) < F.col("_to")))
-    return events.join(spans, keys).filter(known).drop("_from", "_to")
+    return join_config(events, spans, keys, event_spread(ts)).filter(known).drop("_from", "_to")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot when it holds at least this share of all rows, so there are at most 1,000 by arithmetic.
 HOT_SHARE = 1 / 1_000
-# Rows that a side sent to every task may have.
+# Rows that a configuration may have to be sent to every task.
 SMALL_ROWS = 100_000
 
 
@@ -93,25 +93,13 @@ def stream_interval_join(left: DataFrame, right: DataFrame, on: dict[str, str],
     return left.join(right, condition, how)
 
 
-def small_side(df: DataFrame, what: str, most_rows: int = SMALL_ROWS) -> DataFrame:
-    """``df`` marked for broadcasting after its size was checked; a larger one raises ValueError.
-
-    For configurations and code lists, whose keys are a handful of values: shuffled by them, a large other side
-    would end up in as many partitions.
-    """
-    rows = df.limit(most_rows + 1).count()
-    if rows > most_rows:
-        raise ValueError(f"{what} has more than {most_rows} rows")
-    return F.broadcast(df)
-
-
 def hot_keys(counts: DataFrame, keys: list[str], n: str, share: float = HOT_SHARE) -> DataFrame:
     """The keys that hold at least ``share`` of all rows, at most 1 / share of them."""
     least = share * counts.agg(F.sum(n)).scalar()
     return counts.filter(F.col(n) >= least).select(*keys, F.lit(True).alias("_hot"))
 
 
-def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, keys: list[str], spread_by: list[str],
+def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, keys: list[str], spread_by: list[str] | list[Column],
                      salts: int = 64) -> DataFrame:
     """Left join in which the rows of hot keys are spread over ``salts`` partitions.
 
@@ -124,3 +112,18 @@ def salted_left_join(rows: DataFrame, side: DataFrame, hot: DataFrame, keys: lis
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     copied = side.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return marked.withColumn("_salt", salt).drop("_hot").join(copied, [*keys, "_salt"], "left").drop("_salt")
+
+
+def join_config(rows: DataFrame, config: DataFrame, keys: list[str], spread_by: list[Column]) -> DataFrame:
+    """Inner join with a configuration of any size, whose keys in ``rows`` may be few and hot.
+
+    Up to SMALL_ROWS rows, counted first, the configuration goes to all tasks.  A larger one is shuffled by its keys;
+    rows of hot keys are then dealt by ``spread_by`` (a stream shuffles by the keys alone).
+    """
+    if config.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return rows.join(F.broadcast(config), keys)
+    if rows.isStreaming:
+        return rows.join(config, keys)
+    hot = hot_keys(rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys, "_n")
+    joined = salted_left_join(rows, config.withColumn("_known", F.lit(True)), hot, keys, spread_by)
+    return joined.filter("_known").drop("_known")

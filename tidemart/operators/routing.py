@@ -7,9 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.operators.asof import lookup_as_of, route_as_of
+from tidemart.operators.asof import event_spread, lookup_as_of, route_as_of
 from tidemart.operators.changes import latest_per_key
-from tidemart.operators.joins import small_side
+from tidemart.operators.joins import join_config
 
 
 def current_config(rows: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
@@ -28,9 +28,9 @@ def route_dimensions(events: DataFrame, config: DataFrame) -> DataFrame:
 
     A delete takes its row from ``before``.  Events of other tables are dropped.
     """
-    side = small_side(config.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key"),
-                      "the configuration")
-    routed = events.withColumn("source_table", F.col("source")["table"]).join(side, "source_table")
+    side = config.select("source_table", "sink_table", "sink_family", "sink_columns", "sink_row_key")
+    keyed = events.withColumn("source_table", F.col("source")["table"])
+    routed = join_config(keyed, side, ["source_table"], event_spread())
     row = F.when(F.col("op") == "d", F.col("before")).otherwise(F.col("after"))
     return routed.select("sink_table", "sink_family", row[F.col("sink_row_key")].alias("row_key"), "op", "ts_ms",
                          prune_columns(row, F.col("sink_columns")).alias("data"))
@@ -38,9 +38,9 @@ def route_dimensions(events: DataFrame, config: DataFrame) -> DataFrame:
 
 def route_facts(events: DataFrame, config: DataFrame) -> DataFrame:
     """Each event configured by (table, kind) with its sink and wanted columns plus ``ts_ms``."""
-    side = small_side(config.select("source_table", "source_type", "sink_table", "sink_columns"), "the configuration")
+    side = config.select("source_table", "source_type", "sink_table", "sink_columns")
     keyed = events.withColumn("source_table", F.col("source")["table"]).withColumn("source_type", F.col("op"))
-    return keyed.join(side, ["source_table", "source_type"]).select(
+    return join_config(keyed, side, ["source_table", "source_type"], event_spread()).select(
         "sink_table", prune_columns(F.col("after"), F.col("sink_columns")).alias("data"), "ts_ms")
 
 
