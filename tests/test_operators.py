@@ -256,6 +256,17 @@ def test_words_inside_sends_no_text_through_a_shuffle(spark):
     assert "regexp_extract_all" not in plan and plan.count("MapInArrow") == 1
 
 
+def test_segmenter_explodes_runs_alone(spark):
+    """Other words stay with their row, in order with the runs; equal texts and repeated runs keep all their rows."""
+    words = spark.createDataFrame([("手机",)], "word string")
+    df = spark.createDataFrame([(1, "b手机a 人 b 手机 人手机c"), (1, "b手机a 人 b 手机 人手机c"), (None, "ꀀ㐀手机")], "i int, t string")
+    found = text.with_segments(df, words, "t", "cut")
+    assert sorted((str(r.i), r.cut) for r in found.collect()) == [
+        *[("1", ["b", "手机", "a", "人", "c"])] * 2, ("None", ["ꀀ㐀", "手机"])]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan and "first(" not in plan  # no table of whole texts
+
+
 def test_last_piece_follows_trailing_comma_rule(spark):
     df = spark.createDataFrame([("a,b",), ("a,b,,",), (",,",), ("",), ("a",)], "t string")
     assert [r[0] for r in df.select(text.last_piece(F.col("t"))).collect()] == ["b", "b", "", "", "a"]

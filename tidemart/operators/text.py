@@ -93,22 +93,32 @@ def _real(matches: Column) -> Column:
 def with_segments(df: DataFrame, words: DataFrame, text: str, out: str) -> DataFrame:
     """Distinct words of ``text``, Han runs cut by the dictionary's ``word`` of any number; null for a null text.
 
-    The places of grams of distinct Han runs that are dictionary words come from a join, behind a filter of fixed size; runs
-    and texts are put together again by their keys.  Texts without Han are not shuffled.
+    The places of grams of distinct Han runs that are dictionary words come from a join, behind a filter of fixed size; a
+    text gets its cut runs back by its hash, its other words stay with its row.  Texts without Han are not shuffled.
     """
     rest = [c for c in df.columns if c != out]
     han = F.coalesce(F.col(text).rlike(_HAN), F.lit(False))
     plain = df.filter(~han).withColumn(out, words_of(F.col(text))).select(*rest, out)
-    keyed = df.filter(han).withColumn("_text", F.sha2(text, 256))
-    texts = keyed.select("_text", F.col(text).alias("_whole")).dropDuplicates(["_text"])
-    pieces = texts.select("_text", F.posexplode(_pieces(F.col("_whole"))).alias("_place", "_piece"))
-    runs = pieces.filter(F.col("_piece").rlike(f"^{_HAN}")).select("_piece").distinct()
-    matches = _dictionary_matches(runs, words).groupBy("_piece").agg(F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n"))).alias("_matches"))
+    keyed = df.filter(han).withColumn("_text", F.unhex(F.sha2(text, 256)))
+    found_runs = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(f"({_HAN}+)"), F.lit(1)))
+    runs = keyed.select("_text", F.posexplode(found_runs).alias("_place", "_piece")).distinct()
+    matches = _dictionary_matches(runs.select("_piece").distinct(), words).groupBy("_piece").agg(
+        F.collect_list(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n"))).alias("_matches"))
     cut = matches.select("_piece", _cut_run(F.col("_piece"), _real(F.col("_matches"))).alias("_words"))
-    found = pieces.join(cut, "_piece", "left").groupBy("_text").agg(F.array_sort(F.collect_list(F.struct(
-        "_place", F.coalesce("_words", F.array("_piece")).alias("_words")))).alias("_found"))
-    found = found.select("_text", F.array_distinct(F.flatten(F.col("_found._words"))).alias(out))
-    return plain.unionByName(keyed.select("_text", *rest).join(found, "_text").select(*rest, out))
+    cuts = runs.join(cut, "_piece").groupBy("_text").agg(F.array_sort(F.collect_list(F.struct("_place", "_words"))).alias("_cuts"))
+
+    def is_run(piece: Column) -> Column:
+        return (piece["piece"] >= "一") & (piece["piece"] < "ꀀ")  # a piece is Han as a whole or not at all; ꀀ follows 鿿
+
+    def joined(pieces: Column) -> Column:
+        """The words at each piece's place: a run's are those of the cut of the same rank, as both are in order of appearance."""
+        cut = F.zip_with(F.filter(pieces, is_run), F.col("_cuts._words"), lambda piece, words: F.struct(piece["at"].alias("at"), words.alias("words")))
+        others = F.transform(F.filter(pieces, lambda piece: ~is_run(piece)), lambda piece: F.struct(piece["at"].alias("at"), F.array(piece["piece"]).alias("words")))
+        return F.flatten(F.transform(F.array_sort(F.concat(others, cut)), lambda piece: piece["words"]))
+
+    placed = F.transform(_pieces(F.col(text)), lambda piece, at: F.struct(at.alias("at"), piece.alias("piece")))
+    cut_rows = keyed.join(cuts, "_text").withColumn(out, F.array_distinct(F.get(F.transform(F.array(placed), joined), F.lit(0))))
+    return plain.unionByName(cut_rows.select(*rest, out))
 
 
 def _segments_of_stream(df: DataFrame, words: DataFrame, text: str, keyword: str) -> DataFrame:
