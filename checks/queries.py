@@ -321,8 +321,8 @@ def fact_routed_as_of(t: Testbed):
 ORDER_FEED = ["order_info", "order_detail", "order_detail_activity", "order_detail_coupon"]
 
 
-def _order_details(t: Testbed) -> DataFrame:
-    return trade.order_detail_fact(t.feed(*ORDER_FEED))
+def _order_details(t: Testbed, met=None) -> DataFrame:
+    return trade.order_detail_fact(t.feed(*ORDER_FEED), met)
 
 
 @query
@@ -343,13 +343,13 @@ def fact_order_detail_of_mixed_feed(t: Testbed):
 
 @query
 def fact_order_cancel(t: Testbed):
-    return trade.order_cancel_fact(_order_details(t), t.feed("order_info"))
+    return trade.order_cancel_fact(lambda met: _order_details(t, met), t.feed("order_info"))
 
 
 @query
 def fact_order_cancel_recent(t: Testbed):
     """Only lines within 30 minutes and 5 seconds of the cancel."""
-    return trade.order_cancel_fact(_order_details(t), t.feed("order_info"), within_ms=1_805_000)
+    return trade.order_cancel_fact(lambda met: _order_details(t, met), t.feed("order_info"), within_ms=1_805_000)
 
 
 @query

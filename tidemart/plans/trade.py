@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidemart import schemas
@@ -30,21 +32,30 @@ def order_lines(events: etl.Feed) -> DataFrame:
     return lines.withColumn("split_original_amount", original).drop("order_price")
 
 
-def order_detail_fact(events: etl.Feed) -> DataFrame:
-    """Order lines with their order's user and province, and activity and coupon if any."""
+def order_detail_fact(events: etl.Feed, met: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Order lines with their order's user and province, and activity and coupon if any.
+
+    ``met`` joins the lines with something inner before they meet the rest, so that fewer wide rows are shuffled; the
+    columns it adds follow the fact's.
+    """
     orders = etl.of_table(events, "order_info", "c").select(
         *etl.after({"id": "bigint", "user_id": "bigint", "province_id": "int"}))
     activities = etl.of_table(events, "order_detail_activity", "c").select(
         *etl.after({"order_detail_id": "bigint", "activity_id": "bigint", "activity_rule_id": "bigint"}))
     coupons = etl.of_table(events, "order_detail_coupon", "c").select(
         *etl.after({"order_detail_id": "bigint", "coupon_id": "bigint"}))
-    fact = lookup(order_lines(events), orders, {"order_id": "id"},
+    lines = order_lines(events)
+    more = []
+    if met:
+        bare, lines = lines.columns, met(lines)
+        more = [c for c in lines.columns if c not in bare]
+    fact = lookup(lines, orders, {"order_id": "id"},
                   {"user_id": "user_id", "province_id": "province_id"}, "inner")
     fact = lookup(fact, activities, {"id": "order_detail_id"},
                   {"activity_id": "activity_id", "activity_rule_id": "activity_rule_id"})
     fact = lookup(fact, coupons, {"id": "order_detail_id"}, {"coupon_id": "coupon_id"})
     return fact.withColumn("date_id", to_date_text(F.col("create_time"))).select(
-        *schemas.ORDER_DETAIL_FACT.names)
+        *schemas.ORDER_DETAIL_FACT.names, *more)
 
 
 def cancels(events: etl.Feed) -> DataFrame:
@@ -60,18 +71,22 @@ def cancel_columns(joined: DataFrame) -> DataFrame:
                          F.col("cancel_ts").alias("ts_ms"))
 
 
-def order_cancel_fact(order_details: DataFrame, events: etl.Feed, within_ms: int | None = None) -> DataFrame:
+def order_cancel_fact(order_details: DataFrame | Callable[[Callable], DataFrame], events: etl.Feed,
+                      within_ms: int | None = None) -> DataFrame:
     """Lines of orders that go from unpaid to cancelled.
 
-    ``within_ms`` keeps the lines that are at most so much older or newer than the cancel.
+    ``within_ms`` keeps the lines that are at most so much older or newer than the cancel.  ``order_details`` is the
+    fact, or a function that makes it of the join with the cancels (``met`` of ``order_detail_fact``): the joins are
+    the same, in an order that shuffles lines of other orders once instead of three times.
     """
     side = cancels(events)
-    if within_ms is None:
-        joined = order_details.join(side, F.col("order_id") == F.col("cancel_id"))
-    else:
-        joined = interval_join(order_details, side, {"order_id": "cancel_id"}, "ts_ms", "cancel_ts",
-                               -within_ms, within_ms, spread="right")
-    return cancel_columns(joined)
+
+    def met(lines: DataFrame) -> DataFrame:
+        if within_ms is None:
+            return lines.join(side, F.col("order_id") == F.col("cancel_id"))
+        return interval_join(lines, side, {"order_id": "cancel_id"}, "ts_ms", "cancel_ts", -within_ms, within_ms, spread="right")
+
+    return cancel_columns(order_details(met) if callable(order_details) else met(order_details))
 
 
 def payment_fact(order_details: DataFrame, events: etl.Feed, dictionary: DataFrame) -> DataFrame:
