@@ -60,13 +60,18 @@ def with_products(rows: DataFrame, products: DataFrame) -> DataFrame:
     return lookup(rows, products, {"sku_id": "sku_id"}, {**chain, "category1_name": "category_name"})
 
 
-def order_age_rows(events: etl.Feed, products: DataFrame, within_ms: int = MINUTE_MS) -> DataFrame:
-    """Order lines with user and order amount, brand and category; ``te`` is the joined time."""
+def order_age_lines(events: etl.Feed, within_ms: int = MINUTE_MS) -> DataFrame:
+    """Order lines with user and order amount; ``te`` is the joined time."""
     lines, orders = order_sides(events)
     rows = interval_join(lines, orders, {"order_id": "_order"}, "ts_ms", "_order_ts", -within_ms, within_ms)
     rows = rows.withColumn("te", F.greatest("ts_ms", "_order_ts")).drop("_order", "_order_ts", "ts_ms")
     # One row per line and creation time: an order's later changes repeat the line.
-    return with_products(first_per_key(rows, ["id", "create_time"], ["te", "sku_id"]), products)
+    return first_per_key(rows, ["id", "create_time"], ["te", "sku_id"])
+
+
+def order_age_rows(events: etl.Feed, products: DataFrame, within_ms: int = MINUTE_MS) -> DataFrame:
+    """As ``order_age_lines``, with brand and category."""
+    return with_products(order_age_lines(events, within_ms), products)
 
 
 def user_side(users: DataFrame) -> DataFrame:
@@ -94,13 +99,15 @@ def age_tags(events: etl.Feed, users: DataFrame, logs: DataFrame, products: Data
     ``logs`` is ``log_profile`` plus the column ``arrival``; ``keyword_types`` maps
     ``category_name`` to ``search_category``.  Each join's time is the later of its two sides.
     """
-    rows = order_age_rows(events, products, line_ms)
+    rows = order_age_lines(events, line_ms)
     rows = interval_join(rows, user_side(users), {"user_id": "_uid"}, "te", "user_ts_ms", -user_ms, user_ms)
     rows = rows.withColumn("te", F.greatest("te", "user_ts_ms")).drop("_uid")
 
     searches = search_side(latest_records(logs, "uid", "ts", arrival))
     rows = interval_join(rows, searches, {"user_id": "_log_uid"}, "te", "ts", -log_ms, log_ms)
     rows = rows.withColumn("te", F.greatest("te", "ts")).drop("_log_uid")
+    # Brand and category are wide: they are looked up for the lines that met a user and a search.
+    rows = with_products(rows, products)
     return first_per_key(scored_rows(rows, keyword_types), ["user_id", "name"], ["te", "id", "ts"])
 
 
