@@ -17,7 +17,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemart.llm.common import (FILTER_BITS, has_unnamed, hashed_words, letters_table, mix64, powers, rows_at_once, saved, shingle_hashes,
+from tidemart.llm.common import (FILTER_BITS, give_back, has_unnamed, hashed_words, letters_table, mix64, powers, rows_at_once, saved, shingle_hashes,
                                  text_key, without_ids, without_unnamed)
 
 LEAST_RUN = 5
@@ -172,6 +172,7 @@ def _tiled(batches: Iterator[pd.DataFrame], least: int, coverage: float) -> Iter
                 out.append((row.doc_id, row.item_id, len(item), covered, covered / len(item),
                             [{"item_at": i, "doc_at": d, "words": n} for i, d, n in sorted(tiles)]))
         yield pd.DataFrame(out, columns=["doc_id", "item_id", "item_words", "covered", "coverage", "tiles"])
+    give_back()
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least_run: int = LEAST_RUN, coverage: float = COVERAGE) -> DataFrame:

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import components, hashed_words, lower_table, mix64, rows_at_once, saved, shingle_hashes, split_by_filter, without_ids
+from tidemart.llm.common import components, give_back, hashed_words, lower_table, mix64, rows_at_once, saved, shingle_hashes, split_by_filter, without_ids
 
 WIDTH = 5
 SMALL = 24        # largest size that can be light
@@ -121,12 +121,14 @@ def _describe(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFr
             heads = found[:n if n <= SMALL else prefix(n)].view(np.int64)
             out.append((doc_id, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), heads, sketch(found), folded(found)))
         yield pd.DataFrame(out, columns=["doc_id", "n", "set_id", "heads", "sketch", "fold"])
+    give_back()
 
 
 def _whole_sets(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     for batch in batches:
         sets = [s.view(np.int64) for s in shingle_sets(batch["text"].tolist(), width)]
         yield pd.DataFrame({"node": batch["doc_id"], "held": sets})
+    give_back()
 
 
 # -- light sets -----------------------------------------------------------------------------

@@ -26,7 +26,7 @@ LANE_TOKENS = 1 << 20   # tokens of a lane, about; one task packs a lane
 RUN_TOKENS = 1 << 16    # tokens of a row of the saved table at most
 LEAST_SEND = 256        # a visited source sends so many tokens even on less credit, and owes them
 ROWS_AT_ONCE = 1000     # texts that a worker gets at once
-KNOWN_WORDS = 1 << 18   # words after which a worker starts a new list of words and their ids; it keeps the last two lists
+KNOWN_WORDS = 1 << 17   # words after which a worker starts a new list of words and their ids; it keeps the last two lists
 _WORDS: dict[str, list[dict[str, bytes]]] = {}
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemart.llm.common import (BLOCK_BYTES, Hasher, has_unnamed, letters_table, rows_at_once, runs_where, saved, text_key, without_ids,
+from tidemart.llm.common import (BLOCK_BYTES, Hasher, give_back, has_unnamed, letters_table, rows_at_once, runs_where, saved, text_key, without_ids,
                                  without_unnamed)
 
 BUCKETS = 1 << 20
@@ -162,6 +162,7 @@ def _score(batches: Iterator[pd.DataFrame], weights: dict[str, dict[int, float]]
         found = np.array([dense[features(t.encode())].sum(axis=0) for t in batch["text"]]).reshape(-1, len(CLASSES))
         found = found + np.array([weights[c].get(-2, 0.0) for c in CLASSES])
         yield batch.drop(columns=["text"]).assign(**{c: found[:, k] for k, c in enumerate(CLASSES)})
+    give_back()
 
 
 def _logit(p: Column) -> Column:
