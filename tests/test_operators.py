@@ -335,3 +335,16 @@ def test_nested_tag_shape(spark):
                          joins.flat_products(**t.product_dims()), t.keyword_types(), "event_id",
                          user_ms=5 * DAY, log_ms=2 * DAY)
     assert tags.nested_tag(flat).columns == ["user", "Age", "ageScore"]
+
+
+def test_search_needs_no_package_on_workers():
+    """Its functions travel whole: a process without this package on its path can load them."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+    from tidemart.operators import substrings
+
+    sent = cloudpickle.dumps([substrings.marks, substrings.candidates])
+    load = "import pickle, sys; assert len(pickle.loads(sys.stdin.buffer.read())) == 2"
+    subprocess.run([sys.executable, "-I", "-c", load], input=sent, check=True, cwd="/")

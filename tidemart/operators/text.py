@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import AtomicType
 
 from tidemart.operators import substrings
 
+# Its functions go to the tasks whole, so workers need no copy of this package on their path.
+cloudpickle.register_pickle_by_value(substrings)
+
 _WORD, _NO_WORD = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 _HAN, _NOT_HAN = "[一-鿿]", r"[\p{L}\p{N}&&[^一-鿿]]"
 
@@ -178,7 +184,7 @@ def with_words_inside(df: DataFrame, words: DataFrame, text: str, out: str) -> D
 
     keyed = df.withColumn("_text", F.unhex(F.sha2(text, 256)))
     texts = keyed.select("_text", F.col(text).alias("_whole")).filter("_text is not null")
-    met = texts.mapInArrow(lambda batches: substrings.candidates(batches, bits, lengths), "_text binary, _found binary")
+    met = texts.mapInArrow(partial(substrings.candidates, bits=bits, lengths=lengths), "_text binary, _found binary")
     found = met.join(known, "_found").groupBy("_text").agg(F.array_sort(F.collect_set("word")).alias(out))
     # Rows without a text meet nothing; their keys, which no hash of a text equals, only deal them to all tasks.
     dealt = F.xxhash64(*[f.name for f in df.schema if isinstance(f.dataType, AtomicType)])
